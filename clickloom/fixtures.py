@@ -7,168 +7,141 @@ the wrong case, missing devices and countries, and dangling references.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from clickloom.schemas import (
-    CHANNELS,
-    COUNTRIES,
-    PLATFORMS,
-    RAW_AD_IMPRESSIONS,
-    RAW_CAMPAIGNS,
-    RAW_CLICKS,
-    RAW_CONVERSIONS,
-    conform,
-)
-from clickloom.session import configure
+from collections.abc import Sequence
+from functools import cached_property
 
+from pyspark.sql import DataFrame, SparkSession
 
-@dataclass(frozen=True)
-class Feeds:
-    impressions: DataFrame
-    clicks: DataFrame
-    conversions: DataFrame
-    campaigns: DataFrame
+from clickloom.schemas import CHANNELS, COUNTRIES, DEVICES, OBJECTIVES, PLATFORMS
+from clickloom.session import configure
 
 
-def _choose(index: Column, names: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+def _pick(index: str, names: Sequence[str]) -> str:
+    return f"element_at(array({', '.join(repr(n) for n in names)}), cast({index} + 1 as int))"
 
 
-def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), ts)
+_CHANNEL_NO = "((l_partkey + l_orderkey + l_linenumber) % 6)"
+_DEVICE = _pick("l_partkey % 3", [DEVICES[0], DEVICES[1], DEVICES[2]])
 
+_EVENT = {
+    "impression_id": "concat('I', l_orderkey, '-', l_linenumber)",
+    "campaign_id": "concat('C', lpad(cast(1 + (l_suppkey * 7 + l_partkey) % 50 as string), 3, '0'))",
+    "channel": _pick(_CHANNEL_NO, CHANNELS),
+    "platform": _pick(_CHANNEL_NO, PLATFORMS),
+    "timestamp": "timestampadd(SECOND, (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 13) % 86400, "
+                 "cast(l_shipdate as timestamp))",
+    "device_type": f"if(l_partkey % 11 = 0, null, {_DEVICE})",
+    "country": f"if(l_suppkey % 13 = 0, null, {_pick('l_suppkey % 6', COUNTRIES)})",
+    "cost_micros": "5000 + (l_partkey * 7919 + l_orderkey * 31) % 495001",
+}
 
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
 
+def _as(columns: dict[str, str]) -> list[str]:
+    return [f"{expr} as {name}" for name, expr in columns.items()]
 
-def _line_events(lineitem: DataFrame) -> DataFrame:
-    part, supp, order, line = (F.col(c) for c in ("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber"))
-    shipped = F.col("l_shipdate").cast("timestamp")
-    channel_no = (part + order + line) % 6
-    return lineitem.select(
-        F.concat(F.lit("I"), order.cast("string"), F.lit("-"), line.cast("string")).alias("impression_id"),
-        F.concat(F.lit("C"), _padded(1 + (supp * 7 + part) % 50, 3)).alias("campaign_id"),
-        _choose(channel_no, CHANNELS).alias("channel"),
-        _choose(channel_no, PLATFORMS).alias("platform"),
-        _plus_seconds(shipped, (part * 7919 + supp * 104729 + line * 13) % 86400).alias("timestamp"),
-        F.when(part % 11 == 0, F.lit(None))
-        .otherwise(_choose(part % 3, ["mobile", "desktop", "tablet"])).alias("device_type"),
-        F.when(supp % 13 == 0, F.lit(None)).otherwise(_choose(supp % 6, COUNTRIES)).alias("country"),
-        (F.lit(5000) + (part * 7919 + order * 31) % 495001).cast("bigint").alias("cost_micros"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+
+def raw_impressions(lineitem: DataFrame) -> DataFrame:
+    messy = dict(
+        _EVENT,
+        channel=f"if(l_linenumber = 7, concat('  ', lower({_EVENT['channel']}), ' '), {_EVENT['channel']})",
+        platform=f"if(l_linenumber = 7, concat(upper({_EVENT['platform']}), ' '), {_EVENT['platform']})",
     )
+    return lineitem.selectExpr(*_as(messy))
 
 
 def _clicked(lineitem: DataFrame) -> DataFrame:
     """Clicked line items, one per impression, with the click time."""
-    order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    events = _line_events(lineitem).filter((order * 31 + line * 17) % 100 < 24)
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        F.col("timestamp").desc(), part.desc(), F.col("l_suppkey").desc())
-    kept = events.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
-    return kept.select(
-        F.concat(F.lit("K"), "impression_id").alias("click_id"),
-        "impression_id", "campaign_id", "channel", "platform",
-        _plus_seconds(F.col("timestamp"), 1 + (part * 31 + order) % 3600).alias("timestamp"),
-        "device_type", "country", "cost_micros", "l_orderkey", "l_linenumber", "l_partkey",
+    kept = (
+        lineitem.filter("(l_orderkey * 31 + l_linenumber * 17) % 100 < 24")
+        .selectExpr(
+            "*", f"{_EVENT['timestamp']} as shown",
+            f"row_number() over (partition by l_orderkey, l_linenumber order by {_EVENT['timestamp']} desc, "
+            "l_partkey desc, l_suppkey desc) as rn")
+        .filter("rn = 1")
     )
+    click = dict(_EVENT, timestamp="timestampadd(SECOND, 1 + (l_partkey * 31 + l_orderkey) % 3600, shown)")
+    return kept.selectExpr(*_as(click), "l_orderkey", "l_linenumber", "l_partkey").selectExpr(
+        "concat('K', impression_id) as click_id", "*")
 
 
-def raw_impressions(lineitem: DataFrame) -> DataFrame:
-    odd = F.col("l_linenumber") == 7
-    events = _line_events(lineitem)
-    messy = events.withColumns({
-        "channel": F.when(odd, F.concat(F.lit("  "), F.lower("channel"), F.lit(" "))).otherwise(F.col("channel")),
-        "platform": F.when(odd, F.concat(F.upper("platform"), F.lit(" "))).otherwise(F.col("platform")),
-    })
-    return conform(messy, RAW_AD_IMPRESSIONS)
-
-
-def _with_resends(events: DataFrame, resent: Column) -> DataFrame:
-    """Emit a second copy, one second earlier, of the events for which ``resent`` holds.
-
-    ``copy`` is 1 on the copies.  Exploding keeps it a single pass over the input.
-    """
-    copies = F.when(resent, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    out = events.withColumn("copy", F.explode(copies))
-    return out.withColumn("timestamp", _plus_seconds(F.col("timestamp"), -F.col("copy")))
+def _resent(events: DataFrame, when: str) -> DataFrame:
+    """Add a second copy (``copy`` = 1), one second earlier, of the events for which ``when`` holds."""
+    copies = events.selectExpr("*", f"explode(if({when}, array(0, 1), array(0))) as copy")
+    return copies.withColumnRenamed("timestamp", "sent").selectExpr(
+        "*", "timestampadd(SECOND, -copy, sent) as timestamp")
 
 
 def raw_clicks(lineitem: DataFrame) -> DataFrame:
-    order = F.col("l_orderkey")
-    events = _with_resends(_clicked(lineitem), order % 50 == 1)
-    dangling = (order % 97 == 0) & (F.col("copy") == 0)
-    return conform(
-        events.withColumn("impression_id", F.when(
-            dangling, F.concat(F.lit("I-orphan-"), order.cast("string"))).otherwise(F.col("impression_id"))),
-        RAW_CLICKS)
+    return _resent(_clicked(lineitem), "l_orderkey % 50 = 1").selectExpr(
+        "click_id",
+        "if(copy = 0 and l_orderkey % 97 = 0, concat('I-orphan-', l_orderkey), impression_id) as impression_id",
+        "campaign_id", "channel", "platform", "timestamp", "device_type", "country", "cost_micros")
 
 
 def raw_conversions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     converted = (
-        _clicked(lineitem).filter((order * 13 + line * 29 + part) % 100 < 29)
-        .join(orders.select("o_orderkey", "o_custkey"), order == F.col("o_orderkey"))
-    )
-    r = part * 37 + order * 101
-    kind = _choose((part + order) % 3, ["purchase", "lead", "signup"])
-    events = converted.select(
-        F.concat(F.lit("V"), "click_id").alias("conversion_id"),
-        "click_id", "campaign_id",
-        F.concat(F.lit("CUST-"), _padded(F.col("o_custkey"), 5)).alias("customer_id"),
-        _plus_seconds(F.col("timestamp"), 60 * (1 + (part * 17 + order) % 1440)).alias("timestamp"),
-        kind.alias("kind"), r.alias("r"), "l_orderkey",
-    )
-    events = _with_resends(events, order % 40 == 3)
-    first = F.col("copy") == 0
-    amount = (
-        F.when(F.col("kind") == "signup", F.when(F.col("r") % 41 == 0, F.lit(None)).otherwise(F.lit(0.0)))
-        .when(F.col("kind") == "lead", (F.col("r") % 50001).cast("double") / 100.0)
-        .when(F.col("r") % 29 == 0, F.lit(50.0))
-        .when(F.col("r") % 31 == 0, F.lit(200.0))
-        .otherwise((500 + F.col("r") % 199501).cast("double") / 100.0)
+        _clicked(lineitem).filter("(l_orderkey * 13 + l_linenumber * 29 + l_partkey) % 100 < 29")
+        .join(orders.selectExpr("o_orderkey as l_orderkey", "o_custkey"), "l_orderkey")
     )
-    return conform(
-        events.withColumns({
-            "revenue": F.when(first, amount).otherwise(F.lit(1.0)),
-            "conversion_type": F.when(first & (F.col("r") % 19 == 0), F.concat(F.lit(" "), F.upper("kind")))
-            .otherwise(F.col("kind")),
-            "click_id": F.when(first & (order % 89 == 0), F.concat(F.lit("K-orphan-"), order.cast("string")))
-            .otherwise(F.col("click_id")),
-        }),
-        RAW_CONVERSIONS)
+    kinds = _pick("(l_partkey + l_orderkey) % 3", ["purchase", "lead", "signup"])
+    events = converted.selectExpr(
+        "concat('V', click_id) as conversion_id", "click_id", "campaign_id",
+        "concat('CUST-', lpad(cast(o_custkey as string), 5, '0')) as customer_id",
+        "timestampadd(SECOND, 60 * (1 + (l_partkey * 17 + l_orderkey) % 1440), timestamp) as timestamp",
+        f"{kinds} as kind", "l_partkey * 37 + l_orderkey * 101 as r", "l_orderkey")
+    return _resent(events, "l_orderkey % 40 = 3").selectExpr(
+        "conversion_id",
+        "if(copy = 0 and l_orderkey % 89 = 0, concat('K-orphan-', l_orderkey), click_id) as click_id",
+        "campaign_id", "customer_id", "timestamp",
+        """case when copy = 1 then 1D
+                when kind = 'signup' then if(r % 41 = 0, null, 0D)
+                when kind = 'lead' then cast(r % 50001 as double) / 100D
+                when r % 29 = 0 then 50D
+                when r % 31 = 0 then 200D
+                else cast(500 + r % 199501 as double) / 100D end as revenue""",
+        "if(copy = 0 and r % 19 = 0, concat(' ', upper(kind)), kind) as conversion_type")
 
 
 def raw_campaigns(part: DataFrame) -> DataFrame:
-    key = F.col("p_partkey")
-    epoch = F.to_date(F.lit("1995-01-01"))
-    return conform(
-        part.filter(key < 50).select(
-            F.concat(F.lit("C"), _padded(key + 1, 3)).alias("campaign_id"),
-            F.concat(F.lit(" "), "p_name", F.lit(" "), key.cast("string")).alias("campaign_name"),
-            _choose(key % 6, CHANNELS).alias("channel"),
-            _choose(key % 6, PLATFORMS).alias("platform"),
-            F.date_add(epoch, (key * 40).cast("int")).alias("start_date"),
-            F.date_add(epoch, (key * 40 + 30 + key * 7 % 151).cast("int")).alias("end_date"),
-            F.when(key == 0, 2000.0).when(key == 1, 7000.0).when(key == 2, 10000.0)
-            .otherwise((500 + key * 937 % 14000).cast("double")).alias("budget_euros"),
-            F.when(key % 7 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("target_audience"),
-            _choose(key % 3, ["awareness", " Consideration", "conversion"]).alias("objective"),
-        ),
-        RAW_CAMPAIGNS)
-
-
-def feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    """The raw feeds over the parquet tables in ``sf_dir``."""
-    configure(spark)
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    lineitem, orders, part = table("lineitem"), table("orders"), table("part")
-    return Feeds(raw_impressions(lineitem), raw_clicks(lineitem),
-                 raw_conversions(lineitem, orders), raw_campaigns(part))
+    return part.filter("p_partkey < 50").selectExpr(
+        "concat('C', lpad(cast(p_partkey + 1 as string), 3, '0')) as campaign_id",
+        "concat(' ', p_name, ' ', p_partkey) as campaign_name",
+        f"{_pick('p_partkey % 6', CHANNELS)} as channel",
+        f"{_pick('p_partkey % 6', PLATFORMS)} as platform",
+        "date_add(date'1995-01-01', cast(p_partkey * 40 as int)) as start_date",
+        "date_add(date'1995-01-01', cast(p_partkey * 40 + 30 + p_partkey * 7 % 151 as int)) as end_date",
+        """case p_partkey when 0 then 2000D when 1 then 7000D when 2 then 10000D
+           else cast(500 + p_partkey * 937 % 14000 as double) end as budget_euros""",
+        "if(p_partkey % 7 = 0, null, p_type) as target_audience",
+        f"{_pick('p_partkey % 3', [OBJECTIVES[0], ' Consideration', OBJECTIVES[2]])} as objective")
+
+
+class Feeds:
+    """The raw feeds over the parquet tables in ``sf_dir``, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = configure(spark)
+        self.sf_dir = sf_dir
+
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def _lineitem(self) -> DataFrame:
+        return self._table("lineitem")
+
+    @cached_property
+    def impressions(self) -> DataFrame:
+        return raw_impressions(self._lineitem)
+
+    @cached_property
+    def clicks(self) -> DataFrame:
+        return raw_clicks(self._lineitem)
+
+    @cached_property
+    def conversions(self) -> DataFrame:
+        return raw_conversions(self._lineitem, self._table("orders"))
+
+    @cached_property
+    def campaigns(self) -> DataFrame:
+        return raw_campaigns(self._table("part"))

@@ -3,70 +3,70 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A value below this share of the rows cannot overload one shuffle partition; at most
-# 1 / HOT_SHARE values can reach it, which bounds what is broadcast.
+# A key below this share of the rows cannot overload one shuffle partition; at most
+# 1 / HOT_SHARE keys can reach it, which bounds what is broadcast.
 HOT_SHARE = 0.005
-HOT_LIMIT = int(1 / HOT_SHARE)
 SKETCH_ITEMS = 20_000
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = HOT_SHARE) -> DataFrame:
-    """Values of ``key`` that hold at least ``min_share`` of the non-NULL rows.
+def _place(keys: Sequence[str]) -> Column:
+    """Stands for the key in the sketch; a collision only spreads one key more."""
+    return F.xxhash64(*keys)
 
-    One scan of the key column with a frequent-items sketch per task: no key is shuffled
-    and the result has at most ``1 / min_share`` rows.  The sketch may name a value that
-    falls just short of the share, and never misses one well above it; callers use it to
-    place rows, never to choose them.
+
+def _missing(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -> DataFrame:
+    """Hashes (``_place``) of the keys that hold at least ``min_share`` of the rows.
+
+    One scan of the key columns with a frequent-items sketch per task: no key is shuffled,
+    and the result has at most ``1 / min_share`` rows.  The sketch never misses a key well
+    above the share; callers use it to place rows, never to choose them.
     """
     limit = max(1, int(1 / min_share))
     tracked = max(SKETCH_ITEMS, 8 * limit)
-    # The sketch counts text, so other types go through their exact text form and back.
-    kind = df.schema[key].dataType
-    text = F.col(key).cast("string")
-    found = (
-        df.filter(F.col(key).isNotNull())
-        .select(text.alias("_k"))
-        .agg(F.expr(f"approx_top_k(_k, {limit}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n"))
+    return (
+        df.filter(~_missing(keys)).select(_place(keys).alias("_p"))
+        .agg(F.expr(f"approx_top_k(_p, {limit}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n"))
         .select(F.explode("top").alias("t"), "n")
         .filter(F.col("t.count") >= F.col("n") * F.lit(min_share))
+        .select(F.col("t.item").alias("_place"))
     )
-    return found.select(F.col("t.item").cast(kind).alias(key))
 
 
-def skew_safe_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str],
+def skew_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str],
                         hot: DataFrame | None = None) -> DataFrame:
-    """``left LEFT JOIN right USING (key)`` in which hot keys are spread over all tasks.
+    """``left LEFT JOIN right USING (on)`` in which hot keys are spread over all tasks.
 
-    Left rows whose key is hot get a salt derived from ``spread_by`` (a column or columns
-    that vary within the key); matching right rows, few because hot keys are few, are
-    copied once per salt.  NULL keys match nothing and are spread too.  The salt is a hash,
-    not a random number, so recomputing a lost task gives the same rows.  ``hot`` defaults
-    to a sketch of ``left``; the rows of the result are those of the plain join.
+    Left rows whose key is hot get a salt derived from ``spread_by`` (columns that vary
+    within the key); the right rows of hot keys, few because hot keys are few, are copied
+    once per salt.  NULL keys match nothing and are spread too.  The salt is a hash, not a
+    random number, so recomputing a lost task gives the same rows.  ``hot`` defaults to a
+    sketch of ``left``.  The rows of the result are those of the plain join.
     """
-    spark = left.sparkSession
-    salts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = hot_keys(left, key) if hot is None else hot
-    # At most HOT_LIMIT rows by construction, hence safe to broadcast.
-    flags = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    on = list(on)
+    salts = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = hot_keys(left, on) if hot is None else hot
+    # At most 1 / min_share rows by construction, hence safe to broadcast.
+    flags = F.broadcast(hot.select("_place", F.lit(True).alias("_hot")))
+
+    def flagged(df: DataFrame) -> DataFrame:
+        return df.withColumn("_place", _place(on)).join(flags, "_place", "left").drop("_place")
 
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted_left = (
-        left.join(flags, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    salted_right = (
-        right.filter(F.col(key).isNotNull())
-        .join(flags, key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                       .otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
+    salted_left = flagged(left).withColumn(
+        "_salt", F.when(F.col("_hot") | _missing(on), spread).otherwise(F.lit(0))).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = flagged(right.filter(~_missing(on))).withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

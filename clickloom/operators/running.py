@@ -4,83 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def running_by_time(df: DataFrame, time_col: str, sums: Mapping[str, str] | None = None,
-                    lasts: Mapping[str, str] | None = None, by: Sequence[str] = (),
-                    descending: bool = False) -> DataFrame:
-    """Add running sums and running last non-NULL values along ``time_col``.
+                    firsts: Mapping[str, str] | None = None, lasts: Mapping[str, str] | None = None,
+                    by: Sequence[str] = (), descending: bool = False) -> DataFrame:
+    """Add running sums and running first or last non-NULL values along ``time_col``.
 
-    ``df`` must hold one row per (``by``, instant); aggregate to instants first.  ``sums``
-    and ``lasts`` map new column names to input columns; each new column covers the rows
-    up to and including the current instant (from the current instant on when
-    ``descending``).
+    ``df`` must hold one row per (``by``, instant); aggregate to instants first.  The
+    mappings go from new column name to input column.  Each new column covers the rows up
+    to and including the current instant, walking the axis forwards, or backwards with
+    ``descending``.
 
     The axis is cut into minutes and days.  A window runs inside each minute, another over
-    the minutes of each day, and a third over the days, and the three parts are added up.
+    the minutes of each day and a third over the days, and the three parts are combined.
     So no window sees more than a minute of instants, 1440 minutes, or the days of the
     history, whatever the data volume and however uneven the traffic.
     """
-    sums, lasts = dict(sums or {}), dict(lasts or {})
+    sums, firsts, lasts = dict(sums or {}), dict(firsts or {}), dict(lasts or {})
+    inputs = {**sums, **firsts, **lasts}
     by = list(by)
-    if not sums and not lasts:
-        return df
-
-    def ordered(column: str):
-        return F.col(column).desc() if descending else F.col(column).asc()
-
-    base = (df.withColumn("_minute", F.date_trunc("minute", time_col))
-            .withColumn("_day", F.to_date("_minute")))
-
-    # Inside the minute.
-    inside = Window.partitionBy(*by, "_day", "_minute").orderBy(ordered(time_col)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    within = base.select(
-        "*",
-        *[F.sum(c).over(inside).alias(f"_in_{name}") for name, c in sums.items()],
-        *[F.last(c, ignorenulls=True).over(inside).alias(f"_in_{name}") for name, c in lasts.items()],
-    )
-
-    def totals(frame: DataFrame, group: Sequence[str], order: str, cols: Mapping[str, str],
-               last_cols: Mapping[str, str]) -> DataFrame:
-        newest = F.min if descending else F.max
-        return frame.groupBy(*group).agg(
-            *[F.sum(c).alias(f"_t_{name}") for name, c in cols.items()],
-            *[newest(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("at"), F.col(c).alias("v"))))
-              .getField("v").alias(f"_t_{name}") for name, c in last_cols.items()],
-        )
-
-    def before(frame: DataFrame, part: Sequence[str], order: str, prefix: str) -> DataFrame:
-        """Running values over the rows strictly before each row of a totals table."""
+
+    def walk(order: str, part: Sequence[str], end: int):
         w = Window.partitionBy(*part) if part else Window
-        w = w.orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, -1)
-        return frame.select(
-            *by, *[c for c in ("_day", "_minute") if c in frame.columns],
-            *[F.sum(f"_t_{name}").over(w).alias(f"{prefix}{name}") for name in sums],
-            *[F.last(f"_t_{name}", ignorenulls=True).over(w).alias(f"{prefix}{name}") for name in lasts],
-        )
-
-    # Totals of a minute, then of a day from its minutes.
-    minutes = totals(base, [*by, "_day", "_minute"], time_col, sums, lasts)
-    carried = {name: f"_t_{name}" for name in sums}
-    carried_lasts = {name: f"_t_{name}" for name in lasts}
-    days = totals(minutes, [*by, "_day"], "_minute", carried, carried_lasts)
-
-    minute_offsets = before(minutes, [*by, "_day"], "_minute", "_mi_")
-    # Without ``by`` this window has one task, which sees one row per day of history.
-    day_offsets = before(days, by, "_day", "_da_")
-
-    # minute rows are few compared with instants; attach the day's offset to them first.
-    offsets = minute_offsets.join(day_offsets, [*by, "_day"], "left")
-    joined = within.join(offsets, [*by, "_day", "_minute"], "left")
-
-    zero = F.lit(0)
-    out = {}
-    for name in sums:
-        part = [F.coalesce(F.col(f"{p}{name}"), zero) for p in ("_in_", "_mi_", "_da_")]
-        out[name] = part[0] + part[1] + part[2]
-    for name in lasts:
-        out[name] = F.coalesce(f"_in_{name}", f"_mi_{name}", f"_da_{name}")
-    return joined.select(*df.columns, *[c.alias(name) for name, c in out.items()])
+        ordered = F.col(order).desc() if descending else F.col(order).asc()
+        return w.orderBy(ordered).rowsBetween(Window.unboundedPreceding, end)
+
+    def running(window, column_of, prefix: str) -> list[Column]:
+        def pick(name: str) -> Column:
+            source = F.col(column_of(name))
+            if name in sums:
+                return F.sum(source)
+            return (F.first if name in firsts else F.last)(source, ignorenulls=True)
+        return [pick(name).over(window).alias(prefix + name) for name in inputs]
+
+    def totals(frame: DataFrame, group: Sequence[str], order: str, column_of) -> DataFrame:
+        def total(name: str) -> Column:
+            source = F.col(column_of(name))
+            if name in sums:
+                return F.sum(source)
+            earliest = (name in firsts) != descending
+            known = F.when(source.isNotNull(), F.struct(F.col(order).alias("at"), source.alias("v")))
+            return (F.min if earliest else F.max)(known).getField("v")
+        return frame.groupBy(*group).agg(*[total(name).alias(f"_t_{name}") for name in inputs])
+
+    base = df.select("*", F.date_trunc("minute", time_col).alias("_minute"), F.to_date(time_col).alias("_day"))
+    minute_key, day_key = [*by, "_day", "_minute"], [*by, "_day"]
+
+    minutes = totals(base, minute_key, time_col, inputs.get)
+    days = totals(minutes, day_key, "_minute", "_t_{}".format)
+
+    # Values of the earlier minutes of the day, and of the earlier days.  Without ``by``
+    # the last window runs in one task over one row per day of history.
+    earlier_minutes = minutes.select(
+        *minute_key, *running(walk("_minute", day_key, -1), "_t_{}".format, "_mi_"))
+    earlier_days = days.select(*day_key, *running(walk("_day", by, -1), "_t_{}".format, "_da_"))
+    offsets = earlier_minutes.join(earlier_days, day_key)
+
+    here = base.select("*", *running(walk(time_col, minute_key, Window.currentRow), inputs.get, "_in_"))
+    joined = here.join(offsets, minute_key)
+
+    def combined(name: str) -> Column:
+        parts = [F.col(f"{p}{name}") for p in ("_da_", "_mi_", "_in_")]
+        if name in sums:
+            return sum((F.coalesce(p, F.lit(0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0)))
+        return F.coalesce(*(parts if name in firsts else reversed(parts)))
+
+    return joined.select(*df.columns, *[combined(name).alias(name) for name in inputs])

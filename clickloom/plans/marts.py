@@ -137,7 +137,7 @@ def with_first_conversion(conversions: DataFrame) -> DataFrame:
     """
     first = conversions.groupBy("customer_id").agg(
         F.min("conversion_timestamp").alias("first_conversion_timestamp"))
-    return skew_safe_left_join(conversions, first, "customer_id", ["conversion_id"])
+    return skew_safe_left_join(conversions, first, ["customer_id"], ["conversion_id"])
 
 
 def first_conversions(conversions: DataFrame) -> DataFrame:

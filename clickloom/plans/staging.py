@@ -98,8 +98,8 @@ def stg_clicks(raw_clicks: DataFrame, impressions: DataFrame, impressions_unique
         times = impressions.select("impression_id", F.col("timestamp").alias("impression_timestamp"))
     else:
         times = impression_times(impressions)
-    joined = skew_safe_left_join(clean_clicks(raw_clicks), times, "impression_id", ["click_id"],
-                                 hot=hot_keys(raw_clicks, "impression_id"))
+    joined = skew_safe_left_join(clean_clicks(raw_clicks), times, ["impression_id"], ["click_id"],
+                                 hot=hot_keys(raw_clicks, ["impression_id"]))
     columns = [
         "click_id", "impression_id", "campaign_id", "channel", "platform", "click_timestamp",
         "click_date", "click_week", "click_month", "device_type", "country", "cost_micros", "cost_euros",
@@ -127,8 +127,8 @@ def stg_conversions(raw_conversions: DataFrame, clicks: DataFrame) -> DataFrame:
     ``clicks`` is any frame with one row per click_id: clean_clicks or stg_clicks.
     """
     context = clicks.select("click_id", "channel", "platform", "device_type", "country", "click_timestamp")
-    joined = skew_safe_left_join(clean_conversions(raw_conversions), context, "click_id", ["conversion_id"],
-                                 hot=hot_keys(raw_conversions, "click_id"))
+    joined = skew_safe_left_join(clean_conversions(raw_conversions), context, ["click_id"], ["conversion_id"],
+                                 hot=hot_keys(raw_conversions, ["click_id"]))
     return joined.select(
         "conversion_id", "click_id", "campaign_id", "customer_id", "conversion_timestamp",
         "conversion_date", "conversion_week", "conversion_month", "revenue_euros", "conversion_type",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime settings every plan in the library assumes.  All can be set on a live session.
@@ -37,3 +39,22 @@ def local_session(cores: str | int = "*", app: str = "clickloom", partitions: in
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for cut lineage, as the session names it.
+
+    Only a local session may fall back on a temporary folder: on a cluster that folder
+    would be lost with its machine.
+    """
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
+    if current is not None:
+        return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        named = tempfile.mkdtemp(prefix="checkpoints-")
+    context.setCheckpointDir(named)
+    return context.getCheckpointDir()

@@ -261,8 +261,50 @@ FROM (SELECT acquisition_channel AS channel, acquisition_month, count(DISTINCT c
       FROM firsts JOIN ltv USING (customer_id) GROUP BY 1, 2)
 LEFT JOIN (SELECT channel, {money('total_cost_euros')} AS spend FROM perf GROUP BY 1) USING (channel)"""
 
+# The literal product of conversions and touches; only the check engine builds it.
+_JOURNEY = """
+SELECT v.conversion_id, v.customer_id, v.revenue_euros, v.conversion_type, k.channel AS attributed_channel,
+       k.platform AS attributed_platform, k.campaign_id AS attributed_campaign_id, k.click_timestamp, k.click_id
+FROM cv0 v JOIN {touch} k ON {match} k.click_timestamp <= v.conversion_timestamp"""
+_TOUCH_GROUP = "attributed_channel, attributed_platform, attributed_campaign_id"
+
+
+def _single(journey: str) -> str:
+    pick = "SELECT *, '{1}_touch' AS attribution_model FROM {2} QUALIFY row_number() OVER (PARTITION BY conversion_id ORDER BY click_timestamp {0}, click_id {0}) = 1"
+    both = " UNION ALL ".join(f"({pick.format(o, m, journey)})" for o, m in (("ASC", "first"), ("DESC", "last")))
+    return f"""
+SELECT conversion_id, customer_id, revenue_euros, conversion_type, {_TOUCH_GROUP},
+       revenue_euros AS attributed_revenue, 1e0 AS attribution_weight, attribution_model FROM ({both})"""
+
+
+def _linear(journey: str, digits: int = 2) -> str:
+    return f"""
+SELECT {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(revenue_euros / n)', digits)} AS attributed_revenue,
+       {rnd('sum(1e0 / n)', 6)} AS attribution_weight, 'linear' AS attribution_model
+FROM (SELECT *, count(*) OVER (PARTITION BY conversion_id) AS n FROM {journey}) GROUP BY {_TOUCH_GROUP}"""
+
+
+def _credit(journey: str) -> str:
+    return f"""
+SELECT conversion_id, any_value(customer_id) AS customer_id, any_value(revenue_euros) AS revenue_euros,
+       any_value(conversion_type) AS conversion_type, count(*) AS total_touches,
+       any_value(revenue_euros) / count(*) AS attributed_revenue, 1e0 / count(*) AS attribution_weight
+FROM {journey} GROUP BY conversion_id"""
+
+
+def _summary(journey: str) -> str:
+    single = f"SELECT * FROM ({_single(journey)})"
+    return f"""
+SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(attributed_revenue)')} AS attributed_revenue,
+       {rnd('sum(attribution_weight)', 6)} AS attribution_weight FROM ({single}) GROUP BY ALL
+UNION ALL BY NAME {_linear(journey)}"""
+
+
 PARTS = {
     **FEEDS,
+    "own_touch": "SELECT DISTINCT v.customer_id, k.* FROM cv0 v JOIN clk0 k USING (click_id)",
+    "journey": _JOURNEY.format(touch="clk0", match=""),
+    "own_journey": _JOURNEY.format(touch="own_touch", match="k.customer_id = v.customer_id AND"),
     **STAGED,
     "perf": _performance("campaign_id, channel, platform"),
     "perf1": _performance("campaign_id"),
@@ -321,7 +363,111 @@ FROM clk GROUP BY 1""",
 SELECT customer_id, CAST(u30 AS DOUBLE) / 1e4 AS ltv_30d, CAST(u90 AS DOUBLE) / 1e4 AS ltv_90d,
        CAST(u AS DOUBLE) / 1e4 AS ltv_total, n AS total_conversions FROM ltv""",
     "rpt_customer_acquisition": f"SELECT * REPLACE ({txt('acquisition_month')}) FROM acq",
+    "attribution_global_first_last": _single("journey"),
+    "attribution_global_linear_by_channel": _linear("journey"),
+    "attribution_global_linear_credit": _credit("journey"),
+    "attribution_global_summary": _summary("journey"),
+    "attribution_customer_first_last": _single("own_journey"),
+    "attribution_customer_linear_by_channel": _linear("own_journey", digits=6),
+    "attribution_customer_linear_credit": _credit("own_journey"),
+}
+
+_SUMS = ", ".join(f"{big(f'sum({c})')} AS total_{c}" for c in ("impressions", "clicks", "conversions", "purchases", "signups", "leads"))
+_SPEND, _REVENUE = money("spend_euros"), money("revenue_euros")
+_DASH_MEASURES = f"""{_SUMS}, {_SPEND} AS total_spend, {_REVENUE} AS total_revenue,
+       count(DISTINCT date) AS count_days, {_REVENUE} - {_SPEND} AS total_profit,
+       {div('sum(clicks)', 'sum(impressions)')} * 1e2 AS avg_ctr, {div(_SPEND, 'sum(clicks)')} AS avg_cpc,
+       {div(_SPEND, 'sum(conversions)')} AS avg_cpa, {div(_REVENUE, _SPEND)} AS overall_roas,
+       {div('sum(conversions)', 'sum(clicks)')} * 1e2 AS avg_conversion_rate"""
+
+
+def _mean(column: str) -> str:
+    return f"({money(column)} / nullif(CAST(count({column}) AS DOUBLE), 0e0))"
+
+
+_WEIGHTED_CAC = (f"(CAST(sum({money_units('cac_eur')} * new_customers) AS DOUBLE) / 1e4 "
+                 "/ nullif(CAST(sum(new_customers) AS DOUBLE), 0e0))")
+_ACQ_MEASURES = f"""{big('sum(new_customers)')} AS total_new_customers, {_WEIGHTED_CAC} AS avg_cac,
+       {_mean('avg_first_order_value')} AS avg_first_order_value, {_mean('avg_ltv_30d')} AS avg_ltv_30d,
+       {_mean('avg_ltv_90d')} AS avg_ltv_90d, {_mean('payback_period_days')} AS avg_payback_period,
+       {_mean('ltv_90d_to_cac_ratio')} AS avg_ltv_cac_ratio,
+       {_mean('avg_conversions_per_customer')} AS avg_conversions_per_customer, count(*) AS channel_count"""
+_ROI_MEASURES = f"""{big('sum(total_impressions)')} AS total_impressions, {big('sum(total_clicks)')} AS total_clicks,
+       {big('sum(total_conversions)')} AS total_conversions, {money('total_spend_euros')} AS total_spend,
+       {money('total_revenue_euros')} AS total_revenue, {money('profit_euros')} AS total_profit,
+       {_mean('roi_pct')} AS avg_roi, {_mean('avg_cpa_eur')} AS avg_cpa, {_mean('avg_roas')} AS avg_roas,
+       {_mean('ctr_pct')} AS avg_ctr, {_mean('conversion_rate_pct')} AS avg_conversion_rate,
+       {_mean('channel_health_score')} AS channel_health_score, max(best_campaign_roas) AS best_campaign_roas,
+       min(worst_campaign_roas) AS worst_campaign_roas, count(*) AS channel_count"""
+
+
+def _graded(column: str, good: str, warn: str | None = None) -> str:
+    middle = f" WHEN {column} {warn} THEN 'warn'" if warn else ""
+    return (f"CASE WHEN {column} IS NULL THEN NULL WHEN {column} {good} THEN 'good'{middle} "
+            f"ELSE 'bad' END AS {column}_rating")
+
+
+_TREND = f"{_SPEND} AS spend, {_REVENUE} AS revenue, {big('sum(conversions)')} AS conversions, {big('sum(impressions)')} AS impressions"
+_EVENTS = {"impressions": "impressions", "clicks": "clicks", "conversions": "conversions"}
+
+QUERIES |= {
+    "kpi_totals": f"""
+SELECT {_SPEND} AS total_spend, {_REVENUE} AS total_revenue, {div(_REVENUE, _SPEND)} AS overall_roas,
+       {big('sum(conversions)')} AS total_conversions, {div('sum(clicks)', 'sum(impressions)')} * 1e2 AS avg_ctr,
+       {_REVENUE} - {_SPEND} AS total_profit FROM dash""",
+    "spend_by_channel": f"SELECT channel, {_SPEND} AS total_spend FROM dash GROUP BY 1 ORDER BY 2 DESC",
+    "roas_trend": f"SELECT date, {div(_REVENUE, _SPEND)} AS overall_roas FROM dash GROUP BY 1 ORDER BY 1",
+    "conversion_funnel": f"""
+SELECT {big('sum(impressions)')} AS total_impressions, {big('sum(clicks)')} AS total_clicks,
+       {big('sum(conversions)')} AS total_conversions FROM dash""",
+    "funnel": f"""
+SELECT step_no, step, events, {div('events', 'lag(events) OVER (ORDER BY step_no)')} * 1e2 AS step_rate_pct,
+       {div('events', 'first(events) OVER (ORDER BY step_no)')} * 1e2 AS overall_rate_pct
+FROM (SELECT CAST(1 AS BIGINT) AS step_no, 'impressions' AS step, {big('sum(impressions)')} AS events FROM dash
+      UNION ALL SELECT 2, 'clicks', {big('sum(clicks)')} FROM dash
+      UNION ALL SELECT 3, 'conversions', {big('sum(conversions)')} FROM dash)""",
+    "channel_roi_table": """
+SELECT channel, best_campaign_name, total_spend_euros AS total_spend, total_revenue_euros AS total_revenue,
+       roi_pct AS avg_roi, avg_roas, total_conversions, channel_health_score FROM roi ORDER BY roi_pct DESC""",
+    "cac_by_channel_weighted": f"SELECT channel, {_WEIGHTED_CAC} AS avg_cac FROM acq GROUP BY 1",
+    "revenue_vs_spend": """
+SELECT channel, total_spend_euros AS total_spend, total_revenue_euros AS total_revenue,
+       avg(total_spend_euros) OVER () AS mean_total_spend FROM roi""",
+    "new_customers_by_channel": f"SELECT channel, {big('sum(new_customers)')} AS total_new_customers FROM acq GROUP BY 1",
+    "ltv_cac_by_channel": f"SELECT channel, {_mean('ltv_90d_to_cac_ratio')} AS avg_ltv_cac_ratio FROM acq GROUP BY 1",
+    "dashboard_measures_by_month": f"""
+SELECT date[:7] || '-01' AS month, platform, {_DASH_MEASURES} FROM dash GROUP BY 1, 2""",
+    "acquisition_measures_by_health": f"SELECT acquisition_health, {_ACQ_MEASURES} FROM acq GROUP BY 1",
+    "last_12_months_acquisition": f"""
+SELECT CAST(CAST(acquisition_month AS DATE) AS VARCHAR) AS acquisition_month,
+       {big('sum(new_customers)')} AS total_new_customers, {_WEIGHTED_CAC} AS avg_cac
+FROM acq WHERE acquisition_month >= DATE '2000-07-01' AND acquisition_month < DATE '2001-07-01' GROUP BY 1""",
+    "channel_roi_measures": f"SELECT {_ROI_MEASURES} FROM roi",
+    "rating_bands": f"""
+SELECT channel, avg_roas, roi_pct, channel_health_score, profit_euros, {_graded('avg_roas', '>= 3', '>= 1')},
+       {_graded('roi_pct', '>= 100', '>= 0')}, {_graded('channel_health_score', '>= 70', '>= 40')},
+       {_graded('profit_euros', '> 0')} FROM roi""",
+    "acquisition_rating_bands": f"""
+SELECT channel, {txt('acquisition_month')}, {_graded('payback_period_days', '<= 30', '<= 90')},
+       {_graded('ltv_90d_to_cac_ratio', '>= 3', '>= 1')},
+       {_graded('acquisition_health', "= 'healthy'", "= 'marginal'")} FROM acq""",
+    "last_n_days_dashboard": f"""
+SELECT CAST(CAST(date_trunc('week', CAST(date AS DATE)) AS DATE) AS VARCHAR) AS week, channel,
+       {_SPEND} AS total_spend, {div(_REVENUE, _SPEND)} AS overall_roas, count(DISTINCT date) AS count_days
+FROM dash WHERE date > '2001-04-01' AND date <= '2001-06-30' GROUP BY 1, 2""",
+    "access_filtered_dashboard": f"""
+SELECT channel, platform, {big('sum(clicks)')} AS total_clicks, {div(_SPEND, 'sum(clicks)')} AS avg_cpc
+FROM dash WHERE channel IN ('EMAIL', 'SEO', 'META_ADS') AND platform IN ('email', 'meta') GROUP BY 1, 2""",
+    "daily_channel_trend": f"""
+SELECT date, channel, {_TREND} FROM dash WHERE date > '2001-04-01' AND date <= '2001-06-30' GROUP BY 1, 2""",
+    "week_over_week": f"""
+SELECT n.*, b.spend AS spend_before, b.revenue AS revenue_before, b.conversions AS conversions_before,
+       b.impressions AS impressions_before, {div('n.spend - b.spend', 'b.spend')} * 1e2 AS spend_change_pct,
+       {div('n.revenue - b.revenue', 'b.revenue')} * 1e2 AS revenue_change_pct
+FROM trend n LEFT JOIN trend b ON b.channel = n.channel
+     AND CAST(b.date AS DATE) + 7 = CAST(n.date AS DATE)""",
 }
+PARTS["trend"] = f"SELECT date, channel, {_TREND} FROM dash GROUP BY 1, 2"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,9 @@ from pyspark.sql import types as T
 
 from clickloom import fixtures
 from clickloom.operators import dedup_latest
-from clickloom.plans import campaigns, marts, staging
+from clickloom.functions import round_half_away
+from clickloom.plans import attribution, campaigns, marts, staging
+from clickloom.semantic import CHANNEL_ROI, CUSTOMER_ACQUISITION, MARKETING_DASHBOARD, run_tile, tiles, with_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,29 +33,29 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
-        self.raw = fixtures.feeds(spark, sf_dir)
+        self.raw = fixtures.Feeds(spark, sf_dir)
 
-    @property
+    @cached_property
     def impressions(self) -> DataFrame:
         return staging.stg_ad_impressions(self.raw.impressions)
 
-    @property
+    @cached_property
     def campaigns(self) -> DataFrame:
         return staging.stg_campaigns(self.raw.campaigns)
 
-    @property
+    @cached_property
     def clean_clicks(self) -> DataFrame:
         return staging.clean_clicks(self.raw.clicks)
 
-    @property
+    @cached_property
     def clicks(self) -> DataFrame:
         return staging.stg_clicks(self.raw.clicks, self.raw.impressions)
 
-    @property
+    @cached_property
     def clean_conversions(self) -> DataFrame:
         return staging.clean_conversions(self.raw.conversions)
 
-    @property
+    @cached_property
     def conversions(self) -> DataFrame:
         return staging.stg_conversions(self.raw.conversions, self.clean_clicks)
 
@@ -63,15 +67,62 @@ class Tables:
     def dashboard(self, **options) -> DataFrame:
         return marts.rpt_marketing_dashboard(self.impressions, self.clean_clicks, self.conversions, **options)
 
-    @property
+    @cached_property
     def channel_roi(self) -> DataFrame:
         return marts.rpt_channel_roi(self.performance())
 
-    @property
+    @cached_property
     def acquisition(self) -> DataFrame:
         return marts.rpt_customer_acquisition(self.conversions, self.performance())
 
 
+def _rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Round sums of quotients, whose last bits depend on the order of summation."""
+    return df.withColumns({name: round_half_away(name, n) for name, n in digits.items()})
+
+
+def _attribution(build: Callable[..., DataFrame], mode: str) -> Callable[[Tables], DataFrame]:
+    # Attribution reads no column that the clicks get from their impressions.
+    return lambda t: build(t.clean_conversions, t.clean_clicks, mode)
+
+
+def _linear(mode: str, revenue_digits: int = 2) -> Callable[[Tables], DataFrame]:
+    return lambda t: _rounded(_attribution(attribution.linear_attribution, mode)(t),
+                              attributed_revenue=revenue_digits, attribution_weight=6)
+
+
+def _credit(mode: str) -> Callable[[Tables], DataFrame]:
+    return _attribution(attribution.linear_credit, mode)
+
+
+def _summary(mode: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: _rounded(_attribution(attribution.attribution_summary, mode)(t),
+                              attributed_revenue=2, attribution_weight=6)
+
+
+# The windows of the reports end here, so that a run gives the same rows on any day.
+AS_OF = dt.date(2001, 6, 30)
+
+
+def _tile(name: str, table: str) -> Callable[[Tables], DataFrame]:
+    tables = {"dashboard": lambda t: t.dashboard(), "roi": lambda t: t.channel_roi,
+              "acquisition": lambda t: t.acquisition}
+    return lambda t: run_tile(name, tables[table](t), **({} if table == "roi" else {"window": "all"}))
+
+
+def _ratings(t: Tables) -> DataFrame:
+    rated = with_ratings(t.channel_roi, {"avg_roas": "roas", "roi_pct": "roi", "channel_health_score": "health",
+                                         "profit_euros": "profit"})
+    return rated.select("channel", "avg_roas", "roi_pct", "channel_health_score", "profit_euros",
+                        *[c for c in rated.columns if c.endswith("_rating")])
+
+
+def _acquisition_ratings(t: Tables) -> DataFrame:
+    rated = with_ratings(t.acquisition, {"payback_period_days": "payback", "ltv_90d_to_cac_ratio": "ltv_cac",
+                                         "acquisition_health": "acquisition_health"})
+    return rated.select("channel", "acquisition_month", *[c for c in rated.columns if c.endswith("_rating")])
+
+
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_ad_impressions": lambda t: t.impressions,
     "stg_campaigns": lambda t: t.campaigns,
@@ -88,6 +139,39 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "first_conversion": lambda t: marts.first_conversions(t.conversions),
     "ltv_windows": lambda t: marts.customer_ltv(t.clean_conversions),
     "rpt_customer_acquisition": lambda t: t.acquisition,
+    "attribution_global_first_last": _attribution(attribution.single_touch_attribution, "global"),
+    "attribution_global_linear_by_channel": _linear("global"),
+    "attribution_global_linear_credit": _credit("global"),
+    "attribution_global_summary": _summary("global"),
+    "attribution_customer_first_last": _attribution(attribution.single_touch_attribution, "customer"),
+    "attribution_customer_linear_by_channel": _linear("customer", revenue_digits=6),
+    "attribution_customer_linear_credit": _credit("customer"),
+    "kpi_totals": lambda t: tiles.kpi_totals(t.dashboard(), window="all"),
+    "spend_by_channel": _tile("spend_by_channel", "dashboard"),
+    "roas_trend": _tile("roas_trend", "dashboard"),
+    "conversion_funnel": _tile("conversion_funnel", "dashboard"),
+    "funnel": lambda t: tiles.funnel(t.dashboard(), window="all"),
+    "channel_roi_table": _tile("channel_roi_table", "roi"),
+    "cac_by_channel_weighted": _tile("cac_by_channel", "acquisition"),
+    "revenue_vs_spend": lambda t: tiles.with_mean(run_tile("revenue_vs_spend", t.channel_roi), "total_spend"),
+    "new_customers_by_channel": _tile("new_customers_by_channel", "acquisition"),
+    "ltv_cac_by_channel": _tile("ltv_cac_by_channel", "acquisition"),
+    "dashboard_measures_by_month": lambda t: MARKETING_DASHBOARD.query(
+        t.dashboard(), ["month", "platform"], list(MARKETING_DASHBOARD.measures), window="all"),
+    "acquisition_measures_by_health": lambda t: CUSTOMER_ACQUISITION.query(
+        t.acquisition, ["acquisition_health"], list(CUSTOMER_ACQUISITION.measures), window="all"),
+    "last_12_months_acquisition": lambda t: CUSTOMER_ACQUISITION.query(
+        t.acquisition, ["acquisition_month"], ["total_new_customers", "avg_cac"], as_of=AS_OF),
+    "channel_roi_measures": lambda t: CHANNEL_ROI.query(t.channel_roi, [], list(CHANNEL_ROI.measures)),
+    "rating_bands": _ratings,
+    "acquisition_rating_bands": _acquisition_ratings,
+    "last_n_days_dashboard": lambda t: MARKETING_DASHBOARD.query(
+        t.dashboard(), ["week", "channel"], ["total_spend", "overall_roas", "count_days"], as_of=AS_OF),
+    "access_filtered_dashboard": lambda t: MARKETING_DASHBOARD.query(
+        t.dashboard(), ["channel", "platform"], ["total_clicks", "avg_cpc"], window="all",
+        user={"allowed_channels": ["EMAIL", "SEO", "META_ADS"]}, filters={"platform": ["email", "meta"]}),
+    "daily_channel_trend": lambda t: tiles.daily_channel_trend(t.dashboard(), as_of=AS_OF),
+    "week_over_week": lambda t: tiles.week_over_week(t.dashboard(), window="all"),
 }
 
 
