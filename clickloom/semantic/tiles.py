@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions import safe_divide
+from clickloom.functions import safe_divide, scaled_units, units_to_double
 from clickloom.semantic.views import MARKETING_DASHBOARD, VIEWS
 
 
@@ -60,7 +60,9 @@ def kpi_totals(table: DataFrame, **restrictions) -> DataFrame:
 def with_mean(df: DataFrame, column: str) -> DataFrame:
     """Add the mean of a column over a tile, for a reference line.  Only for tile results,
     which hold a row per channel."""
-    return df.withColumn(f"mean_{column}", F.avg(column).over(Window.partitionBy()))
+    tile = Window.partitionBy()
+    total = units_to_double(F.sum(scaled_units(column)).over(tile))
+    return df.withColumn(f"mean_{column}", safe_divide(total, F.count(column).over(tile)))
 
 
 FUNNEL_STEPS = ("impressions", "clicks", "conversions")

@@ -430,9 +430,9 @@ FROM (SELECT CAST(1 AS BIGINT) AS step_no, 'impressions' AS step, {big('sum(impr
 SELECT channel, best_campaign_name, total_spend_euros AS total_spend, total_revenue_euros AS total_revenue,
        roi_pct AS avg_roi, avg_roas, total_conversions, channel_health_score FROM roi ORDER BY roi_pct DESC""",
     "cac_by_channel_weighted": f"SELECT channel, {_WEIGHTED_CAC} AS avg_cac FROM acq GROUP BY 1",
-    "revenue_vs_spend": """
+    "revenue_vs_spend": f"""
 SELECT channel, total_spend_euros AS total_spend, total_revenue_euros AS total_revenue,
-       avg(total_spend_euros) OVER () AS mean_total_spend FROM roi""",
+       (SELECT {_mean('total_spend_euros')} FROM roi) AS mean_total_spend FROM roi""",
     "new_customers_by_channel": f"SELECT channel, {big('sum(new_customers)')} AS total_new_customers FROM acq GROUP BY 1",
     "ltv_cac_by_channel": f"SELECT channel, {_mean('ltv_90d_to_cac_ratio')} AS avg_ltv_cac_ratio FROM acq GROUP BY 1",
     "dashboard_measures_by_month": f"""
@@ -470,5 +470,132 @@ FROM trend n LEFT JOIN trend b ON b.channel = n.channel
 PARTS["trend"] = f"SELECT date, channel, {_TREND} FROM dash GROUP BY 1, 2"
 
 
+def _suite(name: str, dataset: str, checks: list[tuple], source: str | None = None) -> str:
+    """One SELECT per check: (type, column, what is bad, share that must be good)."""
+    source = source or dataset
+    rows = []
+    for i, (kind, column, bad, *mostly) in enumerate(checks, 1):
+        share = mostly[0] if mostly else 1
+        col = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+        head = f"SELECT '{name}' AS suite_name, '{dataset}' AS dataset, {big(str(i))} AS check_no, 'expect_{kind}' AS expectation_type, {col} AS \"column\""
+        none = "CAST(NULL AS BIGINT)"
+        if kind.startswith("table_row_count"):
+            rows.append(f"{head}, count(*) {bad} AS success, count(*) AS element_count, {none} AS missing_count, "
+                        f"{none} AS unexpected_count, CAST(NULL AS DOUBLE) AS unexpected_percent FROM {source}")
+        elif kind == "column_to_exist":
+            rows.append(f"{head}, true, {none}, {none}, {none}, CAST(NULL AS DOUBLE)")
+        else:
+            base = "n" if kind in ("column_values_to_not_be_null", "cost_is_positive") or "reference" in kind else "n - missing"
+            rows.append(f"{head}, ifnull(({base} - bad) / nullif(CAST({base} AS DOUBLE), 0e0) >= {share}, true) AS success, n AS element_count, missing AS missing_count, bad AS unexpected_count, "
+                        f"ifnull({rnd(f'bad * 100 / nullif(CAST({base} AS DOUBLE), 0e0)', 4)}, 0e0) AS unexpected_percent "
+                        f"FROM (SELECT count(*) AS n, count(*) - count({column}) AS missing, "
+                        f"count(*) FILTER (WHERE {bad}) AS bad FROM {source})")
+    return "\nUNION ALL ".join(rows)
+
+
+def _not_null(*columns: str) -> list[tuple]:
+    return [("column_values_to_not_be_null", c, f"{c} IS NULL") for c in columns]
+
+
+def _exist(*columns: str) -> list[tuple]:
+    return [("column_to_exist", c, "") for c in columns]
+
+
+def _repeated(column: str, table: str) -> tuple:
+    return ("column_values_to_be_unique", column,
+            f"{column} IN (SELECT {column} FROM {table} GROUP BY 1 HAVING count(*) > 1)")
+
+
+def _among(column: str, *values: str) -> tuple:
+    return ("column_values_to_be_in_set", column, f"{column} NOT IN ({', '.join(repr(v) for v in values)})")
+
+
+def _outside(column: str, low: object, high: object = None, mostly: object = 1) -> tuple:
+    bad = f"{column} < {low}" + (f" OR {column} > {high}" if high is not None else "")
+    return ("column_values_to_be_between", column, bad, mostly)
+
+
+_CHANNEL_SET = _among("channel", "Google_Ads", "Meta_Ads", "TikTok_Ads", "LinkedIn_Ads", "Email", "SEO")
+_SUITES = {
+    "raw_impressions_suite": ("raw_ad_impressions", [
+        ("table_row_count_to_be_between", None, ">= 1000000"),
+        *_not_null("impression_id", "campaign_id", "channel", "timestamp"),
+        _repeated("impression_id", "raw_ad_impressions"), _CHANNEL_SET,
+        _among("device_type", "mobile", "desktop", "tablet"), _among("country", "ES", "FR", "DE", "PT", "IT", "UK"),
+        _outside("cost_micros", 0, 1000000, 0.99),
+        ("column_values_to_match_regex", "campaign_id", "NOT regexp_matches(campaign_id, 'C[0-9][0-9][0-9]')"),
+        *_exist("impression_id", "campaign_id", "channel", "platform", "timestamp", "device_type", "country",
+                "cost_micros")]),
+    "raw_clicks_suite": ("raw_clicks", [
+        ("table_row_count_to_be_between", None, ">= 100000"),
+        *_not_null("click_id", "impression_id", "campaign_id", "timestamp"), _repeated("click_id", "raw_clicks"),
+        _outside("cost_micros", 0, 1000000, 0.99), _CHANNEL_SET,
+        *_exist("click_id", "impression_id", "campaign_id", "channel", "platform", "timestamp", "device_type",
+                "country", "cost_micros")]),
+    "raw_conversions_suite": ("raw_conversions", [
+        ("table_row_count_to_be_between", None, ">= 50000"),
+        *_not_null("conversion_id", "click_id", "campaign_id", "timestamp", "revenue"),
+        _repeated("conversion_id", "raw_conversions"), _outside("revenue", 0.01, 10000, 0.99),
+        _among("conversion_type", "purchase", "signup", "lead"),
+        *_exist("conversion_id", "click_id", "campaign_id", "customer_id", "timestamp", "revenue",
+                "conversion_type")]),
+    "mart_dashboard_suite": ("rpt_marketing_dashboard", [
+        ("table_row_count_to_be_greater_than", None, "> 0"), *_not_null("date", "channel"),
+        _outside("spend_euros", 0), _outside("revenue_euros", 0), _outside("ctr_pct", 0, 100),
+        _outside("conversion_rate_pct", 0, 100), *_exist("date", "channel", "spend_euros", "revenue_euros")]),
+}
+_COST = ("cost_is_positive", "cost_micros", "cost_micros <= 0")
+_INTEGRITY = " UNION ALL ".join(_suite(*s) for s in (
+    ("impression_cost_suite", "raw_ad_impressions", [_COST]),
+    ("click_integrity_suite", "raw_clicks", [
+        ("clicks_reference_valid_impressions", "impression_id",
+         "NOT EXISTS (SELECT 1 FROM raw_ad_impressions p WHERE p.impression_id = raw_clicks.impression_id)"), _COST]),
+    ("conversion_integrity_suite", "raw_conversions", [
+        ("conversions_reference_valid_clicks", "click_id",
+         "NOT EXISTS (SELECT 1 FROM raw_clicks p WHERE p.click_id = raw_conversions.click_id)")]),
+))
+
+
+def _named_suite(name: str, source: str | None = None) -> str:
+    return _suite(name, *_SUITES[name], source)
+
+
+_ALL_RAW = " UNION ALL ".join(f"({_named_suite(n)})" for n in _SUITES if n.startswith("raw"))
+_SAMPLED_CHECKS = _SUITES["raw_clicks_suite"][1]
+
+QUERIES |= {
+    "quality_raw_impressions": _named_suite("raw_impressions_suite"),
+    "quality_raw_clicks": _named_suite("raw_clicks_suite"),
+    "quality_raw_conversions": _named_suite("raw_conversions_suite"),
+    "quality_mart": _named_suite("mart_dashboard_suite", "dash"),
+    "quality_integrity": _INTEGRITY,
+    "quality_suite_statistics": f"""
+SELECT suite_name, dataset, count(*) AS evaluated_expectations,
+       count(*) FILTER (WHERE success) AS successful_expectations,
+       count(*) FILTER (WHERE NOT success) AS unsuccessful_expectations,
+       {rnd('CAST(count(*) FILTER (WHERE success) * 100 AS DOUBLE) / count(*)', 1)} AS success_percent,
+       bool_and(success) AS success FROM ({_ALL_RAW}) GROUP BY 1, 2""",
+    "quality_totals": f"""
+SELECT count(*) AS checks, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
+       bool_and(success) AS all_passed FROM ({_ALL_RAW})""",
+    "quality_sampled_clicks": f"""
+SELECT * FROM ({_suite('raw_clicks_suite', 'raw_clicks', [
+    (k, c, b.replace('raw_clicks', 'sample_clicks'), *m) for k, c, b, *m in _SAMPLED_CHECKS], 'sample_clicks')})
+WHERE check_no > 1""",
+    "fk_orphans_clicks": """
+SELECT impression_id, count(*) AS n FROM raw_clicks
+WHERE impression_id NOT IN (SELECT impression_id FROM raw_ad_impressions) GROUP BY 1 ORDER BY 1 LIMIT 10""",
+    "fk_orphans_conversions": """
+SELECT click_id, count(*) AS n FROM raw_conversions
+WHERE click_id NOT IN (SELECT click_id FROM raw_clicks) GROUP BY 1 ORDER BY 1 LIMIT 10""",
+    "duplicate_click_examples": """
+SELECT click_id, count(*) AS n FROM raw_clicks GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 10""",
+}
+PARTS["sample_clicks"] = """
+SELECT * FROM raw_clicks ORDER BY md5('42:' || click_id), click_id, impression_id NULLS FIRST, campaign_id NULLS FIRST,
+  channel NULLS FIRST, platform NULLS FIRST, timestamp NULLS FIRST, device_type NULLS FIRST, country NULLS FIRST,
+  cost_micros NULLS FIRST LIMIT 1000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in QUERIES.items()}

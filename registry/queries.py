@@ -14,6 +14,19 @@ from clickloom import fixtures
 from clickloom.operators import dedup_latest
 from clickloom.functions import round_half_away
 from clickloom.plans import attribution, campaigns, marts, staging
+from clickloom.quality import (
+    CHECKPOINTS,
+    SUITES,
+    check,
+    checkpoint,
+    integrity_suites,
+    sample_rows,
+    suite_statistics,
+    totals,
+    unexpected_values,
+    validate,
+)
+from clickloom.quality.expectations import CLICKS_HAVE_IMPRESSIONS, CONVERSIONS_HAVE_CLICKS
 from clickloom.semantic import CHANNEL_ROI, CUSTOMER_ACQUISITION, MARKETING_DASHBOARD, run_tile, tiles, with_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +136,27 @@ def _acquisition_ratings(t: Tables) -> DataFrame:
     return rated.select("channel", "acquisition_month", *[c for c in rated.columns if c.endswith("_rating")])
 
 
+RAW_CHECKPOINT = CHECKPOINTS["raw_data_checkpoint"]
+
+
+def _raw(t: Tables) -> dict[str, DataFrame]:
+    return {"raw_ad_impressions": t.raw.impressions, "raw_clicks": t.raw.clicks,
+            "raw_conversions": t.raw.conversions}
+
+
+def _suite(name: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: validate(_raw(t)[SUITES[name].dataset], SUITES[name])
+
+
+def _orphans(kind: str, child: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: unexpected_values(_raw(t)[child], check.references(kind), references=_raw(t))
+
+
+def _sampled(t: Tables) -> DataFrame:
+    sample = sample_rows(t.raw.clicks, "click_id", n=1000, seed=42)
+    return validate(sample, SUITES["raw_clicks_suite"], sampled=True)
+
+
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_ad_impressions": lambda t: t.impressions,
     "stg_campaigns": lambda t: t.campaigns,
@@ -172,6 +206,17 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
         user={"allowed_channels": ["EMAIL", "SEO", "META_ADS"]}, filters={"platform": ["email", "meta"]}),
     "daily_channel_trend": lambda t: tiles.daily_channel_trend(t.dashboard(), as_of=AS_OF),
     "week_over_week": lambda t: tiles.week_over_week(t.dashboard(), window="all"),
+    "quality_raw_impressions": _suite("raw_impressions_suite"),
+    "quality_raw_clicks": _suite("raw_clicks_suite"),
+    "quality_raw_conversions": _suite("raw_conversions_suite"),
+    "quality_mart": lambda t: validate(t.dashboard(), SUITES["mart_dashboard_suite"]),
+    "quality_integrity": lambda t: checkpoint(integrity_suites(), _raw(t)),
+    "quality_suite_statistics": lambda t: suite_statistics(checkpoint(RAW_CHECKPOINT, _raw(t))),
+    "quality_totals": lambda t: totals(checkpoint(RAW_CHECKPOINT, _raw(t))),
+    "quality_sampled_clicks": _sampled,
+    "fk_orphans_clicks": _orphans(CLICKS_HAVE_IMPRESSIONS, "raw_clicks"),
+    "fk_orphans_conversions": _orphans(CONVERSIONS_HAVE_CLICKS, "raw_conversions"),
+    "duplicate_click_examples": lambda t: unexpected_values(t.raw.clicks, check.unique("click_id")),
 }
 
 
