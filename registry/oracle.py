@@ -597,5 +597,131 @@ SELECT * FROM raw_clicks ORDER BY md5('42:' || click_id), click_id, impression_i
   cost_micros NULLS FIRST LIMIT 1000"""
 
 
+def _batch_check(no: int, dataset: str, kind: str, column: str, bad: str, share: object = 1, over_all: bool = False) -> str:
+    base = "n" if over_all else "(n - missing)"
+    return f"""
+SELECT {no} AS check_no, batch, 'expect_column_values_to_{kind}' AS expectation, '{column}' AS col, n, bad,
+       ifnull(({base} - bad) / nullif(CAST({base} AS DOUBLE), 0e0) >= {share}, true) AS success
+FROM (SELECT date_trunc('week', timestamp) AS batch, count(*) AS n, count(*) - count({column}) AS missing,
+             count(*) FILTER (WHERE {bad}) AS bad FROM {dataset} GROUP BY 1)"""
+
+
+def _batch_rows(dataset: str, floor: int) -> str:
+    return f"""
+SELECT 1 AS check_no, date_trunc('week', timestamp) AS batch, 'expect_table_row_count_to_be_between' AS expectation,
+       '' AS col, count(*) AS n, NULL AS bad, count(*) >= {floor} AS success FROM {dataset} GROUP BY 2"""
+
+
+def _batch_unique(no: int, dataset: str, column: str) -> str:
+    # Uniqueness is within the batch.
+    marked = (f"(SELECT *, count(*) OVER (PARTITION BY date_trunc('week', timestamp), {column}) AS copies "
+              f"FROM {dataset})")
+    return _batch_check(no, marked, "be_unique", column, "copies > 1")
+
+
+def _batch_suite(name: str, dataset: str, checks: list[str]) -> str:
+    return (f"SELECT '{name}' AS suite_name, '{dataset}' AS dataset, * FROM ("
+            + " UNION ALL ".join(f"({c})" for c in checks) + ")")
+
+
+PARTS["batch_checks"] = " UNION ALL ".join([
+    _batch_suite("click_batch_suite", "raw_clicks", [
+        _batch_rows("raw_clicks", 20),
+        _batch_check(2, "raw_clicks", "not_be_null", "click_id", "click_id IS NULL", over_all=True),
+        _batch_check(3, "raw_clicks", "not_be_null", "impression_id", "impression_id IS NULL", over_all=True),
+        _batch_unique(4, "raw_clicks", "click_id"),
+        _batch_check(5, "raw_clicks", "be_between", "cost_micros", "cost_micros NOT BETWEEN 0 AND 490000", 0.97)]),
+    _batch_suite("conversion_batch_suite", "raw_conversions", [
+        _batch_rows("raw_conversions", 5),
+        _batch_check(2, "raw_conversions", "not_be_null", "conversion_id", "conversion_id IS NULL", over_all=True),
+        _batch_check(3, "raw_conversions", "not_be_null", "revenue", "revenue IS NULL", over_all=True),
+        _batch_unique(4, "raw_conversions", "conversion_id"),
+        _batch_check(5, "raw_conversions", "be_between", "revenue", "revenue NOT BETWEEN 0 AND 1950")]),
+])
+PARTS["runs"] = """
+SELECT batch AS timestamp, suite_name, dataset, bool_and(success) AS success, max(n) AS row_count,
+       count(*) AS total_expectations, count(*) FILTER (WHERE success) AS passed,
+       count(*) FILTER (WHERE NOT success) AS failed FROM batch_checks GROUP BY 1, 2, 3"""
+
+
+def _volumes(back: int) -> str:
+    weekly = " UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, date_trunc('week', timestamp) AS timestamp, count(*) AS row_count FROM {d} GROUP BY 2"
+        for d in ("raw_ad_impressions", "raw_clicks", "raw_conversions"))
+    change = rnd("CAST((row_count - before) * 100 AS DOUBLE) / CAST(before AS DOUBLE)", 1)
+    return f"""
+SELECT dataset, timestamp, row_count, {big('8')} AS expected_min, CAST(NULL AS BIGINT) AS expected_max,
+       {change} AS change_from_previous_pct, ifnull(abs({change}) > 50, false) AS anomaly_detected,
+       if(row_count >= 8, 'ok', 'warning') AS status
+FROM (SELECT *, lag(row_count, {back}) OVER (PARTITION BY dataset ORDER BY timestamp) AS before FROM ({weekly}))"""
+
+
+PARTS["volumes"] = _volumes(1)
+PARTS["volumes2"] = _volumes(2)
+_NULL_COLUMNS = {
+    "raw_ad_impressions": "impression_id campaign_id channel platform timestamp device_type country cost_micros",
+    "raw_clicks": "click_id impression_id campaign_id channel platform timestamp device_type country cost_micros",
+    "raw_conversions": "conversion_id click_id campaign_id customer_id timestamp revenue conversion_type",
+}
+PARTS["null_rates"] = " UNION ALL ".join(
+    f"SELECT '{d}' AS dataset, '{c}' AS \"column\", count(*) AS total_rows, count(*) - count({c}) AS null_count FROM {d}"
+    for d, cs in _NULL_COLUMNS.items() for c in cs.split())
+_NULL_PCT = rnd("CAST(null_count * 100 AS DOUBLE) / CAST(total_rows AS DOUBLE)")
+PARTS["fresh"] = " UNION ALL ".join(
+    f"SELECT '{d}' AS dataset, max(timestamp) AS latest_data_timestamp FROM {d}" for d in _NULL_COLUMNS)
+_STALE = "(CAST(epoch_us(TIMESTAMP '2001-11-06') - epoch_us(latest_data_timestamp) AS DOUBLE) / 6e7)"
+_FRESH_STATUS = f"CASE WHEN {_STALE} <= 2160 THEN 'fresh' WHEN {_STALE} <= 4320 THEN 'stale' ELSE 'critical' END"
+_RUN_TEXT = f"* REPLACE ({txt('timestamp')})"
+_COUNTED = {
+    "stg_ad_impressions": "imp", "stg_clicks": "clk0", "stg_conversions": "cv0", "stg_campaigns": "camp",
+    "int_campaign_performance": "perf", "rpt_marketing_dashboard": "dash", "rpt_channel_roi": "roi",
+    "rpt_customer_acquisition": "acq",
+}
+
+QUERIES |= {
+    "validation_runs": f"SELECT {_RUN_TEXT} FROM runs",
+    "recent_runs": f"""
+SELECT {_RUN_TEXT} FROM (SELECT * FROM runs WHERE suite_name = 'click_batch_suite' AND timestamp >= '2000-01-01'
+                         ORDER BY timestamp DESC LIMIT 25)""",
+    "pass_rate_trend": f"""
+SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date,
+       {rnd('CAST(count(*) FILTER (WHERE success) * 100 AS DOUBLE) / count(*)', 1)} AS pass_rate,
+       count(*) AS total_runs, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
+       if({rnd('CAST(count(*) FILTER (WHERE success) * 100 AS DOUBLE) / count(*)', 1)} >= 95, 'met', 'missed') AS target_status
+FROM runs WHERE timestamp >= TIMESTAMP '2000-06-30 12:00:00' GROUP BY 1""",
+    "latest_by_suite": f"""
+SELECT {_RUN_TEXT} FROM runs r WHERE timestamp = (SELECT max(timestamp) FROM runs x WHERE x.suite_name = r.suite_name)""",
+    "failure_details": """
+SELECT CAST(timestamp AS VARCHAR) AS timestamp, suite_name AS suite, dataset, expectation, col AS "column",
+       CAST(bad AS VARCHAR) AS unexpected
+FROM (SELECT timestamp, c.* FROM batch_checks c
+      JOIN (SELECT timestamp, suite_name FROM runs ORDER BY timestamp DESC, suite_name LIMIT 20) r
+           ON c.batch = r.timestamp AND c.suite_name = r.suite_name
+      WHERE NOT success ORDER BY timestamp DESC, c.suite_name, check_no LIMIT 20)""",
+    "volume_change": f"SELECT {_RUN_TEXT} FROM volumes",
+    "volume_change_two_runs_back": f"SELECT {_RUN_TEXT} FROM volumes2",
+    "volume_anomalies": f"SELECT {_RUN_TEXT} FROM volumes WHERE anomaly_detected",
+    "freshness": f"""
+SELECT dataset, '2001-11-06 00:00:00' AS timestamp, {txt('latest_data_timestamp')},
+       {rnd(_STALE, 1)} AS staleness_minutes, {big('1440')} AS expected_interval_minutes, {_FRESH_STATUS} AS status FROM fresh""",
+    "null_rates": f"SELECT *, {_NULL_PCT} AS null_rate_pct, {_NULL_PCT} > 5 AS flagged FROM null_rates",
+    "null_rate_records": f"""
+SELECT dataset, max(total_rows) AS total_rows, 5e0 AS threshold_pct,
+       ifnull(string_agg("column", ',' ORDER BY "column") FILTER (WHERE {_NULL_PCT} > 5), '') AS flagged_columns,
+       if(bool_or({_NULL_PCT} > 5), 'warning', 'ok') AS status FROM null_rates GROUP BY 1""",
+    "health_summary": f"""
+SELECT dataset, CASE WHEN freshness = 'critical' THEN 'critical'
+                     WHEN freshness = 'stale' OR volume = 'warning' OR nulls = 'warning' THEN 'warning'
+                     ELSE 'healthy' END AS overall, freshness, volume, 'unknown' AS schema, nulls
+FROM (SELECT dataset, {_FRESH_STATUS} AS freshness FROM fresh)
+JOIN (SELECT dataset, arg_max(status, timestamp) AS volume FROM volumes GROUP BY 1) USING (dataset)
+JOIN (SELECT dataset, if(bool_or({_NULL_PCT} > 5), 'warning', 'ok') AS nulls FROM null_rates GROUP BY 1) USING (dataset)""",
+    "table_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS row_count FROM {part}" for name, part in _COUNTED.items())
+    + f""" UNION ALL SELECT 'int_attribution', (SELECT 2 * count(DISTINCT conversion_id) FROM journey)
+       + (SELECT count(DISTINCT ({_TOUCH_GROUP})) FROM journey)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in QUERIES.items()}

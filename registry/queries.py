@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,23 @@ from pyspark.sql import types as T
 from clickloom import fixtures
 from clickloom.operators import dedup_latest
 from clickloom.functions import round_half_away
+from clickloom.observability import (
+    evaluate_nulls,
+    evaluate_volume,
+    failure_details,
+    freshness_metric,
+    get_runs,
+    health_summary,
+    latest_by_suite,
+    latest_timestamp,
+    metric_records,
+    null_rates,
+    pass_rate_target,
+    pass_rate_trend,
+    row_counts,
+    run_records,
+    volume_anomalies,
+)
 from clickloom.plans import attribution, campaigns, marts, staging
 from clickloom.quality import (
     CHECKPOINTS,
@@ -26,7 +43,7 @@ from clickloom.quality import (
     unexpected_values,
     validate,
 )
-from clickloom.quality.expectations import CLICKS_HAVE_IMPRESSIONS, CONVERSIONS_HAVE_CLICKS
+from clickloom.quality.expectations import CLICKS_HAVE_IMPRESSIONS, CONVERSIONS_HAVE_CLICKS, suite
 from clickloom.semantic import CHANNEL_ROI, CUSTOMER_ACQUISITION, MARKETING_DASHBOARD, run_tile, tiles, with_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +174,79 @@ def _sampled(t: Tables) -> DataFrame:
     return validate(sample, SUITES["raw_clicks_suite"], sampled=True)
 
 
+# Each week of a feed is validated as the batch of one run, so the history grows with the data.
+BATCH_SUITES = [
+    suite("click_batch_suite", "raw_clicks", check.rows_between(20),
+          check.not_null("click_id", "impression_id"), check.unique("click_id"),
+          check.between("cost_micros", 0, 490_000, mostly=0.97)),
+    suite("conversion_batch_suite", "raw_conversions", check.rows_between(5),
+          check.not_null("conversion_id", "revenue"), check.unique("conversion_id"),
+          check.between("revenue", 0, 1950)),
+]
+NOW = dt.datetime(2001, 6, 30, 12, 0)
+
+
+def _weekly(df: DataFrame) -> DataFrame:
+    return df.withColumn("batch", F.date_trunc("week", "timestamp"))
+
+
+def _runs(t: Tables) -> DataFrame:
+    feeds = _raw(t)
+    records = [
+        run_records(validate(_weekly(feeds[s.dataset]), s, by=["batch"]), s, F.col("batch"), by=["batch"])
+        for s in BATCH_SUITES
+    ]
+    return reduce(DataFrame.unionByName, records)
+
+
+def _plain(runs: DataFrame) -> DataFrame:
+    return runs.drop("expectations", "metadata")
+
+
+def _failures(t: Tables) -> DataFrame:
+    return failure_details(_runs(t)).withColumn("unexpected", F.col("details")["unexpected_count"]).drop("details")
+
+
+def _volumes(t: Tables, lag: int = 1) -> DataFrame:
+    weekly = [
+        _weekly(df).groupBy(F.col("batch").alias("timestamp")).agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("dataset", F.lit(name)) for name, df in _raw(t).items()
+    ]
+    return evaluate_volume(reduce(DataFrame.unionByName, weekly), expected_min=8, lag=lag)
+
+
+def _freshness(t: Tables) -> DataFrame:
+    latest = [latest_timestamp(df).withColumn("dataset", F.lit(name)) for name, df in _raw(t).items()]
+    return freshness_metric(reduce(DataFrame.unionByName, latest), dt.datetime(2001, 11, 6), 1440)
+
+
+def _null_rates(t: Tables) -> DataFrame:
+    return reduce(DataFrame.unionByName, [null_rates(df, name) for name, df in _raw(t).items()])
+
+
+def _health(t: Tables) -> DataFrame:
+    nulls = evaluate_nulls(_null_rates(t), F.lit(NOW))
+    kinds = {"volume": _volumes(t), "freshness": _freshness(t), "null_rates": nulls}
+    return health_summary(reduce(DataFrame.unionByName, [metric_records(df, k) for k, df in kinds.items()]))
+
+
+def _null_records(t: Tables) -> DataFrame:
+    records = evaluate_nulls(_null_rates(t), F.lit(NOW))
+    return records.select("dataset", "total_rows", "threshold_pct", "status",
+                          F.concat_ws(",", "flagged_columns").alias("flagged_columns"))
+
+
+def _table_counts(t: Tables) -> DataFrame:
+    performance = t.performance()
+    return row_counts({
+        "stg_ad_impressions": t.impressions, "stg_clicks": t.clean_clicks, "stg_conversions": t.clean_conversions,
+        "stg_campaigns": t.campaigns, "int_campaign_performance": performance,
+        "int_attribution": attribution.int_attribution(t.clean_conversions, t.clean_clicks),
+        "rpt_marketing_dashboard": t.dashboard(), "rpt_channel_roi": t.channel_roi,
+        "rpt_customer_acquisition": t.acquisition,
+    })
+
+
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_ad_impressions": lambda t: t.impressions,
     "stg_campaigns": lambda t: t.campaigns,
@@ -216,6 +306,19 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "quality_sampled_clicks": _sampled,
     "fk_orphans_clicks": _orphans(CLICKS_HAVE_IMPRESSIONS, "raw_clicks"),
     "fk_orphans_conversions": _orphans(CONVERSIONS_HAVE_CLICKS, "raw_conversions"),
+    "validation_runs": lambda t: _plain(_runs(t)),
+    "recent_runs": lambda t: _plain(get_runs(_runs(t), "click_batch_suite", dt.datetime(2000, 1, 1), limit=25)),
+    "pass_rate_trend": lambda t: pass_rate_target(pass_rate_trend(_runs(t), NOW, days=365)),
+    "latest_by_suite": lambda t: _plain(latest_by_suite(_runs(t))),
+    "failure_details": _failures,
+    "volume_change": lambda t: _volumes(t),
+    "volume_change_two_runs_back": lambda t: _volumes(t, lag=2),
+    "volume_anomalies": lambda t: volume_anomalies(_volumes(t)),
+    "freshness": _freshness,
+    "null_rates": _null_rates,
+    "null_rate_records": _null_records,
+    "health_summary": _health,
+    "table_counts": _table_counts,
     "duplicate_click_examples": lambda t: unexpected_values(t.raw.clicks, check.unique("click_id")),
 }
 
