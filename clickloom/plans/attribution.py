@@ -31,11 +31,12 @@ def _by(mode: str) -> list[str]:
 
 def touches(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
     """The clicks that can be touches, with ``customer_id`` in customer mode."""
+    by = _by(mode)
     columns = [F.col("click_id"), F.col("click_timestamp").alias("at"),
                F.col("channel").alias(GROUP[0]), F.col("platform").alias(GROUP[1]),
                F.col("campaign_id").alias(GROUP[2])]
     clicks = clicks.select(*columns)
-    if not _by(mode):
+    if not by:
         return clicks
     named = conversions.select("customer_id", "click_id").distinct()
     return skew_safe_left_join(named, clicks, ["click_id"], ["customer_id"]).filter(F.col("at").isNotNull())
