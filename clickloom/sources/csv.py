@@ -2,42 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.schemas import RAW_TABLES
 
 DEFAULT_MAX_BAD_RECORDS = 100
-_BAD = "_bad_record"
+_LINE = "_malformed_line"
 
 
 class BadRecords(ValueError):
-    """More malformed lines than the load allows."""
+    """More malformed records than the load allows."""
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str,
                  max_bad_records: int = DEFAULT_MAX_BAD_RECORDS) -> DataFrame:
     """Read a feed with a header line into the declared schema of ``table``.
 
-    Up to ``max_bad_records`` malformed lines are left out; beyond that the load fails.
-    With a bound of zero the first malformed line fails the job that reads it.  The count
-    needs one pass of its own over the text, which is read in parallel like any scan.
+    A record is bad if it has the wrong number of fields or a value that its column's type
+    cannot hold.  Up to ``max_bad_records`` bad records are left out; beyond that the load
+    fails, after a pass of its own that counts them.
+
+    With a bound of zero the load is strict: the job that reads the feed fails on the first
+    bad record, or on a missing value in a required column, without a separate pass.
+
+    Every column is read as text and converted here, so that what counts as bad does not
+    depend on which columns a later query happens to use.
     """
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in RAW_TABLES[table].schema.fields])
-    reader = (
-        spark.read.option("header", True).option("encoding", "UTF-8")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("dateFormat", "yyyy-MM-dd")
-        # Every column must be parsed, read or not, for a bad one to be noticed.
-        .option("columnPruning", False).option("enforceSchema", True)
+    schema = RAW_TABLES[table].schema
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
+                           + [T.StructField(_LINE, T.StringType())])
+    lines = (
+        spark.read.schema(as_text)
+        .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _LINE)
+        # The number of fields is only checked when whole lines are parsed.
+        .option("columnPruning", False)
+        .csv(path)
     )
+
+    def typed(f: T.StructField) -> Column:
+        return F.col(f.name).try_cast(f.dataType)
+
+    unreadable = [F.col(f.name).isNotNull() & typed(f).isNull() for f in schema.fields
+                  if not isinstance(f.dataType, T.StringType)]
+    bad = reduce(or_, unreadable, F.col(_LINE).isNotNull())
     if max_bad_records == 0:
-        return reader.option("mode", "FAILFAST").schema(schema).csv(path)
-    marked = (
-        reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
-        .schema(T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])).csv(path)
-    )
-    bad = marked.agg(F.count(_BAD).alias("n"), F.count(F.lit(1)).alias("rows")).first().n
-    if bad > max_bad_records:
-        raise BadRecords(f"{bad} malformed lines in {path}, at most {max_bad_records} allowed")
-    return marked.filter(F.col(_BAD).isNull()).drop(_BAD)
+        bad = reduce(or_, [F.col(f.name).isNull() for f in schema.fields if not f.nullable], bad)
+        first = F.concat(F.lit(f"malformed record in {path}: "), F.to_json(F.struct(*schema.names)))
+        kept = lines.filter(F.when(bad, F.raise_error(first).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        found = lines.agg(F.count_if(bad)).first()[0]
+        if found > max_bad_records:
+            raise BadRecords(f"{found} bad records in {path}, at most {max_bad_records} allowed")
+        kept = lines.filter(~bad)
+    return kept.select(*[typed(f).alias(f.name) for f in schema.fields])
