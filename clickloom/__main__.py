@@ -28,7 +28,7 @@ def check_quality(build: Build, runs: str, metrics: str, sample: bool) -> bool:
     for suite in SUITES.values():
         table = build.table(suite.dataset)
         if sample:
-            table = sample_rows(table, table.columns[0])
+            table = sample_rows(table)
         results = validate(table, suite, sampled=sample)
         tracker.track(table, suite, results)
         failed = results.filter("not success").count()

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 # A key below this share of the rows cannot overload one shuffle partition; at most
 # 1 / HOT_SHARE keys can reach it, which bounds what is broadcast.
 HOT_SHARE = 0.005
-SKETCH_ITEMS = 20_000
+# Counters per sketch.  Counts are off by at most 3.5 / SKETCH_ITEMS of the rows, a sixth
+# of HOT_SHARE, and a sketch takes some 64 KB.
+SKETCH_ITEMS = 4096
+SKETCHES_PER_MERGE = 256
 
 
 def _place(keys: Sequence[str]) -> Column:
@@ -28,16 +31,24 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -
     """Hashes (``_place``) of the keys that hold at least ``min_share`` of the rows.
 
     One scan of the key columns with a frequent-items sketch per task: no key is shuffled,
-    and the result has at most ``1 / min_share`` rows.  The sketch never misses a key well
-    above the share; callers use it to place rows, never to choose them.
+    and the result has at most ``1 / min_share`` rows.  Sketches are merged in two levels,
+    so that no task receives the sketches of all others.  The sketch never misses a key
+    well above the share; callers use it to place rows, never to choose them.
     """
     limit = max(1, int(1 / min_share))
     tracked = max(SKETCH_ITEMS, 8 * limit)
+    one = F.count(F.lit(1))
+    sketches = (
+        df.filter(~_missing(keys))
+        .select(_place(keys).alias("_p"), F.floor(F.spark_partition_id() / SKETCHES_PER_MERGE).alias("_g"))
+        .groupBy("_g").agg(F.expr(f"approx_top_k_accumulate(_p, {tracked})").alias("_s"), one.alias("_n"))
+    )
+    # Grouped by a constant because the merge cannot start from an empty task.
+    merged = sketches.groupBy(F.lit(True)).agg(
+        F.expr(f"approx_top_k_combine(_s, {tracked})").alias("_s"), F.sum("_n").alias("_n"))
     return (
-        df.filter(~_missing(keys)).select(_place(keys).alias("_p"))
-        .agg(F.expr(f"approx_top_k(_p, {limit}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n"))
-        .select(F.explode("top").alias("t"), "n")
-        .filter(F.col("t.count") >= F.col("n") * F.lit(min_share))
+        merged.select(F.explode(F.expr(f"approx_top_k_estimate(_s, {limit})")).alias("t"), "_n")
+        .filter(F.col("t.count") >= F.col("_n") * F.lit(min_share))
         .select(F.col("t.item").alias("_place"))
     )
 

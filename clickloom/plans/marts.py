@@ -20,7 +20,7 @@ from clickloom.functions import (
     scaled_units,
     units_to_double,
 )
-from clickloom.operators import first_by, skew_safe_left_join
+from clickloom.operators import first_by, hot_keys, skew_safe_left_join
 from clickloom.plans.campaigns import type_counts
 
 DAY_KEYS = ["date", "channel", "platform"]
@@ -129,20 +129,24 @@ def rpt_channel_roi(performance: DataFrame) -> DataFrame:
     )
 
 
-def with_first_conversion(conversions: DataFrame) -> DataFrame:
+def with_first_conversion(conversions: DataFrame, moments: DataFrame | None = None) -> DataFrame:
     """Conversions with the time of their customer's first one.
 
     The minimum is aggregated and joined back with hot customers spread out, rather than
     taken in a window that would hold all conversions of a customer in one task.
+    ``moments`` is the same conversions in a form that is cheaper to read for customer and
+    time alone, if there is one.
     """
-    first = conversions.groupBy("customer_id").agg(
+    moments = conversions if moments is None else moments
+    first = moments.groupBy("customer_id").agg(
         F.min("conversion_timestamp").alias("first_conversion_timestamp"))
-    return skew_safe_left_join(conversions, first, ["customer_id"], ["conversion_id"])
+    return skew_safe_left_join(conversions, first, ["customer_id"], ["conversion_id"],
+                               hot=hot_keys(moments, ["customer_id"]))
 
 
-def first_conversions(conversions: DataFrame) -> DataFrame:
+def first_conversions(conversions: DataFrame, moments: DataFrame | None = None) -> DataFrame:
     """The acquisition event of each customer; conversions tied on the first instant all stay."""
-    tagged = with_first_conversion(conversions)
+    tagged = with_first_conversion(conversions, moments)
     return tagged.filter(F.col("conversion_timestamp") == F.col("first_conversion_timestamp")).select(
         "customer_id",
         F.col("channel").alias("acquisition_channel"),
@@ -174,15 +178,17 @@ def customer_ltv(conversions: DataFrame, windows: dict[str, int | None] | None =
     return totals.select("customer_id", *[units_to_double(w).alias(w) for w in windows], "total_conversions")
 
 
-def rpt_customer_acquisition(conversions: DataFrame, performance: DataFrame) -> DataFrame:
+def rpt_customer_acquisition(conversions: DataFrame, performance: DataFrame,
+                             moments: DataFrame | None = None) -> DataFrame:
     """New customers, acquisition cost and lifetime value by acquisition channel and month.
 
     Conversions shrink to one row per (customer, channel) in a single aggregation; the
     customer's totals are then spread over those few rows, and the acquisition rows are
     the ones with a conversion at the first instant.  A customer whose first instant holds
-    several conversions weighs in once per conversion, but is counted once.
+    several conversions weighs in once per conversion, but is counted once.  ``moments`` as
+    in ``with_first_conversion``.
     """
-    tagged = with_first_conversion(conversions)
+    tagged = with_first_conversion(conversions, moments)
     at_first = F.col("conversion_timestamp") == F.col("first_conversion_timestamp")
     per_channel = tagged.groupBy("customer_id", "channel").agg(
         F.min("first_conversion_timestamp").alias("first_ts"),

@@ -163,15 +163,20 @@ def unexpected_values(df: DataFrame, expectation: Expectation, limit: int = EXAM
     return bad.orderBy(column).limit(limit)
 
 
-def sample_rows(df: DataFrame, key: str, n: int = 10_000, seed: int = 42) -> DataFrame:
-    """A reproducible sample of n rows (all rows if there are fewer).
+def sample_rows(df: DataFrame, n: int = 10_000, seed: int = 42) -> DataFrame:
+    """A sample of n rows, each row as likely as any other; all rows if there are no more.
 
-    Rows are taken in the order of a digest of the seed and the key, so the sample does not
-    depend on partitioning; each task keeps its n best candidates.
+    A first pass counts the rows.  A second keeps each row with a probability that leaves
+    somewhat over n candidates in all (so far over that fewer than n is out of the
+    question), and n of those are taken.  Only the candidates travel to one place, not n
+    rows per task.  The draw is seeded per partition, so a lost task redraws the same rows.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    others = [F.col(c) for c in df.columns if c != key]
-    return df.orderBy(digest, F.col(key), *others).limit(n)
+    total = df.count()
+    if total <= n:
+        return df
+    wanted = 2 * n + 200
+    candidates = df if total <= wanted else df.sample(wanted / total, seed)
+    return candidates.orderBy(F.xxhash64(F.lit(seed), *df.columns), *df.columns).limit(n)
 
 
 def suite_statistics(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:

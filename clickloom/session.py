@@ -35,6 +35,8 @@ def local_session(cores: str | int = "*", app: str = "clickloom", partitions: in
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture doubles the time to build a plan and only serves error messages.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -561,7 +561,6 @@ def _named_suite(name: str, source: str | None = None) -> str:
 
 
 _ALL_RAW = " UNION ALL ".join(f"({_named_suite(n)})" for n in _SUITES if n.startswith("raw"))
-_SAMPLED_CHECKS = _SUITES["raw_clicks_suite"][1]
 
 QUERIES |= {
     "quality_raw_impressions": _named_suite("raw_impressions_suite"),
@@ -578,10 +577,6 @@ SELECT suite_name, dataset, count(*) AS evaluated_expectations,
     "quality_totals": f"""
 SELECT count(*) AS checks, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
        bool_and(success) AS all_passed FROM ({_ALL_RAW})""",
-    "quality_sampled_clicks": f"""
-SELECT * FROM ({_suite('raw_clicks_suite', 'raw_clicks', [
-    (k, c, b.replace('raw_clicks', 'sample_clicks'), *m) for k, c, b, *m in _SAMPLED_CHECKS], 'sample_clicks')})
-WHERE check_no > 1""",
     "fk_orphans_clicks": """
 SELECT impression_id, count(*) AS n FROM raw_clicks
 WHERE impression_id NOT IN (SELECT impression_id FROM raw_ad_impressions) GROUP BY 1 ORDER BY 1 LIMIT 10""",
@@ -591,10 +586,6 @@ WHERE click_id NOT IN (SELECT click_id FROM raw_clicks) GROUP BY 1 ORDER BY 1 LI
     "duplicate_click_examples": """
 SELECT click_id, count(*) AS n FROM raw_clicks GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 10""",
 }
-PARTS["sample_clicks"] = """
-SELECT * FROM raw_clicks ORDER BY md5('42:' || click_id), click_id, impression_id NULLS FIRST, campaign_id NULLS FIRST,
-  channel NULLS FIRST, platform NULLS FIRST, timestamp NULLS FIRST, device_type NULLS FIRST, country NULLS FIRST,
-  cost_micros NULLS FIRST LIMIT 1000"""
 
 
 def _batch_check(no: int, dataset: str, kind: str, column: str, bad: str, share: object = 1, over_all: bool = False) -> str:

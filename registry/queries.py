@@ -103,7 +103,7 @@ class Tables:
 
     @cached_property
     def acquisition(self) -> DataFrame:
-        return marts.rpt_customer_acquisition(self.conversions, self.performance())
+        return marts.rpt_customer_acquisition(self.conversions, self.performance(), self.clean_conversions)
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
@@ -170,7 +170,7 @@ def _orphans(kind: str, child: str) -> Callable[[Tables], DataFrame]:
 
 
 def _sampled(t: Tables) -> DataFrame:
-    sample = sample_rows(t.raw.clicks, "click_id", n=1000, seed=42)
+    sample = sample_rows(t.raw.clicks, n=1000)
     return validate(sample, SUITES["raw_clicks_suite"], sampled=True)
 
 
@@ -260,7 +260,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "rpt_marketing_dashboard_full": lambda t: t.dashboard(keep_unmatched=True),
     "best_worst_campaign": lambda t: marts.best_worst_campaign(t.performance()),
     "rpt_channel_roi": lambda t: t.channel_roi,
-    "first_conversion": lambda t: marts.first_conversions(t.conversions),
+    "first_conversion": lambda t: marts.first_conversions(t.conversions, t.clean_conversions),
     "ltv_windows": lambda t: marts.customer_ltv(t.clean_conversions),
     "rpt_customer_acquisition": lambda t: t.acquisition,
     "attribution_global_first_last": _attribution(attribution.single_touch_attribution, "global"),
