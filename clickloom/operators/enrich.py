@@ -18,7 +18,7 @@ SKETCH_ITEMS = 4096
 SKETCHES_PER_MERGE = 256
 
 
-def _place(keys: Sequence[str]) -> Column:
+def place_of(keys: Sequence[str]) -> Column:
     """Stands for the key in the sketch; a collision only spreads one key more."""
     return F.xxhash64(*keys)
 
@@ -40,7 +40,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -
     one = F.count(F.lit(1))
     sketches = (
         df.filter(~_missing(keys))
-        .select(_place(keys).alias("_p"), F.floor(F.spark_partition_id() / SKETCHES_PER_MERGE).alias("_g"))
+        .select(place_of(keys).alias("_p"), F.floor(F.spark_partition_id() / SKETCHES_PER_MERGE).alias("_g"))
         .groupBy("_g").agg(F.expr(f"approx_top_k_accumulate(_p, {tracked})").alias("_s"), one.alias("_n"))
     )
     # Grouped by a constant because the merge cannot start from an empty task.
@@ -70,7 +70,7 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], sp
     flags = F.broadcast(hot.select("_place", F.lit(True).alias("_hot")))
 
     def flagged(df: DataFrame) -> DataFrame:
-        return df.withColumn("_place", _place(on)).join(flags, "_place", "left").drop("_place")
+        return df.withColumn("_place", place_of(on)).join(flags, "_place", "left").drop("_place")
 
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     salted_left = flagged(left).withColumn(

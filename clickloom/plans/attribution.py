@@ -12,12 +12,15 @@ and the equal-share credit is summed per touch group by walking the axis backwar
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import safe_divide, scaled_units, units_to_double
 from clickloom.operators import running_by_time, skew_safe_left_join
-from clickloom.session import ensure_checkpoint_dir
+from clickloom.operators.enrich import HOT_SHARE, place_of
+from clickloom.session import write_down
 
 MODES = ("global", "customer")
 GROUP = ["attributed_channel", "attributed_platform", "attributed_campaign_id"]
@@ -42,53 +45,120 @@ def touches(conversions: DataFrame, clicks: DataFrame, mode: str = "global") ->
     return skew_safe_left_join(named, clicks, ["click_id"], ["customer_id"]).filter(F.col("at").isNotNull())
 
 
-def _instants(conversions: DataFrame, touch: DataFrame, by: list[str]) -> DataFrame:
-    """One row per instant (of a customer): clicks, first and last click, conversions, revenue."""
+def touch_instants(conversions: DataFrame, touch: DataFrame, by: list[str]) -> DataFrame:
+    """One row per instant (of a customer): clicks, first and last click, conversions, revenue.
+
+    Both feeds are reduced to instants before they meet, so an instant or customer with
+    very many events is one row per task.  The result feeds several branches and is
+    written down.
+    """
     shown = F.struct("click_id", *GROUP)
     clicked = touch.groupBy(*by, "at").agg(
         F.count(F.lit(1)).alias("clicks"), F.min(shown).alias("head"), F.max(shown).alias("tail"))
     converted = conversions.groupBy(*by, F.col("conversion_timestamp").alias("at")).agg(
         F.count(F.lit(1)).alias("conversions"), F.sum(scaled_units("revenue_euros")).alias("units"))
-    return clicked.join(converted, [*by, "at"], "full")
+    return write_down(clicked.join(converted, [*by, "at"], "full"))
+
+
+@dataclass(frozen=True)
+class Journey:
+    """Conversions, the clicks that can be touches, and the instants of both."""
+
+    conversions: DataFrame
+    touch: DataFrame
+    instants: DataFrame
+    by: list[str]
+
+    @staticmethod
+    def of(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> Journey:
+        by = _by(mode)
+        touch = touches(conversions, clicks, mode)
+        return Journey(conversions, touch, touch_instants(conversions, touch, by), by)
+
+    def ledger(self) -> DataFrame:
+        """For each conversion instant: number of touches so far, and the first and last of them.
+
+        Clicks tied on an instant are ordered by click_id.
+        """
+        run = running_by_time(self.instants, "at", sums={"total_touches": "clicks"},
+                              firsts={"first_touch": "head"}, lasts={"last_touch": "tail"}, by=self.by)
+        return run.filter(F.col("conversions") > 0).select(
+            *self.by, F.col("at").alias("conversion_timestamp"), "total_touches", "first_touch", "last_touch")
+
+    def crowded(self) -> DataFrame:
+        """The instants that hold much of the conversions, as ``hot_keys`` would name them."""
+        total = self.instants.agg(F.sum("conversions")).first()[0] or 0
+        full = self.instants.filter(F.col("conversions") >= max(1.0, HOT_SHARE * total))
+        return full.select(place_of([*self.by, "at"]).alias("_place"))
+
+    def touched(self) -> DataFrame:
+        """Conversions that have a touch, each with its touch count and first and last touch."""
+        kept = self.conversions.select("conversion_id", "customer_id", "conversion_timestamp", "revenue_euros",
+                                       "conversion_type")
+        joined = skew_safe_left_join(kept, self.ledger(), [*self.by, "conversion_timestamp"], ["conversion_id"],
+                                     hot=self.crowded())
+        return joined.filter(F.col("total_touches") > 0)
+
+    def single(self) -> DataFrame:
+        """Full credit to the first touch and, as a second row, to the last touch of each conversion."""
+        credits = F.array(*[
+            F.struct(F.col(touch).alias("touch"), F.lit(touch).alias("model"))
+            for touch in ("first_touch", "last_touch")
+        ])
+        rows = self.touched().withColumn("credit", F.explode(credits))
+        return rows.select(
+            "conversion_id", "customer_id", "revenue_euros", "conversion_type",
+            *[F.col(f"credit.touch.{g}").alias(g) for g in GROUP],
+            F.col("revenue_euros").alias("attributed_revenue"),
+            F.lit(1.0).alias("attribution_weight"),
+            F.col("credit.model").alias("attribution_model"),
+        )
 
+    def linear(self) -> DataFrame:
+        """Equal-share credit summed by touch group, with the number of (conversion, touch) pairs.
+
+        The order of summation is swapped: a click earns the shares of all later
+        conversions, which is a running sum walked backwards, so the pairs themselves are
+        never built.
+        """
+        by = self.by
+        forward = running_by_time(self.instants, "at", sums={"total_touches": "clicks"}, by=by)
+        shares = write_down(forward.select(
+            *by, "at",
+            F.col("conversions").alias("touched"),
+            safe_divide("conversions", "total_touches").alias("weight"),
+            safe_divide(units_to_double("units"), "total_touches").alias("revenue"),
+        ))
+        earned = running_by_time(
+            shares, "at", by=by, descending=True,
+            sums={"later": "touched", "later_weight": "weight", "later_revenue": "revenue"},
+        ).filter(F.col("later") > 0)
+        grouped = self.touch.groupBy(*by, "at", *GROUP).agg(F.count(F.lit(1)).alias("clicks"))
+        paid = grouped.join(earned.select(*by, "at", "later", "later_weight", "later_revenue"), [*by, "at"])
+        return (
+            paid.groupBy(*GROUP)
+            .agg(
+                F.sum(F.col("clicks") * F.col("later")).alias("touches"),
+                F.sum(F.col("clicks") * F.col("later_revenue")).alias("attributed_revenue"),
+                F.sum(F.col("clicks") * F.col("later_weight")).alias("attribution_weight"),
+            )
+            .withColumn("attribution_model", F.lit("linear"))
+        )
 
-def touch_ledger(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
-    """For each conversion instant: number of touches so far, and the first and last of them.
 
-    Clicks tied on an instant are ordered by click_id.
-    """
-    by = _by(mode)
-    instants = _instants(conversions, touches(conversions, clicks, mode), by)
-    run = running_by_time(instants, "at", sums={"total_touches": "clicks"}, firsts={"first_touch": "head"},
-                          lasts={"last_touch": "tail"}, by=by)
-    return run.filter(F.col("conversions") > 0).select(
-        *by, F.col("at").alias("conversion_timestamp"), "total_touches", "first_touch", "last_touch")
+def touch_ledger(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
+    """Touches so far, and the first and last of them, at each conversion instant."""
+    return Journey.of(conversions, clicks, mode).ledger()
 
 
 def conversion_touches(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
     """Conversions that have a touch, each with its touch count and first and last touch."""
-    by = _by(mode)
-    kept = conversions.select("conversion_id", "customer_id", "conversion_timestamp", "revenue_euros",
-                              "conversion_type")
-    ledger = touch_ledger(conversions, clicks, mode)
-    joined = skew_safe_left_join(kept, ledger, [*by, "conversion_timestamp"], ["conversion_id"])
-    return joined.filter(F.col("total_touches") > 0)
+    return Journey.of(conversions, clicks, mode).touched()
 
 
 def single_touch_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
-    """Full credit to the first touch and, as a second row, to the last touch of each conversion."""
-    credits = F.array(*[
-        F.struct(F.col(touch).alias("touch"), F.lit(touch).alias("model"))
-        for touch in ("first_touch", "last_touch")
-    ])
-    rows = conversion_touches(conversions, clicks, mode).withColumn("credit", F.explode(credits))
-    return rows.select(
-        "conversion_id", "customer_id", "revenue_euros", "conversion_type",
-        *[F.col(f"credit.touch.{g}").alias(g) for g in GROUP],
-        F.col("revenue_euros").alias("attributed_revenue"),
-        F.lit(1.0).alias("attribution_weight"),
-        F.col("credit.model").alias("attribution_model"),
-    )
+    """First-touch and last-touch credit, one row each per conversion."""
+    return Journey.of(conversions, clicks, mode).single()
 
 
 def linear_credit(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
@@ -101,37 +171,8 @@ def linear_credit(conversions: DataFrame, clicks: DataFrame, mode: str = "global
 
 
 def linear_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
-    """Equal-share credit summed by touch group, with the number of (conversion, touch) pairs.
-
-    The order of summation is swapped: a click earns the shares of all later conversions,
-    which is a running sum walked backwards, so the pairs themselves are never built.
-    """
-    by = _by(mode)
-    touch = touches(conversions, clicks, mode)
-    counted = _instants(conversions, touch, by).select(*by, "at", "clicks", "conversions", "units")
-    forward = running_by_time(counted, "at", sums={"total_touches": "clicks"}, by=by)
-    shares = forward.select(
-        *by, "at",
-        F.col("conversions").alias("touched"),
-        safe_divide("conversions", "total_touches").alias("weight"),
-        safe_divide(units_to_double("units"), "total_touches").alias("revenue"),
-    )
-    # Two walks over one table: write it down once rather than deriving it for each branch.
-    ensure_checkpoint_dir(shares.sparkSession)
-    shares = shares.checkpoint()
-    earned = running_by_time(shares, "at", by=by, descending=True,
-                             sums={"later": "touched", "later_weight": "weight", "later_revenue": "revenue"})
-    grouped = touch.groupBy(*by, "at", *GROUP).agg(F.count(F.lit(1)).alias("clicks"))
-    paid = grouped.join(earned.select(*by, "at", "later", "later_weight", "later_revenue"), [*by, "at"])
-    return (
-        paid.filter(F.col("later") > 0).groupBy(*GROUP)
-        .agg(
-            F.sum(F.col("clicks") * F.col("later")).alias("touches"),
-            F.sum(F.col("clicks") * F.col("later_revenue")).alias("attributed_revenue"),
-            F.sum(F.col("clicks") * F.col("later_weight")).alias("attribution_weight"),
-        )
-        .withColumn("attribution_model", F.lit("linear"))
-    )
+    """Equal-share credit by touch group."""
+    return Journey.of(conversions, clicks, mode).linear()
 
 
 def int_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
@@ -141,9 +182,9 @@ def int_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "glob
     group, with NULL conversion columns: its rows per (conversion, touch) would number the
     conversions times the clicks.  ``touches`` is the number of touches a row stands for.
     """
-    single = single_touch_attribution(conversions, clicks, mode).withColumn("touches", F.lit(1).cast("bigint"))
-    linear = linear_attribution(conversions, clicks, mode)
-    return single.unionByName(linear, allowMissingColumns=True)
+    journey = Journey.of(conversions, clicks, mode)
+    single = journey.single().withColumn("touches", F.lit(1).cast("bigint"))
+    return single.unionByName(journey.linear(), allowMissingColumns=True)
 
 
 def attribution_summary(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:

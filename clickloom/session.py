@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in the library assumes.  All can be set on a live session.
 RUNTIME_CONF = {
@@ -60,3 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="checkpoints-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def write_down(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several branches of a plan read.
+
+    The rows are written to the shared checkpoint folder and read back as Parquet: they
+    are computed once, survive the loss of executors, and each branch reads only the
+    columns it needs.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
