@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key below this share of the rows cannot overload one shuffle partition; at most
 # 1 / HOT_SHARE keys can reach it, which bounds what is broadcast.
@@ -53,31 +54,56 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -
     )
 
 
+# How to make a value of a key column out of a hash, by type.
+_SCATTER = {
+    T.StringType: lambda h: h.cast("string"),
+    T.LongType: lambda h: h,
+    T.TimestampType: lambda h: F.timestamp_seconds(F.pmod(h, F.lit(2**32))),
+}
+
+
 def skew_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str],
                         hot: DataFrame | None = None) -> DataFrame:
-    """``left LEFT JOIN right USING (on)`` in which hot keys are spread over all tasks.
+    """Look up the columns of ``right`` by key, with hot keys of ``left`` spread over all tasks.
+
+    ``right`` must hold one row per key.  The result has the rows of ``left LEFT JOIN
+    right``: the columns of ``left``, then the others of ``right``.
+
+    Left rows with a hot key find their match in a broadcast of the right rows of the hot
+    keys, one row for each of at most ``1 / min_share`` keys.  In the shuffled join that
+    serves the rest, these rows, and those without a key, carry a hash of ``spread_by``
+    (columns that vary within a key) in place of their key, so they go everywhere; what
+    they may meet there is ignored.  The right side is neither copied nor repartitioned.
+    The hash is no random number, so recomputing a lost task gives the same rows.  ``hot``
+    defaults to a sketch of ``left``.
 
-    Left rows whose key is hot get a salt derived from ``spread_by`` (columns that vary
-    within the key); the right rows of hot keys, few because hot keys are few, are copied
-    once per salt.  NULL keys match nothing and are spread too.  The salt is a hash, not a
-    random number, so recomputing a lost task gives the same rows.  ``hot`` defaults to a
-    sketch of ``left``.  The rows of the result are those of the plain join.
+    Where no column of ``right`` is read and its key is known to be unique, the optimizer
+    drops the lookup altogether.
     """
     on = list(on)
-    salts = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    payload = [c for c in right.columns if c not in on]
     hot = hot_keys(left, on) if hot is None else hot
-    # At most 1 / min_share rows by construction, hence safe to broadcast.
-    flags = F.broadcast(hot.select("_place", F.lit(True).alias("_hot")))
-
-    def flagged(df: DataFrame) -> DataFrame:
-        return df.withColumn("_place", place_of(on)).join(flags, "_place", "left").drop("_place")
-
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted_left = flagged(left).withColumn(
-        "_salt", F.when(F.col("_hot") | _missing(on), spread).otherwise(F.lit(0))).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = flagged(right.filter(~_missing(on))).withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
+    flags = F.broadcast(hot.select("_place").distinct().withColumn("_hot", F.lit(True)))
+    known = right.filter(~_missing(on))
+
+    # Grouping by the key bounds the broadcast by the number of hot keys.
+    few = (known.withColumn("_place", place_of(on)).join(flags, "_place", "left_semi")
+           .groupBy(*on).agg(F.any_value(F.struct(*payload)).alias("_few")))
+    marked = (left.withColumn("_place", place_of(on)).join(flags, "_place", "left")
+              .join(F.broadcast(few), on, "left"))
+
+    anchor, scatter = next((c, _SCATTER[type(left.schema[c].dataType)]) for c in on
+                           if type(left.schema[c].dataType) in _SCATTER)
+    apart = F.coalesce("_hot", F.lit(False)) | _missing(on)
+    scattered = F.when(apart, scatter(F.xxhash64(*spread_by))).otherwise(F.col(anchor))
+    keyed = marked.select(
+        *left.columns, "_few", apart.alias("_apart"),
+        *[(scattered if c == anchor else F.col(c)).alias(f"_left_{c}") for c in on])
+    rest = known.select(*[F.col(c).alias(f"_right_{c}") for c in on], *[F.col(c).alias(f"_rest_{c}") for c in payload])
+    joined = keyed.join(rest, [F.col(f"_left_{c}") == F.col(f"_right_{c}") for c in on], "left")
+    return joined.select(
+        *left.columns,
+        *[F.when(F.col("_apart"), F.col(f"_few.{c}")).otherwise(F.col(f"_rest_{c}")).alias(c) for c in payload])
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

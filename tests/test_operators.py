@@ -53,7 +53,7 @@ def test_hot_keys_finds_the_dominant_key(spark):
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
 def test_skew_safe_join_gives_the_rows_of_the_plain_join(spark, broadcast):
     left = skewed(spark)
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("7", 3), ("missing", 4), (None, 5)], "k string, v int")
+    right = spark.createDataFrame([("hot", 1), ("7", 3), ("missing", 4), (None, 5)], "k string, v int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
         got = rows_of(skew_safe_left_join(left, right, ["k"], ["row"]), "k", "row", "v")
@@ -62,21 +62,32 @@ def test_skew_safe_join_gives_the_rows_of_the_plain_join(spark, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_skew_safe_join_spreads_the_hot_key(spark):
-    right = spark.createDataFrame([("hot", 1)], "k string, v int")
+@pytest.mark.parametrize("partner", ["hot", "other"])
+def test_skew_safe_join_spreads_the_hot_key(spark, partner):
+    """Whether the hot key has a partner or dangles, and likewise the rows without a key."""
+    right = spark.createDataFrame([(partner, 1)], "k string, v int")
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     for name, value in conf.items():
         spark.conf.set(name, value)
     try:
-        joined = skew_safe_left_join(skewed(spark), right, ["k"], ["row"])
-        sizes = [r[0] for r in joined.filter("v = 1").groupBy(F.spark_partition_id()).count().select("count").collect()]
-        assert sum(sizes) == 1000
-        assert len(sizes) > 1 and max(sizes) < 1000
+        joined = skew_safe_left_join(skewed(spark), right, ["k"], ["row"]).withColumn("task", F.spark_partition_id())
+        for rows, expected in (("k = 'hot'", 1000), ("k is null", 200)):
+            sizes = [r["count"] for r in joined.filter(rows).groupBy("task").count().collect()]
+            assert sum(sizes) == expected
+            assert len(sizes) > 1 and max(sizes) < 0.6 * expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_skew_safe_join_by_time(spark):
+    at = ts("2024-01-01")
+    left = spark.createDataFrame([(at, i) for i in range(50)] + [(ts("2024-01-02"), 50), (None, 51)], "at timestamp, row int")
+    right = spark.createDataFrame([(at, "x"), (ts("2024-01-02"), "y"), (None, "z")], "at timestamp, v string")
+    got = {r.row: r.v for r in skew_safe_left_join(left, right, ["at"], ["row"]).collect()}
+    assert got == {**{i: "x" for i in range(50)}, 50: "y", 51: None}
+
+
 def test_skew_safe_join_on_several_columns(spark):
     left = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, None, 3), (2, "a", 4)], "x int, y string, row int")
     right = spark.createDataFrame([(1, "a", "u"), (2, "b", "v"), (1, None, "w")], "x int, y string, z string")

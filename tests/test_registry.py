@@ -47,11 +47,16 @@ def test_scans_read_only_needed_columns(spark):
     assert "o_totalprice" not in plan and "l_extendedprice" not in plan
 
 
-def test_unread_enrichment_is_dropped(spark):
-    """Campaign totals need neither the impression time nor the click context."""
+def test_unread_lookups_are_dropped(spark):
+    """Campaign totals need neither the impression of a click nor the click of a conversion."""
+    from clickloom.plans import staging
     from registry.queries import Tables
 
     t = Tables(spark, SF_DIR)
-    clean = t.clean_clicks.join(t.impressions.select("impression_id", "timestamp"), "impression_id", "left")
-    plan = clean.groupBy("campaign_id").count()._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan
+    feeds = t.raw
+    for staged, columns in ((t.clicks, ["campaign_id", "cost_euros"]),
+                            (t.conversions, ["campaign_id", "customer_id", "conversion_timestamp"])):
+        plan = staged.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
+        # What is left is the join by which the conversions feed itself is made.
+        assert plan.count("Join") == (1 if "customer_id" in columns else 0)
+    assert staging.stg_clicks(feeds.clicks, feeds.impressions).count() == t.clean_clicks.count()
