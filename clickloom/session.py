@@ -63,6 +63,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path in the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4()}"
+
+
 def write_down(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several branches of a plan read.
 
@@ -70,6 +75,6 @@ def write_down(df: DataFrame) -> DataFrame:
     are computed once, survive the loss of executors, and each branch reads only the
     columns it needs.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{uuid.uuid4()}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -713,6 +713,19 @@ JOIN (SELECT dataset, if(bool_or({_NULL_PCT} > 5), 'warning', 'ok') AS nulls FRO
        + (SELECT count(DISTINCT ({_TOUCH_GROUP})) FROM journey)""",
 }
 
+QUERIES |= {
+    "csv_load": f"SELECT {_RUN_TEXT} FROM raw_conversions WHERE conversion_type NOT LIKE ' %'",
+    "partitioned_table": f"""
+SELECT CAST(CAST(date_trunc('month', timestamp) AS DATE) AS VARCHAR) AS event_month, count(*) AS conversions,
+       {money('revenue')} AS revenue FROM raw_conversions GROUP BY 1""",
+    "run_log": f"SELECT {_RUN_TEXT} FROM runs",
+    "metric_log": f"""
+SELECT {txt('timestamp')}, dataset, 'volume' AS metric, status, row_count, change_from_previous_pct, anomaly_detected,
+       CAST(NULL AS DOUBLE) AS staleness_minutes FROM volumes
+UNION ALL
+SELECT '2001-11-06 00:00:00', dataset, 'freshness', {_FRESH_STATUS}, NULL, NULL, NULL, {rnd(_STALE, 1)} FROM fresh""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in QUERIES.items()}

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from clickloom import fixtures
 from clickloom.operators import dedup_latest
-from clickloom.functions import round_half_away
+from clickloom.functions import exact_sum, round_half_away
 from clickloom.observability import (
     evaluate_nulls,
     evaluate_volume,
@@ -44,6 +44,9 @@ from clickloom.quality import (
     validate,
 )
 from clickloom.quality.expectations import CLICKS_HAVE_IMPRESSIONS, CONVERSIONS_HAVE_CLICKS, suite
+from clickloom.schemas import TableSpec
+from clickloom.session import scratch_path
+from clickloom.sources import append_metrics, append_runs, read_metrics, read_raw_csv, read_runs, write_table
 from clickloom.semantic import CHANNEL_ROI, CUSTOMER_ACQUISITION, MARKETING_DASHBOARD, run_tile, tiles, with_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +250,48 @@ def _table_counts(t: Tables) -> DataFrame:
     })
 
 
+# Sources and sinks: what is written to the checkpoint folder must read back the same.
+
+
+def _csv_load(t: Tables) -> DataFrame:
+    """Conversions by way of CSV; those with a padded type get a revenue that is no number."""
+    spoiled = F.col("conversion_type").startswith(" ")
+    text = t.raw.conversions.withColumns({
+        "revenue": F.when(spoiled, "n/a").otherwise(F.col("revenue").cast("string")),
+        "timestamp": F.col("timestamp").cast("string"),
+    })
+    path = scratch_path(t.spark)
+    text.write.option("header", True).csv(path)
+    return read_raw_csv(t.spark, path, "raw_conversions", max_bad_records=10**12)
+
+
+# Conversions laid out by month and clustered within it.
+MONTHLY = TableSpec("raw", "conversions_by_month", None, "event_month", "trunc(timestamp, 'MM')",
+                    ("campaign_id", "conversion_type"))
+
+
+def _partitioned_table(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark)
+    write_table(t.raw.conversions, MONTHLY, path)
+    read = t.spark.read.parquet(path)
+    return read.groupBy("event_month").agg(F.count(F.lit(1)).alias("conversions"), exact_sum("revenue").alias("revenue"))
+
+
+def _run_log(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark)
+    append_runs(_runs(t), path)
+    return _plain(read_runs(t.spark, path))
+
+
+def _metric_log(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark)
+    append_metrics(metric_records(_volumes(t), "volume"), path)
+    append_metrics(metric_records(_freshness(t), "freshness"), path)
+    return read_metrics(t.spark, path).select(
+        "timestamp", "dataset", "metric", "status", "row_count", "change_from_previous_pct", "anomaly_detected",
+        "staleness_minutes")
+
+
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_ad_impressions": lambda t: t.impressions,
     "stg_campaigns": lambda t: t.campaigns,
@@ -319,6 +364,10 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "null_rate_records": _null_records,
     "health_summary": _health,
     "table_counts": _table_counts,
+    "csv_load": _csv_load,
+    "partitioned_table": _partitioned_table,
+    "run_log": _run_log,
+    "metric_log": _metric_log,
     "duplicate_click_examples": lambda t: unexpected_values(t.raw.clicks, check.unique("click_id")),
 }
 
