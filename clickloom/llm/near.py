@@ -3,8 +3,8 @@
 A signature has CHUNKS chunks of CHUNK symbols, each a 16-bit MinHash.  Two signatures that differ in
 at most (ERRORS + 1) * CHUNKS - 1 symbols agree, by pigeonhole, in some chunk up to ERRORS symbols, so
 they share one of the keys made by leaving out ERRORS symbols of each chunk.  That finds every such pair.
-At similarity 0.75 a chunk qualifies with probability 0.74, and a pair is missed with probability 0.26
-to the power CHUNKS, some 1.5e-6; all that is found is confirmed on the full shingle sets.
+At similarity 0.75 signatures differ in 10 of 40 symbols on average, and in more than 19 with a probability
+of 3e-4; all pairs found are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -17,11 +17,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.spread import compare_pairs, components
+from clickloom.llm.spread import compare_pairs, components, sorted_groups
 from clickloom.llm.words import common, min_hashes, mix, odd_multipliers, shingle_set
 from clickloom.session import write_down
 
 CHUNKS, CHUNK, ERRORS = 10, 4, 1
+# The distance of signatures up to which all pairs are found.
+FAR = (ERRORS + 1) * CHUNKS - 1
+BLOCK = 256
 SEED = 20240901
 PERCENT = 75
 
@@ -85,14 +88,149 @@ def _links(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int)
                          pa.schema([("a", pa.int64()), ("b", pa.int64())]), "a long, b long")
 
 
+def _near_size(x: str, y: str, percent: int):
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def _symbols(signatures: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint16).reshape(len(signatures), CHUNKS * CHUNK)
+
+
+def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each node with one hub, out of the hubs of its buckets.
+
+    A bucket's hub is the node first in an order by hash, so that a group of copies has the same hub
+    in most of its buckets.  A node takes the hub with the nearest signature.
+    """
+    order = F.struct(F.xxhash64("node").alias("o"), "node", "n", "at", "signature")
+    hubs = members.groupBy("key").agg(F.min(order).alias("hub")).select("key", "hub")
+    met = (members.join(hubs, "key").where(F.col("at") != F.col("hub.at")).where(_near_size("n", "hub.n", percent))
+           .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.signature").alias("s"), "signature"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("far", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far = (_symbols(batch.column(2).to_pylist()) != _symbols(batch.column(3).to_pylist())).sum(axis=1)
+            rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.int32())], schema=schema)
+            yield rows.filter(pa.array(far <= FAR))
+
+    return (met.mapInArrow(run, "a long, b long, far int").groupBy("b").agg(F.min(F.struct("far", "a"))["a"].alias("a"))
+            .select("a", "b"))
+
+
+def _open_buckets(members: DataFrame, reached: DataFrame) -> DataFrame:
+    """The members, with the component they are in, of the buckets that hold more than one component."""
+    at = (members.drop("at").join(reached, "node", "left").withColumn("at", F.coalesce("component", "node")).drop("component"))
+    mixed = at.groupBy("key").agg(F.min("at").alias("x"), F.max("at").alias("y")).where("x < y").select("key")
+    return write_down(at.join(mixed, "key"))
+
+
+def _pairs_here(key: int, x: list[tuple], y: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs to compare in this bucket: near signatures, sizes that fit, different components.
+
+    Rows are (node, n, at, signature).  A pair that shares several keys belongs to the first of them.
+    """
+    (nx, sx, cx), (ny, sy, cy) = ([np.array([r[i] for r in side], np.int64) for i in (0, 1, 2)] for side in (x, y))
+    met = (nx[:, None] < ny[None, :]) if x is y else (nx[:, None] != ny[None, :])
+    met &= cx[:, None] != cy[None, :]
+    met &= np.minimum(sx[:, None], sy[None, :]) * 100 >= np.maximum(sx[:, None], sy[None, :]) * percent
+    i, j = np.nonzero(met)
+    one, two = _symbols([r[3] for r in x]), _symbols([r[3] for r in y])
+    keep = []
+    for start in range(0, len(i), 8192):
+        same = (one[i[start : start + 8192]] == two[j[start : start + 8192]]).reshape(-1, CHUNKS, CHUNK)
+        errors = CHUNK - same.sum(axis=2)
+        first = (errors <= ERRORS).argmax(axis=1)
+        at = np.arange(len(first))
+        gone = np.where(errors[at, first] == 0, 0, same[at, first].argmin(axis=1))
+        keep.append((errors.sum(axis=1) <= FAR) & (first * CHUNK + gone == key >> (16 * (CHUNK - 1))))
+    keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+    return i[keep], j[keep]
+
+
+def _in_blocks(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows dealt by pairs of blocks of their bucket: (key, left, right, side, *columns), sorted."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    return (members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
+                    (F.col("block") > F.col("other")).cast("int").alias("side"), *columns)
+            .repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "side"))
+
+
+def _sides(held: list[tuple], left: int, right: int) -> tuple[list[tuple], list[tuple]]:
+    x = [r[1:] for r in held if r[0] == 0]
+    return x, x if left == right else [r[1:] for r in held if r[0] == 1]
+
+
+def _involved(members: DataFrame, percent: int) -> DataFrame:
+    """The (key, node) that take part in a pair to compare; the pairs themselves stay in their task."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (key, left, right), held in sorted_groups(batches, 3):
+            x, y = _sides(held, left, right)
+            if x and y:
+                i, j = _pairs_here(key, x, y, percent)
+                nodes = sorted({x[k][0] for k in set(i.tolist())} | {y[k][0] for k in set(j.tolist())})
+                if nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(nodes), pa.int64()), pa.array(nodes, pa.int64())],
+                                                     schema=schema)
+
+    return _in_blocks(members, ["node", "n", "at", "signature"]).mapInArrow(run, "key long, node long").distinct()
+
+
+def _links_across(members: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """Links (a, b) that join all components whose members meet in a bucket and are similar enough.
+
+    Sets are compared in pairs of blocks; a pair that earlier links of its task have joined is skipped.
+    """
+    asked = write_down(_involved(members, percent))
+    texts = docs.select(F.col(key).alias("node"), F.col(text).cast("binary").alias("body")).join(
+        asked.select("node").distinct().hint("shuffle_hash"), "node")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, left, right), held in sorted_groups(batches, 3):
+            x, y = _sides(held, left, right)
+            if not x or not y:
+                continue
+            i, j = _pairs_here(bucket, x, y, percent)
+            sets: dict[int, np.ndarray] = {}
+            joined: dict[int, int] = {}
+
+            def root(c):
+                while joined.get(c, c) != c:
+                    c = joined[c]
+                return c
+
+            found = []
+            for one, two in ((x[p], y[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)):
+                c, d = root(one[2]), root(two[2])
+                if c == d:
+                    continue
+                for row in (one, two):
+                    if row[0] not in sets:
+                        sets[row[0]] = shingle_set(row[4])
+                shared = common(sets[one[0]], sets[two[0]])
+                if 100 * shared >= percent * (one[1] + two[1] - shared):
+                    joined[max(c, d)] = min(c, d)
+                    found.append((one[0], two[0]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
+
+    meeting = members.join(asked, ["key", "node"]).join(texts, "node")
+    return _in_blocks(meeting, ["node", "n", "at", "signature", "body"]).mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs.
 
     Documents whose sets of five-word shingles have a Jaccard similarity of at least percent / 100 are
-    linked; component_id is the least doc_id reachable.  Documents with equal sets are one node.  In each
-    bucket of the index, nodes are first compared with the least node there; the buckets that still hold
-    several components are then compared in full, so that no link within reach of the index is lost while
-    the members of one large group are not paired with each other.
+    linked; component_id is the least doc_id reachable.  Documents with equal sets are one node.  First each
+    node is compared with one hub of its buckets, which joins most groups with one comparison per member.
+    Then all pairs with near signatures that share a bucket across components are compared, in blocks, so
+    that no link within reach of the index is lost while no pair leaves its task.
 
     Null or empty texts have no shingles and stay alone.  Rows without doc_id are kept, with a null
     component.  Repeated rows share their doc_id's component.  Other columns are ignored; an empty table
@@ -104,30 +242,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
                                         F.first("signature").alias("signature"))
     nodes = write_down(nodes)
     keys = chunk_keys(nodes)
-    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
-    members = write_down(keys.join(hubs, "key"))
-    sizes = members.where("node = hub").select("key", F.col("n").alias("hub_n"))
-    near_size = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
-    to_hub = write_down(members.where("node > hub").join(sizes, "key").where(near_size("n", "hub_n"))
-                        .groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
-    # A node's first comparison is with the hub it shares most keys with; most groups are joined by it.
-    best = to_hub.groupBy("b").agg(F.max(F.struct("shared", F.col("a"))).alias("x")).select(F.col("x.a").alias("a"), "b")
-    links = write_down(_links(best, docs, key, text, percent))
-    reached = write_down(components(links))
-
-    def within(frame: DataFrame, name: str) -> DataFrame:
-        known = reached.select(F.col("node").alias(name), F.col("component").alias("_c"))
-        return frame.join(known, name, "left").withColumn(f"{name}_in", F.coalesce("_c", name)).drop("_c")
-
-    inside = within(members.select("key", "node", "n"), "node")
-    mixed = inside.groupBy("key").agg(F.min("node_in").alias("x"), F.max("node_in").alias("y")).where("x < y").select("key")
-    open_ = write_down(inside.join(mixed, "key"))
-    left, right = (open_.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "node_in"))) for s in "ab")
-    rest = (left.join(right, "key").where("node_in_a < node_in_b").where(near_size("n_a", "n_b"))
-            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-            .join(best, ["a", "b"], "left_anti"))
-    more = write_down(_links(write_down(rest), docs, key, text, percent))
-    joined = components(links.union(more))
+    shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
+    open_ = write_down(keys.join(shared, "key").join(nodes.select("node", "signature"), "node").withColumn("at", F.col("node")))
+    links = write_down(_links(_hub_pairs(open_, percent), docs, key, text, percent))
+    open_ = _open_buckets(open_, write_down(components(links)))
+    joined = components(links.union(write_down(_links_across(open_, docs, key, text, percent))))
     classes = nodes.join(joined, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
     return signed.join(classes, "print", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),

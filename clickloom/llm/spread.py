@@ -68,6 +68,20 @@ def components(edges: DataFrame) -> DataFrame:
         e = write_down(moved.union(lower).distinct())
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Runs of rows with equal leading columns, of a sorted stream; callers bound the runs."""
+    held, at = [], None
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+            if row[:keys] != at:
+                if held:
+                    yield at, held
+                held, at = [], row[:keys]
+            held.append(row[keys:])
+    if held:
+        yield at, held
+
+
 def compare_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str,
                   prepare: Callable[[bytes | None], object],
                   judge: Callable[[object, object, int, int, object], Iterator[tuple]],

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.spread import components
+from clickloom.llm.spread import components, sorted_groups
 from clickloom.session import write_down
 
 THRESHOLD = 0.93
@@ -87,20 +87,6 @@ def _alike(vectors: list[bytes], others: list[bytes], threshold: float) -> np.nd
     return x @ y.T >= threshold
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Runs of rows with equal leading columns, of a sorted stream; a run is bounded by two blocks."""
-    held, at = [], None
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
-            if row[:keys] != at:
-                if held:
-                    yield at, held
-                held, at = [], row[:keys]
-            held.append(row[keys:])
-    if held:
-        yield at, held
-
-
 def linking_edges(classes: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, block: int = BLOCK,
                   seed: int = SEED) -> DataFrame:
     """(a, b): links that connect all nodes of one label and dimension found to have at least that cosine.
@@ -132,7 +118,7 @@ def linking_edges(classes: DataFrame, threshold: float = THRESHOLD, passes: int
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _groups(batches, len(keys)):
+        for _, held in sorted_groups(batches, len(keys)):
             vectors, nodes = [r[1] for r in held], np.array([r[0] for r in held])
             linked = _alike(vectors, vectors, threshold)
             np.fill_diagonal(linked, True)
@@ -162,7 +148,7 @@ def linked_rows(members: DataFrame, threshold: float = THRESHOLD, block: int = B
     schema = pa.schema([("node", pa.int64()), ("linked", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, left, right), held in _groups(batches, 3):
+        for (_, left, right), held in sorted_groups(batches, 3):
             sides = [[r for r in held if r[0] == s] for s in (0, 1)]
             if left == right:
                 sides[1] = sides[0]
