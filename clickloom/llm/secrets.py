@@ -12,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -61,28 +62,23 @@ def _secret_parts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[in
 
 
 def shape(token: str) -> tuple[str, ...]:
-    """Features of a token alone."""
+    """Features of a token alone; words of letters have few of them, so that most share theirs."""
+    core = token.rstrip(".")
     n = len(token)
-    ascii_ = token.isascii()
+    length = f"length {min(n.bit_length(), 7)}"
+    if core.isalpha():
+        return ("word", length, f"case {core.islower()} {core.isupper()}")
     digits = sum(c.isdigit() for c in token)
     upper = sum(c.isupper() for c in token)
     lower = sum(c.islower() for c in token)
-    counts = Counter(token)
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(token).values())
     swaps = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
-    return (f"length {min(n.bit_length(), 7)}", f"digits {4 * digits // n}", f"upper {4 * upper // n}", f"lower {4 * lower // n}",
-            f"entropy {int(entropy)}", f"swaps {min(swaps, 8) // 2}", f"ascii {ascii_}",
+    return (length, f"digits {4 * digits // n}", f"upper {4 * upper // n}", f"lower {4 * lower // n}",
+            f"entropy {int(entropy)}", f"swaps {min(swaps, 8) // 2}", f"ascii {token.isascii()}",
             f"dense {digits > 0 and upper + lower > 0 and n >= 12}", f"all hex {n >= 12 and all(c in '0123456789abcdef' for c in token)}",
             f"symbol {token in ('=', ':')}")
 
 
-def beside(token: str, where: str) -> tuple[str, ...]:
-    """Features of the token before or after: short words by themselves, the rest by kind."""
-    if token == "":
-        return (f"{where} edge",)
-    return (f"{where} {token.lower()}" if len(token) <= 12 and token.isascii() else f"{where} other",)
-
-
 def file_features(text: str, tokens: list[str]) -> tuple[str, ...]:
     """Features of the whole text: how much of it is assignments, and its line length."""
     marks = sum(text.count(c) for c in "=:{}")
@@ -91,15 +87,19 @@ def file_features(text: str, tokens: list[str]) -> tuple[str, ...]:
 
 
 class _Gains(dict):
-    """What features of a token alone add at most in favour of a tag other than outside; computed once per token."""
+    """What a token's own features add at most in favour of a tag other than outside; kept for a bounded number of tokens."""
 
-    def __init__(self, field: Field, features):
-        self.field, self.features = field, features
+    def __init__(self, field: Field):
+        self.field, self.shapes = field, {}
 
     def __missing__(self, token: str) -> float:
         if len(self) >= 200_000:
             self.clear()
-        self[token] = gain = self.field.gain(self.field.sum(self.features(token)))
+        names = shape(token)
+        gain = self.shapes.get(names)
+        if gain is None:
+            gain = self.shapes[names] = self.field.gain(self.field.sum(names))
+        self[token] = gain
         return gain
 
 
@@ -114,8 +114,10 @@ class Field:
         # What the chain loses at most if one token within such a run is outside instead.
         self.hold = max(0.0, *(float(after[x, t] + after[t, y] - after[x, OUTSIDE] - after[OUTSIDE, y])
                                for t in others for x in range(_TAGS) for y in range(_TAGS)))
-        self.alone = _Gains(self, shape)
-        self.beside = [_Gains(self, lambda t, w=w: beside(t, w)) for w in ("b1", "b2", "a1")]
+        self.alone = _Gains(self)
+        self.beside = [{name[3:]: self.gain(weights[i]) for name, i in numbers.items() if name.startswith(f"{w} ")}
+                       for w in ("b1", "b2", "a1")]
+        self.most = sum(max([0.0, *gains.values()]) for gains in self.beside)
 
     def sum(self, names: tuple[str, ...]) -> np.ndarray:
         out = np.zeros(_TAGS)
@@ -129,13 +131,15 @@ class Field:
     def gain(score: np.ndarray) -> float:
         return float(score[:OUTSIDE].max() - score[OUTSIDE])
 
-    def bounds(self, tokens: list[str], whole: tuple[str, ...]) -> np.ndarray:
-        """For each token, at least the gain of its best tag over outside, apart from the chain."""
-        near = ["", "", *tokens, ""]
+    def bounds(self, tokens: list[str], whole: tuple[str, ...]) -> np.ndarray | None:
+        """For each token, at least the gain of its best tag over outside, apart from the chain; None if none can be positive."""
         n = len(tokens)
         total = np.fromiter(map(self.alone.__getitem__, tokens), float, n) + self.gain(self.sum(whole))
+        if total.max() + self.most + self.slack <= 0:
+            return None
+        near = ["", "", *tokens, ""]
         for gains, shift in zip(self.beside, (1, 0, 3), strict=True):
-            total += np.fromiter(map(gains.__getitem__, near[shift : shift + n]), float, n)
+            total += np.fromiter(map(gains.get, near[shift : shift + n], repeat(0.0)), float, n)
         return total
 
     def decode(self, features: list[tuple[str, ...]]) -> list[int]:
@@ -152,8 +156,9 @@ class Field:
 
 
 def features_at(tokens: list[str], i: int, whole: tuple[str, ...]) -> tuple[str, ...]:
+    """All features of a token: its shape, the words beside it (none at an edge of the text), the whole text."""
     near = lambda k: tokens[k] if 0 <= k < len(tokens) else ""
-    return shape(tokens[i]) + beside(near(i - 1), "b1") + beside(near(i - 2), "b2") + beside(near(i + 1), "a1") + whole
+    return (*shape(tokens[i]), f"b1 {near(i - 1)}", f"b2 {near(i - 2)}", f"a1 {near(i + 1)}", *whole)
 
 
 def added_spans(text: str, field: Field, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,7 +173,7 @@ def added_spans(text: str, field: Field, taken: list[tuple[int, int]]) -> list[t
         return []
     whole = file_features(text, tokens)
     bounds = field.bounds(tokens, whole)
-    seeds = np.nonzero(bounds + field.slack > 0)[0].tolist()
+    seeds = [] if bounds is None else np.nonzero(bounds + field.slack > 0)[0].tolist()
     if not seeds:
         return []
     cut = np.append(np.nonzero(bounds + field.hold < 0)[0], len(tokens))
