@@ -34,7 +34,7 @@ def check_quality(build: Build, runs: str, metrics: str, sample: bool) -> bool:
         failed = results.filter("not success").count()
         print(f"{suite.name}: {'PASS' if not failed else f'{failed} checks failed'}")
         passed = passed and not failed
-    tracker.print_summary()
+    tracker.health_bundle()["health_summary"].show(truncate=False)
     return passed
 
 

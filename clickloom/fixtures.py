@@ -20,12 +20,18 @@ def _pick(index: str, names: Sequence[str]) -> str:
     return f"element_at(array({', '.join(repr(n) for n in names)}), cast({index} + 1 as int))"
 
 
+def _padded(number: str, width: int) -> str:
+    """The number with leading zeros; longer ones are left whole."""
+    text = f"cast({number} as string)"
+    return f"lpad({text}, greatest({width}, length({text})), '0')"
+
+
 _CHANNEL_NO = "((l_partkey + l_orderkey + l_linenumber) % 6)"
-_DEVICE = _pick("l_partkey % 3", [DEVICES[0], DEVICES[1], DEVICES[2]])
+_DEVICE = _pick("l_partkey % 3", DEVICES)
 
 _EVENT = {
     "impression_id": "concat('I', l_orderkey, '-', l_linenumber)",
-    "campaign_id": "concat('C', lpad(cast(1 + (l_suppkey * 7 + l_partkey) % 50 as string), 3, '0'))",
+    "campaign_id": f"concat('C', {_padded('1 + l_partkey', 3)})",
     "channel": _pick(_CHANNEL_NO, CHANNELS),
     "platform": _pick(_CHANNEL_NO, PLATFORMS),
     "timestamp": "timestampadd(SECOND, (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 13) % 86400, "
@@ -86,7 +92,7 @@ def raw_conversions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     kinds = _pick("(l_partkey + l_orderkey) % 3", ["purchase", "lead", "signup"])
     events = converted.selectExpr(
         "concat('V', click_id) as conversion_id", "click_id", "campaign_id",
-        "concat('CUST-', lpad(cast(o_custkey as string), 5, '0')) as customer_id",
+        f"concat('CUST-', {_padded('o_custkey', 5)}) as customer_id",
         "timestampadd(SECOND, 60 * (1 + (l_partkey * 17 + l_orderkey) % 1440), timestamp) as timestamp",
         f"{kinds} as kind", "l_partkey * 37 + l_orderkey * 101 as r", "l_orderkey")
     return _resent(events, "l_orderkey % 40 = 3").selectExpr(
@@ -103,14 +109,16 @@ def raw_conversions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def raw_campaigns(part: DataFrame) -> DataFrame:
-    return part.filter("p_partkey < 50").selectExpr(
-        "concat('C', lpad(cast(p_partkey + 1 as string), 3, '0')) as campaign_id",
+    """One campaign per part; starts repeat after 60 steps of 40 days, so that dates stay in range."""
+    start = "(p_partkey % 60) * 40"
+    return part.selectExpr(
+        f"concat('C', {_padded('p_partkey + 1', 3)}) as campaign_id",
         "concat(' ', p_name, ' ', p_partkey) as campaign_name",
         f"{_pick('p_partkey % 6', CHANNELS)} as channel",
         f"{_pick('p_partkey % 6', PLATFORMS)} as platform",
-        "date_add(date'1995-01-01', cast(p_partkey * 40 as int)) as start_date",
-        "date_add(date'1995-01-01', cast(p_partkey * 40 + 30 + p_partkey * 7 % 151 as int)) as end_date",
-        """case p_partkey when 0 then 2000D when 1 then 7000D when 2 then 10000D
+        f"date_add(date'1995-01-01', cast({start} as int)) as start_date",
+        f"date_add(date'1995-01-01', cast({start} + 30 + p_partkey * 7 % 151 as int)) as end_date",
+        """case p_partkey % 100 when 0 then 2000D when 1 then 7000D when 2 then 10000D
            else cast(500 + p_partkey * 937 % 14000 as double) end as budget_euros""",
         "if(p_partkey % 7 = 0, null, p_type) as target_audience",
         f"{_pick('p_partkey % 3', [OBJECTIVES[0], ' Consideration', OBJECTIVES[2]])} as objective")

@@ -58,10 +58,29 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -
 _SCATTER = {
     T.StringType: lambda h: h.cast("string"),
     T.LongType: lambda h: h,
+    T.IntegerType: lambda h: F.pmod(h, F.lit(2**31 - 1)).cast("int"),
+    T.ShortType: lambda h: F.pmod(h, F.lit(2**15 - 1)).cast("short"),
+    T.DoubleType: lambda h: h.cast("double"),
+    T.FloatType: lambda h: h.cast("float"),
+    T.DateType: lambda h: F.date_from_unix_date(F.pmod(h, F.lit(2**20)).cast("int")),
+    T.TimestampNTZType: lambda h: F.timestamp_seconds(F.pmod(h, F.lit(2**32))).cast("timestamp_ntz"),
+    T.BinaryType: lambda h: h.cast("string").cast("binary"),
     T.TimestampType: lambda h: F.timestamp_seconds(F.pmod(h, F.lit(2**32))),
 }
 
 
+def _scattered_key(left: DataFrame, on: Sequence[str]):
+    """A key column that can hold a hash, and how to put one into it."""
+    for c in on:
+        kind = left.schema[c].dataType
+        if type(kind) in _SCATTER:
+            return c, _SCATTER[type(kind)]
+        if isinstance(kind, T.DecimalType):
+            whole = 10 ** min(18, kind.precision - kind.scale)
+            return c, lambda h: F.pmod(h, F.lit(whole)).cast(kind)
+    raise TypeError(f"no key of {[left.schema[c].dataType.simpleString() for c in on]} can be spread over tasks")
+
+
 def skew_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str],
                         hot: DataFrame | None = None) -> DataFrame:
     """Look up the columns of ``right`` by key, with hot keys of ``left`` spread over all tasks.
@@ -88,12 +107,13 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], sp
 
     # Grouping by the key bounds the broadcast by the number of hot keys.
     few = (known.withColumn("_place", place_of(on)).join(flags, "_place", "left_semi")
-           .groupBy(*on).agg(F.any_value(F.struct(*payload)).alias("_few")))
+           .groupBy(*on).agg(F.any_value(F.struct(*payload)).alias("_few"), F.count(F.lit(1)).alias("_n"))
+           .select(*on, F.when(F.col("_n") == 1, F.col("_few")).otherwise(
+               F.raise_error(F.lit("the looked-up side has several rows of a key"))).alias("_few")))
     marked = (left.withColumn("_place", place_of(on)).join(flags, "_place", "left")
               .join(F.broadcast(few), on, "left"))
 
-    anchor, scatter = next((c, _SCATTER[type(left.schema[c].dataType)]) for c in on
-                           if type(left.schema[c].dataType) in _SCATTER)
+    anchor, scatter = _scattered_key(left, on)
     apart = F.coalesce("_hot", F.lit(False)) | _missing(on)
     scattered = F.when(apart, scatter(F.xxhash64(*spread_by))).otherwise(F.col(anchor))
     keyed = marked.select(

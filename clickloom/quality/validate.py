@@ -149,9 +149,9 @@ def validate(df: DataFrame, suite: Suite, by: Sequence[str] = (),
     )
 
 
-def unexpected_values(df: DataFrame, expectation: Expectation, limit: int = EXAMPLES,
+def unexpected_values(df: DataFrame, expectation: Expectation, limit: int | None = EXAMPLES,
                       references: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """The first few offending values, in value order."""
+    """The first few offending values, in value order; all of them, in no order, with limit None."""
     column = expectation.column
     if expectation.type in REFERENCES:
         _, parent, key = REFERENCES[expectation.type]
@@ -160,23 +160,25 @@ def unexpected_values(df: DataFrame, expectation: Expectation, limit: int = EXAM
         bad = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     else:
         bad = df.filter(expectation.unexpected()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return bad.orderBy(column).limit(limit)
+    return bad if limit is None else bad.orderBy(column).limit(limit)
 
 
 def sample_rows(df: DataFrame, n: int = 10_000, seed: int = 42) -> DataFrame:
     """A sample of n rows, each row as likely as any other; all rows if there are no more.
 
-    A first pass counts the rows.  A second keeps each row with a probability that leaves
-    somewhat over n candidates in all (so far over that fewer than n is out of the
-    question), and n of those are taken.  Only the candidates travel to one place, not n
-    rows per task.  The draw is seeded per partition, so a lost task redraws the same rows.
+    Copies of a row are numbered, and each row draws a hash of the seed, its values and its number; the
+    n least draws are taken.  So the sample is the same for any partitioning and on any engine, and
+    identical rows are taken as often as their share of the table.  A bound on the draw that
+    leaves over n candidates, far beyond doubt, keeps what travels to one place near n.
     """
-    total = df.count()
-    if total <= n:
-        return df
-    wanted = 2 * n + 200
-    candidates = df if total <= wanted else df.sample(wanted / total, seed)
-    return candidates.orderBy(F.xxhash64(F.lit(seed), *df.columns), *df.columns).limit(n)
+    names = df.columns
+    numbered = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_copies")
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (*names, "_copy")]
+    drawn = numbered.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), *values)))
+    share = (n + 8 * n**0.5 + 64) / max(1, df.count())
+    bound = f"{min(2**32 - 1, int(share * 2**32)):08x}"
+    return drawn.where(F.substring("_draw", 1, 8) <= bound).orderBy("_draw", *names, "_copy").limit(n).select(*names)
 
 
 def suite_statistics(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:

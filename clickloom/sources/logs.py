@@ -29,8 +29,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, partitions: list
 
 def append_metrics(records: DataFrame, path: str) -> None:
     """Add metric records to the log, laid out by kind and dataset."""
-    # A batch of records is a handful of rows; one task writes one file per kind and dataset.
-    records.coalesce(1).write.mode("append").partitionBy("metric", "dataset").json(path)
+    # One file per kind and dataset, unless one of them is large.
+    records.hint("rebalance", "metric", "dataset").write.mode("append").partitionBy("metric", "dataset").json(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +41,7 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 def append_runs(records: DataFrame, path: str) -> None:
     """Add run records to the log, laid out by day."""
-    records.withColumn(_DAY, F.to_date("timestamp")).coalesce(1).write.mode("append").partitionBy(_DAY).json(path)
+    records.withColumn(_DAY, F.to_date("timestamp")).hint("rebalance", _DAY).write.mode("append").partitionBy(_DAY).json(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

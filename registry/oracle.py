@@ -51,7 +51,7 @@ MONTH = "CAST(date_trunc('month', {0}) AS DATE)"
 FEEDS = {
     "fx_impressions": """
 SELECT 'I' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS impression_id,
-       'C' || lpad(CAST(1 + (l_suppkey * 7 + l_partkey) % 50 AS STRING), 3, '0') AS campaign_id,
+       'C' || lpad(CAST(1 + l_partkey AS STRING), CAST(greatest(3, length(CAST(1 + l_partkey AS STRING))) AS INT), '0') AS campaign_id,
        CAST((l_partkey + l_orderkey + l_linenumber) % 6 AS INT) AS ch,
        l_shipdate + INTERVAL '1' SECOND * ((l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 13) % 86400) AS ts,
        CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 3 = 0 THEN 'mobile' WHEN l_partkey % 3 = 1 THEN 'desktop' ELSE 'tablet' END AS device_type,
@@ -84,7 +84,7 @@ SELECT click_id, impression_id, campaign_id, chan, plat, cts - INTERVAL '1' SECO
 FROM fx_clicks WHERE l_orderkey % 50 = 1""",
     "fx_conversions": """
 SELECT 'V' || click_id AS conversion_id, click_id, campaign_id,
-       'CUST-' || lpad(CAST(o_custkey AS STRING), 5, '0') AS customer_id,
+       'CUST-' || lpad(CAST(o_custkey AS STRING), CAST(greatest(5, length(CAST(o_custkey AS STRING))) AS INT), '0') AS customer_id,
        cts + INTERVAL '1' SECOND * (60 * (1 + (l_partkey * 17 + l_orderkey) % 1440)) AS vts,
        CASE (l_partkey + l_orderkey) % 3 WHEN 0 THEN 'purchase' WHEN 1 THEN 'lead' ELSE 'signup' END AS ctype,
        (l_partkey * 37 + l_orderkey * 101) AS r, l_orderkey
@@ -103,16 +103,16 @@ UNION ALL
 SELECT conversion_id, click_id, campaign_id, customer_id, vts - INTERVAL '1' SECOND, CAST(1 AS DOUBLE), ctype
 FROM fx_conversions WHERE l_orderkey % 40 = 3""",
     "raw_campaigns": """
-SELECT 'C' || lpad(CAST(p_partkey + 1 AS STRING), 3, '0') AS campaign_id, ' ' || p_name || ' ' || CAST(p_partkey AS STRING) AS campaign_name,
+SELECT 'C' || lpad(CAST(p_partkey + 1 AS STRING), CAST(greatest(3, length(CAST(p_partkey + 1 AS STRING))) AS INT), '0') AS campaign_id, ' ' || p_name || ' ' || CAST(p_partkey AS STRING) AS campaign_name,
        CASE p_partkey % 6 WHEN 0 THEN 'Google_Ads' WHEN 1 THEN 'Meta_Ads' WHEN 2 THEN 'TikTok_Ads' WHEN 3 THEN 'LinkedIn_Ads' WHEN 4 THEN 'Email' ELSE 'SEO' END AS channel,
        CASE p_partkey % 6 WHEN 0 THEN 'google' WHEN 1 THEN 'meta' WHEN 2 THEN 'tiktok' WHEN 3 THEN 'linkedin' WHEN 4 THEN 'email' ELSE 'organic' END AS platform,
-       CAST(DATE '1995-01-01' + INTERVAL '1' DAY * (p_partkey * 40) AS DATE) AS start_date,
-       CAST(DATE '1995-01-01' + INTERVAL '1' DAY * (p_partkey * 40 + 30 + p_partkey * 7 % 151) AS DATE) AS end_date,
-       CASE p_partkey WHEN 0 THEN CAST(2000 AS DOUBLE) WHEN 1 THEN CAST(7000 AS DOUBLE) WHEN 2 THEN CAST(10000 AS DOUBLE)
+       CAST(DATE '1995-01-01' + INTERVAL '1' DAY * ((p_partkey % 60) * 40) AS DATE) AS start_date,
+       CAST(DATE '1995-01-01' + INTERVAL '1' DAY * ((p_partkey % 60) * 40 + 30 + p_partkey * 7 % 151) AS DATE) AS end_date,
+       CASE p_partkey % 100 WHEN 0 THEN CAST(2000 AS DOUBLE) WHEN 1 THEN CAST(7000 AS DOUBLE) WHEN 2 THEN CAST(10000 AS DOUBLE)
             ELSE CAST(500 + p_partkey * 937 % 14000 AS DOUBLE) END AS budget_euros,
        CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_type END AS target_audience,
        CASE p_partkey % 3 WHEN 0 THEN 'awareness' WHEN 1 THEN ' Consideration' ELSE 'conversion' END AS objective
-FROM part WHERE p_partkey < 50""",
+FROM part""",
 }
 
 
@@ -292,16 +292,23 @@ SELECT conversion_id, any_value(customer_id) AS customer_id, any_value(revenue_e
 FROM {journey} GROUP BY conversion_id"""
 
 
-def _summary(journey: str) -> str:
+def _summary(journey: str, digits: int = 2) -> str:
     single = f"SELECT * FROM ({_single(journey)})"
     return f"""
-SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(attributed_revenue)')} AS attributed_revenue,
+SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(attributed_revenue)', digits)} AS attributed_revenue,
        {rnd('sum(attribution_weight)', 6)} AS attribution_weight FROM ({single}) GROUP BY ALL
-UNION ALL BY NAME {_linear(journey)}"""
+UNION ALL BY NAME {_linear(journey, digits)}"""
 
 
+# As many draws as the sample has rows: a hash of seed, values and the number of the copy.
+_CLICK = "click_id, impression_id, campaign_id, channel, platform, timestamp, device_type, country, cost_micros"
+_DRAWN = ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '~')" for c in (*_CLICK.split(","), "copy"))
+
 PARTS = {
     **FEEDS,
+    "sampled_clicks": f"""
+SELECT {_CLICK} FROM (SELECT *, row_number() OVER (PARTITION BY {_CLICK}) AS copy FROM raw_clicks)
+ORDER BY md5(concat_ws('|', '42', {_DRAWN})) LIMIT 1000""",
     "own_touch": "SELECT DISTINCT v.customer_id, k.* FROM cv0 v JOIN clk0 k USING (click_id)",
     "journey": _JOURNEY.format(touch="clk0", match=""),
     "own_journey": _JOURNEY.format(touch="own_touch", match="k.customer_id = v.customer_id AND"),
@@ -370,6 +377,7 @@ SELECT customer_id, CAST(u30 AS DOUBLE) / 1e4 AS ltv_30d, CAST(u90 AS DOUBLE) /
     "attribution_customer_first_last": _single("own_journey"),
     "attribution_customer_linear_by_channel": _linear("own_journey", digits=6),
     "attribution_customer_linear_credit": _credit("own_journey"),
+    "attribution_customer_summary": _summary("own_journey", digits=6),
 }
 
 _SUMS = ", ".join(f"{big(f'sum({c})')} AS total_{c}" for c in ("impressions", "clicks", "conversions", "purchases", "signups", "leads"))
@@ -568,6 +576,9 @@ QUERIES |= {
     "quality_raw_conversions": _named_suite("raw_conversions_suite"),
     "quality_mart": _named_suite("mart_dashboard_suite", "dash"),
     "quality_integrity": _INTEGRITY,
+    "quality_sampled_clicks": "SELECT * FROM (" + _suite("raw_clicks_suite", "raw_clicks", [
+        c if c[0] != "column_values_to_be_unique" else _repeated("click_id", "sampled_clicks")
+        for c in _SUITES["raw_clicks_suite"][1]], "sampled_clicks") + ") WHERE check_no > 1",
     "quality_suite_statistics": f"""
 SELECT suite_name, dataset, count(*) AS evaluated_expectations,
        count(*) FILTER (WHERE success) AS successful_expectations,
@@ -579,10 +590,13 @@ SELECT count(*) AS checks, count(*) FILTER (WHERE success) AS passed, count(*) F
        bool_and(success) AS all_passed FROM ({_ALL_RAW})""",
     "fk_orphans_clicks": """
 SELECT impression_id, count(*) AS n FROM raw_clicks
+WHERE impression_id NOT IN (SELECT impression_id FROM raw_ad_impressions) GROUP BY 1""",
+    "fk_orphan_examples": """
+SELECT impression_id, count(*) AS n FROM raw_clicks
 WHERE impression_id NOT IN (SELECT impression_id FROM raw_ad_impressions) GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "fk_orphans_conversions": """
 SELECT click_id, count(*) AS n FROM raw_conversions
-WHERE click_id NOT IN (SELECT click_id FROM raw_clicks) GROUP BY 1 ORDER BY 1 LIMIT 10""",
+WHERE click_id NOT IN (SELECT click_id FROM raw_clicks) GROUP BY 1""",
     "duplicate_click_examples": """
 SELECT click_id, count(*) AS n FROM raw_clicks GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 10""",
 }

@@ -128,9 +128,9 @@ def _credit(mode: str) -> Callable[[Tables], DataFrame]:
     return _attribution(attribution.linear_credit, mode)
 
 
-def _summary(mode: str) -> Callable[[Tables], DataFrame]:
+def _summary(mode: str, digits: int = 2) -> Callable[[Tables], DataFrame]:
     return lambda t: _rounded(_attribution(attribution.attribution_summary, mode)(t),
-                              attributed_revenue=2, attribution_weight=6)
+                              attributed_revenue=digits, attribution_weight=6)
 
 
 # The windows of the reports end here, so that a run gives the same rows on any day.
@@ -140,7 +140,7 @@ AS_OF = dt.date(2001, 6, 30)
 def _tile(name: str, table: str) -> Callable[[Tables], DataFrame]:
     tables = {"dashboard": lambda t: t.dashboard(), "roi": lambda t: t.channel_roi,
               "acquisition": lambda t: t.acquisition}
-    return lambda t: run_tile(name, tables[table](t), **({} if table == "roi" else {"window": "all"}))
+    return lambda t: run_tile(name, tables[table](t), **({} if table == "roi" else {"window": "all", "trusted": True}))
 
 
 def _ratings(t: Tables) -> DataFrame:
@@ -168,8 +168,8 @@ def _suite(name: str) -> Callable[[Tables], DataFrame]:
     return lambda t: validate(_raw(t)[SUITES[name].dataset], SUITES[name])
 
 
-def _orphans(kind: str, child: str) -> Callable[[Tables], DataFrame]:
-    return lambda t: unexpected_values(_raw(t)[child], check.references(kind), references=_raw(t))
+def _orphans(kind: str, child: str, limit: int | None = None) -> Callable[[Tables], DataFrame]:
+    return lambda t: unexpected_values(_raw(t)[child], check.references(kind), limit=limit, references=_raw(t))
 
 
 def _sampled(t: Tables) -> DataFrame:
@@ -242,7 +242,7 @@ def _null_records(t: Tables) -> DataFrame:
 def _table_counts(t: Tables) -> DataFrame:
     performance = t.performance()
     return row_counts({
-        "stg_ad_impressions": t.impressions, "stg_clicks": t.clean_clicks, "stg_conversions": t.clean_conversions,
+        "stg_ad_impressions": t.impressions, "stg_clicks": t.clicks, "stg_conversions": t.conversions,
         "stg_campaigns": t.campaigns, "int_campaign_performance": performance,
         "int_attribution": attribution.int_attribution(t.clean_conversions, t.clean_clicks),
         "rpt_marketing_dashboard": t.dashboard(), "rpt_channel_roi": t.channel_roi,
@@ -315,18 +315,19 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "attribution_customer_first_last": _attribution(attribution.single_touch_attribution, "customer"),
     "attribution_customer_linear_by_channel": _linear("customer", revenue_digits=6),
     "attribution_customer_linear_credit": _credit("customer"),
-    "kpi_totals": lambda t: tiles.kpi_totals(t.dashboard(), window="all"),
+    "attribution_customer_summary": _summary("customer", digits=6),
+    "kpi_totals": lambda t: tiles.kpi_totals(t.dashboard(), window="all", trusted=True),
     "spend_by_channel": _tile("spend_by_channel", "dashboard"),
     "roas_trend": _tile("roas_trend", "dashboard"),
     "conversion_funnel": _tile("conversion_funnel", "dashboard"),
-    "funnel": lambda t: tiles.funnel(t.dashboard(), window="all"),
+    "funnel": lambda t: tiles.funnel(t.dashboard(), window="all", trusted=True),
     "channel_roi_table": _tile("channel_roi_table", "roi"),
     "cac_by_channel_weighted": _tile("cac_by_channel", "acquisition"),
     "revenue_vs_spend": lambda t: tiles.with_mean(run_tile("revenue_vs_spend", t.channel_roi), "total_spend"),
     "new_customers_by_channel": _tile("new_customers_by_channel", "acquisition"),
     "ltv_cac_by_channel": _tile("ltv_cac_by_channel", "acquisition"),
     "dashboard_measures_by_month": lambda t: MARKETING_DASHBOARD.query(
-        t.dashboard(), ["month", "platform"], list(MARKETING_DASHBOARD.measures), window="all"),
+        t.dashboard(), ["month", "platform"], list(MARKETING_DASHBOARD.measures), window="all", trusted=True),
     "acquisition_measures_by_health": lambda t: CUSTOMER_ACQUISITION.query(
         t.acquisition, ["acquisition_health"], list(CUSTOMER_ACQUISITION.measures), window="all"),
     "last_12_months_acquisition": lambda t: CUSTOMER_ACQUISITION.query(
@@ -335,12 +336,12 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "rating_bands": _ratings,
     "acquisition_rating_bands": _acquisition_ratings,
     "last_n_days_dashboard": lambda t: MARKETING_DASHBOARD.query(
-        t.dashboard(), ["week", "channel"], ["total_spend", "overall_roas", "count_days"], as_of=AS_OF),
+        t.dashboard(), ["week", "channel"], ["total_spend", "overall_roas", "count_days"], as_of=AS_OF, trusted=True),
     "access_filtered_dashboard": lambda t: MARKETING_DASHBOARD.query(
         t.dashboard(), ["channel", "platform"], ["total_clicks", "avg_cpc"], window="all",
         user={"allowed_channels": ["EMAIL", "SEO", "META_ADS"]}, filters={"platform": ["email", "meta"]}),
-    "daily_channel_trend": lambda t: tiles.daily_channel_trend(t.dashboard(), as_of=AS_OF),
-    "week_over_week": lambda t: tiles.week_over_week(t.dashboard(), window="all"),
+    "daily_channel_trend": lambda t: tiles.daily_channel_trend(t.dashboard(), as_of=AS_OF, trusted=True),
+    "week_over_week": lambda t: tiles.week_over_week(t.dashboard(), window="all", trusted=True),
     "quality_raw_impressions": _suite("raw_impressions_suite"),
     "quality_raw_clicks": _suite("raw_clicks_suite"),
     "quality_raw_conversions": _suite("raw_conversions_suite"),
@@ -351,6 +352,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "quality_sampled_clicks": _sampled,
     "fk_orphans_clicks": _orphans(CLICKS_HAVE_IMPRESSIONS, "raw_clicks"),
     "fk_orphans_conversions": _orphans(CONVERSIONS_HAVE_CLICKS, "raw_conversions"),
+    "fk_orphan_examples": _orphans(CLICKS_HAVE_IMPRESSIONS, "raw_clicks", limit=10),
     "validation_runs": lambda t: _plain(_runs(t)),
     "recent_runs": lambda t: _plain(get_runs(_runs(t), "click_batch_suite", dt.datetime(2000, 1, 1), limit=25)),
     "pass_rate_trend": lambda t: pass_rate_target(pass_rate_trend(_runs(t), NOW, days=365)),

@@ -138,3 +138,25 @@ def test_running_by_time_windows_stay_small(spark):
                      and "[_day" not in line and "_day#" not in line.split("], [")[1]]
     assert len([line for line in plan.splitlines() if "Window [" in line]) == 3
     assert len(unpartitioned) <= 1  # the one over the days
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "smallint", "string", "date", "decimal(12,2)", "double", "timestamp"])
+def test_hot_keys_of_any_type_are_found(spark, kind):
+    day = "date_add(date'2024-01-01', k)" if kind in ("date", "timestamp") else "k"
+    left = spark.range(400).selectExpr("id", "cast(if(id < 300, 7, id % 50) as int) as k").selectExpr("id", f"cast({day} as {kind}) as k")
+    right = spark.range(50).selectExpr("cast(id as int) as k").selectExpr(f"cast({day} as {kind}) as k", "k as v")
+    got = skew_safe_left_join(left, right, ["k"], ["id"]).collect()
+    assert {r.id: r.v for r in got} == {i: 7 if i < 300 else i % 50 for i in range(400)}
+
+
+def test_hot_key_with_several_matches_fails(spark):
+    left = spark.range(400).selectExpr("id", "cast(1 as bigint) as k")
+    right = spark.createDataFrame([(1, "a"), (1, "b")], "k bigint, v string")
+    with pytest.raises(Exception, match="several rows of a key"):
+        skew_safe_left_join(left, right, ["k"], ["id"]).collect()
+
+
+def test_key_that_cannot_be_spread_is_named(spark):
+    left = spark.range(4).selectExpr("id", "array(id) as k")
+    with pytest.raises(TypeError, match="array"):
+        skew_safe_left_join(left, left.select("k", "id"), ["k"], ["id"])

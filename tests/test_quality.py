@@ -132,6 +132,14 @@ def test_sample_is_exact_and_repeatable(spark):
     assert sample_rows(big.limit(500), 300).count() == 300
 
 
+def test_sample_takes_identical_rows_by_their_share_on_any_partitioning(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'same', cast(id as string)) as k", "if(id % 6 = 0, null, 1) as v")
+    for seed in (1, 2, 3):
+        taken = rows_of(sample_rows(df, 300, seed), "k")
+        assert 60 <= sum(r == ("same",) or r == "same" for r in taken) <= 140
+        assert taken == rows_of(sample_rows(df.repartition(7), 300, seed), "k")
+
+
 def test_samples_skip_row_counts(df):
     got = validate(df, suite("s", "d", check.rows_between(1000), check.unique("n")), sampled=True)
     assert rows_of(got, "check_no", "success") == [(2, True)]
