@@ -23,22 +23,38 @@ UNIT = 64
 THRESHOLD = 0.6
 PERCENT = 75
 ANSWER = 8
-BLOCK = 16
+BLOCK = 4
 # Words of test items per index; more items make more indexes, each broadcast by itself.
 INDEX_WORDS = 500_000
 
 
 @dataclass
 class Index:
-    """Postings of terms, by term and unit, with impacts as parts of the unit's own score."""
+    """Postings of terms, by term and unit, with impacts as parts of the unit's own score.
+
+    A term's postings fall into blocks of BLOCK units, each with the greatest impact in it.
+    """
 
     terms: np.ndarray
-    starts: np.ndarray
     units: np.ndarray
     impacts: np.ndarray
     tops: np.ndarray
+    block_starts: np.ndarray
+    blocks: np.ndarray
+    block_tops: np.ndarray
+    block_postings: np.ndarray
     texts: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray, int]]
 
+    @classmethod
+    def build(cls, term: np.ndarray, unit: np.ndarray, impact: np.ndarray, texts: dict) -> Index:
+        order = np.lexsort((unit, term))
+        term, unit, impact = term[order], unit[order], impact[order]
+        terms, starts = np.unique(term, return_index=True)
+        block = unit // BLOCK
+        first = np.nonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))[0]
+        return cls(terms, unit, impact, np.maximum.reduceat(impact, starts), np.append(np.searchsorted(first, starts), len(first)),
+                   block[first], np.maximum.reduceat(impact, first), np.append(first, len(term)), texts)
+
     def lists(self, terms: np.ndarray) -> np.ndarray:
         """For each word hash its number in the index, or -1."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
@@ -46,65 +62,57 @@ class Index:
 
 
 class _Cursor:
-    """A place in one posting list, with the greatest impact of each block of BLOCK postings."""
+    """A place in the postings of one term in one block."""
 
-    __slots__ = ("units", "impacts", "top", "at", "maxima")
+    __slots__ = ("units", "impacts", "top", "at")
 
-    def __init__(self, index: Index, term: int):
-        span = slice(index.starts[term], index.starts[term + 1])
-        self.units, self.impacts, self.top, self.at = index.units[span], index.impacts[span], index.tops[term], 0
-        self.maxima = np.maximum.reduceat(self.impacts, np.arange(0, len(self.impacts), BLOCK))
+    def __init__(self, index: Index, entry: int):
+        span = slice(index.block_postings[entry], index.block_postings[entry + 1])
+        self.units, self.impacts = index.units[span].tolist(), index.impacts[span].tolist()
+        self.top, self.at = float(index.block_tops[entry]), 0
 
     def unit(self) -> int:
-        return int(self.units[self.at]) if self.at < len(self.units) else -1
+        return self.units[self.at] if self.at < len(self.units) else -1
 
     def seek(self, unit: int) -> None:
-        self.at += int(np.searchsorted(self.units[self.at :], unit))
-
-    def block(self, unit: int) -> tuple[float, int]:
-        """The greatest impact in the block that would hold the unit, and the last unit of that block."""
-        at = self.at + int(np.searchsorted(self.units[self.at :], unit))
-        if at >= len(self.units):
-            return 0.0, -1
-        return float(self.maxima[at // BLOCK]), int(self.units[min(len(self.units), (at // BLOCK + 1) * BLOCK) - 1])
+        while self.at < len(self.units) and self.units[self.at] < unit:
+            self.at += 1
 
 
 def wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
     """All units whose score over the distinct terms is at least the threshold.
 
-    Cursors are kept in order of their units.  The pivot is the first where the lists' maxima add up to
-    the threshold; if the maxima of its blocks do not, the cursors jump past the nearest end of a block.
+    Blocks whose maxima do not add up to the threshold are skipped whole.  In the others cursors are
+    kept in order of their units; the pivot is the first where the maxima add up, and cursors before it jump there.
     """
-    cursors = [_Cursor(index, t) for t in terms.tolist()]
+    starts = index.block_starts[terms]
+    sizes = index.block_starts[terms + 1] - starts
+    entries = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    bounds = np.bincount(index.blocks[entries], index.block_tops[entries])
     found = []
-    while True:
-        cursors = sorted((c for c in cursors if c.unit() >= 0), key=_Cursor.unit)
-        bound, pivot = 0.0, None
-        for i, c in enumerate(cursors):
-            bound += c.top
-            if bound >= threshold:
-                pivot = i
+    for block in np.nonzero(bounds >= threshold - 1e-9)[0].tolist():
+        cursors = [_Cursor(index, e) for e in entries[index.blocks[entries] == block].tolist()]
+        while True:
+            cursors = sorted((c for c in cursors if c.unit() >= 0), key=_Cursor.unit)
+            bound, pivot = 0.0, None
+            for c in cursors:
+                bound += c.top
+                if bound >= threshold - 1e-9:
+                    pivot = c.unit()
+                    break
+            if pivot is None:
                 break
-        if pivot is None:
-            return found
-        unit = cursors[pivot].unit()
-        while pivot + 1 < len(cursors) and cursors[pivot + 1].unit() == unit:
-            pivot += 1
-        blocks = [c.block(unit) for c in cursors[: pivot + 1]]
-        if sum(b for b, _ in blocks) < threshold:
-            ends = [e for _, e in blocks if e >= 0]
-            beyond = min([e + 1 for e in ends] + [c.unit() for c in cursors[pivot + 1 : pivot + 2]])
-            for c in cursors[: pivot + 1]:
-                c.seek(max(beyond, unit + 1))
-            continue
-        score = 0.0
-        for c in cursors[: pivot + 1]:
-            c.seek(unit)
-            if c.unit() == unit:
-                score += float(c.impacts[c.at])
-                c.at += 1
-        if score >= threshold:
-            found.append((unit, score))
+            score = 0.0
+            for c in cursors:
+                if c.unit() > pivot:
+                    break
+                c.seek(pivot)
+                if c.unit() == pivot:
+                    score += c.impacts[c.at]
+                    c.at += 1
+            if score >= threshold:
+                found.append((pivot, score))
+    return found
 
 
 def _units(items: DataFrame, key: str, text: str) -> DataFrame:
@@ -155,9 +163,11 @@ def indexes(items: DataFrame, key: str, text: str) -> Iterator[Index]:
     placed = placed.withColumn("part", part)
     for k in range(parts):
         rows = placed.where(F.col("part") == k).orderBy("item_id", "unit", "place").toPandas()
-        number = {}
-        for row in rows[["item_id", "unit"]].drop_duplicates().itertuples(index=False):
-            number[tuple(row)] = len(number)
+        # Units that share their most frequent term, often a language, stand together, so that blocks differ.
+        often = rows["term"].map(rows["term"].value_counts())
+        leads = rows.assign(often=often).sort_values(["often", "term"]).drop_duplicates(["item_id", "unit"], keep="last")
+        leads = leads.sort_values(["often", "term", "item_id", "unit"])
+        number = {(row.item_id, row.unit): i for i, row in enumerate(leads.itertuples(index=False))}
         texts = {}
         for (item, unit), group in rows.groupby(["item_id", "unit"], sort=True):
             terms = group["term"].to_numpy().view(np.uint64)
@@ -170,10 +180,27 @@ def indexes(items: DataFrame, key: str, text: str) -> Iterator[Index]:
             continue
         term = post["term"].to_numpy().view(np.uint64)
         unit = np.array([number[x] for x in zip(post["item_id"], post["unit"], strict=True)], np.int64)
-        order = np.lexsort((unit, term))
-        term, unit, impact = term[order], unit[order], post["impact"].to_numpy()[order]
-        terms, starts = np.unique(term, return_index=True)
-        yield Index(terms, np.append(starts, len(term)), unit, impact, np.maximum.reduceat(impact, starts), texts)
+        yield Index.build(term, unit, post["impact"].to_numpy(), texts)
+
+
+def _promising(index: Index, number: np.ndarray, threshold: float) -> list[int]:
+    """Where the passages begin whose distinct words' maxima add up to the threshold; no others can reach it.
+
+    A word counts in a passage if it does not occur before it there.  Each word is in two passages at most.
+    """
+    at = np.nonzero(number >= 0)[0]
+    if not len(at):
+        return []
+    order = np.argsort(number[at], kind="stable")
+    same = np.append(False, number[at][order][1:] == number[at][order][:-1])
+    before = np.full(len(at), -1)
+    before[order[same]] = at[order[np.nonzero(same)[0] - 1]]
+    top, last = index.tops[number[at]], max(0, -(-len(number) // UNIT) - 2)
+    bound = np.zeros(last + 1)
+    for k in (at // UNIT, at // UNIT - 1):
+        fits = (k >= 0) & (k <= last) & (before < k * UNIT)
+        bound += np.bincount(k[fits], top[fits], last + 1)
+    return (np.nonzero(bound >= threshold - 1e-9)[0] * UNIT).tolist()
 
 
 def leaks(body: bytes | None, index: Index, threshold: float = THRESHOLD, percent: int = PERCENT) -> list[tuple]:
@@ -182,16 +209,10 @@ def leaks(body: bytes | None, index: Index, threshold: float = THRESHOLD, percen
     if not len(words):
         return []
     number = index.lists(words)
-    # A passage cannot reach the threshold if the maxima of all its words do not add up to it.
-    bound = np.append(0.0, np.cumsum(np.where(number >= 0, index.tops[number], 0.0)))
-    starts = np.arange(0, max(1, len(words) - UNIT), UNIT)
-    ends = np.minimum(starts + 2 * UNIT, len(words))
     best: dict[int, tuple] = {}
-    for start in starts[bound[ends] - bound[starts] >= threshold - 1e-9].tolist():
+    for start in _promising(index, number, threshold):
         passage, known = words[start : start + 2 * UNIT], number[start : start + 2 * UNIT]
         terms = np.unique(known[known >= 0])
-        if index.tops[terms].sum() < threshold - 1e-9:
-            continue
         for unit, score in wand(index, terms, threshold):
             item, question, answer, shingles, width = index.texts[unit]
             have = np.unique(passage)
