@@ -279,8 +279,14 @@ def training_texts(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -
     low = F.lower(body)
     marked = body.contains("AKIA") | F.contains(low, F.lit("password")) | F.contains(low, F.lit("token")) | F.contains(low, F.lit("secret"))
     some = docs.where(body.isNotNull() & (F.length(body) <= 20_000)).select(body.alias("body"), *(c.alias(f"o{i}") for i, c in enumerate(order)), marked.alias("marked"))
-    both = [some.where(cond).orderBy("o0", "o1").limit(sample).select("body") for cond in (F.col("marked"), ~F.col("marked"))]
-    return [r.body for half in both for r in half.collect()]
+    texts = []
+    for cond in (F.col("marked"), ~F.col("marked")):
+        half = some.where(cond)
+        # The cut that keeps `sample` rows is found on the hashes alone, so few texts are sorted or sent.
+        top = half.select("o0").orderBy("o0").limit(sample).agg(F.max("o0")).first()[0]
+        if top is not None:
+            texts += [r.body for r in half.where(F.col("o0") <= top).orderBy("o0", "o1").limit(sample).select("body").collect()]
+    return texts
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, field: Field | None = None) -> DataFrame:
