@@ -1,4 +1,5 @@
 from clickloom.observability.metrics import (
+    batch_schemas,
     evaluate_nulls,
     evaluate_schema,
     evaluate_volume,
@@ -23,6 +24,7 @@ from clickloom.observability.tracker import QualityTracker
 
 __all__ = [
     "QualityTracker",
+    "batch_schemas",
     "evaluate_nulls",
     "evaluate_schema",
     "evaluate_volume",

@@ -146,6 +146,24 @@ def schema_observation(df: DataFrame, dataset: str, at: dt.datetime) -> DataFram
     return df.sparkSession.createDataFrame([(dataset, at, columns)], shape)
 
 
+def batch_schemas(df: DataFrame, dataset: str, batch: str) -> DataFrame:
+    """What the batches of a feed hold, one schema record for each value of column ``batch``.
+
+    A column without any value in a batch is absent from its record, and a double that
+    holds whole numbers only counts as bigint.
+    """
+    def entry(f: T.StructField) -> Column:
+        kind = F.lit(f.dataType.simpleString())
+        if isinstance(f.dataType, T.DoubleType):
+            kind = F.when(F.bool_or(F.col(f.name) % 1 != 0), kind).otherwise("bigint")
+        return F.when(F.count(f.name) > 0, F.struct(F.lit(f.name).alias("key"), kind.alias("value")))
+
+    entries = F.array(*[entry(f) for f in df.schema.fields if f.name != batch])
+    held = df.groupBy(F.col(batch).cast("timestamp").alias("timestamp")).agg(entries.alias("_entries"))
+    return held.select(F.lit(dataset).alias("dataset"), "timestamp",
+                       F.map_from_entries(F.array_compact("_entries")).alias("schema_columns"))
+
+
 def evaluate_schema(history: DataFrame, lag: int = 1) -> DataFrame:
     """Columns added, removed and changed against the ``lag``-th record before."""
     w, back = _history(lag)

@@ -88,5 +88,5 @@ class QualityTracker:
         }
 
     def cleanup(self, keep_days: int = R.KEEP_DAYS, now: dt.datetime | None = None) -> int:
-        """Drop runs older than ``keep_days``; returns the number of day partitions removed."""
+        """Drop runs older than ``keep_days``; returns the number of runs removed."""
         return drop_old_runs(self.spark, self.runs_dir, (now or _utc_now()) - dt.timedelta(days=keep_days))

@@ -1,6 +1,6 @@
 from clickloom.operators.dedup import dedup_latest, first_by, pick_per_group
 from clickloom.operators.enrich import hot_keys, orphan_keys, skew_safe_left_join
-from clickloom.operators.running import running_by_time
+from clickloom.operators.running import positions, running_by_time
 
 __all__ = [
     "dedup_latest",
@@ -8,6 +8,7 @@ __all__ = [
     "hot_keys",
     "orphan_keys",
     "pick_per_group",
+    "positions",
     "running_by_time",
     "skew_safe_left_join",
 ]

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.session import write_down
+
 
 def running_by_time(df: DataFrame, time_col: str, sums: Mapping[str, str] | None = None,
                     firsts: Mapping[str, str] | None = None, lasts: Mapping[str, str] | None = None,
@@ -73,3 +75,24 @@ def running_by_time(df: DataFrame, time_col: str, sums: Mapping[str, str] | None
         return F.coalesce(*(parts if name in firsts else reversed(parts)))
 
     return joined.select(*df.columns, *[combined(name).alias(name) for name in inputs])
+
+
+def positions(df: DataFrame, order: Sequence[str], name: str = "position", by: Sequence[str] = ()) -> DataFrame:
+    """Add the 1-based place of each row in its group, in ascending order of unique columns.
+
+    Rows are range-sorted by (``by``, ``order``) and written down with their range; places
+    within a range start from the row counts of the ranges before it.  So a group, or an
+    instant, with most of the rows is spread over tasks; only one row per range and group
+    is summed in one place.
+    """
+    by = list(by)
+    ranged = write_down(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    before = (Window.partitionBy(*by) if by else Window).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_rows")).select(
+        *[F.col(c).alias(f"_g_{c}") for c in by], F.col("_range").alias("_r"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order))
+    match = F.col("_range") == F.col("_r")
+    for c in by:
+        match &= F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return ranged.withColumn("_place", inside).join(offsets, match).select(
+        *df.columns, (F.col("_offset") + F.col("_place")).alias(name))

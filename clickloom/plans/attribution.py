@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import safe_divide, scaled_units, units_to_double
-from clickloom.operators import running_by_time, skew_safe_left_join
+from clickloom.operators import positions, running_by_time, skew_safe_left_join
 from clickloom.operators.enrich import HOT_SHARE, place_of
 from clickloom.session import write_down
 
@@ -175,6 +175,25 @@ def linear_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "g
     return Journey.of(conversions, clicks, mode).linear()
 
 
+def touch_positions(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
+    """Place of each click among the touches, and whether it is the first or last touch of any conversion.
+
+    The touches of a conversion are the clicks up to its instant, so the place of a click is the same for
+    every conversion: one row per click (and customer, in customer mode) stands for all pairs.
+    """
+    journey = Journey.of(conversions, clicks, mode)
+    by = journey.by
+    placed = positions(journey.touch.select(*by, "click_id", "at", *GROUP), ["at", "click_id"], "touch_sequence", by)
+    ends = journey.ledger().filter(F.col("total_touches") > 0).select(*by, F.explode(F.array(
+        F.struct(F.col("first_touch.click_id").alias("click_id"), F.lit(True).alias("first")),
+        F.struct(F.col("last_touch.click_id").alias("click_id"), F.lit(False).alias("first")),
+    )).alias("end")).groupBy(*by, F.col("end.click_id").alias("click_id")).agg(
+        F.bool_or("end.first").alias("is_first_touch"), F.bool_or(~F.col("end.first")).alias("is_last_touch"))
+    return placed.join(ends, [*by, "click_id"], "left").select(
+        *by, "click_id", F.col("at").alias("click_timestamp"), *GROUP, "touch_sequence",
+        *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in ("is_first_touch", "is_last_touch")])
+
+
 def int_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
     """Credit of all three models in one table.
 

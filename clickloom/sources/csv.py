@@ -23,12 +23,12 @@ def read_raw_csv(spark: SparkSession, path: str, table: str,
                  max_bad_records: int = DEFAULT_MAX_BAD_RECORDS) -> DataFrame:
     """Read a feed with a header line into the declared schema of ``table``.
 
-    A record is bad if it has the wrong number of fields or a value that its column's type
-    cannot hold.  Up to ``max_bad_records`` bad records are left out; beyond that the load
+    A record is bad if it has the wrong number of fields, a value that its column's type
+    cannot hold, or no value in a required column.  Up to ``max_bad_records`` bad records are left out; beyond that the load
     fails, after a pass of its own that counts them.
 
     With a bound of zero the load is strict: the job that reads the feed fails on the first
-    bad record, or on a missing value in a required column, without a separate pass.
+    bad record, without a separate pass.
 
     Every column is read as text and converted here, so that what counts as bad does not
     depend on which columns a later query happens to use.
@@ -50,9 +50,9 @@ def read_raw_csv(spark: SparkSession, path: str, table: str,
 
     unreadable = [F.col(f.name).isNotNull() & typed(f).isNull() for f in schema.fields
                   if not isinstance(f.dataType, T.StringType)]
-    bad = reduce(or_, unreadable, F.col(_LINE).isNotNull())
+    missing = [F.col(f.name).isNull() for f in schema.fields if not f.nullable]
+    bad = reduce(or_, unreadable + missing, F.col(_LINE).isNotNull())
     if max_bad_records == 0:
-        bad = reduce(or_, [F.col(f.name).isNull() for f in schema.fields if not f.nullable], bad)
         first = F.concat(F.lit(f"malformed record in {path}: "), F.to_json(F.struct(*schema.names)))
         kept = lines.filter(F.when(bad, F.raise_error(first).cast("boolean")).otherwise(F.lit(True)))
     else:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.session import write_down
+
 _DAY = "run_date"
 
 
@@ -51,13 +53,30 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drop_old_runs(spark: SparkSession, path: str, before: dt.datetime) -> int:
-    """Remove the day partitions that lie wholly before a moment; returns how many."""
+    """Remove the runs before a moment; returns how many.
+
+    Days that lie wholly before it lose their folder.  What stays of the day it falls on is
+    written anew before the old files go, so a failure in between leaves runs twice, never none.
+    """
     fs, root = _path(spark, path)
     if not fs.exists(root):
         return 0
-    removed = 0
+    removed = read_runs(spark, path).filter(F.col("timestamp") < before).count()
+    if not removed:
+        return 0
+    days = {}
     for status in fs.listStatus(root):  # one entry per day
         name = status.getPath().getName()
-        if name.startswith(f"{_DAY}=") and dt.date.fromisoformat(name.split("=")[1]) < before.date():
-            removed += bool(fs.delete(status.getPath(), True))
+        if name.startswith(f"{_DAY}="):
+            days[dt.date.fromisoformat(name.split("=")[1])] = status.getPath()
+    broken = days.get(before.date())
+    if broken is not None:
+        old = [status.getPath() for status in fs.listStatus(broken)]
+        today = read_runs(spark, path).filter(F.to_date("timestamp") == before.date())
+        append_runs(write_down(today.filter(F.col("timestamp") >= before)), path)
+        for file in old:
+            fs.delete(file, True)
+    for day, folder in days.items():
+        if day < before.date():
+            fs.delete(folder, True)
     return removed

@@ -300,6 +300,20 @@ SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(attribu
 UNION ALL BY NAME {_linear(journey, digits)}"""
 
 
+def _touch_positions(journey: str, touch: str, by: str = "") -> str:
+    def flag(order: str) -> str:
+        ends = (f"SELECT {by}click_id FROM {journey} QUALIFY row_number() OVER (PARTITION BY conversion_id "
+                f"ORDER BY click_timestamp {order}, click_id {order}) = 1")
+        return f"({by}click_id) IN ({ends})"
+
+    within = f"PARTITION BY {by.strip(', ')}" if by else ""
+    return f"""
+SELECT {by}click_id, {txt('click_timestamp')}, channel AS attributed_channel, platform AS attributed_platform,
+       campaign_id AS attributed_campaign_id,
+       row_number() OVER ({within} ORDER BY click_timestamp, click_id) AS touch_sequence,
+       {flag('ASC')} AS is_first_touch, {flag('DESC')} AS is_last_touch FROM {touch}"""
+
+
 # As many draws as the sample has rows: a hash of seed, values and the number of the copy.
 _CLICK = "click_id, impression_id, campaign_id, channel, platform, timestamp, device_type, country, cost_micros"
 _DRAWN = ", ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '~')" for c in (*_CLICK.split(","), "copy"))
@@ -378,6 +392,8 @@ SELECT customer_id, CAST(u30 AS DOUBLE) / 1e4 AS ltv_30d, CAST(u90 AS DOUBLE) /
     "attribution_customer_linear_by_channel": _linear("own_journey", digits=6),
     "attribution_customer_linear_credit": _credit("own_journey"),
     "attribution_customer_summary": _summary("own_journey", digits=6),
+    "touch_positions_global": _touch_positions("journey", "clk0"),
+    "touch_positions_customer": _touch_positions("own_journey", "own_touch", "customer_id, "),
 }
 
 _SUMS = ", ".join(f"{big(f'sum({c})')} AS total_{c}" for c in ("impressions", "clicks", "conversions", "purchases", "signups", "leads"))
@@ -671,6 +687,33 @@ _NULL_COLUMNS = {
 PARTS["null_rates"] = " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, '{c}' AS \"column\", count(*) AS total_rows, count(*) - count({c}) AS null_count FROM {d}"
     for d, cs in _NULL_COLUMNS.items() for c in cs.split())
+
+
+def _daily_schemas(dataset: str, columns: list[str]) -> str:
+    """Per day: which columns hold a value, which come, go, or turn whole or fractional; timestamp is always there."""
+    kinds = {c: f"CASE WHEN count({c}) = 0 THEN NULL ELSE 'same' END" for c in columns}
+    if "revenue" in kinds:
+        kinds["revenue"] = """CASE WHEN count(revenue) = 0 THEN NULL
+                                   WHEN count(*) FILTER (WHERE revenue <> floor(revenue)) > 0 THEN 'part' ELSE 'whole' END"""
+    days = ", ".join(f"{kind} AS {c}" for c, kind in kinds.items())
+    before = ", ".join(f"lag({c}) OVER (ORDER BY day) AS was_{c}" for c in columns)
+
+    def names(condition: str) -> str:
+        cases = ", ".join(f"CASE WHEN known AND {condition.format(c)} THEN '{c}' END" for c in sorted(columns))
+        return f"concat_ws(',', {cases})"
+
+    held = " + ".join(f"CAST({c} IS NOT NULL AS BIGINT)" for c in columns)
+    return f"""
+SELECT '{dataset}' AS dataset, CAST(day AS TIMESTAMP) AS timestamp, {big(held + ' + 1')} AS column_count,
+       {names('{0} IS NOT NULL AND was_{0} IS NULL')} AS added, {names('{0} IS NULL AND was_{0} IS NOT NULL')} AS removed,
+       {names('{0} <> was_{0}')} AS type_changed
+FROM (SELECT *, lag(true) OVER (ORDER BY day) IS NOT NULL AS known, {before}
+      FROM (SELECT date_trunc('day', timestamp) AS day, {days}
+            FROM {dataset} GROUP BY 1))"""
+
+
+PARTS["schemas"] = "SELECT *, if(added || removed || type_changed = '', 'ok', 'drifted') AS status FROM (" + " UNION ALL ".join(
+    f"({_daily_schemas(d, cs.replace(' timestamp', '').split())})" for d, cs in _NULL_COLUMNS.items()) + ")"
 _NULL_PCT = rnd("CAST(null_count * 100 AS DOUBLE) / CAST(total_rows AS DOUBLE)")
 PARTS["fresh"] = " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, max(timestamp) AS latest_data_timestamp FROM {d}" for d in _NULL_COLUMNS)
@@ -709,6 +752,7 @@ FROM (SELECT timestamp, c.* FROM batch_checks c
     "freshness": f"""
 SELECT dataset, '2001-11-06 00:00:00' AS timestamp, {txt('latest_data_timestamp')},
        {rnd(_STALE, 1)} AS staleness_minutes, {big('1440')} AS expected_interval_minutes, {_FRESH_STATUS} AS status FROM fresh""",
+    "schema_drift": f"SELECT {_RUN_TEXT} FROM schemas",
     "null_rates": f"SELECT *, {_NULL_PCT} AS null_rate_pct, {_NULL_PCT} > 5 AS flagged FROM null_rates",
     "null_rate_records": f"""
 SELECT dataset, max(total_rows) AS total_rows, 5e0 AS threshold_pct,
@@ -716,10 +760,11 @@ SELECT dataset, max(total_rows) AS total_rows, 5e0 AS threshold_pct,
        if(bool_or({_NULL_PCT} > 5), 'warning', 'ok') AS status FROM null_rates GROUP BY 1""",
     "health_summary": f"""
 SELECT dataset, CASE WHEN freshness = 'critical' THEN 'critical'
-                     WHEN freshness = 'stale' OR volume = 'warning' OR nulls = 'warning' THEN 'warning'
-                     ELSE 'healthy' END AS overall, freshness, volume, 'unknown' AS schema, nulls
+                     WHEN freshness = 'stale' OR volume = 'warning' OR nulls = 'warning' OR schema = 'drifted' THEN 'warning'
+                     ELSE 'healthy' END AS overall, freshness, volume, schema, nulls
 FROM (SELECT dataset, {_FRESH_STATUS} AS freshness FROM fresh)
 JOIN (SELECT dataset, arg_max(status, timestamp) AS volume FROM volumes GROUP BY 1) USING (dataset)
+JOIN (SELECT dataset, arg_max(status, timestamp) AS schema FROM schemas GROUP BY 1) USING (dataset)
 JOIN (SELECT dataset, if(bool_or({_NULL_PCT} > 5), 'warning', 'ok') AS nulls FROM null_rates GROUP BY 1) USING (dataset)""",
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS dataset, count(*) AS row_count FROM {part}" for name, part in _COUNTED.items())
@@ -733,6 +778,7 @@ QUERIES |= {
 SELECT CAST(CAST(date_trunc('month', timestamp) AS DATE) AS VARCHAR) AS event_month, count(*) AS conversions,
        {money('revenue')} AS revenue FROM raw_conversions GROUP BY 1""",
     "run_log": f"SELECT {_RUN_TEXT} FROM runs",
+    "cleanup": f"SELECT {_RUN_TEXT} FROM runs WHERE timestamp >= TIMESTAMP '1999-01-11 12:00:00'",
     "metric_log": f"""
 SELECT {txt('timestamp')}, dataset, 'volume' AS metric, status, row_count, change_from_previous_pct, anomaly_detected,
        CAST(NULL AS DOUBLE) AS staleness_minutes FROM volumes

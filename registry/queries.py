@@ -14,6 +14,8 @@ from clickloom import fixtures
 from clickloom.operators import dedup_latest
 from clickloom.functions import exact_sum, round_half_away
 from clickloom.observability import (
+    batch_schemas,
+    evaluate_schema,
     evaluate_nulls,
     evaluate_volume,
     failure_details,
@@ -46,7 +48,7 @@ from clickloom.quality import (
 from clickloom.quality.expectations import CLICKS_HAVE_IMPRESSIONS, CONVERSIONS_HAVE_CLICKS, suite
 from clickloom.schemas import TableSpec
 from clickloom.session import scratch_path
-from clickloom.sources import append_metrics, append_runs, read_metrics, read_raw_csv, read_runs, write_table
+from clickloom.sources import append_metrics, append_runs, drop_old_runs, read_metrics, read_raw_csv, read_runs, write_table
 from clickloom.semantic import CHANNEL_ROI, CUSTOMER_ACQUISITION, MARKETING_DASHBOARD, run_tile, tiles, with_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,9 +229,21 @@ def _null_rates(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [null_rates(df, name) for name, df in _raw(t).items()])
 
 
+def _schemas(t: Tables) -> DataFrame:
+    """The columns of every feed, day by day."""
+    daily = [batch_schemas(df.withColumn("batch", F.date_trunc("day", "timestamp")), name, "batch")
+             for name, df in _raw(t).items()]
+    return evaluate_schema(reduce(DataFrame.unionByName, daily))
+
+
+def _schema_drift(t: Tables) -> DataFrame:
+    changes = [F.concat_ws(",", F.col("drift")[kind]).alias(kind) for kind in ("added", "removed", "type_changed")]
+    return _schemas(t).select("dataset", "timestamp", "column_count", *changes, "status")
+
+
 def _health(t: Tables) -> DataFrame:
     nulls = evaluate_nulls(_null_rates(t), F.lit(NOW))
-    kinds = {"volume": _volumes(t), "freshness": _freshness(t), "null_rates": nulls}
+    kinds = {"volume": _volumes(t), "freshness": _freshness(t), "null_rates": nulls, "schema": _schemas(t)}
     return health_summary(reduce(DataFrame.unionByName, [metric_records(df, k) for k, df in kinds.items()]))
 
 
@@ -283,6 +297,13 @@ def _run_log(t: Tables) -> DataFrame:
     return _plain(read_runs(t.spark, path))
 
 
+def _cleanup(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark)
+    append_runs(_runs(t), path)
+    drop_old_runs(t.spark, path, NOW - dt.timedelta(days=901))
+    return _plain(read_runs(t.spark, path))
+
+
 def _metric_log(t: Tables) -> DataFrame:
     path = scratch_path(t.spark)
     append_metrics(metric_records(_volumes(t), "volume"), path)
@@ -316,6 +337,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "attribution_customer_linear_by_channel": _linear("customer", revenue_digits=6),
     "attribution_customer_linear_credit": _credit("customer"),
     "attribution_customer_summary": _summary("customer", digits=6),
+    "touch_positions_global": _attribution(attribution.touch_positions, "global"),
+    "touch_positions_customer": _attribution(attribution.touch_positions, "customer"),
     "kpi_totals": lambda t: tiles.kpi_totals(t.dashboard(), window="all", trusted=True),
     "spend_by_channel": _tile("spend_by_channel", "dashboard"),
     "roas_trend": _tile("roas_trend", "dashboard"),
@@ -362,6 +385,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "volume_change_two_runs_back": lambda t: _volumes(t, lag=2),
     "volume_anomalies": lambda t: volume_anomalies(_volumes(t)),
     "freshness": _freshness,
+    "schema_drift": _schema_drift,
     "null_rates": _null_rates,
     "null_rate_records": _null_records,
     "health_summary": _health,
@@ -369,6 +393,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "csv_load": _csv_load,
     "partitioned_table": _partitioned_table,
     "run_log": _run_log,
+    "cleanup": _cleanup,
     "metric_log": _metric_log,
     "duplicate_click_examples": lambda t: unexpected_values(t.raw.clicks, check.unique("click_id")),
 }

@@ -165,3 +165,22 @@ def test_cleanup_drops_old_days(spark, tracker):
     assert tracker.cleanup(now=NOW) == 2
     assert tracker.runs.count() == 2
     assert O.QualityTracker(spark, "/tmp/no-such-runs-folder", "/tmp/no-such").cleanup() == 0
+
+
+def test_cleanup_compares_instants_within_the_day(spark, tracker):
+    s = suite("s", "d", check.rows_above(0))
+    df = spark.createDataFrame([("a",)], "k string")
+    for hours in (-30, -1, 0, 1):
+        tracker.track(df, s, now=NOW - dt.timedelta(days=90) + dt.timedelta(hours=hours))
+    assert tracker.cleanup(now=NOW) == 2
+    assert tracker.runs.count() == 2
+    assert tracker.cleanup(now=NOW) == 0
+
+
+def test_batch_schemas_follow_the_values(spark):
+    rows = [(1, "a", 1.0), (1, "b", 2.0), (2, "a", 1.5), (3, None, None)]
+    df = spark.createDataFrame(rows, "day int, k string, v double").selectExpr(
+        "timestamp_seconds(day * 86400) as batch", "k", "v")
+    got = [r["drift"].asDict() for r in O.evaluate_schema(O.batch_schemas(df, "d", "batch")).orderBy("timestamp").collect()]
+    assert [(d["added"], d["removed"], d["type_changed"]) for d in got] == [
+        ([], [], []), ([], [], ["v"]), ([], ["k", "v"], [])]

@@ -9,6 +9,7 @@ from clickloom.operators import (
     hot_keys,
     orphan_keys,
     pick_per_group,
+    positions,
     running_by_time,
     skew_safe_left_join,
 )
@@ -160,3 +161,12 @@ def test_key_that_cannot_be_spread_is_named(spark):
     left = spark.range(4).selectExpr("id", "array(id) as k")
     with pytest.raises(TypeError, match="array"):
         skew_safe_left_join(left, left.select("k", "id"), ["k"], ["id"])
+
+
+def test_positions_number_rows_of_every_group_whatever_the_partitioning(spark):
+    rows = [("x", i // 50, i) for i in range(300)] + [("y", 0, 1), (None, 2, 2), (None, 1, 3)]
+    df = spark.createDataFrame(rows, "k string, at int, id int").repartition(5)
+    got = {(r.k, r.id): r.n for r in positions(df, ["at", "id"], "n", ["k"]).collect()}
+    assert got == {("x", i): i + 1 for i in range(300)} | {("y", 1): 1, (None, 3): 1, (None, 2): 2}
+    assert [r.n for r in positions(df.where("k = 'x'"), ["at", "id"], "n").orderBy("id").collect()] == list(range(1, 301))
+    assert positions(df.limit(0), ["at", "id"]).count() == 0

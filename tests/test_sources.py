@@ -43,6 +43,8 @@ def test_bad_records_are_left_out_up_to_the_bound(spark, csv):
 
 def test_strict_load_fails_on_a_bad_record(spark, csv):
     assert read_raw_csv(spark, csv(GOOD), "raw_conversions", max_bad_records=0).count() == 2
+    # A missing value in a required column is bad under any bound.
+    assert read_raw_csv(spark, csv(GOOD + ",k9,C001,u9,2024-01-02 03:04:05,1.0,lead\n"), "raw_conversions", max_bad_records=1).count() == 2
     for bad in (*BAD.splitlines(), "v6,k6,C001,,2024-01-02 03:04:05,1.0,lead"):
         # Whatever columns are read, and even for a bare count.
         df = read_raw_csv(spark, csv(GOOD + bad + "\n"), "raw_conversions", max_bad_records=0)
