@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.spread import compare_pairs
+from clickloom.llm.spread import compare_pairs, sorted_groups
 from clickloom.llm.words import SHINGLE, common, mix, odd_multipliers, shingle_sequence, word_hashes
 from clickloom.session import write_down
 
@@ -30,6 +31,11 @@ PERCENT = 75
 GAP = 2 * SHINGLE
 # The width to which windows are followed on either side; comparing texts finds the whole passage.
 REACH = 1024
+# The shingles around a window's centre by which members of a key are told apart after the hubs, on either side.
+VIEW = 2 * LEAST
+BASE = np.uint64(0xD6E8FEB86659FD93)
+# Members of one key on either side of a task.
+BLOCK = 512
 
 
 def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -75,7 +81,10 @@ def compact_windows(h: np.ndarray, least: int = LEAST, reach: int = REACH) -> tu
 
 
 def _rows(ids: list[int], sequences: list[np.ndarray], multipliers: np.ndarray):
-    """(key, doc, position) of each window under each of its two keys: value and context before, or after."""
+    """(key, doc, position, print) of each window under each of its two keys: value and context before, or after.
+
+    The print is a hash of the VIEW shingles on either side of the window's centre, as far as the document goes.
+    """
     starts = np.cumsum([0, *(len(s) + 1 for s in sequences)])
     flat = np.zeros(starts[-1] + 1, np.uint64)
     for s, at in zip(sequences, starts[:-1], strict=True):
@@ -88,28 +97,37 @@ def _rows(ids: list[int], sequences: list[np.ndarray], multipliers: np.ndarray):
         h = mix(flat * m) | np.uint64(1)
         h[bound] = 0
         hashes.append(h)
-    keys, docs, places = [], [], []
+    # sums of value * BASE ** position: of any stretch by two lookups, and the same wherever the stretch begins.
+    ends = np.repeat(starts[1:], [len(s) + 1 for s in sequences])
+    powers = np.cumprod(np.full(len(flat), BASE))
+    sums = np.append(np.zeros(1, np.uint64), np.cumsum(np.where(bound, np.uint64(0), mix(flat)) * powers))
+    inverse = np.cumprod(np.full(len(flat), np.uint64(pow(int(BASE), -1, 2**64))))
+    keys, docs, places, prints = [], [], [], []
     for f, h in enumerate(hashes):
         left, c, right = compact_windows(h)
         other = hashes[(f + 1) % len(hashes)]
-        around = _sliding_min(other, CONTEXT)
+        context = _sliding_min(other, CONTEXT)
         value = mix(h[c] + np.uint64(f))
         for side, begin, whole in ((1, c - CONTEXT + 1, c - left >= CONTEXT - 1), (2, c, right - c >= CONTEXT - 1)):
-            near = around[begin[whole]]
+            near = context[begin[whole]]
             keys.append(mix((value[whole] ^ near) + np.uint64(side)).view(np.int64))
             docs.append(doc_of[c[whole]])
-            places.append(c[whole] - first[c[whole]])
-    return np.concatenate(keys), np.concatenate(docs), np.concatenate(places)
+            at = c[whole]
+            places.append(at - first[at])
+            around = sums[np.minimum(at + VIEW + 1, ends[at])] - sums[np.maximum(at - VIEW, first[at])]
+            prints.append((mix(around * inverse[at]) >> np.uint64(16)).view(np.int64))
+    return tuple(map(np.concatenate, (keys, docs, places, prints)))
 
 
-def meetings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(a, b, diagonal): documents a < b with windows of one key, and the distance of their positions.
+def keyed_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(deal, key, doc, at, print, hub, hub_at, hub_print): every window of at least LEAST shingles under each of its keys.
 
-    Under each key the first document is the hub the others meet.  Windows of one key in one batch meet
-    there; only one of them goes on to the shuffle, so a passage that most documents hold sends one row per batch.
+    Windows of one key in one batch meet there, with the first document as hub.  Only the hub's windows are
+    dealt by key, which is null beside it, so a passage that most documents hold sends few rows to one task.
     """
     multipliers = odd_multipliers(FUNCTIONS, SEED)
-    schema = pa.schema([(c, pa.int64()) for c in ("key", "doc", "at", "hub", "hub_at")])
+    names = ("deal", "key", "doc", "at", "print", "hub", "hub_at", "hub_print")
+    schema = pa.schema([(c, pa.int64()) for c in names])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,46 +145,200 @@ def meetings(docs: DataFrame, key: str, text: str) -> DataFrame:
                 parts.append(_rows(ids, held, multipliers))
             if not parts:
                 continue
-            keys, doc, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+            keys, doc, at, prints = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.lexsort((at, doc, keys))
-            keys, doc, at = keys[order], doc[order], at[order]
+            keys, doc, at, prints = keys[order], doc[order], at[order], prints[order]
             new = np.append(True, keys[1:] != keys[:-1])
             hub = np.nonzero(new)[0][np.cumsum(new) - 1]
-            apart = ~new & (doc[hub] != doc)
+            apart = doc[hub] != doc
+            none = pa.nulls(int((~apart).sum()), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[new]), pa.array(doc[new]), pa.array(at[new]), pa.nulls(int(new.sum()), pa.int64()),
-                 pa.nulls(int(new.sum()), pa.int64())], schema=schema)
+                [pa.array(keys[~apart]), none, *(pa.array(x[~apart]) for x in (doc, at, prints)), none, none, none], schema=schema)
             spread = mix(doc[apart].view(np.uint64) + at[apart].view(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (spread, doc[apart], at[apart], doc[hub][apart], at[hub][apart])], schema=schema)
+                [pa.array(x) for x in (spread, *(x[apart] for x in (keys, doc, at, prints)), *(x[hub][apart] for x in (doc, at, prints)))],
+                schema=schema)
 
-    sent = (docs.where(F.col(key).isNotNull())
+    return (docs.where(F.col(key).isNotNull())
             .select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("text"))
-            .mapInArrow(windows, "key long, doc long, at long, hub long, hub_at long")
-            .repartition("key").sortWithinPartitions("key", "doc", "at"))
-    met = pa.schema([(c, pa.int64()) for c in ("a", "b", "diagonal")])
+            .mapInArrow(windows, ", ".join(f"{c} long" for c in names)))
+
+
+def meetings(windows: DataFrame) -> DataFrame:
+    """(key, a, a_at, a_print, b, b_at, b_print): each window with the hub a of its key, the first document of its batch or of all.
+
+    The hub's own further windows are there too, with a = b; windows whose key no other window has are not.
+    """
+    sent = windows.repartition("deal").sortWithinPartitions("deal", "doc", "at")
+    names = ("key", "a", "a_at", "a_print", "b", "b_at", "b_print")
+    met = pa.schema([(c, pa.int64()) for c in names])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            there = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            there = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
             done, open_ = batch.filter(pa.array(there)), batch.filter(pa.array(~there))
-            doc, at, hub, hub_at = (done.column(i).to_numpy() for i in (1, 2, 3, 4))
-            out = [(hub, doc, at - hub_at)]
-            keys, doc, at = (open_.column(i).to_numpy() for i in (0, 1, 2))
-            if len(keys):
+            keys, doc, at, prints, hub, hub_at, hub_print = (done.column(i).to_numpy() for i in range(1, 8))
+            out = [(keys, hub, hub_at, hub_print, doc, at, prints)]
+            rows = [open_.column(i).to_numpy() for i in (0, 2, 3, 4)]
+            if len(rows[0]):
                 if last is not None:
-                    keys, doc, at = (np.append(x, y) for x, y in zip(last, (keys, doc, at), strict=True))
+                    rows = [np.append(x, y) for x, y in zip(last, rows, strict=True)]
+                keys = rows[0]
                 new = np.append(True, keys[1:] != keys[:-1])
                 hub = np.nonzero(new)[0][np.cumsum(new) - 1]
-                apart = doc[hub] != doc
-                out.append((doc[hub][apart], doc[apart], at[apart] - at[hub][apart]))
-                last = (keys[hub[-1] : hub[-1] + 1], doc[hub[-1] : hub[-1] + 1], at[hub[-1] : hub[-1] + 1])
-            a, b, d = (np.concatenate(x) for x in zip(*out, strict=True))
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d)], schema=met)
+                rest = ~new
+                out.append((keys[rest], *(x[hub][rest] for x in rows[1:]), *(x[rest] for x in rows[1:])))
+                last = [x[hub[-1] : hub[-1] + 1] for x in rows]
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+            if len(columns[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=met)
+
+    return sent.mapInArrow(meet, ", ".join(f"{c} long" for c in names))
+
+
+def _views(members: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The members (key, doc, at, print, lonely) with `view`: VIEW shingles on either side as 32-bit hashes; 0 is beyond the text."""
+    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("print", pa.int64()), ("lonely", pa.bool_()),
+                        ("view", pa.binary())])
+    asked = members.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("key", "at", "print", "lonely")).alias("places"))
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, body, places in zip(*(batch.column(i) for i in range(3)), strict=True):
+                found = (shingle_sequence(word_hashes(body.as_py())) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+                edge = np.zeros(VIEW, np.uint32)
+                around = np.concatenate([edge, found, edge])
+                # Another row of the same doc_id may be shorter.
+                places = [p for p in places.as_py() if p["at"] < len(found)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p["key"] for p in places], pa.int64()), pa.array([doc.as_py()] * len(places), pa.int64()),
+                     *(pa.array([p[c] for p in places], pa.int64()) for c in ("at", "print")),
+                     pa.array([p["lonely"] for p in places], pa.bool_()),
+                     pa.array([around[p["at"] : p["at"] + 2 * VIEW + 1].tobytes() for p in places], pa.binary())], schema=schema)
+
+    return texts.join(asked.hint("shuffle_hash"), "id").select("id", "text", "places").mapInArrow(
+        run, "key long, doc long, at long, print long, lonely boolean, view binary")
+
+
+def _candidates(left: np.ndarray, right: np.ndarray, percent: int) -> list[np.ndarray]:
+    """For each view on the left the rows on the right that may have enough shingles in common with it.
+
+    Of `needed` common shingles one is not among the needed - 1 most frequent of the view, so a line that
+    all members hold makes no candidates.  Views with repeated shingles look up all of them.
+    """
+    if len(left) * len(right) <= 64:
+        return [np.arange(len(right))] * len(left)
+    needed = _needed(percent)
+    values, ids = np.unique(np.concatenate([left.ravel(), right.ravel()]), return_inverse=True)
+    often = np.bincount(ids)
+    mine, other = ids[: left.size].reshape(left.shape), ids[left.size :]
+    order = np.argsort(other, kind="stable")
+    starts = np.searchsorted(other[order], np.arange(len(values) + 1))
+    there = np.diff(starts) > 0
+    out = []
+    for row, view in zip(mine, left, strict=True):
+        own = np.unique(row[view > 0])
+        if len(own) == (view > 0).sum():
+            own = own[np.argsort(often[own], kind="stable")][: max(0, len(own) - needed + 1)]
+        own = own[there[own]]
+        found = [order[starts[i] : starts[i + 1]] for i in own.tolist()]
+        out.append(np.unique(np.concatenate(found) // right.shape[1]) if found else np.empty(0, np.int64))
+    return out
+
+
+def _needed(percent: int, least: int = LEAST) -> int:
+    """Two passages of `least` different shingles have this many in common at that similarity."""
+    return -(-2 * least * percent // (100 + percent))
+
+
+def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """For each view in `many`: whether it shares a passage around its centre with `one`, and whether one may go on beyond the view.
+
+    Passages that lie in the views are decided here.  A passage of least shingles shares this many, by the
+    formula of the similarity; views with fewer in common share none, unless shingles are repeated in them.
+    """
+    same = (many == one) & (one > 0)
+    before, after = same[:, VIEW::-1], same[:, VIEW:]
+    run = (np.where(before.all(axis=1), VIEW + 1, before.argmin(axis=1)) + np.where(after.all(axis=1), VIEW + 1, after.argmin(axis=1)) - 1)
+    sure = run >= least
+    maybe = np.zeros(len(many), bool)
+    values = np.unique(one[one > 0])
+    needed = _needed(percent, least)
+    rest = np.nonzero(~sure)[0]
+    if not len(rest):
+        return sure, maybe
+    at = np.minimum(np.searchsorted(values, many[rest]), len(values) - 1)
+    held = (values[at] == many[rest]) & (many[rest] > 0)
+    repeated = len(values) < (one > 0).sum()
+    for i, found in zip(rest.tolist(), held, strict=True):
+        if found.sum() < needed and not (repeated and len(np.unique(many[i][found])) * 2 >= min(needed, len(values))):
+            continue
+        passages = shared_passages(one, many[i], [0], percent, least)
+        sure[i] = any(x <= VIEW < y and u <= VIEW < v for x, y, u, v, _ in passages)
+        maybe[i] = not sure[i] and (found[:GAP].any() or found[-GAP:].any())
+    return sure, maybe
 
-    return sent.mapInArrow(meet, "a long, b long, diagonal long").where("a < b").distinct()
+
+def _met_later(met: DataFrame, lonely: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """(a, b, diagonal): for windows that share no passage with their hub, earlier documents under the key that do.
+
+    All members of such a key are compared, those that share a passage with the hub too.  Members with equal
+    views do share one; only the first of them is compared with others.  A task holds a block of members and
+    one of lonely windows, and no other pairs leave it.
+    """
+    # (key, print, doc, at, lonely): the windows under the keys that have lonely ones.
+    members = met.select("key", "print", "doc", "at").unionByName(
+        met.select("key", F.col("a_print").alias("print"), F.col("a").alias("doc"), F.col("a_at").alias("at"))).distinct()
+    members = members.join(lonely.select("key").distinct(), "key", "left_semi")
+    firsts = members.groupBy("key", "print").agg(F.min(F.struct("doc", "at")).alias("first"))
+    firsts = write_down(firsts.select("key", "print", F.col("first.doc").alias("doc"), F.col("first.at").alias("at")))
+    met_first = write_down(lonely.join(firsts.select("key", "print", F.col("doc").alias("a"), F.col("at").alias("a_at")), ["key", "print"]))
+    equal = met_first.where("a < doc").select("a", F.col("doc").alias("b"), (F.col("at") - F.col("a_at")).alias("diagonal"))
+    own = met_first.where("a = doc").select("key", "print", "doc", "a_at", "at")
+    alone = own.select("key", "print").distinct().withColumn("lonely", F.lit(True))
+    sizes = firsts.join(alone, ["key", "print"], "left").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.count("lonely").alias("m")).where("n > 1 and m > 0")
+    sizes = write_down(sizes.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("lefts"),
+                                    F.ceil(F.col("m") / BLOCK).cast("int").alias("rights")))
+    asked = firsts.join(sizes, "key", "left_semi").join(alone, ["key", "print"], "left").withColumn(
+        "lonely", F.coalesce("lonely", F.lit(False)))
+    # One row per view and block it meets: on side 0 as a member that others may share a passage with, on side 1 as a lonely one.
+    member = F.transform(F.sequence(F.lit(0), F.col("rights") - 1), lambda i: F.struct(
+        F.col("left_block").alias("left"), i.alias("right"), F.lit(0).alias("side")))
+    single = F.transform(F.sequence(F.lit(0), F.col("lefts") - 1), lambda i: F.struct(
+        i.alias("left"), F.col("right_block").alias("right"), F.lit(1).alias("side")))
+    parts = F.when(F.col("lonely"), F.concat(member, single)).otherwise(member)
+    rows = (_views(asked, docs, key, text).join(sizes, "key")
+            .withColumn("left_block", F.pmod(F.xxhash64("doc", "at"), F.col("lefts")).cast("int"))
+            .withColumn("right_block", F.pmod(F.xxhash64("at", "doc"), F.col("rights")).cast("int"))
+            .withColumn("part", F.explode(parts))
+            .select("key", "part.left", "part.right", "part.side", "doc", "at", "print", "view")
+            .repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "side", "doc", "at"))
+    names = ("key", "print", "a", "from_at", "b")
+    schema = pa.schema([(c, pa.int64()) for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, *_), held in sorted_groups(batches, 3):
+            left, right = ([r for r in held if r[0] == side] for side in (0, 1))
+            if not left or not right:
+                continue
+            at_doc = np.array([r[1] for r in right], np.int64)
+            one, many = (np.frombuffer(b"".join(r[4] for r in rows_), np.uint32).reshape(len(rows_), -1) for rows_ in (left, right))
+            open_, out = np.ones(len(right), bool), []
+            for (_, doc, place, _, _), view, near in zip(left, one, _candidates(one, many, percent), strict=True):
+                near = near[open_[near] & (at_doc[near] > doc)]
+                if not len(near):
+                    continue
+                sure, maybe = _alike_around(view, many[near], percent)
+                open_[near[sure]] = False
+                out.extend((bucket, right[i][3], doc, place, right[i][1]) for i in near[sure | maybe].tolist())
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+
+    later = rows.mapInArrow(run, ", ".join(f"{c} long" for c in names)).join(own.select("key", "print", "at"), ["key", "print"])
+    return equal.unionByName(later.select("a", "b", (F.col("at") - F.col("from_at")).alias("diagonal"))).distinct()
 
 
 def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int = PERCENT,
@@ -212,8 +384,6 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Null, empty or shorter texts and rows without doc_id have no passages; rows with equal doc_id are not
     compared with each other.  An empty table gives no rows.
     """
-    pairs = (meetings(docs, key, text).groupBy("a", "b")
-             .agg(F.array_join(F.array_sort(F.collect_set(F.col("diagonal").cast("string"))), ",").alias("note")))
     schema = pa.schema([("doc_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("other_id", pa.int64()),
                         ("other_start", pa.int64()), ("other_end", pa.int64()), ("similarity", pa.float64())])
 
@@ -221,5 +391,23 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         for x, y, u, v, similar in shared_passages(centre, member, [int(d) for d in note.split(",")], percent):
             yield b, u, v + SHINGLE - 1, a, x, y + SHINGLE - 1, similar
 
-    return compare_pairs(write_down(pairs), docs, key, text, lambda body: shingle_sequence(word_hashes(body)), judge, schema,
-                         "doc_id long, start_word long, end_word long, other_id long, other_start long, other_end long, similarity double").distinct()
+    def compared(met: DataFrame) -> DataFrame:
+        pairs = write_down(met.groupBy("a", "b").agg(
+            F.array_join(F.array_sort(F.collect_set(F.col("diagonal").cast("string"))), ",").alias("note")))
+        return compare_pairs(pairs, docs, key, text, lambda body: shingle_sequence(word_hashes(body)), judge, schema,
+                             "doc_id long, start_word long, end_word long, other_id long, other_start long, other_end long, similarity double").distinct()
+
+    met = write_down(meetings(keyed_windows(docs, key, text)).withColumnsRenamed({"b": "doc", "b_at": "at", "b_print": "print"}))
+    apart = met.where("a < doc")
+    diagonals = apart.select("a", F.col("doc").alias("b"), (F.col("at") - F.col("a_at")).alias("diagonal"))
+    found = write_down(compared(diagonals))
+    spans = found.groupBy(F.col("other_id").alias("a"), "doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
+    # Positions count shingles; a passage of n words has SHINGLE - 1 fewer.
+    covered = F.exists("spans", lambda s: (s["start_word"] <= F.col("at")) & (F.col("at") <= s["end_word"] - SHINGLE))
+    left = apart.join(spans.withColumnRenamed("doc_id", "doc"), ["a", "doc"], "left").withColumn("met", F.coalesce(covered, F.lit(False)))
+    lonely = write_down(left.groupBy("key", "print", "doc", "at").agg(F.max("met").alias("met")).where("not met").drop("met"))
+    later = write_down(_met_later(met, lonely, docs, key, text, percent))
+    pairs = later.select("a", "b").distinct()
+    rest = compared(later.unionByName(diagonals.join(pairs, ["a", "b"], "left_semi")))
+    old = found.join(pairs, (F.col("other_id") == F.col("a")) & (F.col("doc_id") == F.col("b")), "left_anti")
+    return old.unionByName(rest)

@@ -219,6 +219,32 @@ def test_repeated_passages(corpus, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_behind_a_hub_that_holds_less(spark):
+    """The first document under the keys holds 49 of 50 words; the passage in full is in the two after it."""
+    rng = random.Random(11)
+    rows, late = [], []
+    for i in range(0, 120, 4):
+        shared = prose(rng, 50)
+        edited = shared.split()
+        edited[7] = edited[40] = "other"
+        first = shared.rsplit(" ", 1)[0] if i % 8 else " ".join(edited)
+        bodies = [first, shared, shared]
+        rows += [(i + j, f"{prose(rng, 60)} {body} {prose(rng, 60)}") for j, body in enumerate(bodies)]
+        late.append(i + 2)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.other_id, r.doc_id) for r in passages.repeated_passages(frame).collect()}
+    assert got == {(i - 1, i) for i in late}
+    # A member that shares a passage with the hub is compared with those that do not.
+    rows, wanted = [], set()
+    for i in range(0, 120, 4):
+        one, two, three = prose(rng, 30), prose(rng, 30), prose(rng, 30)
+        rows += [(i, f"{prose(rng, 40)} {one} {two} {prose(rng, 40)}"), (i + 1, f"{prose(rng, 40)} {one} {two} {three} {prose(rng, 40)}"),
+                 (i + 2, f"{prose(rng, 40)} {two} {three} {prose(rng, 40)}")]
+        wanted |= {(i, i + 1), (i + 1, i + 2)}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.other_id, r.doc_id) for r in passages.repeated_passages(frame).collect()} == wanted
+
+
 def test_secrets_keep_the_patterns_and_add_the_field(spark, empty):
     rng = random.Random(1)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
