@@ -341,11 +341,10 @@ def _met_later(met: DataFrame, lonely: DataFrame, docs: DataFrame, key: str, tex
     return equal.unionByName(later.select("a", "b", (F.col("at") - F.col("from_at")).alias("diagonal"))).distinct()
 
 
-def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int = PERCENT,
-                    least: int = LEAST) -> list[tuple[int, int, int, int, float]]:
-    """(start in a, end in a, start in b, end in b, similarity) in shingles, of passages on or near the diagonals."""
+def _on_diagonals(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
+    """The passages that equal runs on these diagonals make up."""
     runs = []
-    for d in sorted(set(diagonals)):
+    for d in diagonals:
         start, end = max(0, -d), min(len(a), len(b) - d)
         if start >= end:
             continue
@@ -374,6 +373,25 @@ def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent:
     return [p for *chain, parts in chains for p in alike(*chain) or [q for part in parts for q in alike(*part)]]
 
 
+def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int = PERCENT,
+                    least: int = LEAST) -> list[tuple[int, int, int, int, float]]:
+    """(start in a, end in a, start in b, end in b, similarity) in shingles, of passages on or near the diagonals.
+
+    An inserted or deleted word moves the rest of a passage to another diagonal, so those within GAP of the given
+    ones are read too.  More runs can make a chain too weak, so passages on the given diagonals alone stay.
+    A passage that lies inside another one is not reported.
+    """
+    given = sorted(set(diagonals))
+    near = sorted({d + i for d in given for i in range(-GAP, GAP + 1)})
+    found = [p for ds in (given, near) for p in _on_diagonals(a, b, ds, percent, least)]
+    found.sort(key=lambda p: (p[0] - p[1] + p[2] - p[3], p))
+    kept: list[tuple[int, int, int, int, float]] = []
+    for p in found:
+        if not any(q[0] <= p[0] and p[1] <= q[1] and q[2] <= p[2] and p[3] <= q[3] for q in kept):
+            kept.append(p)
+    return kept
+
+
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, start_word, end_word, other_id, other_start, other_end, similarity) of passages an earlier document holds too.
 

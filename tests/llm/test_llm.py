@@ -245,6 +245,20 @@ def test_passages_behind_a_hub_that_holds_less(spark):
     assert {(r.other_id, r.doc_id) for r in passages.repeated_passages(frame).collect()} == wanted
 
 
+def test_passages_go_on_beside_the_diagonal_of_a_meeting():
+    """Read from one side's diagonal only, a word inserted, deleted or replaced in mid-passage hides no part of it."""
+    rng = np.random.default_rng(6)
+    for edit in ("insert", "delete", "replace"):
+        shared = rng.integers(1, 2**62, 60).astype(np.uint64)
+        other = {"insert": np.insert(shared, 30, 7), "delete": np.delete(shared, 30),
+                 "replace": np.concatenate([shared[:30], [np.uint64(7)], shared[31:]])}[edit].astype(np.uint64)
+        a, b = (shingle_sequence(np.concatenate([rng.integers(1, 2**62, 40).astype(np.uint64), body,
+                                                 rng.integers(1, 2**62, 40).astype(np.uint64)])) for body in (shared, other))
+        for diagonal in (0, len(other) - len(shared)):
+            (passage,) = passages.shared_passages(a, b, [diagonal])
+            assert passage[:4] == (40, 96, 40, 36 + len(b) - len(a) + 60) and passage[4] >= 0.75
+
+
 def test_secrets_keep_the_patterns_and_add_the_field(spark, empty):
     rng = random.Random(1)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
