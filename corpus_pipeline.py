@@ -50,7 +50,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot; equal texts together, shards equal to one row."""
+    """Every row with its shard and slot; equal texts together as far as a shard has room, shards equal to one row."""
     return balanced_shards(docs)
 
 

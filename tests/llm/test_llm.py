@@ -138,6 +138,23 @@ def test_shards_are_even_and_keep_equal_texts_together(spark, corpus, empty):
     assert len(spread) <= 3
 
 
+def test_groups_that_fit_into_a_shard_stay_whole(spark):
+    def spread(sizes, rows, shards):
+        bodies = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)]
+        bodies += [f"single {i}" for i in range(rows - len(bodies))]
+        frame = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+        got = sharding.balanced_shards(frame, shards=shards).collect()
+        assert sorted(Counter(r.shard for r in got).values()) == [rows // shards] * shards
+        found = defaultdict(set)
+        for r in got:
+            found[bodies[r.doc_id]].add(r.shard)
+        return [len(found[f"group {g}"]) for g in range(len(sizes))]
+
+    assert spread([90, 60, 60, 40, 26], 400, 4) == [1] * 5
+    assert spread([150, 90], 400, 4) == [2, 1]
+    assert spread([3, 4, 2, 4], 16, 4) == [1] * 4
+
+
 def test_mix_meets_its_budgets(corpus, empty):
     frame, rows = corpus
     got = mixing.mix(frame).collect()
