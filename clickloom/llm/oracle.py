@@ -89,4 +89,33 @@ SELECT doc_id, leaf, subroot, top.digest AS root, sha256(proof) AS proof_sha256,
 FROM through t JOIN (SELECT level, digest FROM upper QUALIFY level = max(level) OVER ()) top ON t.level = top.level
 """
 
-SQL = {"op4_line_dedup": _LINES, "op7_mixing": _MIX, "op12_merkle_manifest": _MANIFEST}
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, unnest([w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)]) AS g
+  FROM split, (SELECT unnest([1, 2, 3]) AS k)),
+counts AS MATERIALIZED (SELECT lang, len(g) AS size, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM grams GROUP BY 1, 2, 3),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM counts WHERE f >= 10),
+parts AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, k, array_to_string(g[:k], ' ') AS head, array_to_string(g[k + 1:], ' ') AS tail
+  FROM often, (SELECT unnest([1, 2]) AS k) WHERE k < size),
+cuts AS (
+  SELECT o.lang, o.phrase, o.a, o.k, l.f AS l, r.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * o.a * o.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM parts o JOIN often l ON l.lang = o.lang AND l.phrase = o.head JOIN often r ON r.lang = o.lang AND r.phrase = o.tail),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, inner_phrase AS phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(g[:2], ' '), array_to_string(g[2:], ' ')]) AS inner_phrase FROM often WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM lowest c LEFT JOIN longer o ON o.lang = c.lang AND o.phrase = c.phrase WHERE o.f IS NULL OR 100 * o.f < 50 * c.a),
+ranked AS (
+  SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+SQL = {"op4_line_dedup": _LINES, "op7_mixing": _MIX, "op11_phrase_collocations": _PHRASES, "op12_merkle_manifest": _MANIFEST}

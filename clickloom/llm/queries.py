@@ -13,6 +13,7 @@ from clickloom.llm.merkle import audit
 from clickloom.llm.mixing import mix
 from clickloom.llm.near import near_duplicates
 from clickloom.llm.passages import repeated_passages
+from clickloom.llm.phrases import collocations
 from clickloom.llm.quality import quality
 from clickloom.llm.secrets import digest, find_secrets
 from clickloom.llm.sharding import balanced_shards
@@ -65,13 +66,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(_table(spark, sf_dir, "documents")).drop("source")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_quality, op3_language_id, op4_line_dedup, op5_embedding_near_dedup, op6_sharding, op7_mixing, op8_decontamination,
-                                  op9_minhash_near_dedup, op10_substring_dedup, op12_merkle_manifest)}
+                                  op9_minhash_near_dedup, op10_substring_dedup, op11_phrase_collocations, op12_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
