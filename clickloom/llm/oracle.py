@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from clickloom.llm.licenses import APART, COVERED, GRAM, PHRASES, TEMPLATES
+
 _LINES = r"""
 WITH lines AS (
   SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -118,4 +120,41 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-SQL = {"op4_line_dedup": _LINES, "op7_mixing": _MIX, "op11_phrase_collocations": _PHRASES, "op12_merkle_manifest": _MANIFEST}
+_QUOTED = [(label, text.replace("'", "''")) for label, text in TEMPLATES]
+_LICENSES = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+phrases AS (SELECT string_split(phrase, ' ') AS p, label FROM (VALUES %(phrases)s) AS v(phrase, label)),
+words AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM split),
+base AS (SELECT doc_id, i, label FROM words, phrases WHERE w[i + 1] = p[1] AND w[i + 1:i + len(p)] = p),
+told AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_sort(list(DISTINCT label)) AS own FROM base GROUP BY doc_id),
+notices AS (
+  SELECT template, label, regexp_extract_all(lower(text), '[0-9a-z]+') AS w FROM (VALUES %(templates)s) AS v(template, label, text)),
+placed AS (SELECT template, label, len(w) AS size, i AS place, array_to_string(w[i + 1:i + %(gram)d], ' ') AS g
+       FROM (SELECT *, unnest(range(len(w) - %(gram)d + 1)) AS i FROM notices)),
+grams AS (SELECT doc_id, i AS pos, array_to_string(w[i + 1:i + %(gram)d], ' ') AS g FROM words WHERE i + %(gram)d <= len(w)),
+lines AS (SELECT doc_id, template, label, size, pos - place AS diagonal, list(DISTINCT place) AS places FROM grams JOIN placed USING (g) GROUP BY ALL),
+spans AS (
+  SELECT a.doc_id, a.template, a.label, a.diagonal,
+         len(list_distinct(flatten([[x + j FOR j IN range(%(gram)d)] FOR x IN flatten(list(b.places))]))) / CAST(a.size AS DOUBLE) AS covered,
+         min(b.diagonal + list_min(b.places)) AS first
+  FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND a.template = b.template AND b.diagonal BETWEEN a.diagonal AND a.diagonal + %(apart)d
+  GROUP BY a.doc_id, a.template, a.label, a.size, a.diagonal),
+local AS (
+  SELECT s.* FROM spans s WHERE NOT EXISTS (
+    SELECT 1 FROM spans o WHERE o.doc_id = s.doc_id AND o.template = s.template AND o.diagonal BETWEEN s.diagonal - %(apart)d AND s.diagonal + %(apart)d
+    AND (o.covered > s.covered OR o.covered = s.covered AND o.diagonal < s.diagonal))),
+best AS (SELECT * FROM local QUALIFY covered = max(covered) OVER (PARTITION BY doc_id, first)),
+votes AS (
+  SELECT doc_id, coalesce(list(DISTINCT label) FILTER (WHERE covered >= %(covered)s), []) AS found, max(covered) AS covered FROM best GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(own, ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(own, []) || coalesce(found, []))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(covered, CAST(0 AS DOUBLE)) END AS score
+FROM split s LEFT JOIN told t ON s.doc_id = t.doc_id LEFT JOIN votes v ON s.doc_id = v.doc_id
+""" % {"phrases": ", ".join(f"('{p}', '{label}')" for p, label in PHRASES.items()), "gram": GRAM, "apart": APART, "covered": COVERED,
+       "templates": ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(_QUOTED))}
+
+SQL = {"op4_line_dedup": _LINES, "op7_mixing": _MIX, "op11_phrase_collocations": _PHRASES, "op12_merkle_manifest": _MANIFEST,
+       "op13_license_scan": _LICENSES}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm.contamination import contaminated
 from clickloom.llm.language import languages
+from clickloom.llm.licenses import licenses
 from clickloom.llm.lines import dedup_lines
 from clickloom.llm.merkle import audit
 from clickloom.llm.mixing import mix
@@ -74,9 +75,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_quality, op3_language_id, op4_line_dedup, op5_embedding_near_dedup, op6_sharding, op7_mixing, op8_decontamination,
-                                  op9_minhash_near_dedup, op10_substring_dedup, op11_phrase_collocations, op12_merkle_manifest)}
+                                  op9_minhash_near_dedup, op10_substring_dedup, op11_phrase_collocations, op12_merkle_manifest, op13_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
