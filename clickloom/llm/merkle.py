@@ -278,8 +278,8 @@ def _top(log: DataFrame) -> tuple[DataFrame, DataFrame, int, DataFrame]:
     """The top tree's log, sizes and tiers, and its leaves (of, idx, digest); the tree without source comes first."""
     roots = write_down(_roots(log))
     placed = write_down(prefix_sums(roots.withColumn("_g", F.lit(TOP)), ["_g"], [F.col("tree") != "-", F.col("tree")], {"idx": F.lit(1).cast("long")}))
-    placed = placed.select(F.col("tree").alias("of"), "idx", "digest")
-    return *build_log(placed.select(F.lit(TOP).alias("tree"), "idx", "digest")), placed
+    placed = placed.select(F.col("tree").alias("of"), F.col("_g").alias("tree"), "idx", "digest")
+    return *build_log(placed.select("tree", "idx", "digest")), placed.drop("tree")
 
 
 def audit(docs: DataFrame, with_proof: bool = False) -> DataFrame:
