@@ -6,6 +6,11 @@ word and the last pair has the counts of the left parts at hand.  In suffix orde
 one before that) it follows its own endings, which are the right parts.  In both, the triples that extend a pair
 come right after the pair.  Every count is met by reading sorted streams in lockstep; nothing is looked up by hash.
 
+Few phrases are frequent, and a frequent phrase has frequent parts.  So words are counted first, then the pairs of
+frequent words, then the triples of frequent pairs.  The first two counts are of 64-bit hashes and end in a filter of at
+most 2**FILTER_BITS bits.  It keeps every frequent part; what it lets through by chance is counted and dropped at the end,
+so a full filter costs time and never a phrase.
+
 A count stream is range-sorted over any number of tasks.  What a range needs from the ranges before it is the last
 row of each order, three rows that are copied to its head; so one word with a third of all phrases is many ranges.
 """
@@ -16,9 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm.words import mix
 from clickloom.session import write_down
 
 LEAST, SHARE, TOP = 10, 50, 2000
@@ -26,6 +33,8 @@ LEAST, SHARE, TOP = 10, 50, 2000
 BLOCK = 2_000_000
 # Rows per Arrow batch.
 ROWS = 200_000
+# Bits of a filter of frequent parts: 16 for each, at most 2**28 (32 MB); and the bits of one of its slices.
+FILTER_BITS, SLICE_BITS = 28, 20
 UNDETERMINED = "und"
 
 KEYS = ["lang", "w1", "w2", "w3"]
@@ -41,67 +50,130 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
 
 
-def _grams(ids: np.ndarray, size: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """(word numbers by place, counts) of the words, pairs and triples of a sequence in which 0 ends a piece, each in order."""
-    count = np.bincount(ids, minlength=size)
-    count[0] = 0
-    ones = np.flatnonzero(count)
-    yield [ones], count[ones]
+def _pairs(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, counts, place) of the pairs of a sequence in which 0 ends a piece; place has every position's pair or -1."""
     joined = (ids[:-1] > 0) & (ids[1:] > 0)
-    pairs, at, count = np.unique(ids[:-1][joined] * size + ids[1:][joined], return_inverse=True, return_counts=True)
-    yield [pairs // size, pairs % size], count
-    place = np.zeros(len(joined), np.int64)
+    codes, at, counts = np.unique(ids[:-1][joined] * size + ids[1:][joined], return_inverse=True, return_counts=True)
+    place = np.full(len(joined), -1, np.int64)
     place[joined] = at
-    both = joined[:-1] & joined[1:]
-    triples, count = np.unique(place[:-1][both] * size + ids[2:][both], return_counts=True)
-    first = pairs[triples // size]
-    yield [first // size, first % size, triples % size], count
+    return codes, counts, place
+
+
+def _passes(hashes: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+    """Which hashes a filter lets through; all without a filter."""
+    if bits is None:
+        return np.ones(len(hashes), bool)
+    found = np.ones(len(hashes), bool)
+    for at in _bits(hashes, len(bits) * 8):
+        found &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+    return found
+
+
+def _bits(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each hash in a filter of `size` bits, a power of two."""
+    return tuple((part & np.uint64(size - 1)).astype(np.int64) for part in (hashes, hashes >> np.uint64(32)))
+
 
+def _filter(frequent: DataFrame) -> np.ndarray:
+    """A bit array over frequent hashes (h); what reaches the driver is bounded by FILTER_BITS."""
+    frequent = write_down(frequent)
+    size = 1 << min(FILTER_BITS, max(SLICE_BITS, (16 * frequent.count()).bit_length()))
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a block of texts: (lang, w1, w2, w3, f), absent words null; without words, f counts all words of the language."""
-    schema = pa.schema([("lang", pa.string()), *((w, pa.binary()) for w in _PREFIX), ("f", pa.int64())])
+    def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.concatenate(_bits(batch.column(0).to_numpy().view(np.uint64), size)))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> SLICE_BITS), pa.array(at & (1 << SLICE_BITS) - 1)], names=["slice", "at"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        held = np.zeros(1 << SLICE_BITS, bool)
+        held[table.column("at").to_numpy()] = True
+        return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    bits = np.zeros(size // 8, np.uint8)
+    width = (1 << SLICE_BITS) // 8
+    for part, held in frequent.mapInArrow(positions, "slice long, at long").groupBy("slice").applyInArrow(pack, "slice long, bits binary").collect():
+        bits[part * width:(part + 1) * width] = np.frombuffer(held, np.uint8)
+    return bits
+
+
+def _counter(stage: int, words_kept=None, pairs_kept=None):
+    """A function for mapInArrow that counts blocks of texts (lang, text).
+
+    Stages 1 and 2 give (h, f) for the hashes of words and of pairs of kept words.  Stage 3 gives (lang, w1, w2, w3, f) for kept
+    words, kept pairs and triples of kept pairs, absent words null; without words, f counts all words of the language.
+    """
+    hashed = pa.schema([("h", pa.int64()), ("f", pa.int64())])
+    named = pa.schema([("lang", pa.string()), *((w, pa.binary()) for w in _PREFIX), ("f", pa.int64())])
 
     class Numbers(dict):
         def __missing__(self, word: bytes) -> int:
             self[word] = len(self)
             return self[word]
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        # Words are renumbered in byte order, so counts leave in prefix order; 0 stays the end of a piece.
-        words = list(numbers)[2:]
-        order = sorted(range(len(words)), key=words.__getitem__)
-        rank = np.zeros(len(numbers), np.int64)
-        rank[np.array(order, np.int64) + 2] = np.arange(1, len(order) + 1)
-        sorted_words = pa.array([None, *(words[i] for i in order)], pa.binary())
-        for lang, held in texts.items():
-            ids = rank[np.concatenate(held)]
-            total = pa.nulls(1, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), total, total, total, pa.array([int((ids > 0).sum())], pa.int64())], schema=schema)
-            for places, count in _grams(ids, len(order) + 1):
-                for start in range(0, len(count), ROWS):
-                    part = slice(start, start + ROWS)
-                    k = len(count[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * k, pa.string()), *(sorted_words.take(pa.array(p[part])) for p in places),
-                         *(pa.nulls(k, pa.binary()) for _ in range(3 - len(places))), pa.array(count[part], pa.int64())], schema=schema)
-
     def fresh() -> Numbers:
         return Numbers({b"\n": 0, b"": 1})
 
-    numbers, texts, size = fresh(), {}, 0
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = tokens(text.as_py())
-            found.append(b"\n")
-            ids = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-            texts.setdefault(lang, []).append(ids[ids != 1])
-            size += len(ids)
-            if size >= BLOCK:
-                yield from flush()
-                numbers, texts, size = fresh(), {}, 0
-    if texts:
-        yield from flush()
+    def rows(lang: str, places: list[np.ndarray], counts: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(counts), ROWS):
+            part = slice(start, start + ROWS)
+            k = len(counts[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * k, pa.string()), *(words.take(pa.array(p[part])) for p in places),
+                 *(pa.nulls(k, pa.binary()) for _ in range(3 - len(places))), pa.array(counts[part], pa.int64())], schema=named)
+
+    def count(lang: str, ids: np.ndarray, numbers: Numbers, keep1, keep2) -> Iterator[pa.RecordBatch]:
+        seed = xxhash.xxh3_64_intdigest(lang.encode())
+        # Words are renumbered in byte order, so counts leave in prefix order; 0 ends a piece, and so do words that are not kept.
+        present = np.flatnonzero(np.bincount(ids, minlength=len(numbers))[2:])
+        words = list(numbers)[2:]
+        mine = sorted((words[i], i) for i in present.tolist())
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w, _ in mine), np.uint64, len(mine))
+        kept = np.flatnonzero(_passes(hashes, keep1))
+        rank = np.zeros(len(numbers), np.int64)
+        rank[np.array([mine[i][1] for i in kept.tolist()], np.int64) + 2] = np.arange(1, len(kept) + 1)
+        hashes, total = np.concatenate([np.zeros(1, np.uint64), hashes[kept]]), int((ids > 0).sum())
+        ids, size = rank[ids], len(kept) + 1
+        ones = np.bincount(ids, minlength=size)
+        if stage == 1:
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[1:].view(np.int64)), pa.array(ones[1:])], schema=hashed)
+            return
+        codes, counts, place = _pairs(ids, size)
+        pair_hashes = mix(mix(hashes[codes // size]) + hashes[codes % size])
+        if stage == 2:
+            yield pa.RecordBatch.from_arrays([pa.array(pair_hashes.view(np.int64)), pa.array(counts)], schema=hashed)
+            return
+        sorted_words = pa.array([None, *(mine[i][0] for i in kept.tolist())], pa.binary())
+        if total:
+            none = pa.nulls(1, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), none, none, none, pa.array([total], pa.int64())], schema=named)
+        yield from rows(lang, [np.arange(1, size)], ones[1:], sorted_words)
+        good = _passes(pair_hashes, keep2)
+        yield from rows(lang, [codes[good] // size, codes[good] % size], counts[good], sorted_words)
+        held = place >= 0
+        held[held] = good[place[held]]
+        both = held[:-1] & held[1:]
+        triples, counts = np.unique(place[:-1][both] * size + ids[2:][both], return_counts=True)
+        first = codes[triples // size]
+        yield from rows(lang, [first // size, first % size, triples % size], counts, sorted_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep1, keep2 = (None if x is None else x.value for x in (words_kept, pairs_kept))
+        numbers, texts, size = fresh(), {}, 0
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = tokens(text.as_py())
+                found.append(b"\n")
+                ids = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
+                texts.setdefault(lang, []).append(ids[ids != 1])
+                size += len(ids)
+                if size >= BLOCK:
+                    for key, held in texts.items():
+                        yield from count(key, np.concatenate(held), numbers, keep1, keep2)
+                    numbers, texts, size = fresh(), {}, 0
+        for key, held in texts.items():
+            yield from count(key, np.concatenate(held), numbers, keep1, keep2)
+
+    return run
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
@@ -109,11 +181,19 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
 
     Tasks count blocks of texts first.  A part of a phrase occurs as often as the phrase, so nothing needed later is rare.
     """
+    context = docs.sparkSession.sparkContext
     texts = docs.where(F.col(text).isNotNull()).select(F.coalesce(F.col(lang).cast("string"), F.lit(UNDETERMINED)).alias("lang"),
                                                        F.col(text).cast("binary").alias("text"))
-    counts = texts.mapInArrow(_counted, "lang string, w1 binary, w2 binary, w3 binary, f long")
-    # Blocks are counted already: counting again before the shuffle would hold every phrase of a task to no avail.
-    return counts.repartition(*KEYS).groupBy(*KEYS).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+
+    def frequent(counts: DataFrame, keys: list[str]) -> DataFrame:
+        # Blocks are counted already: counting again before the shuffle would hold every phrase of a task to no avail.
+        return counts.repartition(*keys).groupBy(*keys).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+
+    kept: list = []
+    for stage in (1, 2):
+        hashes = frequent(texts.mapInArrow(_counter(stage, *kept), "h long, f long"), ["h"]).select("h")
+        kept.append(context.broadcast(_filter(hashes)))
+    return frequent(texts.mapInArrow(_counter(3, *kept), "lang string, w1 binary, w2 binary, w3 binary, f long"), KEYS)
 
 
 _HELD = ["f", "longer", "n", "p1", "p2", "s1", "s2"]
