@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def _passes(hashes: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
     return found
 
 
-def _bits(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _bits(hashes: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """The two bits of each hash in a filter of `size` bits, a power of two."""
     return tuple((part & np.uint64(size - 1)).astype(np.int64) for part in (hashes, hashes >> np.uint64(32)))
 
@@ -99,11 +100,11 @@ def _filter(frequent: DataFrame) -> np.ndarray:
 def _counter(stage: int, words_kept=None, pairs_kept=None):
     """A function for mapInArrow that counts blocks of texts (lang, text).
 
-    Stages 1 and 2 give (h, f) for the hashes of words and of pairs of kept words.  Stage 3 gives (lang, w1, w2, w3, f) for kept
-    words, kept pairs and triples of kept pairs, absent words null; without words, f counts all words of the language.
+    Stages 1 and 2 give (h, f) for the hashes of words and of pairs of kept words.  Stage 3 gives (lang, phrase, f) for kept
+    words, kept pairs and triples of kept pairs, words joined by blanks; for the empty phrase, f counts all words of the language.
     """
     hashed = pa.schema([("h", pa.int64()), ("f", pa.int64())])
-    named = pa.schema([("lang", pa.string()), *((w, pa.binary()) for w in _PREFIX), ("f", pa.int64())])
+    named = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("f", pa.int64())])
 
     class Numbers(dict):
         def __missing__(self, word: bytes) -> int:
@@ -116,10 +117,8 @@ def _counter(stage: int, words_kept=None, pairs_kept=None):
     def rows(lang: str, places: list[np.ndarray], counts: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(counts), ROWS):
             part = slice(start, start + ROWS)
-            k = len(counts[part])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * k, pa.string()), *(words.take(pa.array(p[part])) for p in places),
-                 *(pa.nulls(k, pa.binary()) for _ in range(3 - len(places))), pa.array(counts[part], pa.int64())], schema=named)
+            phrases = pc.binary_join_element_wise(*(words.take(pa.array(p[part])) for p in places), b" ")
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(counts[part], pa.int64())], schema=named)
 
     def count(lang: str, ids: np.ndarray, numbers: Numbers, keep1, keep2) -> Iterator[pa.RecordBatch]:
         seed = xxhash.xxh3_64_intdigest(lang.encode())
@@ -144,8 +143,7 @@ def _counter(stage: int, words_kept=None, pairs_kept=None):
             return
         sorted_words = pa.array([None, *(mine[i][0] for i in kept.tolist())], pa.binary())
         if total:
-            none = pa.nulls(1, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), none, none, none, pa.array([total], pa.int64())], schema=named)
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([b""]), pa.array([total], pa.int64())], schema=named)
         yield from rows(lang, [np.arange(1, size)], ones[1:], sorted_words)
         good = _passes(pair_hashes, keep2)
         yield from rows(lang, [codes[good] // size, codes[good] % size], counts[good], sorted_words)
@@ -193,7 +191,9 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least
     for stage in (1, 2):
         hashes = frequent(texts.mapInArrow(_counter(stage, *kept), "h long, f long"), ["h"]).select("h")
         kept.append(context.broadcast(_filter(hashes)))
-    return frequent(texts.mapInArrow(_counter(3, *kept), "lang string, w1 binary, w2 binary, w3 binary, f long"), KEYS)
+    found = frequent(texts.mapInArrow(_counter(3, *kept), "lang string, phrase binary, f long"), ["lang", "phrase"])
+    words = F.when(F.col("phrase") != b"", F.split(F.col("phrase").cast("string"), " "))
+    return found.withColumn("w", words).select("lang", *(F.get("w", i).cast("binary").alias(w) for i, w in enumerate(_PREFIX)), "f")
 
 
 _HELD = ["f", "longer", "n", "p1", "p2", "s1", "s2"]
