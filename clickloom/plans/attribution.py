@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import safe_divide, scaled_units, units_to_double
-from clickloom.operators import positions, running_by_time, skew_safe_left_join
+from clickloom.operators import asof_join, positions, running_by_time, skew_safe_left_join
 from clickloom.operators.enrich import HOT_SHARE, place_of
 from clickloom.session import write_down
 
@@ -170,6 +170,41 @@ def linear_credit(conversions: DataFrame, clicks: DataFrame, mode: str = "global
     )
 
 
+def linear_credit_by(conversions: DataFrame, clicks: DataFrame, mode: str = "global", column: str = GROUP[0],
+                     most: int = 64) -> DataFrame:
+    """Equal-share credit of each conversion by channel: one row per conversion and value of ``column`` among its touches.
+
+    Each instant has a running count of the clicks of every value; a conversion reads the counts that were current
+    at its own instant by an as-of join.  ``column`` may have up to ``most`` values, as each is a counter in the row;
+    a column with more values is refused.
+    """
+    by = _by(mode)
+    counted = write_down(touches(conversions, clicks, mode).groupBy(*by, "at", F.col(column).alias("value"))
+                         .agg(F.count(F.lit(1)).alias("clicks")))
+    values = sorted((r[0] for r in counted.select("value").distinct().limit(most + 1).collect()), key=lambda v: (v is None, v))
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    counters = [f"clicks_{i}" for i in range(len(values))]
+    kept = conversions.select("conversion_id", "customer_id", "conversion_timestamp", "revenue_euros", "conversion_type")
+    if not values:
+        counters, values = ["clicks_0"], [None]
+    instants = counted.groupBy(*by, "at").agg(*[
+        F.sum(F.when(F.col("value").eqNullSafe(F.lit(v)), F.col("clicks")).otherwise(0)).alias(f"here_{i}")
+        for i, v in enumerate(values)])
+    running = running_by_time(instants, "at", sums={c: f"here_{i}" for i, c in enumerate(counters)}, by=by)
+    current = asof_join(kept, running.select(*by, "at", *counters), "conversion_timestamp", "at", by, ties=[])
+    total = sum((F.col(c) for c in counters[1:]), F.col(counters[0]))
+    kind = counted.schema["value"].dataType
+    shares = F.explode(F.array(*[F.struct(F.lit(v).cast(kind).alias(column), F.col(c).alias("touches"))
+                                 for v, c in zip(values, counters, strict=True)]))
+    return (current.select("conversion_id", "customer_id", "revenue_euros", "conversion_type", total.alias("total_touches"),
+                           shares.alias("share"))
+            .filter(F.col("share.touches") > 0)
+            .select("conversion_id", "customer_id", "revenue_euros", "conversion_type", f"share.{column}", "share.touches", "total_touches",
+                    safe_divide(F.col("revenue_euros") * F.col("share.touches"), "total_touches").alias("attributed_revenue"),
+                    safe_divide("share.touches", "total_touches").alias("attribution_weight")))
+
+
 def linear_attribution(conversions: DataFrame, clicks: DataFrame, mode: str = "global") -> DataFrame:
     """Equal-share credit by touch group."""
     return Journey.of(conversions, clicks, mode).linear()

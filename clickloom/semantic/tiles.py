@@ -99,12 +99,12 @@ def daily_channel_trend(table: DataFrame, **restrictions) -> DataFrame:
 def week_over_week(table: DataFrame, days: int = 7, **restrictions) -> DataFrame:
     """The daily trend beside the same channel a week earlier, with the change in percent.
 
-    The earlier day is found by an equi-join, so gaps in the history do not shift it.
+    The earlier day is found by a range of days and not of rows, so gaps in the history do not shift it.  A
+    window over a channel's days holds one row per day, however much traffic the days had.
     """
     now = daily_channel_trend(table, **restrictions)
-    earlier = now.select(F.date_add("date", days).alias("date"), "channel",
-                         *[F.col(name).alias(f"{name}_before") for name in TREND])
-    joined = now.join(earlier, ["date", "channel"], "left")
+    earlier = Window.partitionBy("channel").orderBy(F.unix_date("date")).rangeBetween(-days, -days)
+    joined = now.withColumns({f"{name}_before": F.first(name).over(earlier) for name in TREND})
     changes: Mapping = {
         f"{name}_change_pct": safe_divide(F.col(name) - F.col(f"{name}_before"), F.col(f"{name}_before")) * 100
         for name in ("spend", "revenue")

@@ -300,6 +300,28 @@ SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(attribu
 UNION ALL BY NAME {_linear(journey, digits)}"""
 
 
+def _credit_by(journey: str) -> str:
+    return f"""
+SELECT conversion_id, any_value(customer_id) AS customer_id, any_value(revenue_euros) AS revenue_euros, any_value(conversion_type) AS conversion_type,
+       attributed_channel, count(*) AS touches, any_value(n) AS total_touches,
+       any_value(revenue_euros) * {dbl('count(*)')} / {dbl('any_value(n)')} AS attributed_revenue,
+       {dbl('count(*)')} / {dbl('any_value(n)')} AS attribution_weight
+FROM (SELECT *, count(*) OVER (PARTITION BY conversion_id) AS n FROM {journey}) GROUP BY conversion_id, attributed_channel"""
+
+
+_LAST_CLICK = f"""
+SELECT conversion_id, customer_id, {txt('conversion_timestamp')}, click_id, channel, platform, {txt('click_timestamp')}
+FROM (SELECT v.conversion_id, v.customer_id, v.conversion_timestamp, k.click_id, k.channel, k.platform, k.click_timestamp
+      FROM cv0 v LEFT JOIN clk0 k ON k.click_timestamp <= v.conversion_timestamp
+      QUALIFY row_number() OVER (PARTITION BY conversion_id ORDER BY k.click_timestamp DESC, k.click_id DESC) = 1)"""
+_NEXT_CLICK = f"""
+SELECT conversion_id, campaign_id, {txt('conversion_timestamp')}, click_id AS next_click_id, {txt('click_timestamp')}
+FROM (SELECT v.conversion_id, v.campaign_id, v.conversion_timestamp, k.click_id, k.click_timestamp
+      FROM cv0 v LEFT JOIN clk0 k ON k.campaign_id = v.campaign_id AND k.click_timestamp > v.conversion_timestamp
+           AND k.click_timestamp <= v.conversion_timestamp + INTERVAL 60 DAY
+      QUALIFY row_number() OVER (PARTITION BY conversion_id ORDER BY k.click_timestamp, k.click_id) = 1)"""
+
+
 def _touch_positions(journey: str, touch: str, by: str = "") -> str:
     def flag(order: str) -> str:
         ends = (f"SELECT {by}click_id FROM {journey} QUALIFY row_number() OVER (PARTITION BY conversion_id "
@@ -392,6 +414,10 @@ SELECT customer_id, CAST(u30 AS DOUBLE) / 1e4 AS ltv_30d, CAST(u90 AS DOUBLE) /
     "attribution_customer_linear_by_channel": _linear("own_journey", digits=6),
     "attribution_customer_linear_credit": _credit("own_journey"),
     "attribution_customer_summary": _summary("own_journey", digits=6),
+    "asof_last_click": _LAST_CLICK,
+    "asof_next_campaign_click": _NEXT_CLICK,
+    "linear_credit_by_channel": _credit_by("journey"),
+    "linear_credit_by_channel_customer": _credit_by("own_journey"),
     "touch_positions_global": _touch_positions("journey", "clk0"),
     "touch_positions_customer": _touch_positions("own_journey", "own_touch", "customer_id, "),
 }

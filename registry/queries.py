@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom import fixtures
-from clickloom.operators import dedup_latest
+from clickloom.operators import asof_join, dedup_latest
 from clickloom.functions import exact_sum, round_half_away
 from clickloom.observability import (
     batch_schemas,
@@ -130,6 +130,21 @@ def _credit(mode: str) -> Callable[[Tables], DataFrame]:
     return _attribution(attribution.linear_credit, mode)
 
 
+def _last_click(t: Tables) -> DataFrame:
+    """The click by anyone that came last before each conversion."""
+    return asof_join(t.clean_conversions.select("conversion_id", "customer_id", "conversion_timestamp"),
+                     t.clean_clicks.select("click_id", "channel", "platform", "click_timestamp"),
+                     "conversion_timestamp", "click_timestamp", ties=["click_id"])
+
+
+def _next_click(t: Tables) -> DataFrame:
+    """The first click on the same campaign after each conversion, within sixty days."""
+    return asof_join(t.clean_conversions.select("conversion_id", "campaign_id", "conversion_timestamp"),
+                     t.clean_clicks.select("campaign_id", F.col("click_id").alias("next_click_id"), "click_timestamp"),
+                     "conversion_timestamp", "click_timestamp", by=["campaign_id"], ties=["next_click_id"], direction="forward", strict=True,
+                     within="60 days")
+
+
 def _summary(mode: str, digits: int = 2) -> Callable[[Tables], DataFrame]:
     return lambda t: _rounded(_attribution(attribution.attribution_summary, mode)(t),
                               attributed_revenue=digits, attribution_weight=6)
@@ -337,6 +352,10 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "attribution_customer_linear_by_channel": _linear("customer", revenue_digits=6),
     "attribution_customer_linear_credit": _credit("customer"),
     "attribution_customer_summary": _summary("customer", digits=6),
+    "asof_last_click": _last_click,
+    "asof_next_campaign_click": _next_click,
+    "linear_credit_by_channel": _attribution(attribution.linear_credit_by, "global"),
+    "linear_credit_by_channel_customer": _attribution(attribution.linear_credit_by, "customer"),
     "touch_positions_global": _attribution(attribution.touch_positions, "global"),
     "touch_positions_customer": _attribution(attribution.touch_positions, "customer"),
     "kpi_totals": lambda t: tiles.kpi_totals(t.dashboard(), window="all", trusted=True),
