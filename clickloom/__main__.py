@@ -18,7 +18,6 @@ from clickloom.quality import SUITES, sample_rows, validate
 from clickloom.schemas import RAW_TABLES
 from clickloom.session import configure
 from clickloom.sources import Warehouse
-from clickloom.sources.csv import DEFAULT_MAX_BAD_RECORDS
 
 
 def check_quality(build: Build, runs: str, metrics: str, sample: bool) -> bool:
@@ -48,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--location")
     parser.add_argument("--runs", default="quality_runs")
     parser.add_argument("--metrics", default="quality_metrics")
-    parser.add_argument("--max-bad-records", type=int, default=DEFAULT_MAX_BAD_RECORDS)
+    parser.add_argument("--max-bad-records", type=int, default=0,
+                        help="bad records per feed up to which a load goes on (default: fail on any)")
     args = parser.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName("clickloom").getOrCreate())

@@ -1,5 +1,6 @@
 from clickloom.observability.metrics import (
     batch_schemas,
+    completeness,
     evaluate_nulls,
     evaluate_schema,
     evaluate_volume,
@@ -25,6 +26,7 @@ from clickloom.observability.tracker import QualityTracker
 __all__ = [
     "QualityTracker",
     "batch_schemas",
+    "completeness",
     "evaluate_nulls",
     "evaluate_schema",
     "evaluate_volume",

@@ -225,6 +225,19 @@ def evaluate_nulls(rates: DataFrame, at: Column, by: Sequence[str] = (),
     )
 
 
+def completeness(rates: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Share of the cells of a dataset (and batch) that hold a value, in percent, from its null rates.
+
+    NULL for a dataset without rows.  ``worst_column`` is the column with most nulls, the first by name of equal ones.
+    """
+    worst = F.min(F.struct(-F.col("null_count"), "column")).getField("column")
+    cells = rates.groupBy("dataset", *by).agg(
+        F.sum("total_rows").alias("cells"), F.sum("null_count").alias("null_cells"), worst.alias("_worst"))
+    score = round_half_away(safe_divide((F.col("cells") - F.col("null_cells")) * 100, "cells"), 4)
+    return cells.select("dataset", *by, "cells", "null_cells", score.alias("completeness_pct"),
+                        F.when(F.col("null_cells") > 0, F.col("_worst")).alias("worst_column"))
+
+
 # ------------------------------------------------------------------------------- health
 
 

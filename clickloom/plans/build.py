@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from clickloom.plans import attribution, campaigns, marts, staging
 from clickloom.schemas import DERIVED_TABLES, RAW_TABLES
 from clickloom.session import configure
-from clickloom.sources.csv import DEFAULT_MAX_BAD_RECORDS, read_raw_csv
+from clickloom.sources.csv import read_raw_csv
 from clickloom.sources.tables import Warehouse
 
 # Each derived table with the step that builds it, the tables it reads, and its plan.
@@ -61,8 +61,8 @@ class Build:
         self.warehouse.create_raw_tables()
 
     def load(self, sources: dict[str, DataFrame | str],
-             max_bad_records: int = DEFAULT_MAX_BAD_RECORDS) -> None:
-        """Replace raw tables from frames or CSV paths."""
+             max_bad_records: int = 0) -> None:
+        """Replace raw tables from frames or CSV paths; a feed with more bad records than the bound fails."""
         for name, source in sources.items():
             df = source if isinstance(source, DataFrame) else read_raw_csv(
                 self.warehouse.spark, source, name, max_bad_records)
@@ -83,5 +83,6 @@ class Build:
             self.run_step(step)
         return self.counts()
 
-    def counts(self) -> DataFrame:
-        return self.warehouse.table_counts(list(DERIVED_TABLES.values()))
+    def counts(self, raw: bool = False) -> DataFrame:
+        """Rows of the tables as written: the derived ones, and the raw ones if asked."""
+        return self.warehouse.table_counts([*(RAW_TABLES.values() if raw else ()), *DERIVED_TABLES.values()])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +23,11 @@ from clickloom.functions import (
     units_to_double,
 )
 from clickloom.operators import first_by, skew_safe_left_join
-from clickloom.plans.campaigns import type_counts
+from clickloom.plans.campaigns import int_campaign_performance, type_counts
 
 DAY_KEYS = ["date", "channel", "platform"]
+# The date ranges that the channel report offers.
+RANGES = ("30", "90", "180", "all")
 
 
 def rpt_marketing_dashboard(impressions: DataFrame, clicks: DataFrame, conversions: DataFrame,
@@ -92,6 +96,22 @@ def best_worst_campaign(performance: DataFrame) -> DataFrame:
     )
 
 
+def channel_roi_in_range(campaigns: DataFrame, impressions: DataFrame, clicks: DataFrame, conversions: DataFrame,
+                         days: int | str = 90, as_of: dt.date | None = None) -> DataFrame:
+    """Channel return over the events of the last ``days`` days, ``as_of`` (default: today) included, or of ``"all"``.
+
+    Each feed is narrowed by its own date before it shrinks to campaigns, so only that range is read where
+    the feeds are stored by day.  Choices are those of the report's date range.
+    """
+    if str(days) not in RANGES:
+        raise ValueError(f"days must be one of {RANGES}")
+    feeds = {"impression_date": impressions, "click_date": clicks, "conversion_date": conversions}
+    if str(days) != "all":
+        last = F.current_date() if as_of is None else F.lit(as_of)
+        feeds = {day: feed.filter(F.col(day).between(F.date_sub(last, int(days) - 1), last)) for day, feed in feeds.items()}
+    return rpt_channel_roi(int_campaign_performance(campaigns, *feeds.values()))
+
+
 def rpt_channel_roi(performance: DataFrame) -> DataFrame:
     """Return on investment by channel, with its best and worst campaign and a health score.
 

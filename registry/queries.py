@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -15,6 +16,7 @@ from clickloom.operators import asof_join, dedup_latest
 from clickloom.functions import exact_sum, round_half_away
 from clickloom.observability import (
     batch_schemas,
+    completeness,
     evaluate_schema,
     evaluate_nulls,
     evaluate_volume,
@@ -28,11 +30,11 @@ from clickloom.observability import (
     null_rates,
     pass_rate_target,
     pass_rate_trend,
-    row_counts,
     run_records,
     volume_anomalies,
 )
 from clickloom.plans import attribution, campaigns, marts, staging
+from clickloom.plans.build import Build
 from clickloom.quality import (
     CHECKPOINTS,
     SUITES,
@@ -47,8 +49,19 @@ from clickloom.quality import (
 )
 from clickloom.quality.expectations import CLICKS_HAVE_IMPRESSIONS, CONVERSIONS_HAVE_CLICKS, suite
 from clickloom.schemas import TableSpec
-from clickloom.session import scratch_path
-from clickloom.sources import append_metrics, append_runs, drop_old_runs, read_metrics, read_raw_csv, read_runs, write_table
+from clickloom.session import scratch_path, write_down
+from clickloom.sources import (
+    Warehouse,
+    append_metrics,
+    append_runs,
+    between,
+    drop_old_runs,
+    load_csv,
+    read_metrics,
+    read_raw_csv,
+    read_runs,
+    write_table,
+)
 from clickloom.semantic import CHANNEL_ROI, CUSTOMER_ACQUISITION, MARKETING_DASHBOARD, run_tile, tiles, with_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,30 +281,57 @@ def _null_records(t: Tables) -> DataFrame:
                           F.concat_ws(",", "flagged_columns").alias("flagged_columns"))
 
 
+# Sources and sinks: what is written to the checkpoint folder must read back the same.
+
+
+def _csv(df: DataFrame) -> str:
+    """A folder with the rows of a frame as CSV, dates and instants as text and blanks as they are."""
+    path = scratch_path(df.sparkSession)
+    (portable(df).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    return path
+
+
+def _built(t: Tables) -> DataFrame:
+    """Rows of every table of a warehouse built from CSV files: (layer, dataset, row_count).
+
+    The databases live in the session's catalog under a prefix of their own, their files in the checkpoint folder; both
+    go when the rows are counted.
+    """
+    prefix = f"build_{uuid.uuid4().hex[:12]}_"
+    build = Build(Warehouse(t.spark, prefix, scratch_path(t.spark), grain="month"))
+    feeds = {**_raw(t), "raw_campaigns": t.raw.campaigns}
+    try:
+        build.run({name: _csv(feed) for name, feed in feeds.items()})
+        return write_down(build.counts(raw=True).select(
+            F.expr(f"substring(layer, {len(prefix) + 1})").alias("layer"), F.col("table").alias("dataset"), "row_count"))
+    finally:
+        build.warehouse.drop()
+
+
 def _table_counts(t: Tables) -> DataFrame:
-    performance = t.performance()
-    return row_counts({
-        "stg_ad_impressions": t.impressions, "stg_clicks": t.clicks, "stg_conversions": t.conversions,
-        "stg_campaigns": t.campaigns, "int_campaign_performance": performance,
-        "int_attribution": attribution.int_attribution(t.clean_conversions, t.clean_clicks),
-        "rpt_marketing_dashboard": t.dashboard(), "rpt_channel_roi": t.channel_roi,
-        "rpt_customer_acquisition": t.acquisition,
-    })
+    return _built(t).filter("layer <> 'raw_marketing'").drop("layer")
 
 
-# Sources and sinks: what is written to the checkpoint folder must read back the same.
+def _spoiled(t: Tables, anonymous: bool = False) -> str:
+    """Conversions as CSV; those with a padded type get a revenue that is no number, some lose their customer if asked."""
+    spoiled = t.raw.conversions.withColumn(
+        "revenue", F.when(F.col("conversion_type").startswith(" "), "n/a").otherwise(F.col("revenue").cast("string")))
+    if anonymous:
+        spoiled = spoiled.withColumn("customer_id", F.when(~F.col("customer_id").endswith("7"), F.col("customer_id")))
+    return _csv(spoiled)
 
 
 def _csv_load(t: Tables) -> DataFrame:
-    """Conversions by way of CSV; those with a padded type get a revenue that is no number."""
-    spoiled = F.col("conversion_type").startswith(" ")
-    text = t.raw.conversions.withColumns({
-        "revenue": F.when(spoiled, "n/a").otherwise(F.col("revenue").cast("string")),
-        "timestamp": F.col("timestamp").cast("string"),
-    })
-    path = scratch_path(t.spark)
-    text.write.option("header", True).csv(path)
-    return read_raw_csv(t.spark, path, "raw_conversions", max_bad_records=10**12)
+    return load_csv(t.spark, _spoiled(t), "raw_conversions", max_bad_share=0.1).rows
+
+
+def _csv_rejects(t: Tables) -> DataFrame:
+    return load_csv(t.spark, _spoiled(t, anonymous=True), "raw_conversions", max_bad_share=0.3).rejects
+
+
+def _csv_strict(t: Tables) -> DataFrame:
+    return read_raw_csv(t.spark, _csv(t.raw.conversions), "raw_conversions")
 
 
 # Conversions laid out by month and clustered within it.
@@ -306,6 +346,13 @@ def _partitioned_table(t: Tables) -> DataFrame:
     return read.groupBy("event_month").agg(F.count(F.lit(1)).alias("conversions"), exact_sum("revenue").alias("revenue"))
 
 
+def _conversions_between(t: Tables) -> DataFrame:
+    """The conversions of some weeks, read from the partitions of their months."""
+    path = scratch_path(t.spark)
+    write_table(t.raw.conversions, MONTHLY, path)
+    return between(t.spark.read.parquet(path), MONTHLY, dt.datetime(1996, 3, 11, 6), dt.datetime(1996, 5, 2)).drop("event_month")
+
+
 def _run_log(t: Tables) -> DataFrame:
     path = scratch_path(t.spark)
     append_runs(_runs(t), path)
@@ -375,6 +422,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "last_12_months_acquisition": lambda t: CUSTOMER_ACQUISITION.query(
         t.acquisition, ["acquisition_month"], ["total_new_customers", "avg_cac"], as_of=AS_OF),
     "channel_roi_measures": lambda t: CHANNEL_ROI.query(t.channel_roi, [], list(CHANNEL_ROI.measures)),
+    "channel_roi_date_range": lambda t: marts.channel_roi_in_range(
+        t.campaigns, t.impressions, t.clean_clicks, t.clean_conversions, "90", dt.date(1997, 6, 30)),
     "rating_bands": _ratings,
     "acquisition_rating_bands": _acquisition_ratings,
     "last_n_days_dashboard": lambda t: MARKETING_DASHBOARD.query(
@@ -406,10 +455,15 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "freshness": _freshness,
     "schema_drift": _schema_drift,
     "null_rates": _null_rates,
+    "completeness": lambda t: completeness(_null_rates(t)),
     "null_rate_records": _null_records,
     "health_summary": _health,
     "table_counts": _table_counts,
+    "warehouse_build": _built,
     "csv_load": _csv_load,
+    "csv_rejects": _csv_rejects,
+    "csv_strict": _csv_strict,
+    "conversions_between": _conversions_between,
     "partitioned_table": _partitioned_table,
     "run_log": _run_log,
     "cleanup": _cleanup,

@@ -184,3 +184,13 @@ def test_batch_schemas_follow_the_values(spark):
     got = [r["drift"].asDict() for r in O.evaluate_schema(O.batch_schemas(df, "d", "batch")).orderBy("timestamp").collect()]
     assert [(d["added"], d["removed"], d["type_changed"]) for d in got] == [
         ([], [], []), ([], [], ["v"]), ([], ["k", "v"], [])]
+
+
+def test_completeness(spark):
+    from clickloom.observability import completeness, null_rates
+
+    df = spark.createDataFrame([(1, None, None), (2, None, 3.0), (None, None, 4.0)], "a int, b string, c double")
+    got = completeness(null_rates(df, "d")).first()
+    assert (got.cells, got.null_cells, got.completeness_pct, got.worst_column) == (9, 5, 44.4444, "b")
+    got = completeness(null_rates(df.limit(0), "d")).first()
+    assert (got.cells, got.completeness_pct, got.worst_column) == (0, None, None)

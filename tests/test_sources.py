@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clickloom.plans.build import STEPS, Build
 from clickloom.schemas import DERIVED_TABLES, RAW_TABLES, TableSpec
 from clickloom.session import ensure_checkpoint_dir
-from clickloom.sources import BadRecords, Warehouse, read_raw_csv, write_table
+from clickloom.sources import BadRecords, Warehouse, between, load_csv, read_raw_csv, write_table
 from tests.rows import raw, rows_of, ts
 
 HEADER = "conversion_id,click_id,campaign_id,customer_id,timestamp,revenue,conversion_type\n"
@@ -41,6 +41,63 @@ def test_bad_records_are_left_out_up_to_the_bound(spark, csv):
         read_raw_csv(spark, path, "raw_conversions", max_bad_records=2)
 
 
+def test_a_bounded_load_keeps_what_it_rejects(spark, csv, tmp_path):
+    path = csv(GOOD + BAD + "v6,k6,C001,,2024-01-02 03:04:05,x,lead\n")
+    load = load_csv(spark, path, "raw_conversions", max_bad_records=4)
+    assert (load.kept, load.rejected) == (2, 4)
+    assert load.rows.schema == RAW_TABLES["raw_conversions"].schema or load.rows.columns == RAW_TABLES["raw_conversions"].schema.names
+    assert rows_of(load.rows, "conversion_id", "revenue") == [("v1", 12.5), ("v2", None)]
+    assert rows_of(load.rejects, "conversion_id", "revenue", "malformed_line", "reason") == sorted([
+        ("v3", "1.0", None, "timestamp is no timestamp"), ("v4", "abc", None, "revenue is no double"),
+        ("v5", None, "v5,k5", "wrong number of fields"), ("v6", "x", None, "no customer_id; revenue is no double")], key=repr)
+    # Bounds: a number, a share, both, and neither.
+    assert load_csv(spark, path, "raw_conversions", max_bad_share=0.7).rejected == 4
+    for bound in ({"max_bad_records": 3}, {"max_bad_share": 0.5}, {"max_bad_records": 9, "max_bad_share": 0.1}, {}):
+        with pytest.raises(BadRecords, match="4 of 6"):
+            load_csv(spark, path, "raw_conversions", **bound)
+    kept = str(tmp_path / "quarantine")
+    with pytest.raises(BadRecords, match="quarantine"):
+        load_csv(spark, path, "raw_conversions", quarantine=kept)
+    assert spark.read.parquet(f"{kept}/rejected=true").count() == 4
+    empty = load_csv(spark, csv(""), "raw_conversions")
+    assert (empty.kept, empty.rejected, empty.rows.count(), empty.rejects.count()) == (0, 0, 0, 0)
+
+
+def test_a_range_of_instants_reads_its_partitions_only(spark, tmp_path):
+    days = [dt.datetime(2024, m, d, 12) for m in (1, 2, 3) for d in (1, 15)] + [dt.datetime(2024, 2, 15, 0)]
+    df = raw(spark, "raw_clicks", [{"click_id": f"k{i}", "timestamp": day} for i, day in enumerate(days)])
+    spec = TableSpec("raw", "t", None, "event_month", "trunc(timestamp, 'MM')")
+    write_table(df, spec, str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    for start, end in ((dt.datetime(2024, 1, 15, 12), dt.datetime(2024, 2, 15)), (None, dt.datetime(2024, 2, 1)), (dt.datetime(2024, 2, 15, 0, 0, 0, 1), None),
+                       (None, None)):
+        found = between(table, spec, start, end)
+        want = [f"k{i}" for i, day in enumerate(days) if (start is None or day >= start) and (end is None or day < end)]
+        assert sorted(r.click_id for r in found.collect()) == sorted(want)
+    plan = between(table, spec, dt.datetime(2024, 1, 15), dt.datetime(2024, 2, 15))._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert ">= 2024-01-01" in pruned and "<= 2024-02-01" in pruned
+    with pytest.raises(ValueError, match="not partitioned"):
+        between(table, RAW_TABLES["raw_campaigns"], dt.datetime(2024, 1, 1))
+
+
+def test_a_warehouse_by_month_reads_the_same_rows(spark, tmp_path):
+    warehouse = Warehouse(spark, "monthly_", str(tmp_path), grain="month")
+    warehouse.create_layers()
+    warehouse.create_raw_tables()
+    spec = RAW_TABLES["raw_clicks"]
+    empty = warehouse.read(spec)
+    assert empty.count() == 0 and dict(empty.dtypes) == {f.name: f.dataType.simpleString() for f in spec.schema.fields}
+    df = raw(spark, "raw_clicks", [{"click_id": f"k{i}", "timestamp": dt.datetime(2024, 1 + i % 3, 2)} for i in range(9)])
+    table = warehouse.replace(df, spec)
+    assert table.columns == df.columns and rows_of(table, *df.columns) == rows_of(df, *df.columns)
+    assert warehouse.read(spec, dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)).count() == 3
+    shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {warehouse.name(spec)}").collect()}
+    assert shown["label.grain"] == "click"
+    warehouse.drop()
+    assert not spark.catalog.databaseExists(warehouse.database("raw"))
+
+
 def test_strict_load_fails_on_a_bad_record(spark, csv):
     assert read_raw_csv(spark, csv(GOOD), "raw_conversions", max_bad_records=0).count() == 2
     # A missing value in a required column is bad under any bound.
