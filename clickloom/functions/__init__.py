@@ -8,14 +8,16 @@ from clickloom.functions.scalar import (
     count_where,
     elapsed,
     exact_sum,
+    exact_units,
+    limbs,
     micros_to_euros,
     month_start,
     normalize_label,
     revenue_tier,
     round_half_away,
     safe_divide,
-    scaled_units,
     strip_space,
+    units_of,
     units_to_double,
     week_start,
 )
@@ -33,6 +35,8 @@ __all__ = [
     "ctr",
     "elapsed",
     "exact_sum",
+    "exact_units",
+    "limbs",
     "micros_to_euros",
     "month_start",
     "normalize_label",
@@ -40,8 +44,8 @@ __all__ = [
     "roas",
     "round_half_away",
     "safe_divide",
-    "scaled_units",
     "strip_space",
+    "units_of",
     "units_to_double",
     "week_start",
 ]

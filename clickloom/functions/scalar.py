@@ -7,6 +7,7 @@ generation; none is a UDF.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,21 +59,59 @@ def micros_to_euros(micros: Column | str, digits: int = 4) -> Column:
     return F.when(m < 0, F.lit(0.0) - euros).otherwise(euros)
 
 
-def scaled_units(amount: Column | str, digits: int = 4) -> Column:
-    """An amount as a whole number of 10**-digits units, so that sums are exact."""
-    return F.floor(_col(amount) * float(10**digits) + 0.5)
+# A double is split into its whole part and three limbs of its fraction, 22 bits each: integers whose sums are exact.
+LIMB = 2**22
+_SCALE = LIMB**3
 
 
-def units_to_double(units: Column | str, digits: int = 4) -> Column:
-    return _col(units).cast("double") / float(10**digits)
+def limbs(amount: Column | str) -> list[Column]:
+    """Whole part and three limbs of a double, with its sign: amount = w + (a + (b + c / LIMB) / LIMB) / LIMB.
 
+    Every step is exact in doubles.  Digits below 2**-66 are cut off; a double of 2**-14 or more has none.
+    """
+    x = _col(amount).cast("double")
+    sign = F.when(x < 0, F.lit(-1).cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    parts, rest = [], F.abs(x)
+    for _ in range(4):
+        whole = F.floor(rest)
+        parts.append(sign * whole)
+        rest = (rest - whole.cast("double")) * float(LIMB)
+    return parts
+
+
+def units_of(sums: Sequence[Column]) -> Column:
+    """Sums of the four limbs as one whole number of 2**-66 units, in a decimal of 38 digits."""
+    total = None
+    for power, part in zip((3, 2, 1, 0), sums, strict=True):
+        term = (part.cast("decimal(38,0)") * F.lit(Decimal(LIMB**power))).cast("decimal(38,0)")
+        total = term if total is None else (total + term).cast("decimal(38,0)")
+    return total
+
+
+def exact_units(amount: Column | str, where: Column | None = None) -> Column:
+    """Aggregate: the exact sum of a double in 2**-66 units, of the rows that satisfy ``where``.
+
+    Four 64-bit sums, so it stays a hash aggregate; they hold 2**41 rows of a group, and totals up to 2**60.  Results
+    of parts can be added up.  ANSI mode raises on overflow.
+    """
+    return units_of([F.sum(p if where is None else F.when(where, p).otherwise(F.lit(0))) for p in limbs(amount)])
 
-def exact_sum(amount: Column | str, digits: int = 4) -> Column:
-    """Sum of a double money column that does not depend on row order or partitioning.
 
-    Amounts are summed as 64-bit units of 10**-digits; ANSI mode raises on overflow.
-    """
-    return units_to_double(F.sum(scaled_units(amount, digits)), digits)
+def units_to_double(units: Column | str) -> Column:
+    """The double next to a sum in 2**-66 units; its whole part and its fraction are rounded together, once."""
+    u = _col(units).cast("decimal(38,0)")
+    size = F.abs(u)
+    fraction = F.pmod(size, F.lit(Decimal(_SCALE)))
+    whole = F.call_function("div", size - fraction, F.lit(Decimal(_SCALE)))
+    low = F.pmod(fraction, F.lit(Decimal(LIMB)))
+    high = F.call_function("div", fraction - low, F.lit(Decimal(LIMB)))
+    value = whole.cast("double") + (high.cast("double") / float(LIMB**2) + low.cast("double") / float(_SCALE))
+    return value * F.when(u < 0, -1.0).otherwise(1.0)
+
+
+def exact_sum(amount: Column | str, where: Column | None = None) -> Column:
+    """Sum of a double column without rounding any amount; it does not depend on row order or partitioning."""
+    return units_to_double(exact_units(amount, where))
 
 
 def count_where(condition: Column) -> Column:

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import safe_divide, scaled_units, units_to_double
+from clickloom.functions import exact_sum, limbs, safe_divide, units_of, units_to_double
 from clickloom.operators import asof_join, positions, running_by_time, skew_safe_left_join
 from clickloom.operators.enrich import HOT_SHARE, place_of
 from clickloom.session import write_down
@@ -46,7 +46,7 @@ def touches(conversions: DataFrame, clicks: DataFrame, mode: str = "global") ->
 
 
 def touch_instants(conversions: DataFrame, touch: DataFrame, by: list[str]) -> DataFrame:
-    """One row per instant (of a customer): clicks, first and last click, conversions, revenue.
+    """One row per instant (of a customer): clicks, first and last click, conversions.
 
     Both feeds are reduced to instants before they meet, so an instant or customer with
     very many events is one row per task.  The result feeds several branches and is
@@ -56,7 +56,7 @@ def touch_instants(conversions: DataFrame, touch: DataFrame, by: list[str]) -> D
     clicked = touch.groupBy(*by, "at").agg(
         F.count(F.lit(1)).alias("clicks"), F.min(shown).alias("head"), F.max(shown).alias("tail"))
     converted = conversions.groupBy(*by, F.col("conversion_timestamp").alias("at")).agg(
-        F.count(F.lit(1)).alias("conversions"), F.sum(scaled_units("revenue_euros")).alias("units"))
+        F.count(F.lit(1)).alias("conversions"))
     return write_down(clicked.join(converted, [*by, "at"], "full"))
 
 
@@ -117,31 +117,38 @@ class Journey:
     def linear(self) -> DataFrame:
         """Equal-share credit summed by touch group, with the number of (conversion, touch) pairs.
 
-        The order of summation is swapped: a click earns the shares of all later
-        conversions, which is a running sum walked backwards, so the pairs themselves are
-        never built.
+        The order of summation is swapped: a click earns the shares of all later conversions, which is a
+        running sum walked backwards, so the pairs themselves are never built.  Shares are summed as
+        limbs, so the credit is the exact sum of the shares of all pairs, whatever the order.
         """
         by = self.by
-        forward = running_by_time(self.instants, "at", sums={"total_touches": "clicks"}, by=by)
-        shares = write_down(forward.select(
-            *by, "at",
-            F.col("conversions").alias("touched"),
-            safe_divide("conversions", "total_touches").alias("weight"),
-            safe_divide(units_to_double("units"), "total_touches").alias("revenue"),
-        ))
-        earned = running_by_time(
-            shares, "at", by=by, descending=True,
-            sums={"later": "touched", "later_weight": "weight", "later_revenue": "revenue"},
-        ).filter(F.col("later") > 0)
+        forward = write_down(running_by_time(self.instants, "at", sums={"total_touches": "clicks"}, by=by)
+                             .select(*by, "at", "conversions", "total_touches"))
+        # Conversions of an instant with the same revenue have the same share: an instant is as many rows as revenues.
+        valued = self.conversions.groupBy(*by, F.col("conversion_timestamp").alias("at"), "revenue_euros").agg(
+            F.count(F.lit(1)).alias("n"))
+        shares = {"weight": safe_divide(F.lit(1.0), "total_touches"), "revenue": safe_divide("revenue_euros", "total_touches")}
+        parts = {f"{name}_{i}": part for name, share in shares.items() for i, part in enumerate(limbs(share))}
+        none = F.lit(0).cast("bigint")
+        earning = valued.join(forward, [*by, "at"]).select(
+            *by, "at", none.alias("touched"), *[(F.coalesce(part, none) * F.col("n")).alias(name) for name, part in parts.items()])
+        every = forward.select(*by, "at", F.coalesce("conversions", none).alias("touched"), *[none.alias(name) for name in parts])
+        instants = write_down(earning.unionByName(every).groupBy(*by, "at").agg(
+            *[F.sum(c).alias(c) for c in ("touched", *parts)]))
+        earned = running_by_time(instants, "at", by=by, descending=True,
+                                 sums={f"later_{c}": c for c in ("touched", *parts)}).filter(F.col("later_touched") > 0)
         grouped = self.touch.groupBy(*by, "at", *GROUP).agg(F.count(F.lit(1)).alias("clicks"))
-        paid = grouped.join(earned.select(*by, "at", "later", "later_weight", "later_revenue"), [*by, "at"])
+        paid = grouped.join(earned.select(*by, "at", *[f"later_{c}" for c in ("touched", *parts)]), [*by, "at"])
+        wide = "decimal(19,0)"
+
+        def credit(name: str) -> Column:
+            sums = [F.sum(F.col("clicks").cast(wide) * F.col(f"later_{name}_{i}").cast(wide)) for i in range(4)]
+            return units_to_double(units_of(sums))
+
         return (
             paid.groupBy(*GROUP)
-            .agg(
-                F.sum(F.col("clicks") * F.col("later")).alias("touches"),
-                F.sum(F.col("clicks") * F.col("later_revenue")).alias("attributed_revenue"),
-                F.sum(F.col("clicks") * F.col("later_weight")).alias("attribution_weight"),
-            )
+            .agg(F.sum(F.col("clicks") * F.col("later_touched")).alias("touches"),
+                 credit("revenue").alias("attributed_revenue"), credit("weight").alias("attribution_weight"))
             .withColumn("attribution_model", F.lit("linear"))
         )
 
@@ -245,6 +252,6 @@ def attribution_summary(conversions: DataFrame, clicks: DataFrame, mode: str = "
     """Credit by model and touch group."""
     return int_attribution(conversions, clicks, mode).groupBy("attribution_model", *GROUP).agg(
         F.sum("touches").alias("touches"),
-        F.sum("attributed_revenue").alias("attributed_revenue"),
-        F.sum("attribution_weight").alias("attribution_weight"),
+        exact_sum("attributed_revenue").alias("attributed_revenue"),
+        exact_sum("attribution_weight").alias("attribution_weight"),
     )

@@ -16,10 +16,10 @@ from clickloom.functions import (
     ctr,
     elapsed,
     exact_sum,
+    exact_units,
     roas,
     round_half_away,
     safe_divide,
-    scaled_units,
     units_to_double,
 )
 from clickloom.operators import first_by, skew_safe_left_join
@@ -176,11 +176,8 @@ def first_conversions(conversions: DataFrame) -> DataFrame:
 def _ltv_units(days: dict[str, int | None]) -> list[Column]:
     """Revenue within each number of days of the first conversion, in exact units."""
     since = elapsed("DAY", "first_conversion_timestamp", "conversion_timestamp")
-    units = scaled_units("revenue_euros")
-    return [
-        F.sum(units if limit is None else F.when(since <= limit, units).otherwise(F.lit(0))).alias(name)
-        for name, limit in days.items()
-    ]
+    return [exact_units("revenue_euros", None if limit is None else since <= limit).alias(name)
+            for name, limit in days.items()]
 
 
 LTV_WINDOWS = {"ltv_30d": 30, "ltv_90d": 90, "ltv_total": None}

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions import safe_divide, scaled_units, units_to_double
+from clickloom.functions import limbs, safe_divide, units_of, units_to_double
 from clickloom.semantic.views import MARKETING_DASHBOARD, VIEWS
 
 
@@ -61,7 +61,7 @@ def with_mean(df: DataFrame, column: str) -> DataFrame:
     """Add the mean of a column over a tile, for a reference line.  Only for tile results,
     which hold a row per channel."""
     tile = Window.partitionBy()
-    total = units_to_double(F.sum(scaled_units(column)).over(tile))
+    total = units_to_double(units_of([F.sum(part).over(tile) for part in limbs(column)]))
     return df.withColumn(f"mean_{column}", safe_divide(total, F.count(column).over(tile)))
 
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import exact_sum, safe_divide, scaled_units, units_to_double
+from clickloom.functions import exact_sum, safe_divide
 
 _BUCKETS: dict[str, Callable[[Column], Column]] = {
     "value": lambda c: c,
@@ -53,13 +53,13 @@ class Measure:
 
     @staticmethod
     def avg(column: str) -> Measure:
-        """Mean of the known values of a column with at most four decimals."""
+        """Mean of the known values of a column, from their exact sum."""
         return Measure(lambda: safe_divide(exact_sum(column), F.count(column)))
 
     @staticmethod
     def weighted_avg(column: str, weight: str) -> Measure:
         return Measure(lambda: safe_divide(
-            units_to_double(F.sum(scaled_units(column) * F.col(weight))), F.sum(weight)))
+            exact_sum(F.col(column) * F.col(weight)), F.sum(weight)))
 
     @staticmethod
     def max(column: str) -> Measure:

@@ -33,13 +33,26 @@ def big(expr: str) -> str:
     return f"CAST({expr} AS BIGINT)"
 
 
-def money_units(expr: str) -> str:
-    return f"CAST(floor({expr} * 1e4 + 5e-1) AS BIGINT)"
+_UNIT = 2**66
+
+
+def units(expr: str) -> str:
+    """A double as a whole number of 2**-66 units in 128 bits."""
+    size = f"abs(CAST({expr} AS DOUBLE))"
+    return (f"((CASE WHEN ({expr}) < 0 THEN -1 ELSE 1 END) * (CAST(floor({size}) AS HUGEINT) * {_UNIT} "
+            f"+ CAST(floor(({size} - floor({size})) * {_UNIT}e0) AS HUGEINT)))")
+
+
+def value(sum_of_units: str) -> str:
+    """The double of a sum of units."""
+    return (f"list_transform([CAST({sum_of_units} AS HUGEINT)], lambda s: (CASE WHEN s < 0 THEN -1e0 ELSE 1e0 END) * (CAST(abs(s) // {_UNIT} AS DOUBLE) "
+            f"+ (CAST(abs(s) % {_UNIT} // {2**22} AS DOUBLE) / {2**44}e0 + CAST(abs(s) % {_UNIT} % {2**22} AS DOUBLE) / {_UNIT}e0)))[1]")
 
 
 def money(expr: str, where: str | None = None) -> str:
+    """The exact sum of a double column."""
     cond = f" FILTER (WHERE {where})" if where else ""
-    return f"(CAST(sum({money_units(expr)}){cond} AS DOUBLE) / 1e4)"
+    return value(f"sum({units(expr)}){cond}")
 
 
 EUROS = "(CAST((cost_micros + 50) // 100 AS DOUBLE) / 1e4)"
@@ -234,9 +247,9 @@ JOIN (SELECT * FROM perf WHERE total_cost_euros > 0
 
 _SINCE = "date_sub('day', first_ts, conversion_timestamp)"
 _LTV = f"""
-SELECT customer_id, sum(CASE WHEN {_SINCE} <= 30 THEN {money_units('revenue_euros')} ELSE 0 END) AS u30,
-       sum(CASE WHEN {_SINCE} <= 90 THEN {money_units('revenue_euros')} ELSE 0 END) AS u90,
-       sum({money_units('revenue_euros')}) AS u, count(*) AS n
+SELECT customer_id, sum(CASE WHEN {_SINCE} <= 30 THEN {units('revenue_euros')} ELSE 0 END) AS u30,
+       sum(CASE WHEN {_SINCE} <= 90 THEN {units('revenue_euros')} ELSE 0 END) AS u90,
+       sum({units('revenue_euros')}) AS u, count(*) AS n
 FROM (SELECT *, min(conversion_timestamp) OVER (PARTITION BY customer_id) AS first_ts FROM cv0) GROUP BY 1"""
 
 _FIRST = """
@@ -246,8 +259,8 @@ SELECT customer_id, channel AS acquisition_channel, platform AS acquisition_plat
 FROM (SELECT *, rank() OVER (PARTITION BY customer_id ORDER BY conversion_timestamp) AS pos FROM cv) WHERE pos = 1"""
 
 _CAC = div("spend", "new_customers")
-_AVG90 = "(CAST(s90 AS DOUBLE) / 1e4 / CAST(events AS DOUBLE))"
-_AVG30 = "(CAST(s30 AS DOUBLE) / 1e4 / CAST(events AS DOUBLE))"
+_AVG90 = "(s90 / CAST(events AS DOUBLE))"
+_AVG30 = "(s30 / CAST(events AS DOUBLE))"
 _RATIO = f"({_AVG90} / nullif({_CAC}, 0e0))"
 _ACQ = f"""
 SELECT channel, acquisition_month, new_customers, {rnd(_CAC)} AS cac_eur, {rnd(_AVG30)} AS avg_first_order_value,
@@ -257,7 +270,7 @@ SELECT channel, acquisition_month, new_customers, {rnd(_CAC)} AS cac_eur, {rnd(_
        CASE WHEN {_RATIO} >= 3 THEN 'healthy' WHEN {_RATIO} >= 1 THEN 'marginal' ELSE 'unhealthy' END AS acquisition_health,
        {rnd(div('sn', 'events'), 1)} AS avg_conversions_per_customer
 FROM (SELECT acquisition_channel AS channel, acquisition_month, count(DISTINCT customer_id) AS new_customers,
-             count(*) AS events, sum(u30) AS s30, sum(u90) AS s90, sum(n) AS sn
+             count(*) AS events, {value('sum(u30)')} AS s30, {value('sum(u90)')} AS s90, sum(n) AS sn
       FROM firsts JOIN ltv USING (customer_id) GROUP BY 1, 2)
 LEFT JOIN (SELECT channel, {money('total_cost_euros')} AS spend FROM perf GROUP BY 1) USING (channel)"""
 
@@ -277,10 +290,10 @@ SELECT conversion_id, customer_id, revenue_euros, conversion_type, {_TOUCH_GROUP
        revenue_euros AS attributed_revenue, 1e0 AS attribution_weight, attribution_model FROM ({both})"""
 
 
-def _linear(journey: str, digits: int = 2) -> str:
+def _linear(journey: str) -> str:
     return f"""
-SELECT {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(revenue_euros / n)', digits)} AS attributed_revenue,
-       {rnd('sum(1e0 / n)', 6)} AS attribution_weight, 'linear' AS attribution_model
+SELECT {_TOUCH_GROUP}, count(*) AS touches, {money('revenue_euros / n')} AS attributed_revenue,
+       {money('1e0 / n')} AS attribution_weight, 'linear' AS attribution_model
 FROM (SELECT *, count(*) OVER (PARTITION BY conversion_id) AS n FROM {journey}) GROUP BY {_TOUCH_GROUP}"""
 
 
@@ -292,12 +305,12 @@ SELECT conversion_id, any_value(customer_id) AS customer_id, any_value(revenue_e
 FROM {journey} GROUP BY conversion_id"""
 
 
-def _summary(journey: str, digits: int = 2) -> str:
+def _summary(journey: str) -> str:
     single = f"SELECT * FROM ({_single(journey)})"
     return f"""
-SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {rnd('sum(attributed_revenue)', digits)} AS attributed_revenue,
-       {rnd('sum(attribution_weight)', 6)} AS attribution_weight FROM ({single}) GROUP BY ALL
-UNION ALL BY NAME {_linear(journey, digits)}"""
+SELECT attribution_model, {_TOUCH_GROUP}, count(*) AS touches, {money('attributed_revenue')} AS attributed_revenue,
+       {money('attribution_weight')} AS attribution_weight FROM ({single}) GROUP BY ALL
+UNION ALL BY NAME {_linear(journey)}"""
 
 
 def _credit_by(journey: str) -> str:
@@ -415,18 +428,17 @@ FROM clk GROUP BY 1""",
     "best_worst_campaign": "SELECT * FROM picks",
     "rpt_channel_roi": "SELECT * FROM roi",
     "first_conversion": f"""SELECT * REPLACE ({txt('acquisition_timestamp', 'acquisition_month')}) FROM firsts""",
-    "ltv_windows": """
-SELECT customer_id, CAST(u30 AS DOUBLE) / 1e4 AS ltv_30d, CAST(u90 AS DOUBLE) / 1e4 AS ltv_90d,
-       CAST(u AS DOUBLE) / 1e4 AS ltv_total, n AS total_conversions FROM ltv""",
+    "ltv_windows": f"""
+SELECT customer_id, {value('u30')} AS ltv_30d, {value('u90')} AS ltv_90d, {value('u')} AS ltv_total, n AS total_conversions FROM ltv""",
     "rpt_customer_acquisition": f"SELECT * REPLACE ({txt('acquisition_month')}) FROM acq",
     "attribution_global_first_last": _single("journey"),
     "attribution_global_linear_by_channel": _linear("journey"),
     "attribution_global_linear_credit": _credit("journey"),
     "attribution_global_summary": _summary("journey"),
     "attribution_customer_first_last": _single("own_journey"),
-    "attribution_customer_linear_by_channel": _linear("own_journey", digits=6),
+    "attribution_customer_linear_by_channel": _linear("own_journey"),
     "attribution_customer_linear_credit": _credit("own_journey"),
-    "attribution_customer_summary": _summary("own_journey", digits=6),
+    "attribution_customer_summary": _summary("own_journey"),
     "asof_last_click": _LAST_CLICK,
     "asof_next_campaign_click": _NEXT_CLICK,
     "linear_credit_by_channel": _credit_by("journey"),
@@ -448,8 +460,7 @@ def _mean(column: str) -> str:
     return f"({money(column)} / nullif(CAST(count({column}) AS DOUBLE), 0e0))"
 
 
-_WEIGHTED_CAC = (f"(CAST(sum({money_units('cac_eur')} * new_customers) AS DOUBLE) / 1e4 "
-                 "/ nullif(CAST(sum(new_customers) AS DOUBLE), 0e0))")
+_WEIGHTED_CAC = f"({money('cac_eur * new_customers')} / nullif(CAST(sum(new_customers) AS DOUBLE), 0e0))"
 _ACQ_MEASURES = f"""{big('sum(new_customers)')} AS total_new_customers, {_WEIGHTED_CAC} AS avg_cac,
        {_mean('avg_first_order_value')} AS avg_first_order_value, {_mean('avg_ltv_30d')} AS avg_ltv_30d,
        {_mean('avg_ltv_90d')} AS avg_ltv_90d, {_mean('payback_period_days')} AS avg_payback_period,

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from clickloom import fixtures
 from clickloom.operators import asof_join, dedup_latest
-from clickloom.functions import exact_sum, round_half_away
+from clickloom.functions import exact_sum
 from clickloom.observability import (
     batch_schemas,
     completeness,
@@ -124,19 +124,13 @@ class Tables:
         return marts.rpt_customer_acquisition(self.conversions, self.performance())
 
 
-def _rounded(df: DataFrame, **digits: int) -> DataFrame:
-    """Round sums of quotients, whose last bits depend on the order of summation."""
-    return df.withColumns({name: round_half_away(name, n) for name, n in digits.items()})
-
-
 def _attribution(build: Callable[..., DataFrame], mode: str) -> Callable[[Tables], DataFrame]:
     # Attribution reads no column that the clicks get from their impressions.
     return lambda t: build(t.clean_conversions, t.clean_clicks, mode)
 
 
-def _linear(mode: str, revenue_digits: int = 2) -> Callable[[Tables], DataFrame]:
-    return lambda t: _rounded(_attribution(attribution.linear_attribution, mode)(t),
-                              attributed_revenue=revenue_digits, attribution_weight=6)
+def _linear(mode: str) -> Callable[[Tables], DataFrame]:
+    return _attribution(attribution.linear_attribution, mode)
 
 
 def _credit(mode: str) -> Callable[[Tables], DataFrame]:
@@ -158,9 +152,8 @@ def _next_click(t: Tables) -> DataFrame:
                      within="60 days")
 
 
-def _summary(mode: str, digits: int = 2) -> Callable[[Tables], DataFrame]:
-    return lambda t: _rounded(_attribution(attribution.attribution_summary, mode)(t),
-                              attributed_revenue=digits, attribution_weight=6)
+def _summary(mode: str) -> Callable[[Tables], DataFrame]:
+    return _attribution(attribution.attribution_summary, mode)
 
 
 # The windows of the reports end here, so that a run gives the same rows on any day.
@@ -396,9 +389,9 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "attribution_global_linear_credit": _credit("global"),
     "attribution_global_summary": _summary("global"),
     "attribution_customer_first_last": _attribution(attribution.single_touch_attribution, "customer"),
-    "attribution_customer_linear_by_channel": _linear("customer", revenue_digits=6),
+    "attribution_customer_linear_by_channel": _linear("customer"),
     "attribution_customer_linear_credit": _credit("customer"),
-    "attribution_customer_summary": _summary("customer", digits=6),
+    "attribution_customer_summary": _summary("customer"),
     "asof_last_click": _last_click,
     "asof_next_campaign_click": _next_click,
     "linear_credit_by_channel": _attribution(attribution.linear_credit_by, "global"),

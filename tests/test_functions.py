@@ -1,4 +1,7 @@
 import datetime as dt
+import math
+import random
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -46,11 +49,21 @@ def test_micros_to_euros_equals_decimal_rounding(spark, values):
     assert bad.count() == 0
 
 
-def test_exact_sum_is_independent_of_order(spark):
-    amounts = [0.1] * 10 + [1e9, 0.0001, -1e9]
-    for order in (amounts, amounts[::-1]):
-        df = spark.createDataFrame([(a,) for a in order], "a double").repartition(3)
-        assert df.agg(fn.exact_sum("a")).first()[0] == 1.0001
+def test_exact_sum_loses_no_digit_whatever_the_order(spark):
+    rnd = random.Random(3)
+    cases = [[0.1] * 10 + [1e9, 0.0001, -1e9], [1e-7] * 1000, [-0.00005, 0.00005, -2.5], [2.0**40, 2.0**-60, -(2.0**40)], [-1e-12, -0.3],
+             [rnd.uniform(-1e6, 1e6) for _ in range(500)], [rnd.uniform(-1, 1) * 10.0 ** rnd.randrange(-3, 7) for _ in range(500)], [0.0], [-0.0]]
+    for amounts in cases:
+        want = float(sum(map(Fraction, amounts)))
+        rnd.shuffle(amounts)
+        df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(3)
+        got = df.agg(fn.exact_sum("a"), fn.exact_sum("a", F.col("a") > 0)).first()
+        # Digits below 2**-66 of an amount are cut; whole part and fraction are rounded one after the other.
+        assert abs(got[0] - want) <= math.ulp(want) + len(amounts) * 2.0**-66 and (got[0] == want or len(amounts) > 100)
+        assert (got[1] or 0) == pytest.approx(sum(a for a in amounts if a > 0), rel=1e-15)
+    assert spark.createDataFrame([(None,)], "a double").agg(fn.exact_sum("a")).first()[0] is None
+    plan = df.groupBy((F.col("a") > 0).alias("k")).agg(fn.exact_sum("a"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_budget_tiers_share_their_bounds(spark):
