@@ -27,6 +27,25 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_col: str,
     return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
+def dedup_latest_rare(df: DataFrame, keys: Sequence[str], order_col: str, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``dedup_latest``, for wide feeds in which most keys stand once.
+
+    A first phase looks only at the keys: a hash aggregate, combined in each task before the shuffle, that finds the
+    keys with several rows.  Rows of other keys pass through unsorted and uncompared; those of repeated keys reach the
+    comparison of whole rows.  The wide rows are shuffled once, as both branches read the same exchange; a key with
+    very many rows is split by the adaptive planner, as its side of the join is the streamed one.
+
+    Unlike the single aggregate, this does not tell the optimizer that keys are unique.
+    """
+    seen = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    seen = seen.select(*[F.col(c).alias(f"_key_{c}") for c in keys], "_n").hint("shuffle_hash")
+    match = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys]
+    marked = df.join(seen, match, "left")
+    once = marked.filter(F.col("_n").isNull()).select(*df.columns)
+    again = marked.filter(F.col("_n").isNotNull()).select(*df.columns)
+    return once.unionByName(dedup_latest(again, keys, order_col, tiebreak))
+
+
 def first_by(payload: Sequence[Column | str], order: Sequence[Column], where: Column | None = None) -> Column:
     """Aggregate: the payload of the row that sorts first by ``order`` (NULLs first).
 

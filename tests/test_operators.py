@@ -170,3 +170,33 @@ def test_positions_number_rows_of_every_group_whatever_the_partitioning(spark):
     assert got == {("x", i): i + 1 for i in range(300)} | {("y", 1): 1, (None, 3): 1, (None, 2): 2}
     assert [r.n for r in positions(df.where("k = 'x'"), ["at", "id"], "n").orderBy("id").collect()] == list(range(1, 301))
     assert positions(df.limit(0), ["at", "id"]).count() == 0
+
+
+def test_comparing_only_repeated_keys_gives_the_same_rows(spark):
+    import random
+
+    from clickloom.operators import dedup_latest, dedup_latest_rare
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["hot", None, *[f"k{i}" for i in range(60)]]), rnd.choice([1, 2]), rnd.choice([None, 1, 2, 3]), rnd.choice("xyz"))
+            for _ in range(150)]
+    rows += [("hot", 1, 3, rnd.choice("xyz")) for _ in range(80)] + [("late", 1, None, "x"), ("late", 1, None, "y")]
+    df = spark.createDataFrame(rows, "k string, part int, at int, v string").repartition(5)
+    for keys in (["k"], ["k", "part"]):
+        want = sorted(map(tuple, dedup_latest(df, keys, "at").collect()), key=repr)
+        assert sorted(map(tuple, dedup_latest_rare(df, keys, "at").collect()), key=repr) == want
+    assert dedup_latest_rare(df.limit(0), ["k"], "at").count() == 0
+
+
+def test_unique_keys_are_neither_sorted_nor_compared(spark, feeds):
+    from clickloom.plans.staging import stg_ad_impressions
+
+    staged = stg_ad_impressions(feeds.impressions)
+    staged.collect()
+    plan = staged._jdf.queryExecution().executedPlan()
+    final = plan.toString().split("== Initial Plan ==")[0]
+    once, again = final[final.index("Union"):].split("isnull(_n", 1)[0], final
+    # The branch of unique keys holds no aggregate of rows; that of repeated ones has the only two.
+    assert "SortAggregate" not in once and again.count("SortAggregate") == 2
+    # Wide rows are shuffled once for both branches.
+    assert "ReusedExchange" in final
