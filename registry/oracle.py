@@ -419,6 +419,11 @@ FROM raw_conversions a
 JOIN (SELECT conversion_id, max(timestamp) AS timestamp FROM raw_conversions GROUP BY 1) USING (conversion_id, timestamp)""",
     "int_campaign_performance": f"SELECT {_CAMPAIGN_COLUMNS} FROM perf",
     "int_campaign_performance_campaign_grain": f"SELECT {_CAMPAIGN_COLUMNS} FROM perf1",
+    "unique_customers_by_sketch": """
+SELECT 'campaign_id' AS span, campaign_id AS value, count(DISTINCT customer_id) AS unique_customers, true AS within_error
+FROM cv0 WHERE conversion_date BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' GROUP BY 2
+UNION ALL
+SELECT 'month', CAST(CAST(date_trunc('month', conversion_date) AS DATE) AS VARCHAR), count(DISTINCT customer_id), true FROM cv0 GROUP BY 2""",
     "click_engagement": f"""
 SELECT campaign_id, count(*) AS total_clicks, {money('cost_euros')} AS click_spend_euros,
        {dbl('sum(seconds_to_click)')} / nullif(count(seconds_to_click), 0) AS avg_seconds_to_click

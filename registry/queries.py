@@ -152,6 +152,26 @@ def _next_click(t: Tables) -> DataFrame:
                      within="60 days")
 
 
+def _customers_by_sketch(t: Tables) -> DataFrame:
+    """Distinct customers by campaign over half a year and by month over all campaigns: exact, and whether the merged sketches are near."""
+    kept = write_down(campaigns.customer_sketches(t.clean_conversions))
+    start, end = dt.date(1996, 1, 1), dt.date(1996, 6, 30)
+    month = F.trunc("conversion_date", "MM").cast("string")
+    spans = [
+        (campaigns.estimated_customers(kept, ["campaign_id"], start, end),
+         t.clean_conversions.filter(F.col("conversion_date").between(F.lit(start), F.lit(end))), "campaign_id"),
+        (campaigns.estimated_customers(kept.withColumn("month", month), ["month"]), t.clean_conversions.withColumn("month", month), "month"),
+    ]
+    found = []
+    for estimate, rows, key in spans:
+        exact = rows.groupBy(key).agg(F.countDistinct("customer_id").alias("unique_customers"))
+        off = F.abs(F.col("estimated_customers") - F.col("unique_customers"))
+        found.append(exact.join(estimate, key, "left").select(
+            F.lit(key).alias("span"), F.col(key).alias("value"), "unique_customers",
+            F.coalesce(off <= F.col("unique_customers") * campaigns.sketch_error(), F.lit(False)).alias("within_error")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _summary(mode: str) -> Callable[[Tables], DataFrame]:
     return _attribution(attribution.attribution_summary, mode)
 
@@ -376,6 +396,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "dedup_latest": lambda t: dedup_latest(t.raw.conversions, ["conversion_id"], "timestamp"),
     "int_campaign_performance": lambda t: t.performance(),
     "int_campaign_performance_campaign_grain": lambda t: t.performance("campaign"),
+    "unique_customers_by_sketch": _customers_by_sketch,
     "click_engagement": lambda t: campaigns.click_engagement(t.clicks),
     "rpt_marketing_dashboard": lambda t: t.dashboard(),
     "rpt_marketing_dashboard_full": lambda t: t.dashboard(keep_unmatched=True),

@@ -163,3 +163,25 @@ def test_spend_of_the_dashboard_is_the_spend_of_the_impressions(feeds):
     known = imp.agg(F.sum("cost_euros"), F.count("*")).first()
     assert total[1] == known[1]
     assert total[0] == pytest.approx(known[0], abs=0.005 * dash.count())
+
+
+def test_sketches_of_days_merge_to_any_span(spark):
+    import datetime as dt
+
+    from clickloom.plans import campaigns
+
+    # One campaign with most customers; a customer converts on several days and for several campaigns.
+    df = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, concat('C', id % 7), 'hot') as campaign_id", "date_add(date'2024-01-01', int(id % 40)) as conversion_date",
+        "concat('u', hash(id) % 9000) as customer_id")
+    kept = campaigns.customer_sketches(df)
+    start, end = dt.date(2024, 1, 10), dt.date(2024, 1, 25)
+    for by, first, last in ((["campaign_id"], None, None), (["campaign_id"], start, end), ([], start, None), (["conversion_date"], None, None)):
+        rows = df.filter(f"conversion_date >= '{first or dt.date.min}' and conversion_date <= '{last or dt.date.max}'")
+        exact = {tuple(r)[:-1]: r[-1] for r in rows.groupBy(*by).agg(F.countDistinct("customer_id")).collect()}
+        got = {tuple(r)[:-1]: r[-1] for r in campaigns.estimated_customers(kept, by, first, last).collect()}
+        assert set(got) == set(exact)
+        assert all(abs(got[k] - exact[k]) <= campaigns.sketch_error() * exact[k] for k in exact)
+    # Small groups are counted exactly.
+    few = campaigns.estimated_customers(campaigns.customer_sketches(df.limit(50)), []).first()[0]
+    assert few == df.limit(50).select("customer_id").distinct().count()
