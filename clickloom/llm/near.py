@@ -10,6 +10,7 @@ of 3e-4; all pairs found are confirmed on the full shingle sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +18,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.spread import compare_pairs, components, sorted_groups
+from clickloom.llm.spread import compare_pairs, components
 from clickloom.llm.words import common, min_hashes, mix, odd_multipliers, shingle_set
 from clickloom.session import write_down
 
 CHUNKS, CHUNK, ERRORS = 10, 4, 1
 # The distance of signatures up to which all pairs are found.
 FAR = (ERRORS + 1) * CHUNKS - 1
-BLOCK = 256
+# Members compared in one cell at most, about: with their texts, and with signatures only.
+BLOCK, SIGNED_BLOCK = 256, 2048
+# Another round of hubs pays if the last one linked at least one in GAIN members it was for.
+GAIN = 20
 SEED = 20240901
 PERCENT = 75
 
@@ -96,14 +100,14 @@ def _symbols(signatures: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(signatures), np.uint16).reshape(len(signatures), CHUNKS * CHUNK)
 
 
-def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+def _hub_pairs(members: DataFrame, percent: int, turn: int = 0) -> DataFrame:
     """(a, b): each node with one hub, out of the hubs of its buckets.
 
-    A bucket's hub is the node first in an order by hash, so that a group of copies has the same hub
-    in most of its buckets.  A node takes the hub with the nearest signature.
+    A bucket's hub is the node first in an order by hash (of this turn) among its outer members, so that a group of copies
+    has the same hub in most of its buckets.  A node takes the hub with the nearest signature.
     """
-    order = F.struct(F.xxhash64("node").alias("o"), "node", "n", "at", "signature")
-    hubs = members.groupBy("key").agg(F.min(order).alias("hub")).select("key", "hub")
+    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "n", "at", "signature")
+    hubs = members.where(~F.col("inner")).groupBy("key").agg(F.min(order).alias("hub")).select("key", "hub")
     met = (members.join(hubs, "key").where(F.col("at") != F.col("hub.at")).where(_near_size("n", "hub.n", percent))
            .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.signature").alias("s"), "signature"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("far", pa.int32())])
@@ -119,48 +123,94 @@ def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, reached: DataFrame) -> DataFrame:
-    """The members, with the component they are in, of the buckets that hold more than one component."""
-    at = (members.drop("at").join(reached, "node", "left").withColumn("at", F.coalesce("component", "node")).drop("component"))
-    mixed = at.groupBy("key").agg(F.min("at").alias("x"), F.max("at").alias("y")).where("x < y").select("key")
-    return write_down(at.join(mixed, "key"))
+    """The members of the buckets that hold more than one component, with `at`, the component, and `inner`.
+
+    A member of its bucket's largest component is inner.  Inner members need no comparison with each other.
+    """
+    at = (members.select("key", "node", "n", "signature").join(reached, "node", "left")
+          .withColumn("at", F.coalesce("component", "node")).drop("component"))
+    sizes = at.groupBy("key", "at").agg(F.count(F.lit(1)).alias("size"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("size", "at"))["at"].alias("most"), F.count(F.lit(1)).alias("parts"))
+    return write_down(at.join(most.where("parts > 1").drop("parts"), "key").withColumn("inner", F.expr("at = most")).drop("most"))
 
 
-def _pairs_here(key: int, x: list[tuple], y: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs to compare in this bucket: near signatures, sizes that fit, different components.
+def _dealt(members: DataFrame, columns: list[str], block: int) -> DataFrame:
+    """Rows (key, part, slice, role, node, at, inner, *columns) of cells that together hold every pair with an outer member.
 
-    Rows are (node, n, at, signature).  A pair that shares several keys belongs to the first of them.
+    The outer members of a bucket are cut into parts of about `block`, all its members into slices of that
+    size; a cell holds one part (role 0), then one slice (role 1).  With one part, as in any bucket that one
+    component or a few members make up, that is at most three rows for each member, however large the bucket.
     """
-    (nx, sx, cx), (ny, sy, cy) = ([np.array([r[i] for r in side], np.int64) for i in (0, 1, 2)] for side in (x, y))
-    met = (nx[:, None] < ny[None, :]) if x is y else (nx[:, None] != ny[None, :])
-    met &= cx[:, None] != cy[None, :]
-    met &= np.minimum(sx[:, None], sy[None, :]) * 100 >= np.maximum(sx[:, None], sy[None, :]) * percent
-    i, j = np.nonzero(met)
-    one, two = _symbols([r[3] for r in x]), _symbols([r[3] for r in y])
-    keep = []
-    for start in range(0, len(i), 8192):
-        same = (one[i[start : start + 8192]] == two[j[start : start + 8192]]).reshape(-1, CHUNKS, CHUNK)
+    counts = members.groupBy("key").agg((F.ceil(F.count_if(~F.col("inner")) / block)).cast("int").alias("parts"),
+                                        (F.ceil(F.count(F.lit(1)) / block)).cast("int").alias("slices"))
+    dealt = members.select("key", "node", "at", "inner", *columns).join(counts, "key")
+    spread = F.xxhash64("node")
+
+    def cell(count: str):
+        return F.pmod(spread, F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    kept = ["node", "at", "inner", *columns]
+    held = dealt.where(~F.col("inner")).select("key", cell("parts").alias("part"), every("slices").alias("slice"),
+                                               F.lit(0).alias("role"), *kept)
+    passing = dealt.select("key", every("parts").alias("part"), cell("slices").alias("slice"), F.lit(1).alias("role"), *kept)
+    return held.union(passing).repartition("key", "part", "slice").sortWithinPartitions("key", "part", "slice", "role")
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple], tuple]]:
+    """(key, held, row) for every passing row of sorted cells, held being the rows of the cell's part."""
+    held, at = [], None
+    pieces = (batch.slice(s, BLOCK) for batch in batches for s in range(0, batch.num_rows, BLOCK))
+    for batch in pieces:
+        for key, part, piece, role, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+            if at != (key, part, piece):
+                held, at = [], (key, part, piece)
+            if role == 0:
+                held.append(row)
+            else:
+                yield key, held, row
+
+
+class _Part:
+    """The members held in a cell, as arrays."""
+
+    def __init__(self, held: list[list], percent: int):
+        self.rows, self.percent = held, percent
+        self.nodes, self.sizes, self.at = (np.array([r[i] for r in held], np.int64) for i in (0, 3, 1))
+        self.symbols = _symbols([r[4] for r in held])
+
+    def partners(self, key: int, row: list) -> np.ndarray:
+        """Positions of the held members to compare with row (node, at, inner, n, signature, ...) in this bucket.
+
+        Their signatures are near, their sizes fit and they are in another component.  Of two outer members the
+        greater one passes, and a pair that shares several keys belongs to the first of them.
+        """
+        node, at, inner, n, signature = row[:5]
+        met = (self.at != at) & (np.minimum(self.sizes, n) * 100 >= np.maximum(self.sizes, n) * self.percent)
+        if not inner:
+            met &= self.nodes < node
+        i = np.flatnonzero(met)
+        if not len(i):
+            return i
+        same = (self.symbols[i] == np.frombuffer(signature, np.uint16)[None, :]).reshape(-1, CHUNKS, CHUNK)
         errors = CHUNK - same.sum(axis=2)
         first = (errors <= ERRORS).argmax(axis=1)
-        at = np.arange(len(first))
-        gone = np.where(errors[at, first] == 0, 0, same[at, first].argmin(axis=1))
-        keep.append((errors.sum(axis=1) <= FAR) & (first * CHUNK + gone == key >> (16 * (CHUNK - 1))))
-    keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-    return i[keep], j[keep]
-
+        k = np.arange(len(first))
+        gone = np.where(errors[k, first] == 0, 0, same[k, first].argmin(axis=1))
+        return i[(errors.sum(axis=1) <= FAR) & (first * CHUNK + gone == key >> (16 * (CHUNK - 1)))]
 
-def _in_blocks(members: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows dealt by pairs of blocks of their bucket: (key, left, right, side, *columns), sorted."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    return (members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
-                    (F.col("block") > F.col("other")).cast("int").alias("side"), *columns)
-            .repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "side"))
 
-
-def _sides(held: list[tuple], left: int, right: int) -> tuple[list[tuple], list[tuple]]:
-    x = [r[1:] for r in held if r[0] == 0]
-    return x, x if left == right else [r[1:] for r in held if r[0] == 1]
+def _parts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple[int, _Part, list, np.ndarray]]:
+    """(key, part, row, positions in part to compare it with), for rows that have any."""
+    last, part = None, None
+    for key, held, row in _cells(batches):
+        if held is not last:
+            last, part = held, _Part(held, percent)
+        found = part.partners(key, row)
+        if len(found):
+            yield key, part, row, found
 
 
 def _involved(members: DataFrame, percent: int) -> DataFrame:
@@ -168,22 +218,28 @@ def _involved(members: DataFrame, percent: int) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (key, left, right), held in sorted_groups(batches, 3):
-            x, y = _sides(held, left, right)
-            if x and y:
-                i, j = _pairs_here(key, x, y, percent)
-                nodes = sorted({x[k][0] for k in set(i.tolist())} | {y[k][0] for k in set(j.tolist())})
-                if nodes:
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(nodes), pa.int64()), pa.array(nodes, pa.int64())],
-                                                     schema=schema)
-
-    return _in_blocks(members, ["node", "n", "at", "signature"]).mapInArrow(run, "key long, node long").distinct()
+        last, told, rows = None, set(), []
+        for key, part, row, found in _parts(batches, percent):
+            if part is not last:
+                last, told = part, set()
+            for node in (row[0], *part.nodes[found].tolist()):
+                if node not in told:
+                    told.add(node)
+                    rows.append((key, node))
+            if len(rows) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
+
+    return _dealt(members, ["n", "signature"], SIGNED_BLOCK).mapInArrow(run, "key long, node long").distinct()
 
 
 def _links_across(members: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """Links (a, b) that join all components whose members meet in a bucket and are similar enough.
 
-    Sets are compared in pairs of blocks; a pair that earlier links of its task have joined is skipped.
+    Texts are fetched for members with a near signature in another component only.  A task holds the sets of
+    one part, other members pass by; a pair that earlier links of its cell have joined is skipped.
     """
     asked = write_down(_involved(members, percent))
     texts = docs.select(F.col(key).alias("node"), F.col(text).cast("binary").alias("body")).join(
@@ -191,36 +247,37 @@ def _links_across(members: DataFrame, docs: DataFrame, key: str, text: str, perc
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, left, right), held in sorted_groups(batches, 3):
-            x, y = _sides(held, left, right)
-            if not x or not y:
-                continue
-            i, j = _pairs_here(bucket, x, y, percent)
-            sets: dict[int, np.ndarray] = {}
-            joined: dict[int, int] = {}
-
-            def root(c):
-                while joined.get(c, c) != c:
-                    c = joined[c]
-                return c
-
-            found = []
-            for one, two in ((x[p], y[q]) for p, q in zip(i.tolist(), j.tolist(), strict=True)):
-                c, d = root(one[2]), root(two[2])
+        last, sets, joined, found = None, {}, {}, []
+
+        def root(c):
+            while joined.get(c, c) != c:
+                c = joined[c]
+            return c
+
+        for _, part, row, partners in _parts(batches, percent):
+            if part is not last:
+                last, sets, joined = part, {}, {}
+            mine = None
+            for i in partners.tolist():
+                c, d = root(row[1]), root(int(part.at[i]))
                 if c == d:
                     continue
-                for row in (one, two):
-                    if row[0] not in sets:
-                        sets[row[0]] = shingle_set(row[4])
-                shared = common(sets[one[0]], sets[two[0]])
-                if 100 * shared >= percent * (one[1] + two[1] - shared):
+                if mine is None:
+                    mine = shingle_set(row[5])
+                if i not in sets:
+                    sets[i] = shingle_set(part.rows[i][5])
+                shared = common(mine, sets[i])
+                if 100 * shared >= percent * (len(mine) + len(sets[i]) - shared):
                     joined[max(c, d)] = min(c, d)
-                    found.append((one[0], two[0]))
-            if found:
+                    found.append((row[0], int(part.nodes[i])))
+            if len(found) >= 4096:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
 
     meeting = members.join(asked, ["key", "node"]).join(texts, "node")
-    return _in_blocks(meeting, ["node", "n", "at", "signature", "body"]).mapInArrow(run, "a long, b long").distinct()
+    return _dealt(meeting, ["n", "signature", "body"], BLOCK).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -228,9 +285,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     Documents whose sets of five-word shingles have a Jaccard similarity of at least percent / 100 are
     linked; component_id is the least doc_id reachable.  Documents with equal sets are one node.  First each
-    node is compared with one hub of its buckets, which joins most groups with one comparison per member.
-    Then all pairs with near signatures that share a bucket across components are compared, in blocks, so
-    that no link within reach of the index is lost while no pair leaves its task.
+    node is compared with one hub of its buckets, which joins most groups with one comparison per member;
+    in buckets with many members outside the largest component, with further hubs, as long as that joins
+    groups.  Then all pairs with near signatures that share a bucket across components are compared, each
+    member outside a bucket's largest component with all others, so that no link within reach of the index
+    is lost while no pair leaves its task.
 
     Null or empty texts have no shingles and stay alone.  Rows without doc_id are kept, with a null
     component.  Repeated rows share their doc_id's component.  Other columns are ignored; an empty table
@@ -243,9 +302,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     nodes = write_down(nodes)
     keys = chunk_keys(nodes)
     shared = keys.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
-    open_ = write_down(keys.join(shared, "key").join(nodes.select("node", "signature"), "node").withColumn("at", F.col("node")))
-    links = write_down(_links(_hub_pairs(open_, percent), docs, key, text, percent))
-    open_ = _open_buckets(open_, write_down(components(links)))
+    every = write_down(keys.join(shared, "key").join(nodes.select("node", "signature"), "node")
+                       .withColumns({"at": F.col("node"), "inner": F.lit(False)}))
+    links = write_down(_links(_hub_pairs(every, percent), docs, key, text, percent))
+    open_ = _open_buckets(every, write_down(components(links)))
+    for turn in count(1):
+        wide = open_.where("not inner").groupBy("key").count().where(F.col("count") > SIGNED_BLOCK)
+        waiting = wide.agg(F.sum("count")).first()[0]
+        if waiting is None:
+            break
+        wide = open_.join(wide.select("key"), "key")
+        more = write_down(_links(_hub_pairs(wide, percent, turn), docs, key, text, percent))
+        links = links.union(more)
+        open_ = _open_buckets(open_, write_down(components(links)))
+        if more.count() * GAIN < waiting:
+            break
     joined = components(links.union(write_down(_links_across(open_, docs, key, text, percent))))
     classes = nodes.join(joined, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
     return signed.join(classes, "print", "left").select(

@@ -51,11 +51,27 @@ def sets(text):
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def test_near_duplicates_against_all_pairs(corpus, empty):
+@pytest.mark.parametrize("block", [None, 3])
+def test_near_duplicates_against_all_pairs(spark, corpus, empty, block, monkeypatch):
     frame, rows = corpus
+    if block:
+        # Cells of a few members, so that buckets are cut into parts and slices and further hubs are drawn; and two
+        # groups whose members are linked inside, close but not linked across, but for one bridge.
+        monkeypatch.setattr(near, "BLOCK", block)
+        monkeypatch.setattr(near, "SIGNED_BLOCK", block)
+        rng = random.Random(9)
+        one = prose(rng, 120).split()
+        other = one[:96] + prose(rng, 24).split()
+        more = []
+        for k, base in enumerate((one, other, one[:110] + prose(rng, 10).split())):
+            for i in range(12):
+                at = 40 + rng.randrange(3)
+                more.append((1000 + 100 * k + i, " ".join(base[:at] + [f"x{k}y{i}"] + base[at + 1:]), "en", "s1", 0))
+        extra = spark.createDataFrame(more, DOCS).withColumns({c: F.lit(1) for c in frame.columns[5:]})
+        frame, rows = frame.unionByName(extra).repartition(3), rows + more
     found = {i: sets(t) for i, t, *_ in rows if i is not None}
     root = {i: i for i in found}
-    for _ in range(3):
+    for _ in range(5):
         for a in found:
             for b in found:
                 both = len(found[a] & found[b])
