@@ -25,8 +25,8 @@ from clickloom.session import write_down
 CHUNKS, CHUNK, ERRORS = 10, 4, 1
 # The distance of signatures up to which all pairs are found.
 FAR = (ERRORS + 1) * CHUNKS - 1
-# Members compared in one cell at most, about: with their texts, and with signatures only.
-BLOCK, SIGNED_BLOCK = 256, 2048
+# Members of a cell's part and slice, about, and shingles of all of them together, which bound its memory.
+BLOCK, SHINGLES = 2048, 1 << 21
 # Another round of hubs pays if the last one linked at least one in GAIN members it was for.
 GAIN = 20
 SEED = 20240901
@@ -134,15 +134,19 @@ def _open_buckets(members: DataFrame, reached: DataFrame) -> DataFrame:
     return write_down(at.join(most.where("parts > 1").drop("parts"), "key").withColumn("inner", F.expr("at = most")).drop("most"))
 
 
-def _dealt(members: DataFrame, columns: list[str], block: int) -> DataFrame:
+def _dealt(members: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (key, part, slice, role, node, at, inner, *columns) of cells that together hold every pair with an outer member.
 
-    The outer members of a bucket are cut into parts of about `block`, all its members into slices of that
-    size; a cell holds one part (role 0), then one slice (role 1).  With one part, as in any bucket that one
-    component or a few members make up, that is at most three rows for each member, however large the bucket.
+    The outer members of a bucket are cut into parts of about BLOCK members or SHINGLES shingles, all its members
+    into slices of that size; a cell holds one part (role 0), then one slice passes (role 1).  With one part, as in
+    any bucket that one component all but fills, that is at most three rows for each member, however large the bucket.
     """
-    counts = members.groupBy("key").agg((F.ceil(F.count_if(~F.col("inner")) / block)).cast("int").alias("parts"),
-                                        (F.ceil(F.count(F.lit(1)) / block)).cast("int").alias("slices"))
+    def pieces(chosen):
+        members_of, shingles_of = F.count_if(chosen) / BLOCK, F.coalesce(F.sum(F.when(chosen, F.col("n"))), F.lit(0)) / SHINGLES
+        return F.ceil(F.greatest(members_of, shingles_of)).cast("int")
+
+    counts = members.groupBy("key").agg(pieces(~F.col("inner")).alias("parts"), pieces(F.lit(True)).alias("slices"))
+    counts = counts.where("parts > 0")
     dealt = members.select("key", "node", "at", "inner", *columns).join(counts, "key")
     spread = F.xxhash64("node")
 
@@ -162,7 +166,7 @@ def _dealt(members: DataFrame, columns: list[str], block: int) -> DataFrame:
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple], tuple]]:
     """(key, held, row) for every passing row of sorted cells, held being the rows of the cell's part."""
     held, at = [], None
-    pieces = (batch.slice(s, BLOCK) for batch in batches for s in range(0, batch.num_rows, BLOCK))
+    pieces = (batch.slice(s, 256) for batch in batches for s in range(0, batch.num_rows, 256))
     for batch in pieces:
         for key, part, piece, role, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
             if at != (key, part, piece):
@@ -232,7 +236,7 @@ def _involved(members: DataFrame, percent: int) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
-    return _dealt(members, ["n", "signature"], SIGNED_BLOCK).mapInArrow(run, "key long, node long").distinct()
+    return _dealt(members, ["n", "signature"]).mapInArrow(run, "key long, node long").distinct()
 
 
 def _links_across(members: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -277,7 +281,7 @@ def _links_across(members: DataFrame, docs: DataFrame, key: str, text: str, perc
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
 
     meeting = members.join(asked, ["key", "node"]).join(texts, "node")
-    return _dealt(meeting, ["n", "signature", "body"], BLOCK).mapInArrow(run, "a long, b long").distinct()
+    return _dealt(meeting, ["n", "signature", "body"]).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -307,7 +311,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     links = write_down(_links(_hub_pairs(every, percent), docs, key, text, percent))
     open_ = _open_buckets(every, write_down(components(links)))
     for turn in count(1):
-        wide = open_.where("not inner").groupBy("key").count().where(F.col("count") > SIGNED_BLOCK)
+        wide = open_.where("not inner").groupBy("key").count().where(F.col("count") > BLOCK)
         waiting = wide.agg(F.sum("count")).first()[0]
         if waiting is None:
             break

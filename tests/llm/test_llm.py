@@ -58,7 +58,6 @@ def test_near_duplicates_against_all_pairs(spark, corpus, empty, block, monkeypa
         # Cells of a few members, so that buckets are cut into parts and slices and further hubs are drawn; and two
         # groups whose members are linked inside, close but not linked across, but for one bridge.
         monkeypatch.setattr(near, "BLOCK", block)
-        monkeypatch.setattr(near, "SIGNED_BLOCK", block)
         rng = random.Random(9)
         one = prose(rng, 120).split()
         other = one[:96] + prose(rng, 24).split()
