@@ -168,12 +168,8 @@ def learn_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     return fit(*training_rows(docs, key, text, lang, ~held_out(key) if learn is None else learn, sample))
 
 
-def predict_languages(docs: DataFrame, network: Network | None, text: str = "text", lang_pred: str = "lang_pred",
-                      score: str = "score") -> DataFrame:
-    """docs with the predicted language and its score; every byte of every text is read.
-
-    Texts that are null or hold no letter are `und` with score 0, and so is every text without a network.
-    """
+def _guessed(docs: DataFrame, network: Network | None, text: str) -> DataFrame:
+    """(row, guess): every row of docs whole, and its language l, score s and whether its text has letters."""
     classes, weights = (network.classes, network.weights) if network else ([], {})
 
     def run(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -181,16 +177,39 @@ def predict_languages(docs: DataFrame, network: Network | None, text: str = "tex
         for batch in bodies:
             names, shares = [UNDETERMINED] * len(batch), [0.0] * len(batch)
             texts = batch.to_pylist()
-            able = [i for i, t in enumerate(texts) if t and net.classes and any(map(str.isalpha, t))]
+            letters = [bool(t) and any(map(str.isalpha, t)) for t in texts]
+            able = [i for i, yes in enumerate(letters) if yes and net.classes]
             for s in range(0, len(able), 64):
                 found = net.predict([texts[i].encode("utf-8", "replace") for i in able[s : s + 64]])
                 for i, name, share in zip(able[s : s + 64], *found, strict=True):
                     names[i], shares[i] = name, share
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64())], ["l", "s"])
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64()), pa.array(letters, pa.bool_())],
+                                             ["l", "s", "letters"])
+
+    guess = F.arrow_udf(run, "l string, s double, letters boolean")
+    return docs.select(F.struct("*").alias("row"), guess(F.col(text)).alias("guess"))
+
+
+def predict_languages(docs: DataFrame, network: Network | None, text: str = "text", lang_pred: str = "lang_pred",
+                      score: str = "score") -> DataFrame:
+    """docs with the predicted language and its score; every byte of every text is read.
 
-    guess = F.arrow_udf(run, "l string, s double")
-    return docs.withColumn("_guess", guess(F.col(text))).withColumns(
-        {lang_pred: F.col("_guess.l"), score: F.col("_guess.s")}).drop("_guess")
+    Texts that are null or hold no letter are `und` with score 0, and so is every text without a network.
+    Columns of docs named like the two new ones are replaced; others may have any names.
+    """
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (lang_pred, score)]
+    return _guessed(docs, network, text).select(*kept, F.col("guess.l").alias(lang_pred), F.col("guess.s").alias(score))
+
+
+def in_a_language(docs: DataFrame, network: Network | None, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of docs whose text has letters, with the predicted language where lang is null.
+
+    A language that is given stays.  Without a network a null lang stays null, and texts with letters stay too.
+    """
+    guess = F.when(F.col("guess.l") != UNDETERMINED, F.col("guess.l"))
+    fill = {lang: F.coalesce(F.col("row").getField(lang), guess)} if lang in docs.columns else {}
+    return _guessed(docs, network, text).where("guess.letters").select(
+        *(fill.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> DataFrame:

@@ -66,17 +66,21 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of the mix, with the columns of docs: each document as often as it is taken, a last one cut to its words.
 
-    Rows equal in key and text are taken together.  Documents taken 0 times are left out.
+    Rows equal in key, text and source are taken together, with the other columns of one of them.  Documents taken
+    0 times are left out.  Rows without key are told apart by text and source.  Other columns may have any names.
     """
-    taken = (mix(docs, key, text, source, **options).groupBy(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
-             .agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size")).where("_taken > 0"))
-    same = F.col("_doc_print").eqNullSafe(F.col("_print")) & F.col(key).eqNullSafe(F.col("_id"))
-    rows = (docs.withColumn("_doc_print", F.md5(F.col(text).cast("binary"))).join(taken, same)
-            .dropDuplicates([key, "_doc_print"]))
-    left = F.col("_taken") % F.col("_size")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)), 1, left.cast("int")), " ")
-    texts = F.concat(F.array_repeat(F.col(text), F.floor(F.col("_taken") / F.col("_size")).cast("int")),
-                     F.when(left > 0, F.array(cut)).otherwise(F.array().cast("array<string>")))
-    out = rows.withColumn("_text", F.explode(texts))
-    renew = {text: F.col("_text")} | ({"n_chars": F.length("_text").cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    return out.withColumns(renew).select(*docs.columns)
+    taken = (mix(docs, key, text, source, **options).groupBy("doc_id", "print", "source")
+             .agg(F.sum("taken").alias("taken"), F.max("size").alias("size")).where("taken > 0")
+             .withColumnsRenamed({"doc_id": "mix_id", "print": "mix_print", "source": "mix_source"}))
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), F.md5(F.col(text).cast("binary")).alias("print"),
+                       F.col(source).alias("from"))
+    same = (F.col("id").eqNullSafe(F.col("mix_id")) & F.col("print").eqNullSafe(F.col("mix_print"))
+            & F.col("from").eqNullSafe(F.col("mix_source")))
+    whole, left = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
+    turns = rows.join(taken, same).dropDuplicates(["id", "print", "from"]).withColumn(
+        "turn", F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(left > 0, 1).otherwise(0))))
+    body = F.col("row").getField(text)
+    cut = F.array_join(F.slice(F.regexp_extract_all(body, F.lit(f"({WORD})"), F.lit(1)), 1, left.cast("int")), " ")
+    turns = turns.withColumn("body", F.when(F.col("turn") > whole, cut).otherwise(body))
+    new = {text: F.col("body")} | {c: F.length("body").cast(t) for c, t in docs.dtypes if c == "n_chars"}
+    return turns.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -376,6 +376,37 @@ def test_pipeline_stages_keep_columns_and_rows(spark, corpus, empty):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
 
 
+def test_pipeline_stages_on_odd_rows(spark):
+    """No language given, one doc_id with two texts, equal texts without key from two sources, names like internal ones."""
+    rng = random.Random(2)
+    one, two, three = (prose(rng, 60) for _ in range(3))
+    rows = [(1, one, None, "a", 0), (1, two, None, "a", 0), (1, one, None, "a", 0), (2, three, None, "b", 0), (3, "12 34 !", None, "b", 0),
+            (4, None, None, "b", 0), (None, one, None, "a", 0), (None, one, None, "b", 0)]
+    odd = ["_guess", "_language", "_share", "_gone", "_id", "_print", "_size", "_taken", "_text", "_doc_print", "row", "guess", "turn", "body"]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(c) for c in odd}).repartition(3)
+
+    def out(stage, frame):
+        got = stage(spark, frame, "/root/testdata/sf0.001")
+        assert got.columns == frame.columns
+        got = got.collect()
+        assert all(r[c] == c for r in got for c in odd)
+        return sorted(((r.doc_id, r.text, r.lang, r.source) for r in got), key=str)
+
+    letters = [r[:4] for r in rows if r[0] not in (3, 4)]
+    assert out(corpus_pipeline.language_id, docs) == sorted(letters, key=str)
+    some = docs.withColumn("lang", F.expr("case when doc_id = 2 then 'en' end"))
+    assert {r[2] for r in out(corpus_pipeline.language_id, some)} == {"en"}
+    deduped = out(corpus_pipeline.near_dedup, docs)
+    assert deduped == sorted([r[:4] for r in rows[:2] + rows[3:]], key=str)
+    mixed = out(corpus_pipeline.mixing, docs)
+    assert {r[3] for r in mixed if r[0] is None} == {"a", "b"} and all(len(r[1].split()) <= 60 for r in mixed)
+    words = Counter()
+    for r in mixed:
+        words[r[3]] += len(r[1].split())
+    taken = {r.source: r.taken for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    assert dict(words) == taken
+
+
 @pytest.mark.parametrize("name", ["op4_line_dedup", "op7_mixing"])
 def test_query_matches_check_sql(spark, name):
     from clickloom.llm.oracle import SQL
