@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.contamination import without_leaks
-from clickloom.llm.language import UNDETERMINED, learn_languages, predict_languages
+from clickloom.llm.language import in_a_language, learn_languages
 from clickloom.llm.mixing import mixed_documents
 from clickloom.llm.near import near_duplicates
 from clickloom.llm.sharding import balanced_shards
@@ -18,22 +18,26 @@ from clickloom.session import configure, write_down
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the network has learnt; those without text or letters go.
+    """Documents whose text has letters, a null lang replaced by the predicted one; those without text or letters go.
 
-    The predicted language replaces none of the columns.  Repeated rows are treated alike; an empty table stays empty.
+    A lang that is given stays.  If no document has one, nothing can be learnt: lang stays null and texts with
+    letters stay.  Repeated rows are treated alike; an empty table stays empty.  Other columns may have any names.
     """
-    return (predict_languages(docs, learn_languages(docs), lang_pred="_language", score="_share")
-            .where(F.col("_language") != UNDETERMINED).select(*docs.columns))
+    return in_a_language(docs, learn_languages(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least doc_id.
 
-    Of rows with equal doc_id one stays; rows without doc_id stay.  An empty table stays empty.
+    Of rows equal in doc_id and text one stays.  Rows of one doc_id with different texts stay, unless one of them is
+    a near copy of a document with a smaller doc_id: then all of that doc_id go.  Rows without doc_id stay.  An
+    empty table stays empty.  Other columns may have any names.
     """
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.md5(F.col("text").cast("binary")).alias("print"))
+    left = rows.join(dropped, F.col("id") == F.col("gone"), "left_anti")
+    named = left.where("id is not null").dropDuplicates(["id", "print"])
+    return left.where("id is null").unionByName(named).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
