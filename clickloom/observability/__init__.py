@@ -9,6 +9,7 @@ from clickloom.observability.metrics import (
     latest_timestamp,
     metric_records,
     null_rates,
+    rates_of,
     row_counts,
     schema_observation,
     volume_anomalies,
@@ -40,6 +41,7 @@ __all__ = [
     "null_rates",
     "pass_rate_target",
     "pass_rate_trend",
+    "rates_of",
     "row_counts",
     "run_records",
     "schema_observation",

@@ -110,9 +110,14 @@ def volume_anomalies(volumes: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------- freshness
 
 
+def time_column(df: DataFrame) -> str | None:
+    """The first column whose name speaks of a timestamp or date."""
+    return next((c for c in df.columns if "timestamp" in c.lower() or "date" in c.lower()), None)
+
+
 def latest_timestamp(df: DataFrame) -> DataFrame | None:
-    """Greatest value of the first column whose name speaks of a timestamp or date."""
-    name = next((c for c in df.columns if "timestamp" in c.lower() or "date" in c.lower()), None)
+    """Greatest value of the column that tells the time of a row."""
+    name = time_column(df)
     return None if name is None else df.agg(F.max(name).cast("timestamp").alias("latest_data_timestamp"))
 
 
@@ -201,9 +206,15 @@ def null_rates(df: DataFrame, dataset: str, by: Sequence[str] = (),
     counts = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_rows"),
         *[count_where(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)])
-    rows = counts.select(*by, "total_rows", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_null_{i}").alias("null_count")) for i, c in enumerate(columns)
-    ])))
+    listed = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"_null_{i}").alias("null_count")) for i, c in enumerate(columns)])
+    return rates_of(counts.select(*by, "total_rows", listed.alias("null_counts")), dataset, by, threshold_pct)
+
+
+def rates_of(counts: DataFrame, dataset: str, by: Sequence[str] = (),
+             threshold_pct: float = NULL_THRESHOLD_PCT) -> DataFrame:
+    """Null rates from counted nulls: (*by, total_rows, null_counts), a list of (column, null_count)."""
+    rows = counts.select(*by, "total_rows", F.inline("null_counts"))
     rate = round_half_away(F.coalesce(safe_divide(F.col("null_count") * 100, "total_rows"), F.lit(0.0)), 2)
     return rows.select(F.lit(dataset).alias("dataset"), *by, "column", "total_rows", "null_count",
                        rate.alias("null_rate_pct"), (rate > threshold_pct).alias("flagged"))

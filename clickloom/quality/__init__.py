@@ -2,6 +2,7 @@ from clickloom.quality.expectations import Expectation, Suite, check
 from clickloom.quality.suites import CHECKPOINTS, SUITES, integrity_suites
 from clickloom.quality.validate import (
     checkpoint,
+    observe_suite,
     sample_rows,
     suite_statistics,
     totals,
@@ -17,6 +18,7 @@ __all__ = [
     "check",
     "checkpoint",
     "integrity_suites",
+    "observe_suite",
     "sample_rows",
     "suite_statistics",
     "totals",

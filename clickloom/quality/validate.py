@@ -11,83 +11,20 @@ from pyspark.sql import functions as F
 from clickloom.functions import count_where, round_half_away, safe_divide
 from clickloom.operators import orphan_keys
 from clickloom.quality.expectations import (
-    EXISTS,
     OVER_ALL_ROWS,
     REFERENCES,
-    ROWS_ABOVE,
     TABLE_CHECKS,
     UNIQUE,
     Expectation,
     Suite,
 )
+from clickloom.quality.observe import observe, outcome
 
 EXAMPLES = 10
 RESULT_COLUMNS = ["suite_name", "dataset", "check_no", "expectation_type", "column", "success", "element_count",
                   "missing_count", "unexpected_count", "unexpected_percent"]
 
 
-def _long(value: Column | None) -> Column:
-    return (F.lit(None) if value is None else value).cast("bigint")
-
-
-def _outcome(number: int, elements: Column | None = None, missing: Column | None = None,
-             unexpected: Column | None = None, passed: Column | None = None) -> Column:
-    """The counts of one check, as a struct.  ``passed`` overrides the share of good values."""
-    return F.struct(F.lit(number).alias("check_no"), _long(elements).alias("element_count"),
-                    _long(missing).alias("missing_count"), _long(unexpected).alias("unexpected_count"),
-                    (F.lit(None) if passed is None else passed).cast("boolean").alias("passed"))
-
-
-def _rows_in_range(e: Expectation, n: Column) -> Column:
-    if e.type == ROWS_ABOVE:
-        return n > F.lit(e.args["value"])
-    low, high = e.args.get("min_value"), e.args.get("max_value")
-    passed = F.lit(True)
-    if low is not None:
-        passed = passed & (n >= low)
-    if high is not None:
-        passed = passed & (n <= high)
-    return passed
-
-
-def _fused(df: DataFrame, checks: Sequence[tuple[int, Expectation]], by: Sequence[str]) -> DataFrame:
-    """Every check that is a count of rows, in one aggregation."""
-    columns = list(dict.fromkeys(e.column for _, e in checks if e.column in df.columns))
-    scans = [(i, e) for i, e in checks if e.type not in (*TABLE_CHECKS, EXISTS) and e.column in df.columns]
-    counts = [F.count(F.lit(1)).alias("_n")]
-    counts += [count_where(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)]
-    counts += [count_where(e.unexpected()).alias(f"_bad_{i}") for i, e in scans]
-    totals = df.groupBy(*by).agg(*counts)
-
-    outcomes = []
-    for i, e in checks:
-        if e.type in TABLE_CHECKS:
-            outcomes.append(_outcome(i, elements=F.col("_n"), passed=_rows_in_range(e, F.col("_n"))))
-        elif e.type == EXISTS:
-            outcomes.append(_outcome(i, passed=F.lit(e.column in df.columns)))
-        elif e.column not in df.columns:
-            outcomes.append(_outcome(i, passed=F.lit(False)))
-        else:
-            outcomes.append(_outcome(i, F.col("_n"), F.col(f"_null_{columns.index(e.column)}"), F.col(f"_bad_{i}")))
-    return totals.select(*by, F.inline(F.array(*outcomes)))
-
-
-def _unique(df: DataFrame, number: int, e: Expectation, by: Sequence[str]) -> DataFrame:
-    """All copies of a repeated value are unexpected.
-
-    Counting by value first means each key needs one shuffle of its own, and a value with
-    very many copies is one row per task in it.
-    """
-    per_value = df.groupBy(*by, F.col(e.column).alias("_value")).agg(F.count(F.lit(1)).alias("_copies"))
-    copies, value = F.col("_copies"), F.col("_value")
-    sums = per_value.groupBy(*by).agg(
-        F.coalesce(F.sum(copies), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum(F.when(value.isNull(), copies)), F.lit(0)).alias("_nulls"),
-        F.coalesce(F.sum(F.when(value.isNotNull() & (copies > 1), copies)), F.lit(0)).alias("_bad"),
-    )
-    return sums.select(*by, F.inline(F.array(_outcome(number, F.col("_n"), F.col("_nulls"), F.col("_bad")))))
-
-
 def _reference(df: DataFrame, number: int, e: Expectation, references: Mapping[str, DataFrame]) -> DataFrame:
     """Child rows without a parent, over the whole of both tables."""
     _, parent, key = REFERENCES[e.type]
@@ -97,31 +34,44 @@ def _reference(df: DataFrame, number: int, e: Expectation, references: Mapping[s
         F.coalesce(F.sum(F.when(F.col(e.column).isNull(), F.col("n"))), F.lit(0)).alias("_nulls"),
         F.coalesce(F.sum(F.when(~F.col("found"), F.col("n"))), F.lit(0)).alias("_bad"),
     )
-    return sums.select(F.inline(F.array(_outcome(number, F.col("_n"), F.col("_nulls"), F.col("_bad")))))
+    return sums.select(F.inline(F.array(outcome(number, F.col("_n"), F.col("_nulls"), F.col("_bad")))))
+
+
+def _numbered(suite: Suite, sampled: bool) -> list[tuple[int, Expectation]]:
+    """The checks of a suite with their numbers; a sample says nothing of the number of rows."""
+    return [(i, e) for i, e in enumerate(suite.expectations, 1) if not (sampled and e.type in TABLE_CHECKS)]
+
+
+def _compares_tables(df: DataFrame, e: Expectation) -> bool:
+    return e.type in REFERENCES and e.column in df.columns
+
+
+def observe_suite(df: DataFrame, suite: Suite, by: Sequence[str] = (), sampled: bool = False,
+                  nulls_of: Sequence[str] = (), latest_of: str | None = None) -> DataFrame:
+    """``observe`` for the checks of a suite, but those that compare tables."""
+    checks = [(i, e) for i, e in _numbered(suite, sampled) if not _compares_tables(df, e)]
+    return observe(df, checks, by, nulls_of, latest_of)
 
 
 def validate(df: DataFrame, suite: Suite, by: Sequence[str] = (),
-             references: Mapping[str, DataFrame] | None = None, sampled: bool = False) -> DataFrame:
+             references: Mapping[str, DataFrame] | None = None, sampled: bool = False,
+             observed: DataFrame | None = None) -> DataFrame:
     """One row per check, with its counts and verdict.
 
     With ``by`` every batch of the table is validated on its own, in the same scan.
     Row-count checks are left out for a sample.  A check of a column that does not exist
-    fails.
+    fails.  ``observed`` is what ``observe_suite`` found, so that the table is not read again.
     """
     by = list(by)
-    numbered = [(i, e) for i, e in enumerate(suite.expectations, 1)
-                if not (sampled and e.type in TABLE_CHECKS)]
-    separate = [(i, e) for i, e in numbered if e.type in (UNIQUE, *REFERENCES) and e.column in df.columns]
-    fused = [x for x in numbered if x not in separate]
-
-    parts = [_fused(df, fused, by)] if fused else []
-    for i, e in separate:
-        if e.type == UNIQUE:
-            parts.append(_unique(df, i, e, by))
-        elif by:
-            raise ValueError(f"{e.type} compares whole tables and cannot run by batch")
-        else:
-            parts.append(_reference(df, i, e, references or {}))
+    numbered = _numbered(suite, sampled)
+    across = [(i, e) for i, e in numbered if _compares_tables(df, e)]
+    if across and by:
+        raise ValueError(f"{across[0][1].type} compares whole tables and cannot run by batch")
+    parts = []
+    if len(across) < len(numbered):
+        found = observe_suite(df, suite, by, sampled) if observed is None else observed
+        parts.append(found.select(*by, F.inline("outcomes")))
+    parts += [_reference(df, i, e, references or {}) for i, e in across]
     outcomes = reduce(DataFrame.unionByName, parts)
 
     meaning = {i: e for i, e in numbered}

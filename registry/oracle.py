@@ -863,6 +863,72 @@ UNION ALL
 SELECT '2001-11-06 00:00:00', dataset, 'freshness', {_FRESH_STATUS}, NULL, NULL, NULL, {rnd(_STALE, 1)} FROM fresh""",
 }
 
+# Two feeds tracked on two days, on the first of which the later rows had not come yet.
+PARTS["early_clicks"] = "SELECT * FROM raw_clicks WHERE timestamp < TIMESTAMP '1997-01-01'"
+PARTS["early_conversions"] = "SELECT * FROM raw_conversions WHERE timestamp < TIMESTAMP '1997-01-01'"
+_TRACKED = [("2001-11-05 00:00:00", "raw_clicks_suite", "early_clicks"), ("2001-11-06 00:00:00", "raw_clicks_suite", "raw_clicks"),
+            ("2001-11-05 00:00:00", "raw_conversions_suite", "early_conversions"),
+            ("2001-11-06 00:00:00", "raw_conversions_suite", "raw_conversions")]
+
+
+def _seen(at: str, name: str, source: str) -> str:
+    dataset, columns = _SUITES[name][0], sorted(_NULL_COLUMNS[_SUITES[name][0]].split())
+    flagged = ", ".join(f"CASE WHEN {rnd(f'CAST((count(*) - count({c})) * 100 AS DOUBLE) / count(*)')} > 5 THEN '{c}' END" for c in columns)
+    nulls = " + ".join(f"(count(*) - count({c}))" for c in columns)
+    return f"""SELECT TIMESTAMP '{at}' AS timestamp, '{dataset}' AS dataset, count(*) AS n, max(timestamp) AS latest,
+       {big(str(len(columns)))} AS column_count, concat_ws(',', {flagged}) AS flagged, {nulls} AS nulls FROM {source}"""
+
+
+def _tracked_checks(at: str, name: str, source: str) -> str:
+    dataset, checks = _SUITES[name]
+    own = [_repeated(c[1], source) if c[0] == "column_values_to_be_unique" else c for c in checks]
+    return f"SELECT TIMESTAMP '{at}' AS timestamp, * FROM ({_suite(name, dataset, own, source)})"
+
+
+PARTS["seen"] = " UNION ALL ".join(f"({_seen(*x)})" for x in _TRACKED)
+PARTS["tracked_checks"] = " UNION ALL ".join(f"({_tracked_checks(*x)})" for x in _TRACKED)
+PARTS["tracked_runs"] = """
+SELECT timestamp, suite_name, dataset, bool_and(success) AS success, max(element_count) AS row_count,
+       count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed FROM tracked_checks GROUP BY 1, 2, 3"""
+_LATE = "(CAST(epoch_us(timestamp) - epoch_us(latest) AS DOUBLE) / 6e7)"
+_GROWTH = rnd("CAST((n - before) * 100 AS DOUBLE) / CAST(before AS DOUBLE)", 1)
+PARTS["tracked"] = f"""
+SELECT timestamp, dataset, 'volume' AS metric, 'ok' AS status, n AS row_count, {_GROWTH} AS change_from_previous_pct,
+       ifnull(abs({_GROWTH}) > 50, false) AS anomaly_detected, CAST(NULL AS TIMESTAMP) AS latest_data_timestamp,
+       CAST(NULL AS DOUBLE) AS staleness_minutes, CAST(NULL AS BIGINT) AS column_count, CAST(NULL AS BIGINT) AS total_rows,
+       '' AS flagged_columns, CAST(NULL AS BIGINT) AS null_count
+FROM (SELECT *, lag(n) OVER (PARTITION BY dataset ORDER BY timestamp) AS before FROM seen)
+UNION ALL
+SELECT timestamp, dataset, 'schema', 'ok', NULL, NULL, NULL, NULL, NULL, column_count, NULL, '', NULL FROM seen
+UNION ALL
+SELECT timestamp, dataset, 'null_rates', if(flagged = '', 'ok', 'warning'), NULL, NULL, NULL, NULL, NULL, NULL, n, flagged, nulls FROM seen
+UNION ALL
+SELECT timestamp, dataset, 'freshness', CASE WHEN {_LATE} <= 90 THEN 'fresh' WHEN {_LATE} <= 180 THEN 'stale' ELSE 'critical' END,
+       NULL, NULL, NULL, latest, {rnd(_LATE, 1)}, NULL, NULL, '', NULL FROM seen"""
+
+QUERIES |= {
+    "track_validation": f"SELECT * REPLACE ({txt('timestamp', 'latest_data_timestamp')}) FROM tracked",
+    "health_bundle": f"""
+SELECT 'health_summary' AS part, dataset AS name,
+       CASE WHEN 'critical' IN (f, v, s, n) THEN 'critical'
+            WHEN f = 'stale' OR v = 'warning' OR s = 'drifted' OR n = 'warning' THEN 'warning' ELSE 'healthy' END AS status,
+       CAST(NULL AS DOUBLE) AS amount, concat_ws(' ', f, v, s, n) AS detail
+FROM (SELECT dataset, max(status) FILTER (WHERE metric = 'freshness') AS f, max(status) FILTER (WHERE metric = 'volume') AS v,
+             max(status) FILTER (WHERE metric = 'schema') AS s, max(status) FILTER (WHERE metric = 'null_rates') AS n
+      FROM tracked WHERE timestamp = TIMESTAMP '2001-11-06' GROUP BY 1)
+UNION ALL
+SELECT 'latest_runs', suite_name, CAST(success AS VARCHAR), CAST(row_count AS DOUBLE),
+       concat_ws(' ', CAST(timestamp AS VARCHAR), CAST(passed AS VARCHAR), CAST(failed AS VARCHAR))
+FROM tracked_runs WHERE timestamp = TIMESTAMP '2001-11-06'
+UNION ALL
+SELECT 'pass_rate_trend', CAST(CAST(timestamp AS DATE) AS VARCHAR), NULL,
+       {rnd('CAST(count(*) FILTER (WHERE success) * 100 AS DOUBLE) / count(*)', 1)},
+       concat_ws(' ', CAST(count(*) FILTER (WHERE success) AS VARCHAR), CAST(count(*) AS VARCHAR)) FROM tracked_runs GROUP BY timestamp
+UNION ALL
+SELECT 'recent_failures', concat_ws(' ', suite_name, expectation_type, ifnull("column", '')), 'failed',
+       CAST(unexpected_count AS DOUBLE), CAST(timestamp AS VARCHAR) FROM tracked_checks WHERE NOT success""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in QUERIES.items()}

@@ -15,6 +15,7 @@ from clickloom import fixtures
 from clickloom.operators import asof_join, dedup_latest
 from clickloom.functions import exact_sum
 from clickloom.observability import (
+    QualityTracker,
     batch_schemas,
     completeness,
     evaluate_schema,
@@ -388,6 +389,47 @@ def _metric_log(t: Tables) -> DataFrame:
         "staleness_minutes")
 
 
+# Two feeds as they were tracked on two days; on the first day the later rows had not come yet.
+TRACKED = {dt.datetime(2001, 11, 5): dt.datetime(1997, 1, 1), dt.datetime(2001, 11, 6): None}
+TRACKED_SUITES = ("raw_clicks_suite", "raw_conversions_suite")
+
+
+def _tracked(t: Tables) -> QualityTracker:
+    tracker = QualityTracker(t.spark, scratch_path(t.spark), scratch_path(t.spark))
+    for now, before in TRACKED.items():
+        for name in TRACKED_SUITES:
+            feed = _raw(t)[SUITES[name].dataset]
+            tracker.track(feed if before is None else feed.filter(F.col("timestamp") < F.lit(before)), SUITES[name], now=now)
+    return tracker
+
+
+def _track_validation(t: Tables) -> DataFrame:
+    return _tracked(t).metrics.select(
+        "timestamp", "dataset", "metric", "status", "row_count", "change_from_previous_pct", "anomaly_detected",
+        "latest_data_timestamp", "staleness_minutes", "column_count", "total_rows",
+        F.concat_ws(",", "flagged_columns").alias("flagged_columns"),
+        F.aggregate(F.map_values("null_columns"), F.lit(0).cast("long"), lambda n, c: n + c["null_count"]).alias("null_count"))
+
+
+def _health_bundle(t: Tables) -> DataFrame:
+    """The parts of the bundle under each other: (part, name, status, amount, detail)."""
+    bundle = _tracked(t).health_bundle(now=max(TRACKED))
+    columns = {
+        "health_summary": ["dataset", "overall", F.lit(None), F.concat_ws(" ", "freshness", "volume", "schema", "nulls")],
+        "latest_runs": ["suite_name", F.col("success").cast("string"), F.col("row_count"),
+                        F.concat_ws(" ", F.col("timestamp").cast("string"), "passed", "failed")],
+        "pass_rate_trend": [F.col("date").cast("string"), F.lit(None), "pass_rate", F.concat_ws(" ", "passed", "total_runs")],
+        "recent_failures": [F.concat_ws(" ", "suite", "expectation", "column"), F.lit("failed"),
+                            F.col("details")["unexpected_count"], F.col("timestamp").cast("string")],
+    }
+    types = {"name": "string", "status": "string", "amount": "double", "detail": "string"}
+    parts = []
+    for part, values in columns.items():
+        named = [(F.col(v) if isinstance(v, str) else v).cast(kind).alias(name) for v, (name, kind) in zip(values, types.items())]
+        parts.append(bundle[part].select(F.lit(part).alias("part"), *named))
+    return reduce(DataFrame.unionByName, parts)
+
+
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "stg_ad_impressions": lambda t: t.impressions,
     "stg_campaigns": lambda t: t.campaigns,
@@ -482,6 +524,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "run_log": _run_log,
     "cleanup": _cleanup,
     "metric_log": _metric_log,
+    "track_validation": _track_validation,
+    "health_bundle": _health_bundle,
     "duplicate_click_examples": lambda t: unexpected_values(t.raw.clicks, check.unique("click_id")),
 }
 

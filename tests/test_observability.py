@@ -194,3 +194,45 @@ def test_completeness(spark):
     assert (got.cells, got.null_cells, got.completeness_pct, got.worst_column) == (9, 5, 44.4444, "b")
     got = completeness(null_rates(df.limit(0), "d")).first()
     assert (got.cells, got.completeness_pct, got.worst_column) == (0, None, None)
+
+
+def test_tracking_reads_a_table_once(spark, tracker, tmp_path):
+    """Checks with a unique key, nulls, volume and freshness: one scan of the table, counted by its rows read."""
+    from clickloom.quality import observe_suite
+    from clickloom.quality.suites import RAW_CLICKS_SUITE
+    from clickloom.schemas import RAW_CLICKS
+
+    rows = [("a", "i", "c", "SEO", "p", ts("2024-05-01 11:00:00"), "mobile", None, 5)] * 3
+    spark.createDataFrame(rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_CLICKS.fields)).write.parquet(
+        str(tmp_path / "clicks"))
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    stored = spark.read.parquet(str(tmp_path / "clicks"))
+    plan = observe_suite(stored, RAW_CLICKS_SUITE, nulls_of=stored.columns, latest_of="timestamp")._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("FileScan") == 1
+    got = tracker.track(stored.mapInArrow(count, stored.schema), RAW_CLICKS_SUITE, now=NOW)
+    assert rows_of(got, "metric", "total_rows") == [("freshness", None), ("null_rates", 3), ("schema", None), ("volume", None)]
+    assert read.value == 3
+    run = tracker.runs.first()
+    assert (run.total_expectations, run.row_count) == (len(RAW_CLICKS_SUITE.expectations), 3)
+
+
+def test_observing_values_that_are_the_batch_or_missing(spark):
+    from clickloom.quality.observe import observe
+
+    df = spark.createDataFrame([(1, "a", None), (1, "a", 2), (1, None, 3), (2, "a", 3), (2, "b", None)], "b int, k string, v int")
+    checks = [(1, check.unique("k")), (2, check.unique("v")), (3, check.not_null("v")[0]), (4, check.unique("b"))]
+    got = {r.b: r for r in observe(df, checks, by=["b"], nulls_of=["k"], latest_of=None).collect()}
+    counts = {b: [(o.element_count, o.missing_count, o.unexpected_count) for o in r.outcomes] for b, r in got.items()}
+    assert counts == {1: [(3, 1, 2), (3, 1, 0), (3, 1, 1), (3, 0, 3)], 2: [(2, 0, 0), (2, 1, 0), (2, 1, 1), (2, 0, 2)]}
+    assert [got[b].null_counts[0].null_count for b in (1, 2)] == [1, 0]
+    whole = observe(df, checks, nulls_of=["v"]).first()
+    assert [(o.missing_count, o.unexpected_count) for o in whole.outcomes] == [(1, 3), (2, 2), (2, 2), (0, 5)]
+    empty = observe(df.limit(0), checks, nulls_of=["v"]).first()
+    assert (empty.row_count, empty.null_counts[0].null_count, empty.outcomes[0].unexpected_count) == (0, 0, 0)
+    assert observe(df.limit(0), checks, by=["b"]).count() == 0
