@@ -10,16 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 10, 6
-# Labelled texts per language that are fitted on, the first by a hash of their keys, and windows of each.
+# Labelled texts per language that are fitted on, the first by a hash of key and text, and windows of each.
 SAMPLE, WINDOWS = 400, 4
+# Texts that are fitted on in all, shared evenly by the languages, and languages at most, the most frequent first.
+TEXTS, MOST = 40_000, 4_096
 EPOCHS, BATCH, RATE = 16, 64, 0.01
-# Languages at most: the most frequent in the labels.
-MOST = 256
 SEED = 20240903
 UNDETERMINED = "und"
 
@@ -138,34 +138,42 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, key: str, text: str, lang: str, learn: Column, sample: int) -> tuple[list[bytes], list[str]]:
-    """At most `sample` texts per language, the first by a hash of their keys.
+def _drawn_windows(body: Column, seed: Column) -> Column:
+    """WINDOWS windows of a text's bytes, one drawn from each equal part of the whole text; fewer where the text has fewer."""
+    count = F.greatest(F.ceil(F.octet_length(body) / WINDOW), F.lit(1)).cast("long")
+    parts = [F.floor(count * (F.pmod(F.xxhash64(seed, F.lit(j)), F.lit(10**6)) + j * 10**6) / (WINDOWS * 10**6)).cast("int")
+             for j in range(WINDOWS)]
+    return F.transform(F.array_distinct(F.array(*parts)), lambda i: F.substring(body, i * WINDOW + 1, F.lit(WINDOW)))
 
-    The hashes to keep are found without texts: a language's rate decides a bound that keeps enough rows.
+
+def training_rows(docs: DataFrame, key: str, text: str, lang: str, learn: Column, sample: int, texts: int = TEXTS,
+                  most: int = MOST) -> tuple[list[bytes], list[str]]:
+    """Windows of at most `sample` texts per language and `texts` in all, the first by a hash of key and text.
+
+    A language's rate decides a bound of the hash that leaves enough rows, so few are ranked; equal rows count once.
+    Of more than `most` languages the most frequent are learnt, of equal ones the first by name.  What is sent to the
+    driver is at most texts * WINDOWS * WINDOW bytes and the counts of `most` languages.
     """
     fit_for = docs.where(learn & F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    h = F.pmod(F.xxhash64(F.lit("language"), F.col(key)), F.lit(1_000_000))
-    counts = {r[0]: r[1] for r in fit_for.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count")).limit(MOST).collect()}
-    texts, languages = [], []
+    counts = fit_for.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(most).collect()
     if not counts:
-        return texts, languages
-    bound = F.lit(0)
-    for name, n in counts.items():
-        bound = F.when(F.col(lang) == name, min(1_000_000, int(1_000_000 * sample / n * 1.2) + 1)).otherwise(bound)
-    rows = (fit_for.where(h < bound).select(F.col(lang).alias("l"), h.alias("h"), F.substring(F.col(text).cast("binary"), 1, 16 * WINDOW).alias("b"))
-            .orderBy("l", "h", "b").limit(2 * sample * len(counts)).collect())
-    seen: dict[str, int] = {}
-    for r in rows:
-        seen[r.l] = seen.get(r.l, 0) + 1
-        if seen[r.l] <= sample:
-            texts.append(bytes(r.b))
-            languages.append(r.l)
-    return texts, languages
+        return [], []
+    each = max(1, min(sample, texts // len(counts)))
+    bounds = docs.sparkSession.createDataFrame(
+        [(r[0], min(10**6, int(10**6 * (each * 1.2 + 20) / r[1]) + 1)) for r in counts], "l string, bound long")
+    rows = fit_for.select(F.col(lang).alias("l"), F.xxhash64(F.lit("language"), F.col(key), F.col(text)).alias("h"),
+                          F.col(text).cast("binary").alias("body"))
+    # At most `most` rows of bounds are broadcast.
+    near = rows.join(F.broadcast(bounds), "l").where(F.pmod("h", F.lit(10**6)) < F.col("bound"))
+    drawn = near.select("l", "h", _drawn_windows(F.col("body"), F.col("h")).alias("b")).groupBy("l", "h").agg(F.min("b").alias("b"))
+    place = F.row_number().over(Window.partitionBy("l").orderBy(F.pmod("h", F.lit(10**6)), "h"))
+    got = drawn.withColumn("place", place).where(F.col("place") <= each).orderBy("l", "place").collect()
+    return [b"".join(r.b) for r in got], [r.l for r in got]
 
 
 def learn_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
-                    learn: Column | None = None) -> Network | None:
-    return fit(*training_rows(docs, key, text, lang, ~held_out(key) if learn is None else learn, sample))
+                    learn: Column | None = None, texts: int = TEXTS, most: int = MOST) -> Network | None:
+    return fit(*training_rows(docs, key, text, lang, ~held_out(key) if learn is None else learn, sample, texts, most))
 
 
 def _guessed(docs: DataFrame, network: Network | None, text: str) -> DataFrame:
@@ -212,13 +220,14 @@ def in_a_language(docs: DataFrame, network: Network | None, text: str = "text",
         *(fill.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
-def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> DataFrame:
+def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
+              texts: int = TEXTS, most: int = MOST) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of docs.
 
-    The network learns from at most `sample` texts per language, their first 16 windows, of rows that are not
-    held out and have a language.  Rows without doc_id are not learnt from; repeated rows get equal
-    predictions; an empty table gives no rows.
+    The network learns from windows drawn from the whole of at most `sample` texts per language and `texts` in all,
+    of rows that are not held out and have a language, and knows at most the `most` most frequent languages.  Rows
+    without doc_id are not learnt from; repeated rows get equal predictions; an empty table gives no rows.
     """
-    network = learn_languages(docs, key, text, lang, sample)
+    network = learn_languages(docs, key, text, lang, sample, texts=texts, most=most)
     rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
     return predict_languages(rows, network).select("doc_id", "held_out", "lang_pred", "score")

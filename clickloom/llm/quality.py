@@ -143,10 +143,14 @@ def score(intercept: float, rules: list[tuple[Rule, float]]) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of at most `sample` rows of `learn` that have a label, the first by a hash of their key."""
+    """Statistics and labels of at most `sample` rows of `learn` that have a label, the first by a hash of key, text and label.
+
+    So rows of equal hash are equal, and the sample does not depend on partitioning.  A row with several labels is
+    learnt from once for each.
+    """
     marks = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_y"))
     rows = docs.where(learn).join(marks, F.col(key) == F.col("_id")).select(
-        F.col(key), F.col(text), F.col("_y"), F.xxhash64(F.lit("quality"), F.col(key)).alias("_h"))
+        F.col(key), F.col(text), F.col("_y"), F.xxhash64(F.lit("quality"), F.col(key), F.col(text), F.col("_y")).alias("_h"))
     # The cut that keeps `sample` rows is found on the hashes alone, so no text is sorted.
     top = rows.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0] if sample else None
     if top is None:

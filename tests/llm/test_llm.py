@@ -291,6 +291,14 @@ def test_passages_go_on_beside_the_diagonal_of_a_meeting():
             assert passage[:4] == (40, 96, 40, 36 + len(b) - len(a) + 60) and passage[4] >= 0.75
 
 
+def test_quality_sample_does_not_depend_on_partitioning(spark):
+    rows = [(i % 5, f"a text of number {i} " * (1 + i % 7)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)] + [(1, 0)], "doc_id long, quality int")
+    one, two = (quality.labelled(docs.repartition(n, "text"), labels, "doc_id", "text", "quality", F.lit(True), 50) for n in (1, 7))
+    assert len(one[1]) == 50 and np.array_equal(one[0], two[0]) and np.array_equal(one[1], two[1])
+
+
 def test_secrets_keep_the_patterns_and_add_the_field(spark, empty):
     rng = random.Random(1)
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
@@ -334,6 +342,27 @@ def test_quality_learns_rules_and_scores_everything(spark, empty):
     assert {r.score for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_languages_learn_every_label_from_whole_texts(spark):
+    """300 languages; one row in many texts under one doc_id; windows of long texts from all parts."""
+    body = "".join(f"{i:06d} " for i in range(20_000))
+    rows = [(i, f"text {i}", f"l{i % 300:03d}") for i in range(600)] + [(7, f"many {i}", "aa") for i in range(3_000)]
+    rows += [(1000 + i, body, "long") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    texts, found = language.training_rows(docs, "doc_id", "text", "lang", F.lit(True), 30)
+    counts = {name: found.count(name) for name in set(found)}
+    assert len(counts) == 302 and counts["aa"] == counts["long"] == 30 and all(counts[f"l{i:03d}"] == 2 for i in range(300))
+    assert max(map(len, texts)) == language.WINDOWS * language.WINDOW
+    numbers = [int(w) for t, name in zip(texts, found) if name == "long" for w in t[:250].split()[1:3]]
+    assert {n // 5_000 for n in numbers} == {0} and max(numbers) > 2_000
+    last = [int(t[-250:].split()[1]) for t, name in zip(texts, found) if name == "long" and len(t) == 1024]
+    assert min(last) >= 15_000 - 40
+    again = language.training_rows(docs.repartition(3), "doc_id", "text", "lang", F.lit(True), 30)
+    assert again == (texts, found)
+    # Bounds: texts in all are shared by the languages; of more languages than wanted the most frequent stay.
+    assert len(language.training_rows(docs, "doc_id", "text", "lang", F.lit(True), 30, texts=302)[0]) == 302
+    assert set(language.training_rows(docs, "doc_id", "text", "lang", F.lit(True), 30, most=2)[1]) == {"aa", "long"}
+
+
 def test_language_accuracy_on_held_out_rows(spark, empty):
     frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.languages(frame).join(frame.select("doc_id", "lang"), "doc_id").where("held_out").collect()
