@@ -6,16 +6,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key below this share of the rows cannot overload one shuffle partition; at most
-# 1 / HOT_SHARE keys can reach it, which bounds what is broadcast.
-HOT_SHARE = 0.005
-# Counters per sketch.  Counts are off by at most 3.5 / SKETCH_ITEMS of the rows, a sixth
-# of HOT_SHARE, and a sketch takes some 64 KB.
-SKETCH_ITEMS = 4096
+# A key is hot from the share of rows of one shuffle partition, but within these bounds: below its share a key at most
+# doubles a partition, and at most 1 / LEAST_SHARE keys can reach the lower bound, which bounds what is broadcast.
+HOT_SHARE, LEAST_SHARE = 0.005, 1 / 20_000
+# Counters per sketch, and per key that can be hot.  Counts are off by at most 3.5 / counters of the rows, under half
+# of the share; a sketch takes some 64 KB, or 3 MB at the lower bound.
+SKETCH_ITEMS, ITEMS_PER_KEY = 4096, 8
 SKETCHES_PER_MERGE = 256
 
 
@@ -28,16 +28,22 @@ def _missing(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -> DataFrame:
-    """Hashes (``_place``) of the keys that hold at least ``min_share`` of the rows.
+def hot_share(spark: SparkSession) -> float:
+    """The share of one shuffle partition in the rows, within the bounds above."""
+    return max(LEAST_SHARE, min(HOT_SHARE, 1 / int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float | None = None) -> DataFrame:
+    """Hashes (``_place``) of the keys that hold at least ``min_share`` of the rows (default: those of one partition).
 
     One scan of the key columns with a frequent-items sketch per task: no key is shuffled,
     and the result has at most ``1 / min_share`` rows.  Sketches are merged in two levels,
     so that no task receives the sketches of all others.  The sketch never misses a key
     well above the share; callers use it to place rows, never to choose them.
     """
-    limit = max(1, int(1 / min_share))
-    tracked = max(SKETCH_ITEMS, 8 * limit)
+    min_share = hot_share(df.sparkSession) if min_share is None else min_share
+    limit = max(1, round(1 / min_share))
+    tracked = max(SKETCH_ITEMS, ITEMS_PER_KEY * limit)
     one = F.count(F.lit(1))
     sketches = (
         df.filter(~_missing(keys))

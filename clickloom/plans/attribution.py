@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import exact_sum, limbs, safe_divide, units_of, units_to_double
 from clickloom.operators import asof_join, positions, running_by_time, skew_safe_left_join
-from clickloom.operators.enrich import HOT_SHARE, place_of
+from clickloom.operators.enrich import hot_share, place_of
 from clickloom.session import write_down
 
 MODES = ("global", "customer")
@@ -88,7 +88,7 @@ class Journey:
     def crowded(self) -> DataFrame:
         """The instants that hold much of the conversions, as ``hot_keys`` would name them."""
         total = self.instants.agg(F.sum("conversions")).first()[0] or 0
-        full = self.instants.filter(F.col("conversions") >= max(1.0, HOT_SHARE * total))
+        full = self.instants.filter(F.col("conversions") >= max(1.0, hot_share(self.instants.sparkSession) * total))
         return full.select(place_of([*self.by, "at"]).alias("_place"))
 
     def touched(self) -> DataFrame:

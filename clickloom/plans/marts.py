@@ -149,20 +149,22 @@ def rpt_channel_roi(performance: DataFrame) -> DataFrame:
     )
 
 
-def with_first_conversion(conversions: DataFrame) -> DataFrame:
+def with_first_conversion(conversions: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Conversions with the time of their customer's first one.
 
+    ``hot`` are the hot customers (``hot_keys``), best found in the raw feed, if conversions are no stored table.
+
     The minimum is aggregated and joined back with hot customers spread out, rather than
     taken in a window that would hold all conversions of a customer in one task.
     """
     first = conversions.groupBy("customer_id").agg(
         F.min("conversion_timestamp").alias("first_conversion_timestamp"))
-    return skew_safe_left_join(conversions, first, ["customer_id"], ["conversion_id"])
+    return skew_safe_left_join(conversions, first, ["customer_id"], ["conversion_id"], hot=hot)
 
 
-def first_conversions(conversions: DataFrame) -> DataFrame:
+def first_conversions(conversions: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """The acquisition event of each customer; conversions tied on the first instant all stay."""
-    tagged = with_first_conversion(conversions)
+    tagged = with_first_conversion(conversions, hot)
     return tagged.filter(F.col("conversion_timestamp") == F.col("first_conversion_timestamp")).select(
         "customer_id",
         F.col("channel").alias("acquisition_channel"),
@@ -183,15 +185,16 @@ def _ltv_units(days: dict[str, int | None]) -> list[Column]:
 LTV_WINDOWS = {"ltv_30d": 30, "ltv_90d": 90, "ltv_total": None}
 
 
-def customer_ltv(conversions: DataFrame, windows: dict[str, int | None] | None = None) -> DataFrame:
+def customer_ltv(conversions: DataFrame, windows: dict[str, int | None] | None = None,
+                 hot: DataFrame | None = None) -> DataFrame:
     """Revenue per customer within days of the first conversion, in total, and conversion count."""
     windows = windows or LTV_WINDOWS
-    totals = with_first_conversion(conversions).groupBy("customer_id").agg(
+    totals = with_first_conversion(conversions, hot).groupBy("customer_id").agg(
         *_ltv_units(windows), F.count(F.lit(1)).alias("total_conversions"))
     return totals.select("customer_id", *[units_to_double(w).alias(w) for w in windows], "total_conversions")
 
 
-def rpt_customer_acquisition(conversions: DataFrame, performance: DataFrame) -> DataFrame:
+def rpt_customer_acquisition(conversions: DataFrame, performance: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """New customers, acquisition cost and lifetime value by acquisition channel and month.
 
     Conversions shrink to one row per (customer, channel) in a single aggregation; the
@@ -199,7 +202,7 @@ def rpt_customer_acquisition(conversions: DataFrame, performance: DataFrame) ->
     the ones with a conversion at the first instant.  A customer whose first instant holds
     several conversions weighs in once per conversion, but is counted once.
     """
-    tagged = with_first_conversion(conversions)
+    tagged = with_first_conversion(conversions, hot)
     at_first = F.col("conversion_timestamp") == F.col("first_conversion_timestamp")
     per_channel = tagged.groupBy("customer_id", "channel").agg(
         F.min("first_conversion_timestamp").alias("first_ts"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom import fixtures
-from clickloom.operators import asof_join, dedup_latest
+from clickloom.operators import asof_join, dedup_latest, hot_keys
 from clickloom.functions import exact_sum
 from clickloom.observability import (
     QualityTracker,
@@ -116,13 +116,17 @@ class Tables:
     def dashboard(self, **options) -> DataFrame:
         return marts.rpt_marketing_dashboard(self.impressions, self.clean_clicks, self.conversions, **options)
 
+    @cached_property
+    def hot_customers(self) -> DataFrame:
+        return hot_keys(self.raw.conversions, ["customer_id"])
+
     @cached_property
     def channel_roi(self) -> DataFrame:
         return marts.rpt_channel_roi(self.performance())
 
     @cached_property
     def acquisition(self) -> DataFrame:
-        return marts.rpt_customer_acquisition(self.conversions, self.performance())
+        return marts.rpt_customer_acquisition(self.conversions, self.performance(), self.hot_customers)
 
 
 def _attribution(build: Callable[..., DataFrame], mode: str) -> Callable[[Tables], DataFrame]:
@@ -444,8 +448,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "rpt_marketing_dashboard_full": lambda t: t.dashboard(keep_unmatched=True),
     "best_worst_campaign": lambda t: marts.best_worst_campaign(t.performance()),
     "rpt_channel_roi": lambda t: t.channel_roi,
-    "first_conversion": lambda t: marts.first_conversions(t.conversions),
-    "ltv_windows": lambda t: marts.customer_ltv(t.clean_conversions),
+    "first_conversion": lambda t: marts.first_conversions(t.conversions, t.hot_customers),
+    "ltv_windows": lambda t: marts.customer_ltv(t.clean_conversions, hot=t.hot_customers),
     "rpt_customer_acquisition": lambda t: t.acquisition,
     "attribution_global_first_last": _attribution(attribution.single_touch_attribution, "global"),
     "attribution_global_linear_by_channel": _linear("global"),

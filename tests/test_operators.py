@@ -51,6 +51,32 @@ def test_hot_keys_finds_the_dominant_key(spark):
     assert [r[0] for r in found] == [expected]
 
 
+def test_a_key_is_hot_from_the_share_of_a_partition(spark):
+    """Two keys of 0.4 % and 0.12 % of the rows, far below the fixed bound, among keys of one row each."""
+    i = F.col("id")
+    key = F.when(i % 250 == 0, "some").when(i % 833 == 1, "few").otherwise(i.cast("string"))
+    df = spark.range(100_000).select(key.alias("k"), i.alias("row"))
+    places = {k: spark.range(1).select(F.xxhash64(F.lit(k))).first()[0] for k in ("some", "few")}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions, expected in (("8", set()), ("400", {"some"}), ("1000", {"some", "few"})):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            hot = hot_keys(df, ["k"])
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            assert {r[0] for r in hot.collect()} == set(map(places.get, expected))
+        # A key between the two bounds is split by the join.
+        spark.conf.set("spark.sql.shuffle.partitions", "400")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        joined = skew_safe_left_join(df, spark.createDataFrame([("some", 1)], "k string, v int"), ["k"], ["row"])
+        tasks = joined.filter("k = 'some'").select("v", F.spark_partition_id().alias("task")).collect()
+        assert len(tasks) == 400 and {r.v for r in tasks} == {1} and len({r.task for r in tasks}) > 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
 def test_skew_safe_join_gives_the_rows_of_the_plain_join(spark, broadcast):
     left = skewed(spark)
