@@ -143,20 +143,22 @@ def score(intercept: float, rules: list[tuple[Rule, float]]) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of at most `sample` rows of `learn` that have a label, the first by a hash of key, text and label.
+    """Statistics and labels of at most `sample` rows of `learn` that have a label, the first by a hash of key and text.
 
-    So rows of equal hash are equal, and the sample does not depend on partitioning.  A row with several labels is
-    learnt from once for each.
+    Rows of equal hash are ordered by label and else equal, so the sample does not depend on partitioning.  A row with
+    several labels is learnt from once for each.
     """
     marks = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_y"))
-    rows = docs.where(learn).join(marks, F.col(key) == F.col("_id")).select(
-        F.col(key), F.col(text), F.col("_y"), F.xxhash64(F.lit("quality"), F.col(key), F.col(text), F.col("_y")).alias("_h"))
-    # The cut that keeps `sample` rows is found on the hashes alone, so no text is sorted.
-    top = rows.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0] if sample else None
+    rows = docs.where(learn).select(F.col(key).alias("k"), F.col(text).alias("body"),
+                                    F.xxhash64(F.lit("quality"), F.col(key), F.col(text)).alias("_h"))
+    # The cut that keeps `sample` rows is found on keys and hashes alone; only texts under it are joined and sorted.
+    marked = rows.select("k", "_h").join(marks, F.col("k") == F.col("_id")).select("_h")
+    top = marked.orderBy("_h").limit(sample).agg(F.max("_h")).first()[0] if sample else None
     if top is None:
         return np.empty((0, len(STATISTICS))), np.empty(0)
-    chosen = rows.where(F.col("_h") <= top).select(F.struct("_y", "_h", F.col(key).alias("k")).alias("id"), F.col(text).alias("body"))
-    got = with_statistics(chosen, "id", "body").select("doc_id._y", "doc_id._h", *STATISTICS).orderBy("_h").limit(sample).toPandas()
+    near = rows.where(F.col("_h") <= top).join(marks, F.col("k") == F.col("_id"))
+    chosen = near.select(F.struct("_y", "_h", "k").alias("id"), "body")
+    got = with_statistics(chosen, "id", "body").select("doc_id._y", "doc_id._h", *STATISTICS).orderBy("_h", "_y").limit(sample).toPandas()
     return got[list(STATISTICS)].to_numpy(np.float64), got["_y"].to_numpy(np.float64)
 
 
