@@ -80,8 +80,21 @@ def compact_windows(h: np.ndarray, least: int = LEAST, reach: int = REACH) -> tu
     return left[wide], c[wide], right[wide]
 
 
+def _repeated(sequence: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of all stretches of one shingle that is repeated `least` times; 0 is no shingle."""
+    starts = np.nonzero(np.append(True, sequence[1:] != sequence[:-1])[: len(sequence)])[0]
+    ends = np.append(starts[1:], len(sequence))[: len(starts)]
+    long = (ends - starts >= least) & (sequence[starts] > 0)
+    return starts[long], ends[long]
+
+
 def _rows(ids: list[int], sequences: list[np.ndarray], multipliers: np.ndarray):
-    """(key, doc, position, print) of each window under each of its two keys: value and context before, or after.
+    """(key, doc, position, print) of windows under each of their two keys: value and context before, or after.
+
+    One shingle that repeats itself has a window at each place.  Of neighbours with one key the first stands for all, and
+    the last place of the repeated shingle: a passage shared from any other place on goes on to where that shingle ends
+    in both documents, so it lies on the diagonal of those two ends, or holds nothing else.  For the latter, LEAST
+    repetitions have a key of their own.
 
     The print is a hash of the VIEW shingles on either side of the window's centre, as far as the document goes.
     """
@@ -92,6 +105,10 @@ def _rows(ids: list[int], sequences: list[np.ndarray], multipliers: np.ndarray):
     doc_of = np.repeat(np.array(ids, np.int64), [len(s) + 1 for s in sequences])
     first = np.repeat(starts[:-1] + 1, [len(s) + 1 for s in sequences])
     bound = flat == 0
+    new = np.append(True, flat[1:] != flat[:-1])
+    last = np.append(np.nonzero(new)[0][1:], len(flat))[np.cumsum(new) - 1] - 1
+    spots = [_repeated(flat)[0]]
+    keyed = [mix(mix(flat[spots[0]]) + np.uint64(3)).view(np.int64)]
     hashes = []
     for m in multipliers:
         h = mix(flat * m) | np.uint64(1)
@@ -102,7 +119,6 @@ def _rows(ids: list[int], sequences: list[np.ndarray], multipliers: np.ndarray):
     powers = np.cumprod(np.full(len(flat), BASE))
     sums = np.append(np.zeros(1, np.uint64), np.cumsum(np.where(bound, np.uint64(0), mix(flat)) * powers))
     inverse = np.cumprod(np.full(len(flat), np.uint64(pow(int(BASE), -1, 2**64))))
-    keys, docs, places, prints = [], [], [], []
     for f, h in enumerate(hashes):
         left, c, right = compact_windows(h)
         other = hashes[(f + 1) % len(hashes)]
@@ -110,13 +126,16 @@ def _rows(ids: list[int], sequences: list[np.ndarray], multipliers: np.ndarray):
         value = mix(h[c] + np.uint64(f))
         for side, begin, whole in ((1, c - CONTEXT + 1, c - left >= CONTEXT - 1), (2, c, right - c >= CONTEXT - 1)):
             near = context[begin[whole]]
-            keys.append(mix((value[whole] ^ near) + np.uint64(side)).view(np.int64))
-            docs.append(doc_of[c[whole]])
-            at = c[whole]
-            places.append(at - first[at])
-            around = sums[np.minimum(at + VIEW + 1, ends[at])] - sums[np.maximum(at - VIEW, first[at])]
-            prints.append((mix(around * inverse[at]) >> np.uint64(16)).view(np.int64))
-    return tuple(map(np.concatenate, (keys, docs, places, prints)))
+            at, key = c[whole], mix((value[whole] ^ near) + np.uint64(side)).view(np.int64)
+            opens = np.append(True, (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1]))[: len(at)]
+            at, key = at[opens], key[opens]
+            long = last[at] > at
+            at, key = np.append(at, last[at[long]]), np.append(key, key[long])
+            keyed.append(key)
+            spots.append(at)
+    at, keys = np.concatenate(spots), np.concatenate(keyed)
+    around = sums[np.minimum(at + VIEW + 1, ends[at])] - sums[np.maximum(at - VIEW, first[at])]
+    return keys, doc_of[at], at - first[at], (mix(around * inverse[at]) >> np.uint64(16)).view(np.int64)
 
 
 def keyed_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -253,6 +272,32 @@ def _needed(percent: int, least: int = LEAST) -> int:
     return -(-2 * least * percent // (100 + percent))
 
 
+def _extent(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The (start, end) around the centre of each row that no more than GAP places in a row without a mark bound; equal if there is none."""
+    sums = np.concatenate([np.zeros((len(near), 1), np.int16), np.cumsum(near, axis=1, dtype=np.int16)], axis=1)
+    empty = sums[:, GAP + 1 :] == sums[:, : -GAP - 1]
+    before, after = empty[:, : VIEW - GAP][:, ::-1], empty[:, VIEW + 1 :]
+    start = np.where(before.any(axis=1), VIEW - before.argmax(axis=1), 0)
+    end = np.where(after.any(axis=1), VIEW + 1 + after.argmax(axis=1), near.shape[1])
+    return start, np.where(empty[:, VIEW - GAP : VIEW + 1].any(axis=1), start, end)
+
+
+def _reach(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How far a passage around the centres may go at most: (start, end) in `one`, then in `many`, for each row of `many`.
+
+    Its runs lie within GAP of the diagonal, and no more than GAP shingles are without a run between two of them.
+    """
+    width = many.shape[1]
+    edge = np.zeros(GAP, one.dtype)
+    wide, there = np.concatenate([edge, one, edge]), many > 0
+    ours, theirs = np.zeros((len(many), len(wide)), bool), np.zeros(many.shape, bool)
+    for d in range(2 * GAP + 1):
+        same = (many == wide[d : d + width]) & there
+        theirs |= same
+        ours[:, d : d + width] |= same
+    return *_extent(ours[:, GAP : GAP + width]), *_extent(theirs)
+
+
 def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """For each view in `many`: whether it shares a passage around its centre with `one`, and whether one may go on beyond the view.
 
@@ -272,12 +317,21 @@ def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int =
     at = np.minimum(np.searchsorted(values, many[rest]), len(values) - 1)
     held = (values[at] == many[rest]) & (many[rest] > 0)
     repeated = len(values) < (one > 0).sum()
-    for i, found in zip(rest.tolist(), held, strict=True):
-        if found.sum() < needed and not (repeated and len(np.unique(many[i][found])) * 2 >= min(needed, len(values))):
-            continue
-        passages = shared_passages(one, many[i], [0], percent, least)
+    counts = held.sum(axis=1)
+    some = np.nonzero((counts >= needed) | (repeated & (counts > 0)))[0]
+    if not len(some):
+        return sure, maybe
+    rest, held, counts = rest[some], held[some], counts[some]
+    start, end, there, until = _reach(one, many[rest])
+    wide = (end - start >= least) & (until - there >= least)
+    for i in np.nonzero(wide & (counts < needed))[0].tolist():
+        wide[i] = len(np.unique(many[rest[i]][held[i]])) * 2 >= min(needed, len(values))
+    beyond = wide & ((start == 0) & (there == 0) | (end == len(one)) & (until == len(one)))
+    for i, open_ in zip(rest[wide].tolist(), beyond[wide].tolist(), strict=True):
+        # Beyond the texts is nothing, which equals nothing.
+        passages = shared_passages(one, np.where(many[i] > 0, many[i], np.uint32(2)), [0], percent, least)
         sure[i] = any(x <= VIEW < y and u <= VIEW < v for x, y, u, v, _ in passages)
-        maybe[i] = not sure[i] and (found[:GAP].any() or found[-GAP:].any())
+        maybe[i] = open_ and not sure[i]
     return sure, maybe
 
 
@@ -341,18 +395,41 @@ def _met_later(met: DataFrame, lonely: DataFrame, docs: DataFrame, key: str, tex
     return equal.unionByName(later.select("a", "b", (F.col("at") - F.col("from_at")).alias("diagonal"))).distinct()
 
 
-def _on_diagonals(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
-    """The passages that equal runs on these diagonals make up."""
-    runs = []
-    for d in diagonals:
-        start, end = max(0, -d), min(len(a), len(b) - d)
-        if start >= end:
-            continue
-        same = np.concatenate([[False], a[start:end] == b[start + d : end + d], [False]])
-        edges = np.nonzero(same[1:] != same[:-1])[0]
-        runs.extend((start + x, start + y, d) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+def _runs(a: np.ndarray, b: np.ndarray, diagonals: list[int]) -> list[tuple[int, int, int]]:
+    """(start in a, end in a, diagonal) of all equal runs on sorted diagonals."""
+    n, out = len(a), []
+    diagonals = [d for d in diagonals if -n < d < len(b)]
+    at = 0
+    while at < len(diagonals):
+        low, held = diagonals[at], at
+        while at < len(diagonals) and diagonals[at] == low + at - held and (at - held) * n < 1_000_000:
+            at += 1
+        high = low + at - held - 1
+        # Row k holds diagonal low + k; places beyond b, and the one after a, are False.
+        same = np.zeros((at - held, n + 1), bool)
+        left, right = max(0, -high), min(n, len(b) - low)
+        part = np.zeros(right - left + high - low, b.dtype)
+        x, y = max(0, left + low), min(len(b), right + high)
+        part[x - left - low : y - left - low] = b[x:y]
+        np.equal(np.lib.stride_tricks.sliding_window_view(part, right - left), a[left:right], out=same[:, left:right])
+        for k, d in enumerate(range(low, high + 1)):
+            same[k, : max(0, -d)] = False
+            same[k, min(n, len(b) - d) :] = False
+        flat = np.append(False, same.ravel())
+        edges = np.nonzero(flat[1:] != flat[:-1])[0]
+        row, start = np.divmod(edges[::2], n + 1)
+        out.append((start, start + edges[1::2] - edges[::2], row + low))
+    if not out:
+        return []
+    x, y, d = (np.concatenate(c) for c in zip(*out, strict=True))
+    order = np.lexsort((x, x + d))
+    return list(zip(x[order].tolist(), y[order].tolist(), d[order].tolist(), strict=True))
+
+
+def _chained(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
+    """The passages that these equal runs make up."""
     chains: list[list[int]] = []
-    for x, y, d in sorted(runs, key=lambda r: (r[0] + r[2], r[0])):
+    for x, y, d in runs:
         for chain in reversed(chains[-8:]):
             if -GAP <= x - chain[1] <= GAP and -GAP <= x + d - chain[3] <= GAP:
                 chain[1], chain[3] = max(chain[1], y), max(chain[3], y + d)
@@ -381,12 +458,32 @@ def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent:
     ones are read too.  More runs can make a chain too weak, so passages on the given diagonals alone stay.
     A passage that lies inside another one is not reported.
     """
-    given = sorted(set(diagonals))
-    near = sorted({d + i for d in given for i in range(-GAP, GAP + 1)})
-    found = [p for ds in (given, near) for p in _on_diagonals(a, b, ds, percent, least)]
-    found.sort(key=lambda p: (p[0] - p[1] + p[2] - p[3], p))
+    given = set(diagonals)
+    near = _runs(a, b, sorted({d + i for d in given for i in range(-GAP, GAP + 1)}))
+    own = [r for r in near if r[2] in given]
+    return _outermost([p for runs in ([near] if len(own) == len(near) else [own, near]) for p in _chained(a, b, runs, percent, least)])
+
+
+def repetitions(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int, int, float]]:
+    """Passages of one repeated shingle that together cover all of b's stretches of it, if a has one, in the form of `shared_passages`."""
+    held: dict[int, tuple[int, int]] = {}
+    for x, y in zip(*(c.tolist() for c in _repeated(a, least)), strict=True):
+        before = held.get(int(a[x]))
+        if before is None or before[1] - before[0] < y - x:
+            held[int(a[x])] = x, y
+    out = []
+    for u, v in zip(*(c.tolist() for c in _repeated(b, least)), strict=True):
+        if int(b[u]) in held:
+            x, y = held[int(b[u])]
+            n = min(y - x, v - u)
+            out.extend((x, x + n, at, at + n, 1.0) for at in sorted({*range(u, v - n, n), v - n}))
+    return out
+
+
+def _outermost(found: list[tuple[int, int, int, int, float]]) -> list[tuple[int, int, int, int, float]]:
+    """The passages that lie inside no other one."""
     kept: list[tuple[int, int, int, int, float]] = []
-    for p in found:
+    for p in sorted(found, key=lambda p: (p[0] - p[1] + p[2] - p[3], p)):
         if not any(q[0] <= p[0] and p[1] <= q[1] and q[2] <= p[2] and p[3] <= q[3] for q in kept):
             kept.append(p)
     return kept
@@ -406,7 +503,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
                         ("other_start", pa.int64()), ("other_end", pa.int64()), ("similarity", pa.float64())])
 
     def judge(centre, member, a, b, note):
-        for x, y, u, v, similar in shared_passages(centre, member, [int(d) for d in note.split(",")], percent):
+        found = shared_passages(centre, member, [int(d) for d in note.split(",")], percent)
+        more = repetitions(centre, member)
+        for x, y, u, v, similar in _outermost(found + more) if more else found:
             yield b, u, v + SHINGLE - 1, a, x, y + SHINGLE - 1, similar
 
     def compared(met: DataFrame) -> DataFrame:

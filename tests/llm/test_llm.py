@@ -291,6 +291,45 @@ def test_passages_go_on_beside_the_diagonal_of_a_meeting():
             assert passage[:4] == (40, 96, 40, 36 + len(b) - len(a) + 60) and passage[4] >= 0.75
 
 
+def test_one_word_repeated_makes_few_windows_and_hides_no_repeat(spark):
+    """Each place of a repeated word had windows, compared in all pairs; its ends stand for them, and no repeated word is missed."""
+    rng = random.Random(8)
+    joints = [prose(rng, 30) for _ in range(3)]
+    rows = []
+    for i in range(24):
+        le, at = rng.choice([20, 40, 60, 90, 130]), rng.choice([20, 40, 60, 90, 130])
+        rows.append((i, " ".join([prose(rng, rng.randrange(40)), rng.choice(joints), "le " * le + "at " * at, rng.choice(joints), prose(rng, rng.randrange(40))])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert passages.keyed_windows(frame, "doc_id", "text").count() < 40 * len(rows)
+    covered = defaultdict(set)
+    for r in passages.repeated_passages(frame).collect():
+        covered[r.doc_id] |= set(range(r.start_word, r.end_word))
+    seen = set()
+    for i, text in rows:
+        words = text.split()
+        spans = [tuple(words[k:k + 50]) for k in range(len(words) - 49)]
+        assert {k + j for k, span in enumerate(spans) if span in seen for j in range(50)} <= covered[i]
+        seen |= set(spans)
+
+
+def test_views_hold_no_passage_beyond_their_texts():
+    """What is beyond both texts equals nothing, and views whose runs lie apart hold no passage that may go on."""
+    rng = np.random.default_rng(9)
+    width = 2 * passages.VIEW + 1
+    one, other = (rng.integers(1, 2**31, width).astype(np.uint32) | np.uint32(1) for _ in range(2))
+    many = np.stack([other, other, one, other])
+    many[0, passages.VIEW - 5:] = one[passages.VIEW - 5:]
+    many[1, passages.VIEW - 5:passages.VIEW + 5] = one[passages.VIEW - 5:passages.VIEW + 5]
+    many[1, :30], many[1, -30:] = one[:30], one[-30:]
+    sure, maybe = passages._alike_around(one, many, passages.PERCENT)
+    assert sure.tolist() == [True, False, True, False] and not maybe.any()
+    short = one.copy()
+    short[passages.VIEW + 41:] = 0
+    many = np.where(np.arange(width) < passages.VIEW - 3, other, short)[None, :]
+    sure, maybe = passages._alike_around(short, many, passages.PERCENT)
+    assert not sure.any() and not maybe.any()
+
+
 def test_quality_sample_does_not_depend_on_partitioning(spark):
     rows = [(i % 5, f"a text of number {i} " * (1 + i % 7)) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
