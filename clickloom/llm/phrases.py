@@ -46,9 +46,20 @@ _ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _TABLE = bytes(10 if b in _ENDS else 32 if b in _BLANKS else b for b in range(256))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The words of a text in lower case, with a line feed at every end of a piece; empty strings between blanks."""
-    return text.lower().translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
+def spaced(text: bytes) -> bytes:
+    """A text in lower case with a space between words and a line feed as a word at every end of a piece, its own too."""
+    return text.lower().translate(_TABLE).replace(b"\n", b" \n ") + b" \n"
+
+
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """(ids, words) of texts with spaces between words: the place in `words` of each word, -1 for a line feed."""
+    coded = pc.split_pattern(pa.array(texts, pa.large_binary()), b" ").flatten().dictionary_encode()
+    words, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    # Between two blanks is an empty word, which is none.
+    empty, end = (pc.index(words, pa.scalar(w, words.type)).as_py() for w in (b"", b"\n"))
+    ids = ids[ids != empty] if empty >= 0 else ids
+    ids[ids == end] = -1
+    return ids, words
 
 
 def _pairs(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,31 +117,26 @@ def _counter(stage: int, words_kept=None, pairs_kept=None):
     hashed = pa.schema([("h", pa.int64()), ("f", pa.int64())])
     named = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("f", pa.int64())])
 
-    class Numbers(dict):
-        def __missing__(self, word: bytes) -> int:
-            self[word] = len(self)
-            return self[word]
-
-    def fresh() -> Numbers:
-        return Numbers({b"\n": 0, b"": 1})
-
     def rows(lang: str, places: list[np.ndarray], counts: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(counts), ROWS):
             part = slice(start, start + ROWS)
             phrases = pc.binary_join_element_wise(*(words.take(pa.array(p[part])) for p in places), b" ")
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(counts[part], pa.int64())], schema=named)
 
-    def count(lang: str, ids: np.ndarray, numbers: Numbers, keep1, keep2) -> Iterator[pa.RecordBatch]:
+    def count(lang: str, texts: list[bytes], keep1, keep2) -> Iterator[pa.RecordBatch]:
         seed = xxhash.xxh3_64_intdigest(lang.encode())
-        # Words are renumbered in byte order, so counts leave in prefix order; 0 ends a piece, and so do words that are not kept.
-        present = np.flatnonzero(np.bincount(ids, minlength=len(numbers))[2:])
-        words = list(numbers)[2:]
-        mine = sorted((words[i], i) for i in present.tolist())
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w, _ in mine), np.uint64, len(mine))
-        kept = np.flatnonzero(_passes(hashes, keep1))
-        rank = np.zeros(len(numbers), np.int64)
-        rank[np.array([mine[i][1] for i in kept.tolist()], np.int64) + 2] = np.arange(1, len(kept) + 1)
-        hashes, total = np.concatenate([np.zeros(1, np.uint64), hashes[kept]]), int((ids > 0).sum())
+        ids, words = numbered(texts)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words.to_pylist()), np.uint64, len(words))
+        there = np.bincount(ids[ids >= 0], minlength=len(words)) > 0
+        kept = np.flatnonzero(there & _passes(hashes, keep1))
+        total = int((ids >= 0).sum())
+        if stage == 3:
+            # Words are renumbered in byte order, so counts leave in prefix order.
+            kept = kept[pc.sort_indices(words.take(pa.array(kept))).to_numpy().astype(np.int64)]
+        # 0 ends a piece, and so do words that are not kept; a line feed's -1 is the last place.
+        rank = np.zeros(len(words) + 1, np.int64)
+        rank[kept] = np.arange(1, len(kept) + 1)
+        hashes = np.concatenate([np.zeros(1, np.uint64), hashes[kept]])
         ids, size = rank[ids], len(kept) + 1
         ones = np.bincount(ids, minlength=size)
         if stage == 1:
@@ -141,7 +147,7 @@ def _counter(stage: int, words_kept=None, pairs_kept=None):
         if stage == 2:
             yield pa.RecordBatch.from_arrays([pa.array(pair_hashes.view(np.int64)), pa.array(counts)], schema=hashed)
             return
-        sorted_words = pa.array([None, *(mine[i][0] for i in kept.tolist())], pa.binary())
+        sorted_words = pa.concat_arrays([pa.nulls(1, pa.binary()), words.take(pa.array(kept)).cast(pa.binary())])
         if total:
             yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([b""]), pa.array([total], pa.int64())], schema=named)
         yield from rows(lang, [np.arange(1, size)], ones[1:], sorted_words)
@@ -156,20 +162,18 @@ def _counter(stage: int, words_kept=None, pairs_kept=None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep1, keep2 = (None if x is None else x.value for x in (words_kept, pairs_kept))
-        numbers, texts, size = fresh(), {}, 0
+        texts, size = {}, 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = tokens(text.as_py())
-                found.append(b"\n")
-                ids = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-                texts.setdefault(lang, []).append(ids[ids != 1])
-                size += len(ids)
+                found = spaced(text.as_py())
+                texts.setdefault(lang, []).append(found)
+                size += found.count(b" ") + 1
                 if size >= BLOCK:
                     for key, held in texts.items():
-                        yield from count(key, np.concatenate(held), numbers, keep1, keep2)
-                    numbers, texts, size = fresh(), {}, 0
+                        yield from count(key, held, keep1, keep2)
+                    texts, size = {}, 0
         for key, held in texts.items():
-            yield from count(key, np.concatenate(held), numbers, keep1, keep2)
+            yield from count(key, held, keep1, keep2)
 
     return run
 

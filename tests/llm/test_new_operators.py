@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -71,6 +72,18 @@ def best_phrases(rows, least, top):
     return sorted(want)
 
 
+def test_words_are_numbered_as_they_stand():
+    """Words come from whole blocks of texts at once; blanks and signs between them leave nothing, and no phrase goes over two texts."""
+    texts = [b"", b" ", b"One two,one\t\tTWO", b"a\r\nb!? ", b"\xff\xc3\x89 \xc3\x89", b"one"]
+    ids, words = phrases.numbered([phrases.spaced(t) for t in texts])
+    held = [b"\n" if i < 0 else words[i].as_py() for i in ids.tolist()]
+    want = []
+    for text in texts:
+        for piece in re.split(rb"[.,;:!?\n-\r]", text):
+            want += [*(w.lower() for w in re.split(rb"[ \t]+", piece) if w), b"\n"]
+    assert held == want and len(set(words.to_pylist())) == len(words)
+
+
 @pytest.mark.parametrize("least,top", [(3, 2000), (10, 20)])
 def test_phrases_against_counting(corpus, empty, spark, monkeypatch, least, top):
     frame, rows = corpus
