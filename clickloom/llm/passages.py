@@ -8,7 +8,7 @@ two per LEAST positions.  Documents that share a passage share its least hash, s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.spread import compare_pairs, sorted_groups
+from clickloom.llm.spread import compare_pairs
 from clickloom.llm.words import SHINGLE, common, mix, odd_multipliers, shingle_sequence, word_hashes
 from clickloom.session import write_down
 
@@ -36,6 +36,8 @@ VIEW = 2 * LEAST
 BASE = np.uint64(0xD6E8FEB86659FD93)
 # Members of one key on either side of a task.
 BLOCK = 512
+# Pairs of views that are compared at once; groups with no more are compared together.
+PAIRS = 256
 
 
 def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -216,6 +218,14 @@ def meetings(windows: DataFrame) -> DataFrame:
     return sent.mapInArrow(meet, ", ".join(f"{c} long" for c in names))
 
 
+def _with_views(places: pa.StructArray, rows: list[tuple[np.ndarray, np.ndarray]], views: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
+    taken, doc = (np.concatenate(c) for c in zip(*rows, strict=True))
+    taken, body = places.take(pa.array(taken)), np.concatenate(views)
+    ends = pa.py_buffer(np.arange(len(body) + 1, dtype=np.int32) * np.int32(body.shape[1] * body.itemsize))
+    view = pa.Array.from_buffers(pa.binary(), len(body), [None, ends, pa.py_buffer(body.tobytes())])
+    return pa.RecordBatch.from_arrays([taken.field(0), pa.array(doc), *(taken.field(c) for c in (1, 2, 3)), view], schema=schema)
+
+
 def _views(members: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The members (key, doc, at, print, lonely) with `view`: VIEW shingles on either side as 32-bit hashes; 0 is beyond the text."""
     schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("print", pa.int64()), ("lonely", pa.bool_()),
@@ -224,49 +234,33 @@ def _views(members: DataFrame, docs: DataFrame, key: str, text: str) -> DataFram
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edge = np.zeros(VIEW, np.uint32)
         for batch in batches:
-            for doc, body, places in zip(*(batch.column(i) for i in range(3)), strict=True):
-                found = (shingle_sequence(word_hashes(body.as_py())) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-                edge = np.zeros(VIEW, np.uint32)
-                around = np.concatenate([edge, found, edge])
+            places, bounds = batch.column(2).flatten(), batch.column(2).offsets.to_numpy()
+            bounds = bounds - bounds[0]
+            at = places.field(1).to_numpy()
+            rows, views, size = [], [], 0
+            for i in range(batch.num_rows):
+                found = (shingle_sequence(word_hashes(batch.column(1)[i].as_py())) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+                around = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, found, edge]), 2 * VIEW + 1) if len(found) else None
+                mine = np.arange(bounds[i], bounds[i + 1])
                 # Another row of the same doc_id may be shorter.
-                places = [p for p in places.as_py() if p["at"] < len(found)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p["key"] for p in places], pa.int64()), pa.array([doc.as_py()] * len(places), pa.int64()),
-                     *(pa.array([p[c] for p in places], pa.int64()) for c in ("at", "print")),
-                     pa.array([p["lonely"] for p in places], pa.bool_()),
-                     pa.array([around[p["at"] : p["at"] + 2 * VIEW + 1].tobytes() for p in places], pa.binary())], schema=schema)
+                mine = mine[at[mine] < len(found)]
+                if not len(mine):
+                    continue
+                rows.append((mine, np.full(len(mine), batch.column(0)[i].as_py(), np.int64)))
+                views.append(around[at[mine]])
+                size += len(mine)
+                if size >= 10_000:
+                    yield _with_views(places, rows, views, schema)
+                    rows, views, size = [], [], 0
+            if size:
+                yield _with_views(places, rows, views, schema)
 
     return texts.join(asked.hint("shuffle_hash"), "id").select("id", "text", "places").mapInArrow(
         run, "key long, doc long, at long, print long, lonely boolean, view binary")
 
 
-def _candidates(left: np.ndarray, right: np.ndarray, percent: int) -> list[np.ndarray]:
-    """For each view on the left the rows on the right that may have enough shingles in common with it.
-
-    Of `needed` common shingles one is not among the needed - 1 most frequent of the view, so a line that
-    all members hold makes no candidates.  Views with repeated shingles look up all of them.
-    """
-    if len(left) * len(right) <= 64:
-        return [np.arange(len(right))] * len(left)
-    needed = _needed(percent)
-    values, ids = np.unique(np.concatenate([left.ravel(), right.ravel()]), return_inverse=True)
-    often = np.bincount(ids)
-    mine, other = ids[: left.size].reshape(left.shape), ids[left.size :]
-    order = np.argsort(other, kind="stable")
-    starts = np.searchsorted(other[order], np.arange(len(values) + 1))
-    there = np.diff(starts) > 0
-    out = []
-    for row, view in zip(mine, left, strict=True):
-        own = np.unique(row[view > 0])
-        if len(own) == (view > 0).sum():
-            own = own[np.argsort(often[own], kind="stable")][: max(0, len(own) - needed + 1)]
-        own = own[there[own]]
-        found = [order[starts[i] : starts[i + 1]] for i in own.tolist()]
-        out.append(np.unique(np.concatenate(found) // right.shape[1]) if found else np.empty(0, np.int64))
-    return out
-
-
 def _needed(percent: int, least: int = LEAST) -> int:
     """Two passages of `least` different shingles have this many in common at that similarity."""
     return -(-2 * least * percent // (100 + percent))
@@ -282,59 +276,149 @@ def _extent(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.where(empty[:, VIEW - GAP : VIEW + 1].any(axis=1), start, end)
 
 
-def _reach(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """How far a passage around the centres may go at most: (start, end) in `one`, then in `many`, for each row of `many`.
-
-    Its runs lie within GAP of the diagonal, and no more than GAP shingles are without a run between two of them.
-    """
+def _near(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which places of `one`, then of `many`, hold a shingle of the other view within GAP of the diagonal, row by row."""
     width = many.shape[1]
-    edge = np.zeros(GAP, one.dtype)
-    wide, there = np.concatenate([edge, one, edge]), many > 0
-    ours, theirs = np.zeros((len(many), len(wide)), bool), np.zeros(many.shape, bool)
+    wide, there = np.zeros((len(many), width + 2 * GAP), one.dtype), many > 0
+    wide[:, GAP : GAP + width] = one
+    ours, theirs = np.zeros(wide.shape, bool), np.zeros(many.shape, bool)
     for d in range(2 * GAP + 1):
-        same = (many == wide[d : d + width]) & there
+        same = (many == wide[:, d : d + width]) & there
         theirs |= same
         ours[:, d : d + width] |= same
-    return *_extent(ours[:, GAP : GAP + width]), *_extent(theirs)
+    return ours[:, GAP : GAP + width], theirs
+
+
+def _stretch(marks: np.ndarray, percent: int, least: int = LEAST) -> np.ndarray:
+    """For each row: whether `least` or more places in a row, the centre among them, have marks for that similarity.
+
+    Of two times n different shingles c are common: 100 c >= percent (2 n - c).
+    """
+    sums = np.zeros((len(marks), marks.shape[1] + 1), np.int32)
+    np.cumsum(np.where(marks, np.int32(100 - percent), np.int32(-2 * percent)), axis=1, out=sums[:, 1:])
+    low = np.minimum.accumulate(sums[:, : VIEW + 1], axis=1)
+    return (sums[:, VIEW + 1 :] >= low[:, np.minimum(VIEW, np.arange(VIEW + 1, sums.shape[1]) - least)]).any(axis=1)
+
+
+def _repeats(views: np.ndarray) -> np.ndarray:
+    """For each view whether it holds a shingle twice."""
+    held = np.sort(views, axis=1)
+    return ((held[:, 1:] == held[:, :-1]) & (held[:, 1:] > 0)).any(axis=1)
 
 
 def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """For each view in `many`: whether it shares a passage around its centre with `one`, and whether one may go on beyond the view.
 
-    Passages that lie in the views are decided here.  A passage of least shingles shares this many, by the
-    formula of the similarity; views with fewer in common share none, unless shingles are repeated in them.
+    `one` is one view, or one for each in `many`.  Of different shingles, a passage longer than the views has a stretch of
+    `least` to twice as many that is as alike as the whole, and meets by itself: views without repeated shingles leave
+    nothing open.  Sets of repeated shingles are not told by their places; there the passages are compared.
     """
+    one = np.broadcast_to(one, many.shape)
     same = (many == one) & (one > 0)
     before, after = same[:, VIEW::-1], same[:, VIEW:]
     run = (np.where(before.all(axis=1), VIEW + 1, before.argmin(axis=1)) + np.where(after.all(axis=1), VIEW + 1, after.argmin(axis=1)) - 1)
     sure = run >= least
     maybe = np.zeros(len(many), bool)
-    values = np.unique(one[one > 0])
-    needed = _needed(percent, least)
     rest = np.nonzero(~sure)[0]
-    if not len(rest):
-        return sure, maybe
-    at = np.minimum(np.searchsorted(values, many[rest]), len(values) - 1)
-    held = (values[at] == many[rest]) & (many[rest] > 0)
-    repeated = len(values) < (one > 0).sum()
-    counts = held.sum(axis=1)
-    some = np.nonzero((counts >= needed) | (repeated & (counts > 0)))[0]
-    if not len(some):
-        return sure, maybe
-    rest, held, counts = rest[some], held[some], counts[some]
-    start, end, there, until = _reach(one, many[rest])
-    wide = (end - start >= least) & (until - there >= least)
-    for i in np.nonzero(wide & (counts < needed))[0].tolist():
-        wide[i] = len(np.unique(many[rest[i]][held[i]])) * 2 >= min(needed, len(values))
-    beyond = wide & ((start == 0) & (there == 0) | (end == len(one)) & (until == len(one)))
-    for i, open_ in zip(rest[wide].tolist(), beyond[wide].tolist(), strict=True):
+    ours, theirs = _near(one[rest], many[rest])
+    (start, end), (there, until) = _extent(ours), _extent(theirs)
+    wide = np.nonzero((end - start >= least) & (until - there >= least))[0]
+    rest = rest[wide]
+    sure[rest] = _stretch(ours[wide], percent, least) & _stretch(theirs[wide], percent, least)
+    repeated = _repeats(one[rest]) | _repeats(many[rest])
+    needed = _needed(percent, least)
+    for k in np.nonzero(repeated)[0].tolist():
+        i, w = rest[k], wide[k]
+        values = np.unique(one[i][one[i] > 0])
+        held = many[i][(many[i] > 0) & np.isin(many[i], values)]
+        sure[i] = False
+        if len(held) < needed and len(np.unique(held)) * 2 < min(needed, len(values)):
+            continue
         # Beyond the texts is nothing, which equals nothing.
-        passages = shared_passages(one, np.where(many[i] > 0, many[i], np.uint32(2)), [0], percent, least)
+        passages = shared_passages(one[i], np.where(many[i] > 0, many[i], np.uint32(2)), [0], percent, least)
         sure[i] = any(x <= VIEW < y and u <= VIEW < v for x, y, u, v, _ in passages)
-        maybe[i] = open_ and not sure[i]
+        maybe[i] = not sure[i] and (start[w] == there[w] == 0 or end[w] == until[w] == many.shape[1])
     return sure, maybe
 
 
+def _alike_in_parts(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """`_alike_around` for pairs of rows (i of left, j of right), some at a time."""
+    parts = [_alike_around(left[i[x : x + PAIRS]], right[j[x : x + PAIRS]], percent) for x in range(0, len(i), PAIRS)]
+    sure, maybe = (np.concatenate([np.empty(0, bool), *c]) for c in (zip(*parts, strict=True) if parts else ((), ())))
+    return sure, maybe
+
+
+def _partners(left: np.ndarray, right: np.ndarray, earlier: np.ndarray, later: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j): for each view on the right the views on the left, of earlier documents, up to the first that shares a passage with it.
+
+    Only views that hold enough of the other's shingles, at any place, are compared place by place.
+    """
+    values, ids = np.unique(np.concatenate([left.ravel(), right.ravel()]), return_inverse=True)
+    mine, other = ids[: left.size].reshape(left.shape), ids[left.size :].reshape(right.shape)
+    repeats, theirs = _repeats(left), _repeats(right)
+    open_, out = np.ones(len(right), bool), []
+    for i, row in enumerate(mine):
+        near = np.nonzero(open_ & (later > earlier[i]))[0]
+        if not len(near):
+            continue
+        there = np.zeros(len(values), bool)
+        there[row[left[i] > 0]] = True
+        marks = there[other[near]]
+        may = _stretch(marks, percent)
+        told = np.nonzero(~may & (theirs[near] | repeats[i]))[0]
+        start, end = _extent(marks[told])
+        may[told] = end - start >= LEAST
+        near = near[may]
+        sure, maybe = _alike_in_parts(left, right, np.full(len(near), i), near, percent)
+        open_[near[sure]] = False
+        out.append((np.full(int((sure | maybe).sum()), i), near[sure | maybe]))
+    return tuple(np.concatenate([np.empty(0, np.int64), *c]) for c in (zip(*out, strict=True) if out else ((), ())))
+
+
+def _partners_of_groups(views: np.ndarray, doc: np.ndarray, starts: np.ndarray, middles: np.ndarray, ends: np.ndarray,
+                        percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) as `_partners` gives, for groups of rows that each begin with those on the left; small groups are compared together."""
+    n, m = middles - starts, ends - middles
+    out, small = [], n * m <= PAIRS
+    for g in np.nonzero(~small)[0].tolist():
+        left, right = slice(starts[g], middles[g]), slice(middles[g], ends[g])
+        i, j = _partners(views[left], views[right], doc[left], doc[right], percent)
+        out.append((i + starts[g], j + middles[g]))
+    size = (n * m)[small]
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    across = np.repeat(n[small], size)
+    # All of one row on the right come together, in the order of those on the left.
+    i, j = np.repeat(starts[small], size) + at % np.maximum(across, 1), np.repeat(middles[small], size) + at // np.maximum(across, 1)
+    i, j = i[doc[j] > doc[i]], j[doc[j] > doc[i]]
+    sure, maybe = _alike_in_parts(views, views, i, j, percent)
+    before = np.cumsum(sure) - sure
+    first = np.append(True, j[1:] != j[:-1])[: len(j)]
+    closed = before > before[np.nonzero(first)[0]][np.cumsum(first) - 1] if len(j) else sure
+    found = (sure | maybe) & ~closed
+    out.append((i[found], j[found]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a sorted stream in batches that no group of equal leading columns goes beyond; callers bound the groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in range(keys)]
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = not held or any(held[-1].column(c)[-1].as_py() != x[0] for c, x in enumerate(columns))
+        for x in columns:
+            new[1:] |= x[1:] != x[:-1]
+        cut = int(np.nonzero(new)[0][-1]) if new.any() else 0
+        if new.any() and (held or cut):
+            yield pa.concat_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _met_later(met: DataFrame, lonely: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """(a, b, diagonal): for windows that share no passage with their hub, earlier documents under the key that do.
 
@@ -374,22 +458,14 @@ def _met_later(met: DataFrame, lonely: DataFrame, docs: DataFrame, key: str, tex
     schema = pa.schema([(c, pa.int64()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, *_), held in sorted_groups(batches, 3):
-            left, right = ([r for r in held if r[0] == side] for side in (0, 1))
-            if not left or not right:
-                continue
-            at_doc = np.array([r[1] for r in right], np.int64)
-            one, many = (np.frombuffer(b"".join(r[4] for r in rows_), np.uint32).reshape(len(rows_), -1) for rows_ in (left, right))
-            open_, out = np.ones(len(right), bool), []
-            for (_, doc, place, _, _), view, near in zip(left, one, _candidates(one, many, percent), strict=True):
-                near = near[open_[near] & (at_doc[near] > doc)]
-                if not len(near):
-                    continue
-                sure, maybe = _alike_around(view, many[near], percent)
-                open_[near[sure]] = False
-                out.extend((bucket, right[i][3], doc, place, right[i][1]) for i in near[sure | maybe].tolist())
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+        for batch in _whole_groups(batches, 3):
+            bucket, left, right, side, doc, place, prints = (batch.column(c).to_numpy() for c in range(7))
+            starts = np.nonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])))[0]
+            ends = np.append(starts[1:], len(bucket))
+            views = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint32).reshape(len(bucket), -1)
+            i, j = _partners_of_groups(views, doc, starts, ends - np.add.reduceat(side, starts), ends, percent)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket[j], prints[j], doc[i], place[i], doc[j])], schema=schema)
 
     later = rows.mapInArrow(run, ", ".join(f"{c} long" for c in names)).join(own.select("key", "print", "at"), ["key", "print"])
     return equal.unionByName(later.select("a", "b", (F.col("at") - F.col("from_at")).alias("diagonal"))).distinct()
@@ -426,6 +502,28 @@ def _runs(a: np.ndarray, b: np.ndarray, diagonals: list[int]) -> list[tuple[int,
     return list(zip(x[order].tolist(), y[order].tolist(), d[order].tolist(), strict=True))
 
 
+def _inside(parts: list[tuple[int, int, int, int]], alike: Callable, percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
+    """From each run of a chain on the longest stretch of runs that is alike, if it is not inside the one before.
+
+    Only stretches whose runs are long enough together for that similarity are compared.
+    """
+    x, y, u, v = (np.array(c) for c in zip(*parts, strict=True))
+    y, v = np.maximum.accumulate(y), np.maximum.accumulate(v)
+    held = np.append(0, np.cumsum([q - p for p, q, _, _ in parts]))
+    out, done = [], -1
+    for i in range(len(parts)):
+        n, m = y[i:] - x[i], v[i:] - u[i]
+        for j in np.nonzero((n >= least) & (m >= least) & ((100 + percent) * (held[i + 1 :] - held[i]) >= percent * (n + m)))[0][::-1].tolist():
+            if i + j <= done:
+                break
+            found = alike(int(x[i]), int(y[i + j]), int(u[i]), int(v[i + j]))
+            if found:
+                out += found
+                done = i + j
+                break
+    return out
+
+
 def _chained(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
     """The passages that these equal runs make up."""
     chains: list[list[int]] = []
@@ -446,8 +544,8 @@ def _chained(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], per
         whole = len(one) + len(two) - shared
         return [(x, y, u, v, shared / whole)] if 100 * shared >= percent * whole else []
 
-    # A chain with too many edits may still hold passages that have none.
-    return [p for *chain, parts in chains for p in alike(*chain) or [q for part in parts for q in alike(*part)]]
+    # A chain with too many edits may still hold passages that have few.
+    return [p for *chain, parts in chains for p in alike(*chain) or _inside(parts, alike, percent, least)]
 
 
 def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int = PERCENT,
