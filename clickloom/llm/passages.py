@@ -9,6 +9,7 @@ two per LEAST positions.  Documents that share a passage share its least hash, s
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -159,7 +160,7 @@ def keyed_windows(docs: DataFrame, key: str, text: str) -> DataFrame:
                     ids.append(doc.as_py())
                     held.append(found | np.uint64(1))
                     size += len(found)
-                if size > 200_000:
+                if size > 20_000:
                     parts.append(_rows(ids, held, multipliers))
                     ids, held, size = [], [], 0
             if held:
@@ -289,13 +290,18 @@ def _near(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ours[:, GAP : GAP + width], theirs
 
 
-def _stretch(marks: np.ndarray, percent: int, least: int = LEAST) -> np.ndarray:
+def _stretch(marks: np.ndarray, percent: int, least: int = LEAST, bounded: bool = False) -> np.ndarray:
     """For each row: whether `least` or more places in a row, the centre among them, have marks for that similarity.
 
-    Of two times n different shingles c are common: 100 c >= percent (2 n - c).
+    Of two times n different shingles c are common: 100 c >= percent (2 n - c).  If bounded, within `_extent`.
     """
+    steps = np.where(marks, np.int32(100 - percent), np.int32(-2 * percent))
+    if bounded:
+        start, end = _extent(marks)
+        places = np.arange(marks.shape[1])
+        steps[(places < start[:, None]) | (places >= end[:, None])] = -2 * percent * marks.shape[1]
     sums = np.zeros((len(marks), marks.shape[1] + 1), np.int32)
-    np.cumsum(np.where(marks, np.int32(100 - percent), np.int32(-2 * percent)), axis=1, out=sums[:, 1:])
+    np.cumsum(steps, axis=1, out=sums[:, 1:])
     low = np.minimum.accumulate(sums[:, : VIEW + 1], axis=1)
     return (sums[:, VIEW + 1 :] >= low[:, np.minimum(VIEW, np.arange(VIEW + 1, sums.shape[1]) - least)]).any(axis=1)
 
@@ -306,12 +312,13 @@ def _repeats(views: np.ndarray) -> np.ndarray:
     return ((held[:, 1:] == held[:, :-1]) & (held[:, 1:] > 0)).any(axis=1)
 
 
-def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int = LEAST,
+                  repeated: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each view in `many`: whether it shares a passage around its centre with `one`, and whether one may go on beyond the view.
 
     `one` is one view, or one for each in `many`.  Of different shingles, a passage longer than the views has a stretch of
     `least` to twice as many that is as alike as the whole, and meets by itself: views without repeated shingles leave
-    nothing open.  Sets of repeated shingles are not told by their places; there the passages are compared.
+    nothing open.  Sets of repeated shingles are not told by their places; there the passages are compared (`repeated`, if known).
     """
     one = np.broadcast_to(one, many.shape)
     same = (many == one) & (one > 0)
@@ -321,55 +328,63 @@ def _alike_around(one: np.ndarray, many: np.ndarray, percent: int, least: int =
     maybe = np.zeros(len(many), bool)
     rest = np.nonzero(~sure)[0]
     ours, theirs = _near(one[rest], many[rest])
+    told = _repeats(one[rest]) | _repeats(many[rest]) if repeated is None else repeated[rest]
+    plain = np.nonzero(~told)[0]
+    plain = plain[_stretch(theirs[plain], percent, least)]
+    sure[rest[plain]] = _stretch(ours[plain], percent, least, bounded=True) & _stretch(theirs[plain], percent, least, bounded=True)
+    rest, ours, theirs = rest[told], ours[told], theirs[told]
     (start, end), (there, until) = _extent(ours), _extent(theirs)
-    wide = np.nonzero((end - start >= least) & (until - there >= least))[0]
-    rest = rest[wide]
-    sure[rest] = _stretch(ours[wide], percent, least) & _stretch(theirs[wide], percent, least)
-    repeated = _repeats(one[rest]) | _repeats(many[rest])
     needed = _needed(percent, least)
-    for k in np.nonzero(repeated)[0].tolist():
-        i, w = rest[k], wide[k]
+    for k in np.nonzero((end - start >= least) & (until - there >= least))[0].tolist():
+        i = rest[k]
         values = np.unique(one[i][one[i] > 0])
         held = many[i][(many[i] > 0) & np.isin(many[i], values)]
-        sure[i] = False
         if len(held) < needed and len(np.unique(held)) * 2 < min(needed, len(values)):
             continue
         # Beyond the texts is nothing, which equals nothing.
         passages = shared_passages(one[i], np.where(many[i] > 0, many[i], np.uint32(2)), [0], percent, least)
         sure[i] = any(x <= VIEW < y and u <= VIEW < v for x, y, u, v, _ in passages)
-        maybe[i] = not sure[i] and (start[w] == there[w] == 0 or end[w] == until[w] == many.shape[1])
+        maybe[i] = not sure[i] and (start[k] == there[k] == 0 or end[k] == until[k] == many.shape[1])
     return sure, maybe
 
 
-def _alike_in_parts(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _alike_in_parts(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, repeated: np.ndarray,
+                    percent: int) -> tuple[np.ndarray, np.ndarray]:
     """`_alike_around` for pairs of rows (i of left, j of right), some at a time."""
-    parts = [_alike_around(left[i[x : x + PAIRS]], right[j[x : x + PAIRS]], percent) for x in range(0, len(i), PAIRS)]
+    parts = [_alike_around(left[i[x : x + PAIRS]], right[j[x : x + PAIRS]], percent, repeated=repeated[x : x + PAIRS])
+             for x in range(0, len(i), PAIRS)]
     sure, maybe = (np.concatenate([np.empty(0, bool), *c]) for c in (zip(*parts, strict=True) if parts else ((), ())))
     return sure, maybe
 
 
-def _partners(left: np.ndarray, right: np.ndarray, earlier: np.ndarray, later: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _partners(left: np.ndarray, right: np.ndarray, earlier: np.ndarray, later: np.ndarray, repeats: np.ndarray, theirs: np.ndarray,
+              percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(i, j): for each view on the right the views on the left, of earlier documents, up to the first that shares a passage with it.
 
-    Only views that hold enough of the other's shingles, at any place, are compared place by place.
+    Only views that hold enough of the other's shingles, at any place, are compared place by place.  `repeats` and
+    `theirs` say which views on the left and right have repeated shingles.
     """
     values, ids = np.unique(np.concatenate([left.ravel(), right.ravel()]), return_inverse=True)
     mine, other = ids[: left.size].reshape(left.shape), ids[left.size :].reshape(right.shape)
-    repeats, theirs = _repeats(left), _repeats(right)
-    open_, out = np.ones(len(right), bool), []
+    open_, needed, out = np.ones(len(right), bool), _needed(percent), []
+    there = np.zeros(len(values), bool)
     for i, row in enumerate(mine):
         near = np.nonzero(open_ & (later > earlier[i]))[0]
         if not len(near):
             continue
-        there = np.zeros(len(values), bool)
-        there[row[left[i] > 0]] = True
+        own = row[left[i] > 0]
+        there[own] = True
         marks = there[other[near]]
-        may = _stretch(marks, percent)
-        told = np.nonzero(~may & (theirs[near] | repeats[i]))[0]
+        there[own] = False
+        told = theirs[near] | repeats[i]
+        enough = marks.sum(axis=1) >= np.where(told, 1, needed)
+        near, marks, told = near[enough], marks[enough], told[enough]
+        may = np.zeros(len(near), bool)
+        may[~told] = _stretch(marks[~told], percent)
         start, end = _extent(marks[told])
         may[told] = end - start >= LEAST
-        near = near[may]
-        sure, maybe = _alike_in_parts(left, right, np.full(len(near), i), near, percent)
+        near, told = near[may], told[may]
+        sure, maybe = _alike_in_parts(left, right, np.full(len(near), i), near, told, percent)
         open_[near[sure]] = False
         out.append((np.full(int((sure | maybe).sum()), i), near[sure | maybe]))
     return tuple(np.concatenate([np.empty(0, np.int64), *c]) for c in (zip(*out, strict=True) if out else ((), ())))
@@ -378,25 +393,25 @@ def _partners(left: np.ndarray, right: np.ndarray, earlier: np.ndarray, later: n
 def _partners_of_groups(views: np.ndarray, doc: np.ndarray, starts: np.ndarray, middles: np.ndarray, ends: np.ndarray,
                         percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(i, j) as `_partners` gives, for groups of rows that each begin with those on the left; small groups are compared together."""
-    n, m = middles - starts, ends - middles
+    n, m, repeats = middles - starts, ends - middles, _repeats(views)
     out, small = [], n * m <= PAIRS
     for g in np.nonzero(~small)[0].tolist():
         left, right = slice(starts[g], middles[g]), slice(middles[g], ends[g])
-        i, j = _partners(views[left], views[right], doc[left], doc[right], percent)
+        i, j = _partners(views[left], views[right], doc[left], doc[right], repeats[left], repeats[right], percent)
         out.append((i + starts[g], j + middles[g]))
     size = (n * m)[small]
     at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     across = np.repeat(n[small], size)
     # All of one row on the right come together, in the order of those on the left.
-    i, j = np.repeat(starts[small], size) + at % np.maximum(across, 1), np.repeat(middles[small], size) + at // np.maximum(across, 1)
+    i, j = np.repeat(starts[small], size) + at % across, np.repeat(middles[small], size) + at // across
     i, j = i[doc[j] > doc[i]], j[doc[j] > doc[i]]
-    sure, maybe = _alike_in_parts(views, views, i, j, percent)
-    before = np.cumsum(sure) - sure
-    first = np.append(True, j[1:] != j[:-1])[: len(j)]
-    closed = before > before[np.nonzero(first)[0]][np.cumsum(first) - 1] if len(j) else sure
-    found = (sure | maybe) & ~closed
-    out.append((i[found], j[found]))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    sure, maybe = _alike_in_parts(views, views, i, j, repeats[i] | repeats[j], percent)
+    if len(j):
+        first = np.append(True, j[1:] != j[:-1])
+        before = np.cumsum(sure) - sure
+        found = (sure | maybe) & (before == before[np.nonzero(first)[0]][np.cumsum(first) - 1])
+        out.append((i[found], j[found]))
+    return tuple(np.concatenate([np.empty(0, np.int64), *c]) for c in (zip(*out, strict=True) if out else ((), ())))
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
@@ -507,24 +522,27 @@ def _inside(parts: list[tuple[int, int, int, int]], alike: Callable, percent: in
 
     Only stretches whose runs are long enough together for that similarity are compared.
     """
-    x, y, u, v = (np.array(c) for c in zip(*parts, strict=True))
+    x, y, u, v = np.array(parts).T
+    held = np.append(0, np.cumsum(y - x))
     y, v = np.maximum.accumulate(y), np.maximum.accumulate(v)
-    held = np.append(0, np.cumsum([q - p for p, q, _, _ in parts]))
     out, done = [], -1
-    for i in range(len(parts)):
-        n, m = y[i:] - x[i], v[i:] - u[i]
-        for j in np.nonzero((n >= least) & (m >= least) & ((100 + percent) * (held[i + 1 :] - held[i]) >= percent * (n + m)))[0][::-1].tolist():
-            if i + j <= done:
-                break
-            found = alike(int(x[i]), int(y[i + j]), int(u[i]), int(v[i + j]))
-            if found:
-                out += found
-                done = i + j
-                break
+    for low in range(0, len(parts), 64):
+        i, j = np.arange(low, min(low + 64, len(parts)))[:, None], np.arange(low, len(parts))
+        n, m = y[low:] - x[i], v[low:] - u[i]
+        fits = (j >= i) & (n >= least) & (m >= least) & ((100 + percent) * (held[low + 1 :] - held[i]) >= percent * (n + m))
+        for row in np.nonzero(fits.any(axis=1))[0].tolist():
+            for end in (np.nonzero(fits[row])[0][::-1] + low).tolist():
+                if end <= done:
+                    break
+                found = alike(int(x[low + row]), int(y[end]), int(u[low + row]), int(v[end]))
+                if found:
+                    out += found
+                    done = end
+                    break
     return out
 
 
-def _chained(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
+def _chained(runs: list[tuple[int, int, int]], alike: Callable, percent: int, least: int) -> list[tuple[int, int, int, int, float]]:
     """The passages that these equal runs make up."""
     chains: list[list[int]] = []
     for x, y, d in runs:
@@ -536,16 +554,15 @@ def _chained(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], per
         else:
             chains.append([x, y, x + d, y + d, [(x, y, x + d, y + d)]])
 
-    def alike(x, y, u, v):
-        if y - x < least or v - u < least:
-            return []
-        one, two = np.unique(a[x:y]), np.unique(b[u:v])
-        shared = common(one, two)
-        whole = len(one) + len(two) - shared
-        return [(x, y, u, v, shared / whole)] if 100 * shared >= percent * whole else []
-
     # A chain with too many edits may still hold passages that have few.
-    return [p for *chain, parts in chains for p in alike(*chain) or _inside(parts, alike, percent, least)]
+    return [p for x, y, u, v, parts in chains if y - x >= least and v - u >= least
+            for p in alike(x, y, u, v) or _inside(parts, alike, percent, least)]
+
+
+def _distinct(sequence: np.ndarray) -> np.ndarray:
+    """The different values, sorted; for short arrays less to do than np.unique."""
+    held = np.sort(sequence)
+    return held[np.append(True, held[1:] != held[:-1])[: len(held)]]
 
 
 def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent: int = PERCENT,
@@ -556,14 +573,27 @@ def shared_passages(a: np.ndarray, b: np.ndarray, diagonals: list[int], percent:
     ones are read too.  More runs can make a chain too weak, so passages on the given diagonals alone stay.
     A passage that lies inside another one is not reported.
     """
+    @cache
+    def alike(x, y, u, v):
+        if np.array_equal(a[x:y], b[u:v]):
+            return [(x, y, u, v, 1.0)]
+        one, two = _distinct(a[x:y]), _distinct(b[u:v])
+        shared = common(one, two)
+        whole = len(one) + len(two) - shared
+        return [(x, y, u, v, shared / whole)] if 100 * shared >= percent * whole else []
+
     given = set(diagonals)
+    if 0 in given and len(a) >= least and np.array_equal(a, b):
+        return alike(0, len(a), 0, len(a))
     near = _runs(a, b, sorted({d + i for d in given for i in range(-GAP, GAP + 1)}))
     own = [r for r in near if r[2] in given]
-    return _outermost([p for runs in ([near] if len(own) == len(near) else [own, near]) for p in _chained(a, b, runs, percent, least)])
+    return _outermost([p for runs in ([near] if len(own) == len(near) else [own, near]) for p in _chained(runs, alike, percent, least)])
 
 
 def repetitions(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int, int, float]]:
     """Passages of one repeated shingle that together cover all of b's stretches of it, if a has one, in the form of `shared_passages`."""
+    if not all((s[least - 1 :] == s[: max(0, len(s) - least + 1)]).any() for s in (b, a)):
+        return []
     held: dict[int, tuple[int, int]] = {}
     for x, y in zip(*(c.tolist() for c in _repeated(a, least)), strict=True):
         before = held.get(int(a[x]))

@@ -90,7 +90,7 @@ def compare_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str,
 
     Each text that a pair asks for is fetched by one join.  The partners of a centre are dealt to
     tasks by (centre, salt), about FAN each, with the centre's text once in each; a task streams its
-    sorted rows and holds one prepared centre.  judge(centre, member, a, b, note) yields result rows.
+    sorted rows and holds one prepared centre, which also stands for its copies.  judge(centre, member, a, b, note) yields result rows.
     """
     fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("fans"))
     members = pairs.join(fans, "a").select(
@@ -105,7 +105,7 @@ def compare_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str,
             .select("a", "salt", "role", "id", "note", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, at = None, None
+        centre, whole, at = None, None, None
         for batch in batches:
             out = []
             columns = [batch.column(i) for i in range(6)]
@@ -113,9 +113,9 @@ def compare_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str,
                 a, salt, role, other, said, body = (c[i].as_py() for c in columns)
                 if role == 0:
                     if at != (a, salt):
-                        centre, at = prepare(body), (a, salt)
+                        centre, whole, at = prepare(body), body, (a, salt)
                 elif at == (a, salt):
-                    out.extend(judge(centre, prepare(body), a, other, said))
+                    out.extend(judge(centre, centre if body == whole else prepare(body), a, other, said))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out), schema, strict=True)], schema=schema)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,6 +331,69 @@ def test_views_hold_no_passage_beyond_their_texts():
     assert not sure.any() and not maybe.any()
 
 
+def test_passages_inside_a_chain_that_is_too_weak():
+    """A stretch with few edits was lost in a longer chain with many, unless it had none."""
+    rng = np.random.default_rng(12)
+    a = rng.integers(1, 2**62, 240).astype(np.uint64)
+    b = a.copy()
+    b[[70, *range(100, 240, 8)]] = rng.integers(1, 2**62, 19).astype(np.uint64)
+    one, two = shingle_sequence(a), shingle_sequence(b)
+    (passage,) = passages.shared_passages(one[40:], two[40:], [0])
+    assert passage[0] == passage[2] == 0 and passage[1] == passage[3] >= 56 and passage[4] >= 0.75
+    assert passages.shared_passages(one, one.copy(), [-3, 0]) == [(0, len(one), 0, len(one), 1.0)]
+
+
+def test_views_of_much_edited_copies_leave_nothing_open():
+    """A word edited in eight: the views went on to their ends, so all pairs of such copies were compared on their texts."""
+    rng = np.random.default_rng(13)
+    text, views = rng.integers(1, 2**62, 300).astype(np.uint64), []
+    for i in range(12):
+        words = text.copy()
+        # The centre and its shingle stay; the first two copies have no edits near it.
+        at = np.setdiff1d(np.arange(i % 8, 300, 8), np.arange(150 - 40 * (i < 2), 155 + 40 * (i < 2)))
+        words[at] = rng.integers(1, 2**62, len(at))
+        views.append((shingle_sequence(words)[150 - passages.VIEW:151 + passages.VIEW] >> np.uint64(32)).astype(np.uint32) | np.uint32(1))
+    views = np.stack(views)
+    found = [passages._alike_around(v, views, passages.PERCENT) for v in views]
+    assert not any(maybe.any() for _, maybe in found)
+    assert [sure.sum() for sure, _ in found] == [2, 2] + [1] * 10
+
+
+def test_groups_of_views_are_compared_as_pair_by_pair():
+    rng = np.random.default_rng(14)
+    width, keys, rows = 2 * passages.VIEW + 1, [], []
+    for group, size in enumerate((1, 3, 40, 2, 30)):
+        base = rng.integers(1, 2**31, (3, width)).astype(np.uint32)
+        for side in (0, 1):
+            for doc in range(side, size + 1):
+                view = base[doc % 3].copy()
+                view[rng.integers(0, width, rng.integers(0, 30))] = rng.integers(1, 2**31)
+                view[passages.VIEW] = 5
+                keys.append((group, 0, 0))
+                rows.append((side, doc, view))
+    side, doc = (np.array([r[c] for r in rows]) for c in (0, 1))
+    views, group = np.stack([r[2] for r in rows]), np.array([k[0] for k in keys])
+    starts = np.searchsorted(group, np.arange(5))
+    ends = np.append(starts[1:], len(rows))
+    middles = np.array([s + int((side[s:e] == 0).sum()) for s, e in zip(starts, ends, strict=True)])
+    want = set()
+    for s, m, e in zip(starts, middles, ends, strict=True):
+        for j in range(m, e):
+            for i in range(s, m):
+                sure, maybe = passages._alike_around(views[i], views[j:j + 1], passages.PERCENT)
+                if doc[i] < doc[j] and (sure[0] or maybe[0]):
+                    want.add((i, j))
+                if doc[i] < doc[j] and sure[0]:
+                    break
+    i, j = passages._partners_of_groups(views, doc, starts, middles, ends, passages.PERCENT)
+    assert len(want) > 50 and len(i) == len(want) and set(zip(i.tolist(), j.tolist(), strict=True)) == want
+    table = pa.record_batch({c: pa.array([k[x] for k in keys], pa.int64()) for x, c in enumerate("abc")})
+    parts = list(passages._whole_groups(iter([table.slice(k, 17) for k in range(0, table.num_rows, 17)]), 3))
+    assert pa.Table.from_batches(parts).to_pylist() == table.to_pylist()
+    held = [set(p.column(0).to_pylist()) for p in parts]
+    assert sum(map(len, held)) == len(set().union(*held)) == 5
+
+
 def test_quality_sample_does_not_depend_on_partitioning(spark):
     rows = [(i % 5, f"a text of number {i} " * (1 + i % 7)) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
